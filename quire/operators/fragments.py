@@ -1,0 +1,24 @@
+"""Text fragments around a word position (keyword in context)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quire.functions.text import tokenize
+from quire.operators.sizing import broadcast_if_small
+
+
+def keyword_in_context(hits: DataFrame, books: DataFrame, radius: int = 5,
+                       tokenizer=tokenize) -> DataFrame:
+    """For rows (…, book_id, pos): the tokens from ``pos - radius`` to ``pos + radius``
+    of that book, joined by spaces, as ``fragment``.
+
+    Only the books that have hits are tokenized (semi join on the hit book ids first).
+    """
+    ids = hits.select("book_id").distinct()
+    wanted = books.join(broadcast_if_small(ids), "book_id", "left_semi") \
+        .select("book_id", tokenizer(F.col("text")).alias("_tokens"))
+    start = F.greatest(F.col("pos") - radius, F.lit(0))
+    frag = F.array_join(F.slice("_tokens", start + 1, F.col("pos") + radius - start + 1), " ")
+    return hits.join(wanted, "book_id").select(*hits.columns, frag.alias("fragment"))
