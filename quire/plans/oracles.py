@@ -265,7 +265,7 @@ ORACLES: dict[str, str] = {
     "parse_catalog": f"WITH {LINES}, {PARSED} SELECT book_id, title, author, date, language, keys FROM parsed",
     "load_catalog": f"WITH {LINES}, {PARSED}, {CATALOG} SELECT * FROM cat",
     "catalog_last_wins": f"WITH {LINES2}, {PARSED}, {CATALOG} SELECT * FROM cat",
-    "release_year": f"WITH {LINES}, {PARSED}, {CATALOG} SELECT book_id, date, {year_of('date')} AS year FROM cat",
+    "release_year": f"WITH {LINES}, {PARSED}, {CATALOG} SELECT book_id, date, CAST({year_of('date')} AS VARCHAR) AS year FROM cat",
     "books_by_word": (f"{BASE}, {PASSAGE_REQ}, w AS (SELECT DISTINCT unnest(words) AS word FROM req) "
                       f"SELECT idx.word, idx.book_id FROM idx JOIN w ON idx.word = w.word"),
     "positions_in_book": (f"{BASE}, {TITLE_REQ}, k AS (SELECT DISTINCT unnest(words) AS word, query_id AS book_id FROM req) "
@@ -300,7 +300,7 @@ ORACLES: dict[str, str] = {
     "search_json": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, to_json({{'bookId': book_id, "
                     f"'positions': map_from_entries(list((word, p) ORDER BY word))}}) AS json FROM mc GROUP BY 1, 2"),
     "fragment_stub": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, word, p[1] AS pos, "
-                      f"printf({_q(FRAGMENT_STUB)}, p[1], book_id) AS fragment FROM mc"),
+                      f"printf({_q(FRAGMENT_STUB)}, CAST(p[1] AS VARCHAR), CAST(book_id AS VARCHAR)) AS fragment FROM mc"),
     "text_fragment": (f"{PASSAGE_SEARCH}, h AS (SELECT query_id, book_id, word, p[1] AS pos FROM mc) "
                       f"SELECT h.query_id, h.book_id, h.word, h.pos, array_to_string(tok.t[greatest(h.pos - 5, 0) + 1 : h.pos + 5 + 1], ' ') "
                       f"AS fragment FROM h JOIN tok ON h.book_id = tok.book_id"),
@@ -330,6 +330,6 @@ ORACLES: dict[str, str] = {
     "link_book_id": (f"WITH lp AS ({listing()}), {LINKS}, {LINK_ROWS} SELECT href, "
                      f"nullif(string_split(href, '/')[3], '') AS book_id FROM lr"),
     "crawl_frontier": f"WITH lp AS ({listing()}), {FRONTIER} SELECT page, claimed FROM fr",
-    "pending_pages": (f"WITH lp AS ({listing()}), {FRONTIER}, done AS ({listing(chr(10) + 'WHERE lang = ' + _q('en'))}) "
+    "pending_pages": (f"WITH lp AS ({listing()}), {FRONTIER}, done AS ({listing('WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)')}) "
                       f"SELECT page, claimed FROM fr WHERE NOT claimed AND page NOT IN (SELECT start_index FROM done)"),
 }

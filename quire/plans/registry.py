@@ -277,7 +277,9 @@ def catalog_last_wins(spark, sf):
 
 @register
 def release_year_q(spark, sf):
-    return catalog(spark, sf).select("book_id", "date", release_year("date").alias("year"))
+    # year as text: a nullable integer column would hash differently across engines
+    return catalog(spark, sf).select("book_id", "date",
+                                     release_year("date").cast("string").alias("year"))
 
 
 REGISTRY["release_year"] = REGISTRY.pop("release_year_q")
@@ -516,8 +518,10 @@ def crawl_frontier(spark, sf):
 
 @register
 def pending_pages(spark, sf):
-    """Frontier minus the listing pages already fetched (the English catalogue)."""
+    """Frontier minus the listing pages already fetched.  Stand-in ledger: a moderation
+    crawl fetched every listing page that lists a book labelled toxic."""
     d = documents(spark, sf)
-    fetched = fixtures.listing_pages(d.filter(F.col("lang") == "en")) \
+    toxic = spark.read.parquet(table_path(sf, "labels")).filter(F.col("toxic") == 1)
+    fetched = fixtures.listing_pages(d.join(toxic, "doc_id", "left_semi")) \
         .select(F.col("start_index").alias("page"))
     return crawl.pending_pages(crawl.frontier_of(_listing(spark, sf)), fetched)
