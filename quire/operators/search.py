@@ -59,20 +59,42 @@ def candidates(postings: DataFrame, requests: DataFrame,
                                             "positions")
 
 
-def match_all_words(postings: DataFrame, requests: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words.
+def matching_books(postings: DataFrame, requests: DataFrame,
+                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """(query_id, book_id) of books holding ALL distinct words of the request.
+
+    Relational division on keys only: candidates carry no positions, and the count per
+    (query_id, book_id) is combined map-side before the shuffle.  A group holds at most
+    one row per request word, so it is bounded by the request length whatever the skew.
+    """
+    qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
+    keys = postings.select("word", "book_id").join(qw, "word")
+    return (keys.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
+            .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
+
+
+def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFrame,
+                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for matched (query, book)
+    pairs: positions are fetched for the survivors only, by a join on (word, book_id).
 
-    Relational division: a (query, book) group has at most one row per request word, so
-    it is bounded by the request length whatever the data skew.
+    The survivors are a derived table, so no count is forced on them here: AQE measures
+    them after their shuffle and broadcasts them only when that runtime size is small.
     """
-    cand = candidates(postings, requests, max_broadcast_rows)
-    grouped = (cand.groupBy("query_id", "book_id", "n_words")
-               .agg(F.count("*").alias("n_matched"),
-                    F.collect_list(F.struct("word", "positions")).alias("entries")))
-    return (grouped.filter(F.col("n_matched") == F.col("n_words"))
-            .select("query_id", "book_id",
-                    F.map_from_entries(F.array_sort("entries")).alias("positions")))
+    rw = broadcast_if_small(request_words(requests).select("query_id", "word"),
+                            max_broadcast_rows)
+    wanted = matches.join(rw, "query_id")
+    hits = postings.join(wanted, ["word", "book_id"])
+    return (hits.groupBy("query_id", "book_id")
+            .agg(F.map_from_entries(F.array_sort(F.collect_list(
+                F.struct("word", "positions")))).alias("positions")))
+
+
+def match_all_words(postings: DataFrame, requests: DataFrame,
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
+    m = matching_books(postings, requests, max_broadcast_rows)
+    return attach_positions(postings, m, requests, max_broadcast_rows)
 
 
 def _year_literal(c: Column) -> Column:
@@ -119,12 +141,16 @@ def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFr
 
 def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Answer a table of requests: (query_id, book_id, positions MAP<word, ARRAY<INT>>)."""
+    """Answer a table of requests: (query_id, book_id, positions MAP<word, ARRAY<INT>>).
+
+    Criteria are applied to the matched (query_id, book_id) keys before any positions
+    are fetched, so filtered-out books never move their position lists.
+    """
     requests = with_criteria_columns(requests)
-    matches = match_all_words(postings, requests, max_broadcast_rows)
-    if catalog is None:
-        return matches
-    return filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
+    matches = matching_books(postings, requests, max_broadcast_rows)
+    if catalog is not None:
+        matches = filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
+    return attach_positions(postings, matches, requests, max_broadcast_rows)
 
 
 def make_requests(spark: SparkSession, rows: list[dict]) -> DataFrame:

@@ -15,8 +15,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Session settings the engine relies on.  AQE re-plans joins and partition counts from
-# runtime statistics and splits skewed shuffle partitions; the UI stays off.
+# runtime statistics and splits skewed shuffle partitions; the UI stays off.  Static
+# (plan-time) auto-broadcast is off: file-size estimates under-count generated rows, so a
+# side is broadcast either behind an explicit bounded count or by AQE from the measured
+# size of a finished shuffle stage.
 DEFAULT_CONF = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -34,6 +39,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     if master:
         builder = builder.master(master)
     settings = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        settings["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     settings.update(conf or {})
