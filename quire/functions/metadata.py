@@ -28,7 +28,7 @@ def _pairs(line) -> Column:
 def metadata_field(line, key: str) -> Column:
     """Value of ``key`` in the line (the last one when the key repeats); NULL if absent."""
     hits = F.filter(_pairs(line), lambda p: p["k"] == F.lit(key))
-    return F.element_at(hits, -1)["v"]
+    return F.try_element_at(hits, F.lit(-1))["v"]
 
 
 def metadata_id(line) -> Column:

@@ -47,7 +47,7 @@ def normalize_separators(path) -> Column:
 
 def doc_key_from_path(path) -> Column:
     """ASCII digits of the base name of a path; '' when the name has none."""
-    base = F.element_at(F.split(normalize_separators(path), "/"), -1)
+    base = F.try_element_at(F.split(normalize_separators(path), "/"), F.lit(-1))
     return F.regexp_replace(base, r"[^0-9]", "")
 
 

@@ -1,0 +1,38 @@
+import duckdb
+import pytest
+
+from __spark_entry__ import entry, oracle_sql, queries
+
+SF = "/root/testdata/sf0.001"
+TABLES = ["documents", "benchmark", "pages", "labels"]
+
+
+def test_entry_runs(spark):
+    df = entry(spark)
+    assert df.columns == ["query_id", "book_id", "word", "positions"]
+    assert df.count() >= 0
+
+
+def test_every_oracle_has_a_query():
+    assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        c.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    return c
+
+
+def _canon(rows):
+    return sorted(tuple("<NULL>" if v is None else str(v) for v in r) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
+def test_query_matches_oracle(spark, con, name):
+    sdf = queries()[name](spark, SF)
+    cols = sorted(sdf.columns)
+    got = _canon(tuple(r[c] for c in cols) for r in sdf.collect())
+    odf = con.sql(f"SELECT {', '.join(cols)} FROM ({oracle_sql()[name]})")
+    assert _canon(odf.fetchall()) == got
