@@ -14,11 +14,11 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from quire.plans.registry import REGISTRY  # noqa: E402
+from quire.plans.registry import REGISTRY, stored_index  # noqa: E402
 from quire.session import get_session  # noqa: E402
 
 HEADLINE = [
-    "build_postings",        # full positional index build
+    "build_postings",        # full positional index build (in-plan, no storage)
     "search_batch",          # one request per book, with metadata criteria
     "search_all_words",      # every benchmark passage as an all-words query
     "search_intersect",      # two-word requests via INTERSECT
@@ -42,7 +42,13 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", int(cpus) * 2,
                         conf={"spark.driver.memory": "16g"})
     run(spark, "tokenize", sf_dir)  # JVM warm-up, not reported
-    times = {name: round(run(spark, name, sf_dir), 3) for name in HEADLINE}
+    times = {}
+    # build + save the book-bucketed index table the search queries read (timed once;
+    # the searches below reuse it, as search jobs reuse a stored index)
+    t0 = time.perf_counter()
+    stored_index(spark, sf_dir)
+    times["index_store"] = round(time.perf_counter() - t0, 3)
+    times.update({name: round(run(spark, name, sf_dir), 3) for name in HEADLINE})
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,

@@ -17,8 +17,8 @@ def build_postings(tokens: DataFrame) -> DataFrame:
     """(book_id, pos, word) tokens -> (word, book_id, positions).
 
     Positions are a set (re-delivered copies of a book collapse) in ascending order.
-    Grouping on (book_id, word) reuses a hash partitioning on ``book_id`` when the books
-    were partitioned by it, so the build needs a single exchange.
+    The set is built partially inside each task and merged after one exchange on
+    (book_id, word); a group is bounded by the length of the book.
     """
     return (tokens.groupBy("book_id", "word")
             .agg(F.array_sort(F.collect_set("pos")).alias("positions"))
@@ -58,3 +58,8 @@ def index_sizes(postings: DataFrame) -> DataFrame:
     return postings.agg(F.count("*").alias("word_book_entries"),
                         F.coalesce(F.sum(F.size("positions")), F.lit(0)).cast("bigint")
                         .alias("position_entries"))
+
+
+def word_stats(postings: DataFrame) -> DataFrame:
+    """(word, n_books): document frequency of every word (counts combine map-side)."""
+    return postings.groupBy("word").agg(F.count("*").alias("n_books"))

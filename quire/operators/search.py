@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.metadata import release_year
-from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small
+from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, has_at_most
 
 CRITERIA = ("title", "author", "year_from", "year_to", "language")
 
@@ -59,20 +59,55 @@ def candidates(postings: DataFrame, requests: DataFrame,
                                             "positions")
 
 
-def matching_books(postings: DataFrame, requests: DataFrame,
+def matching_books(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id) of books holding ALL distinct words of the request.
 
-    Relational division on keys only: candidates carry no positions, and the count per
-    (query_id, book_id) is combined map-side before the shuffle.  A group holds at most
-    one row per request word, so it is bounded by the request length whatever the skew.
+    Relational division on keys only (positions never move here).  With ``stats``
+    (word, n_books) the division is seeded by each request's rarest word; without it,
+    every posting of every request word is a candidate.
     """
+    if stats is not None:
+        return _seeded_division(postings, requests, stats, max_broadcast_rows)
     qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
     keys = postings.select("word", "book_id").join(qw, "word")
     return (keys.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
             .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
 
 
+def rarest_words(requests: DataFrame, stats: DataFrame, small: bool = False) -> DataFrame:
+    """(query_id, word): the request word found in the fewest books (ties: smallest
+    word).  The statistics are streamed against the request words (broadcast when
+    ``small``).  Words absent from the index are skipped here; the verification step
+    still requires every word, so such a request matches nothing."""
+    rw = request_words(requests)
+    ranked = stats.join(F.broadcast(rw) if small else rw, "word")
+    return ranked.groupBy("query_id").agg(
+        F.min_by("word", F.struct("n_books", "word")).alias("word"))
+
+
+def _seeded_division(postings, requests, stats, max_broadcast_rows):
+    """Books of the rarest word are the only possible answers; each such (query, book)
+    is then checked for every request word with a key join on (word, book_id).
+
+    Candidates shrink from the sum of all word frequencies to the smallest one.  With a
+    book-partitioned index every step stays inside its partition: the seeds come from
+    a broadcast join, the check is a hash join that streams the postings and builds on
+    the (query, book, word) keys, and the count groups by (query_id, book_id).
+    """
+    keys_of = postings.select("word", "book_id")
+    rw = request_words(requests)
+    # one rarest word per request: bounded by the request words, so one count covers both
+    small = has_at_most(rw, max_broadcast_rows)
+    rarest = rarest_words(requests, stats, small)
+    seeds = keys_of.join(F.broadcast(rarest) if small else rarest, "word") \
+        .select("query_id", "book_id")
+    wanted = seeds.join(F.broadcast(rw) if small else rw, "query_id")
+    found = keys_of.join(wanted.hint("shuffle_hash"), ["word", "book_id"])
+    return (found.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
+            .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
+
+
 def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFrame,
                      max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for matched (query, book)
@@ -84,16 +119,16 @@ def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFram
     rw = broadcast_if_small(request_words(requests).select("query_id", "word"),
                             max_broadcast_rows)
     wanted = matches.join(rw, "query_id")
-    hits = postings.join(wanted, ["word", "book_id"])
+    hits = postings.join(wanted.hint("shuffle_hash"), ["word", "book_id"])
     return (hits.groupBy("query_id", "book_id")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("word", "positions")))).alias("positions")))
 
 
-def match_all_words(postings: DataFrame, requests: DataFrame,
+def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
-    m = matching_books(postings, requests, max_broadcast_rows)
+    m = matching_books(postings, requests, stats, max_broadcast_rows)
     return attach_positions(postings, m, requests, max_broadcast_rows)
 
 
@@ -140,6 +175,7 @@ def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFr
 
 
 def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame | None = None,
+                 stats: DataFrame | None = None,
                  max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Answer a table of requests: (query_id, book_id, positions MAP<word, ARRAY<INT>>).
 
@@ -147,7 +183,7 @@ def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame |
     are fetched, so filtered-out books never move their position lists.
     """
     requests = with_criteria_columns(requests)
-    matches = matching_books(postings, requests, max_broadcast_rows)
+    matches = matching_books(postings, requests, stats, max_broadcast_rows)
     if catalog is not None:
         matches = filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
     return attach_positions(postings, matches, requests, max_broadcast_rows)
@@ -162,7 +198,7 @@ def make_requests(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def search(spark: SparkSession, postings: DataFrame, words: list[str], title=None,
            author=None, year_from=None, year_to=None, language=None,
-           catalog: DataFrame | None = None) -> DataFrame:
+           catalog: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
     """One request: books containing all ``words`` and meeting every given criterion.
 
     A non-integer year bound raises ValueError here (V3); in batch tables it matches
@@ -176,7 +212,7 @@ def search(spark: SparkSession, postings: DataFrame, words: list[str], title=Non
                                      language=language)])
     if all(v is None for v in (title, author, year_from, year_to, language)):
         catalog = None
-    return search_batch(postings, req, catalog).select("book_id", "positions") \
+    return search_batch(postings, req, catalog, stats).select("book_id", "positions") \
         .orderBy("book_id")
 
 

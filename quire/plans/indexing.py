@@ -1,8 +1,11 @@
 """Index builds.
 
-Batch: books -> repartition by book_id (the only exchange: documents move once, evenly,
-by id) -> tokenize + number + drop stopwords inside the same stage -> group by
-(book_id, word), which reuses the book_id partitioning -> postings.
+Batch: books -> tokenize + number + drop stopwords in the scan stage -> partial
+aggregation per (book_id, word) inside each task -> one exchange on (book_id, word) ->
+final merge -> postings.  No exchange is keyed on the book alone: a book id delivered in
+many copies (even a third of all rows) is tokenized by many tasks, and its postings are
+spread over partitions by word.  When the input has fewer splits than the target
+parallelism (small files, one row group), the books are first spread round-robin.
 
 Incremental: the same build restricted to books whose key is not in the ledger; postings
 are appended first and the ledger last, so a failed or replayed run never marks a book
@@ -28,12 +31,21 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(books: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin the books over ``partitions`` tasks when the input has fewer splits;
+    keyless, so no id or text can make one task hot.  Inputs that already split into
+    enough tasks (the normal case at scale) are left as they are."""
+    target = _partitions(books, partitions)
+    if books.rdd.getNumPartitions() >= target:
+        return books
+    return books.repartition(target)
+
+
 def build_index(books: DataFrame, tokenizer: Tokenizer = tokenize, stopwords=STOPWORDS,
                 partitions: int | None = None) -> DataFrame:
     """(word, book_id, positions) for a DataFrame of (book_id, text)."""
-    spread = books.select("book_id", "text").repartition(_partitions(books, partitions),
-                                                         "book_id")
-    return build_postings(index_tokens(spread, tokenizer, stopwords))
+    src = spread(books.select("book_id", "text"), partitions)
+    return build_postings(index_tokens(src, tokenizer, stopwords))
 
 
 def index_new_books(books: DataFrame, index_path: str, ledger_path: str,

@@ -25,7 +25,9 @@ from quire.plans import crawling, fixtures
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
 from quire.sinks.books_store import store_books
-from quire.sinks.index_store import append_ledger, read_ledger, read_postings
+from quire.sinks.index_store import (
+    append_ledger, open_index_table, read_ledger, read_postings, save_index_table,
+)
 from quire.sinks.results import result_json
 from quire.sources.books import books_from_table
 from quire.sources.stopwords import stopwords_frame
@@ -53,6 +55,21 @@ def index(spark, sf):
     return build_index(books(spark, sf))
 
 
+_STORED: dict = {}
+
+
+def stored_index(spark, sf):
+    """(postings, word stats) of the index of ``documents``, saved once per session as a
+    book-bucketed table in the shared work folder and opened from there."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STORED:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = work_path(spark, "index-table")
+        name = save_index_table(index(spark, sf), path, buckets)
+        _STORED[key] = open_index_table(spark, path, buckets, name)
+    return _STORED[key]
+
+
 def flat_postings(p: DataFrame) -> DataFrame:
     return p.select("word", "book_id", join_ints("positions").alias("positions"))
 
@@ -66,7 +83,8 @@ def passages(spark, sf):
 
 
 def passage_matches(spark, sf):
-    return srch.match_all_words(index(spark, sf), passages(spark, sf))
+    postings, stats = stored_index(spark, sf)
+    return srch.match_all_words(postings, passages(spark, sf), stats)
 
 
 def plain_title_requests(spark, sf):
@@ -77,7 +95,8 @@ def _criteria_search(spark, sf, **criteria):
     req = plain_title_requests(spark, sf)
     for k, v in criteria.items():
         req = req.withColumn(k, F.lit(v))
-    return srch.search_batch(index(spark, sf), req, catalog(spark, sf)) \
+    postings, stats = stored_index(spark, sf)
+    return srch.search_batch(postings, req, catalog(spark, sf), stats) \
         .select("query_id", "book_id")
 
 
@@ -290,14 +309,14 @@ REGISTRY["release_year"] = REGISTRY.pop("release_year_q")
 @register
 def books_by_word(spark, sf):
     words = passages(spark, sf).select(F.explode("words").alias("word"))
-    return srch.books_by_word(post.word_books(index(spark, sf)), words)
+    return srch.books_by_word(post.word_books(stored_index(spark, sf)[0]), words)
 
 
 @register
 def positions_in_book(spark, sf):
     keys = plain_title_requests(spark, sf).select(
         F.explode("words").alias("word"), F.col("query_id").alias("book_id"))
-    return flat_postings(srch.positions_in_book(index(spark, sf), keys))
+    return flat_postings(srch.positions_in_book(stored_index(spark, sf)[0], keys))
 
 
 @register
@@ -314,7 +333,7 @@ REGISTRY["parse_query"] = REGISTRY.pop("parse_query_q")
 
 @register
 def search_any_candidates(spark, sf):
-    c = srch.candidates(index(spark, sf), passages(spark, sf))
+    c = srch.candidates(stored_index(spark, sf)[0], passages(spark, sf))
     return c.select("query_id", "word", "book_id", join_ints("positions").alias("positions"))
 
 
@@ -335,7 +354,7 @@ def search_intersect(spark, sf):
             F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))))).alias("i", "pair"))
     req = p.select((F.col("query_id") * 1000 + F.col("i")).alias("query_id"),
                    F.array(F.col("pair")["0"], F.col("pair")["1"]).alias("words"))
-    return srch.intersect_two_words(index(spark, sf), req)
+    return srch.intersect_two_words(stored_index(spark, sf)[0], req)
 
 
 @register
@@ -389,7 +408,8 @@ def search_filtered(spark, sf):
 @register
 def search_batch(spark, sf):
     req = fixtures.title_requests(documents(spark, sf))
-    r = srch.search_batch(index(spark, sf), req, catalog(spark, sf))
+    postings, stats = stored_index(spark, sf)
+    r = srch.search_batch(postings, req, catalog(spark, sf), stats)
     return r.select("query_id", "book_id", positions_text("positions").alias("positions"))
 
 

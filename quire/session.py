@@ -22,6 +22,8 @@ from pyspark.sql import SparkSession
 DEFAULT_CONF = {
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    # joins on (word, book_id) reuse a book_id bucketing / partitioning of the index
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

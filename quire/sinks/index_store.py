@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quire.operators.ledger import LEDGER_SCHEMA
-from quire.operators.postings import POSTINGS_SCHEMA, merge_postings
+from quire.operators.postings import POSTINGS_SCHEMA, merge_postings, word_stats
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -42,3 +44,42 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
 
 def append_ledger(keys: DataFrame, path: str) -> None:
     keys.select(F.col("doc_key").cast("string")).write.mode("append").parquet(path)
+
+
+# ---- document-partitioned index table --------------------------------------------------
+#
+# The index is stored as a Parquet table bucketed by book_id and sorted by (word,
+# book_id) inside each bucket.  A bucket holds every posting of its books, so a search
+# (division per (query, book), criteria per book, positions per (word, book)) runs
+# inside the buckets: the index is never shuffled by a query.  Needs
+# spark.sql.requireAllClusterKeysForCoPartition=false so joins on (word, book_id) accept
+# the book_id bucketing.  Bucketing happens after aggregation, where one book is at most
+# its vocabulary, so a book delivered in many copies cannot make a bucket hot.
+
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+def save_index_table(postings: DataFrame, path: str, buckets: int,
+                     name: str | None = None) -> str:
+    """Write postings as a bucketed table at ``path`` (one file per bucket) and the word
+    statistics next to it (``path`` + ``_stats``); returns the table name."""
+    name = name or _table_name("quire_index")
+    (postings.select("word", "book_id", "positions").repartition(buckets, "book_id")
+     .write.mode("overwrite").format("parquet").bucketBy(buckets, "book_id")
+     .sortBy("word", "book_id").option("path", path).saveAsTable(name))
+    spark = postings.sparkSession
+    word_stats(spark.table(name)).write.mode("overwrite").parquet(path + "_stats")
+    return name
+
+
+def open_index_table(spark: SparkSession, path: str, buckets: int,
+                     name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(postings, word stats) of a saved index; registers the bucketed table in this
+    session's catalogue when it is not there yet."""
+    name = name or _table_name("quire_index")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({POSTINGS_SCHEMA}) USING parquet "
+                  f"CLUSTERED BY (book_id) SORTED BY (word, book_id) INTO {buckets} BUCKETS "
+                  f"LOCATION '{path}'")
+    return spark.table(name), spark.read.parquet(path + "_stats")
