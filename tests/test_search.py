@@ -121,3 +121,27 @@ def test_point_lookups(spark, index):
     assert rows(S.books_by_word(wb, words)) == [("whale", 1), ("whale", 2)]
     keys = spark.createDataFrame([("sea", 3), ("sea", 4)], "word STRING, book_id BIGINT")
     assert rows(S.positions_in_book(index, keys)) == [("sea", 3, [3, 5])]
+
+
+def test_seeded_division_equals_scan(spark, index):
+    from quire.operators.postings import word_stats
+    req = S.make_requests(spark, [
+        dict(query_id=1, words=["whale", "sea"]), dict(query_id=2, words=["sea"]),
+        dict(query_id=3, words=["sea", "nothere"]), dict(query_id=4, words=[]),
+        dict(query_id=5, words=["ship", "sea", "ship"])])
+    stats = word_stats(index)
+    seeded = rows(S.matching_books(index, req, stats), "query_id", "book_id")
+    scanned = rows(S.matching_books(index, req), "query_id", "book_id")
+    assert seeded == scanned == [(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (5, 2), (5, 3)]
+
+
+def test_bucketed_index_table_roundtrip(spark, index, catalog):
+    from quire.session import work_path
+    from quire.sinks.index_store import open_index_table, save_index_table
+    path = work_path(spark, "t-index-table")
+    save_index_table(index, path, 4)
+    postings, stats = open_index_table(spark, path, 4)   # fresh table name, same files
+    assert sorted(map(tuple, postings.collect())) == sorted(map(tuple, index.collect()))
+    got = S.search(spark, postings, ["whale", "sea"], year_to="1900", catalog=catalog,
+                   stats=stats).collect()
+    assert [(r.book_id, r.positions) for r in got] == [(1, {"whale": [2, 5], "sea": [8]})]
