@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import tokenize
-from quire.operators.sizing import broadcast_if_small
 
 
 def keyword_in_context(hits: DataFrame, books: DataFrame, radius: int = 5,
@@ -15,9 +14,11 @@ def keyword_in_context(hits: DataFrame, books: DataFrame, radius: int = 5,
     of that book, joined by spaces, as ``fragment``.
 
     Only the books that have hits are tokenized (semi join on the hit book ids first).
+    The hit ids are derived data, so no count is forced on them: AQE broadcasts them
+    when their measured size is small, and otherwise both sides shuffle on book_id.
     """
     ids = hits.select("book_id").distinct()
-    wanted = books.join(broadcast_if_small(ids), "book_id", "left_semi") \
+    wanted = books.join(ids, "book_id", "left_semi") \
         .select("book_id", tokenizer(F.col("text")).alias("_tokens"))
     start = F.greatest(F.col("pos") - radius, F.lit(0))
     frag = F.array_join(F.slice("_tokens", start + 1, F.col("pos") + radius - start + 1), " ")

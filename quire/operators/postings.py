@@ -26,13 +26,17 @@ def build_postings(tokens: DataFrame) -> DataFrame:
 
 
 def merge_postings(*parts: DataFrame) -> DataFrame:
-    """Set union of postings per (word, book_id) (several index runs into one index)."""
+    """Set union of postings per (word, book_id) (several index runs into one index).
+
+    Positions are exploded and re-collected as a set, which deduplicates map-side: a
+    (word, book) present in any number of runs stays bounded by the book's length.
+    """
     union = parts[0].select("word", "book_id", "positions")
     for p in parts[1:]:
         union = union.unionByName(p.select("word", "book_id", "positions"))
-    return (union.groupBy("word", "book_id")
-            .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("positions"))))
-                 .alias("positions")))
+    return (union.select("word", "book_id", F.explode("positions").alias("pos"))
+            .groupBy("word", "book_id")
+            .agg(F.array_sort(F.collect_set("pos")).alias("positions")))
 
 
 def word_books(postings: DataFrame) -> DataFrame:

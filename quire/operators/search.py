@@ -92,8 +92,9 @@ def _seeded_division(postings, requests, stats, max_broadcast_rows):
 
     Candidates shrink from the sum of all word frequencies to the smallest one.  With a
     book-partitioned index every step stays inside its partition: the seeds come from
-    a broadcast join, the check is a hash join that streams the postings and builds on
-    the (query, book, word) keys, and the count groups by (query_id, book_id).
+    a broadcast join, the check is a join on (word, book_id) within each bucket (sort
+    merge, which spills; AQE may switch to a hash join for small partitions), and the
+    count groups by (query_id, book_id).
     """
     keys_of = postings.select("word", "book_id")
     rw = request_words(requests)
@@ -103,7 +104,7 @@ def _seeded_division(postings, requests, stats, max_broadcast_rows):
     seeds = keys_of.join(F.broadcast(rarest) if small else rarest, "word") \
         .select("query_id", "book_id")
     wanted = seeds.join(F.broadcast(rw) if small else rw, "query_id")
-    found = keys_of.join(wanted.hint("shuffle_hash"), ["word", "book_id"])
+    found = keys_of.join(wanted, ["word", "book_id"])
     return (found.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
             .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
 
@@ -119,7 +120,7 @@ def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFram
     rw = broadcast_if_small(request_words(requests).select("query_id", "word"),
                             max_broadcast_rows)
     wanted = matches.join(rw, "query_id")
-    hits = postings.join(wanted.hint("shuffle_hash"), ["word", "book_id"])
+    hits = postings.join(wanted, ["word", "book_id"])
     return (hits.groupBy("query_id", "book_id")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("word", "positions")))).alias("positions")))
