@@ -26,7 +26,8 @@ from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
 from quire.sinks.books_store import store_books
 from quire.sinks.index_store import (
-    append_ledger, open_index_table, read_ledger, read_postings, save_index_table,
+    append_ledger, open_catalog_table, open_index_table, read_ledger, read_postings,
+    save_catalog_table, save_index_table,
 )
 from quire.sinks.results import result_json
 from quire.sources.books import books_from_table
@@ -70,6 +71,18 @@ def stored_index(spark, sf):
     return _STORED[key]
 
 
+def stored_catalog(spark, sf):
+    """The parsed catalogue of the metadata log, saved once per session bucketed like the
+    index (criteria joins of the search queries stay inside buckets)."""
+    key = (spark.sparkContext.applicationId, sf, "catalog")
+    if key not in _STORED:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = work_path(spark, "catalog-table")
+        name = save_catalog_table(catalog(spark, sf), path, buckets)
+        _STORED[key] = open_catalog_table(spark, path, buckets, name)
+    return _STORED[key]
+
+
 def flat_postings(p: DataFrame) -> DataFrame:
     return p.select("word", "book_id", join_ints("positions").alias("positions"))
 
@@ -96,7 +109,7 @@ def _criteria_search(spark, sf, **criteria):
     for k, v in criteria.items():
         req = req.withColumn(k, F.lit(v))
     postings, stats = stored_index(spark, sf)
-    return srch.search_batch(postings, req, catalog(spark, sf), stats) \
+    return srch.search_batch(postings, req, stored_catalog(spark, sf), stats) \
         .select("query_id", "book_id")
 
 
@@ -409,7 +422,7 @@ def search_filtered(spark, sf):
 def search_batch(spark, sf):
     req = fixtures.title_requests(documents(spark, sf))
     postings, stats = stored_index(spark, sf)
-    r = srch.search_batch(postings, req, catalog(spark, sf), stats)
+    r = srch.search_batch(postings, req, stored_catalog(spark, sf), stats)
     return r.select("query_id", "book_id", positions_text("positions").alias("positions"))
 
 

@@ -60,14 +60,38 @@ def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+def save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
+                  name: str | None = None, prefix: str = "quire_table") -> str:
+    """Write ``df`` as a Parquet table bucketed by book_id (one file per bucket, sorted by
+    ``sort_cols`` inside it) at ``path``; returns the table name."""
+    name = name or _table_name(prefix)
+    (df.repartition(buckets, "book_id").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "book_id").sortBy(*sort_cols).option("path", path)
+     .saveAsTable(name))
+    return name
+
+
+def open_bucketed(spark: SparkSession, path: str, schema: str, buckets: int,
+                  sort_cols: list[str], name: str | None = None,
+                  prefix: str = "quire_table") -> DataFrame:
+    """Register (if needed) and read a table written by :func:`save_bucketed`."""
+    name = name or _table_name(prefix)
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (book_id) "
+                  f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS "
+                  f"LOCATION '{path}'")
+    return spark.table(name)
+
+
+_INDEX_SORT = ["word", "book_id"]
+
+
 def save_index_table(postings: DataFrame, path: str, buckets: int,
                      name: str | None = None) -> str:
     """Write postings as a bucketed table at ``path`` (one file per bucket) and the word
     statistics next to it (``path`` + ``_stats``); returns the table name."""
-    name = name or _table_name("quire_index")
-    (postings.select("word", "book_id", "positions").repartition(buckets, "book_id")
-     .write.mode("overwrite").format("parquet").bucketBy(buckets, "book_id")
-     .sortBy("word", "book_id").option("path", path).saveAsTable(name))
+    name = save_bucketed(postings.select("word", "book_id", "positions"), path, buckets,
+                         _INDEX_SORT, name, "quire_index")
     spark = postings.sparkSession
     word_stats(spark.table(name)).write.mode("overwrite").parquet(path + "_stats")
     return name
@@ -75,11 +99,24 @@ def save_index_table(postings: DataFrame, path: str, buckets: int,
 
 def open_index_table(spark: SparkSession, path: str, buckets: int,
                      name: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, word stats) of a saved index; registers the bucketed table in this
-    session's catalogue when it is not there yet."""
-    name = name or _table_name("quire_index")
-    if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} ({POSTINGS_SCHEMA}) USING parquet "
-                  f"CLUSTERED BY (book_id) SORTED BY (word, book_id) INTO {buckets} BUCKETS "
-                  f"LOCATION '{path}'")
-    return spark.table(name), spark.read.parquet(path + "_stats")
+    """(postings, word stats) of a saved index."""
+    postings = open_bucketed(spark, path, POSTINGS_SCHEMA, buckets, _INDEX_SORT, name,
+                             "quire_index")
+    return postings, spark.read.parquet(path + "_stats")
+
+
+CATALOG_SCHEMA = "book_id BIGINT, title STRING, author STRING, date STRING, language STRING"
+
+
+def save_catalog_table(catalog: DataFrame, path: str, buckets: int,
+                       name: str | None = None) -> str:
+    """Store the parsed catalogue bucketed like the index, so the criteria join of a
+    search is bucket to bucket and no query re-parses or shuffles the catalogue."""
+    return save_bucketed(catalog.select("book_id", "title", "author", "date", "language"),
+                         path, buckets, ["book_id"], name, "quire_catalog")
+
+
+def open_catalog_table(spark: SparkSession, path: str, buckets: int,
+                       name: str | None = None) -> DataFrame:
+    return open_bucketed(spark, path, CATALOG_SCHEMA, buckets, ["book_id"], name,
+                         "quire_catalog")
