@@ -22,7 +22,9 @@ from quire.functions.text import tokenize
 from quire.operators.ledger import not_indexed
 from quire.operators.postings import build_postings
 from quire.operators.tokens import Tokenizer, index_tokens
-from quire.sinks.index_store import append_ledger, read_ledger, write_postings
+from quire.sinks.index_store import (
+    append_ledger, read_ledger, read_postings, save_index_table, write_postings,
+)
 
 
 def _partitions(df: DataFrame, partitions: int | None) -> int:
@@ -63,3 +65,12 @@ def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
     write_postings(build_index(new, tokenizer, stopwords, partitions), index_path)
     append_ledger(new.select("doc_key"), ledger_path)
     return new.select("doc_key")
+
+
+def compact_index(index_path: str, table_path: str, buckets: int, spark=None) -> str:
+    """Merge the runs appended to ``index_path`` (set union of positions per
+    (word, book_id)) into a book-bucketed index table at ``table_path`` that searches
+    read without shuffling; returns the table name."""
+    from pyspark.sql import SparkSession
+    spark = spark or SparkSession.getActiveSession()
+    return save_index_table(read_postings(spark, index_path, merge=True), table_path, buckets)

@@ -76,3 +76,18 @@ def test_stream_equals_batch(spark):
     start_stream_index(spark, src, idx, led, ck).awaitTermination()
     assert _flat(read_postings(spark, idx, merge=True)) == _flat(build_index(b))
     assert read_ledger(spark, led).count() == d.count()
+
+
+def test_compacted_index_table_equals_full_build(spark):
+    from quire.plans.indexing import compact_index
+    from quire.sinks.index_store import open_index_table
+    d = _docs(spark)
+    b = books_from_table(d)
+    idx, led = work_path(spark, "c-index"), work_path(spark, "c-ledger")
+    index_new_books(b.filter(F.col("book_id") < 50), idx, led)
+    index_new_books(b, idx, led)
+    table = work_path(spark, "c-table")
+    name = compact_index(idx, table, 4, spark)
+    postings, stats = open_index_table(spark, table, 4, name)
+    assert _flat(postings) == _flat(build_index(b))
+    assert stats.count() == postings.select("word").distinct().count()
