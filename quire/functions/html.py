@@ -19,19 +19,20 @@ from quire.constants import (
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
             ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
+# --- fixed values: element patterns (Java regex / RE2 common subset) ---------------------
 # Tags whose boundaries separate words in element text.
-_BLOCK_TAGS = (r"(?i)</?(br|p|div|li|ul|ol|h[1-6]|table|tr|td|th|article|section|nav|"
+BLOCK_TAGS = (r"(?i)</?(br|p|div|li|ul|ol|h[1-6]|table|tr|td|th|article|section|nav|"
                r"header|footer|blockquote|pre)\b[^>]*>")
-_ANY_TAG = r"<[^>]*>"
-_TEXT_WS = "[ \\t\\n\\f\\r\u00a0]+"  # jsoup whitespace, incl. no-break space
+ANY_TAG = r"<[^>]*>"
+TEXT_WS = "[ \\t\\n\\f\\r\u00a0]+"  # jsoup whitespace, incl. no-break space
 
-_H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-_DATE_CELL = r"""(?is)<td\b[^>]*itemprop="datePublished"[^>]*>(.*?)</td>"""
-_CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-_ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
-_HREF = r"""(?is)\bhref="([^"]*)\""""
-_BOOKLINK_ITEM = r"""(?is)<li\b[^>]*class="(?:[^"]*\s)?booklink(?:\s[^"]*)?"[^>]*>(.*?)</li>"""
-_BOOKLINK_HREF = r"""(?is)<a\b[^>]*href="(/ebooks/[^"]*)\""""
+H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
+DATE_CELL = r"""(?is)<td\b[^>]*itemprop="datePublished"[^>]*>(.*?)</td>"""
+CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
+ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
+HREF = r"""(?is)\bhref="([^"]*)\""""
+BOOKLINK_ITEM = r"""(?is)<li\b[^>]*class="(?:[^"]*\s)?booklink(?:\s[^"]*)?"[^>]*>(.*?)</li>"""
+BOOKLINK_HREF = r"""(?is)<a\b[^>]*href="(/ebooks/[^"]*)\""""
 
 
 def _col(c) -> Column:
@@ -48,16 +49,16 @@ def decode_entities(c) -> Column:
 def html_text(fragment) -> Column:
     """Normalized text of an HTML fragment: tags removed (block tags separate words),
     character references decoded, whitespace runs collapsed to one space, trimmed."""
-    t = F.regexp_replace(_col(fragment), _BLOCK_TAGS, " ")
-    t = F.regexp_replace(t, _ANY_TAG, "")
+    t = F.regexp_replace(_col(fragment), BLOCK_TAGS, " ")
+    t = F.regexp_replace(t, ANY_TAG, "")
     t = decode_entities(t)
-    return F.trim(F.regexp_replace(t, _TEXT_WS, " "))
+    return F.trim(F.regexp_replace(t, TEXT_WS, " "))
 
 
 def heading(html) -> Column:
     """Text of the first ``h1``; NULL when the page has none (the book is skipped)."""
     html = _col(html)
-    return F.when(html.rlike(r"(?is)<h1\b"), html_text(F.regexp_extract(html, _H1, 1)))
+    return F.when(html.rlike(r"(?is)<h1\b"), html_text(F.regexp_extract(html, H1, 1)))
 
 
 def split_title(heading_text) -> Column:
@@ -75,14 +76,14 @@ def split_author(heading_text) -> Column:
 
 def release_date(html) -> Column:
     """Texts of all ``td[itemprop=datePublished]`` joined by a space; 'Unknown' if empty."""
-    cells = F.transform(F.regexp_extract_all(_col(html), F.lit(_DATE_CELL), 1), html_text)
+    cells = F.transform(F.regexp_extract_all(_col(html), F.lit(DATE_CELL), 1), html_text)
     joined = F.trim(F.array_join(cells, " "))
     return F.when(joined == "", F.lit(UNKNOWN)).otherwise(joined)
 
 
 def language_cell(html) -> Column:
     """First ``td`` whose whole text is one of the known language names, else 'Unknown'."""
-    cells = F.transform(F.regexp_extract_all(_col(html), F.lit(_CELL), 1), html_text)
+    cells = F.transform(F.regexp_extract_all(_col(html), F.lit(CELL), 1), html_text)
     known = F.filter(cells, lambda t: t.isin(*LANGUAGES))
     return F.coalesce(F.get(known, 0), F.lit(UNKNOWN))
 
@@ -90,11 +91,11 @@ def language_cell(html) -> Column:
 def download_link(html) -> Column:
     """href of the first anchor whose text contains 'Plain Text UTF-8' (any case); NULL if
     there is none (the book is then dropped)."""
-    anchors = F.regexp_extract_all(_col(html), F.lit(_ANCHOR), 0)
+    anchors = F.regexp_extract_all(_col(html), F.lit(ANCHOR), 0)
     plain = F.filter(anchors, lambda a: F.lower(
-        html_text(F.regexp_extract(a, _ANCHOR, 2))).contains(DOWNLOAD_ANCHOR_TEXT))
+        html_text(F.regexp_extract(a, ANCHOR, 2))).contains(DOWNLOAD_ANCHOR_TEXT))
     first = F.get(plain, 0)
-    return F.when(first.isNotNull(), F.regexp_extract(first, _HREF, 1))
+    return F.when(first.isNotNull(), F.regexp_extract(first, HREF, 1))
 
 
 def absolute_url(href, base: str = BASE_URL) -> Column:
@@ -111,9 +112,9 @@ def link_book_id(href) -> Column:
 
 def book_links(html) -> Column:
     """ARRAY of hrefs of ``li.booklink a[href^='/ebooks/']`` in document order."""
-    items = F.regexp_extract_all(_col(html), F.lit(_BOOKLINK_ITEM), 1)
+    items = F.regexp_extract_all(_col(html), F.lit(BOOKLINK_ITEM), 1)
     return F.flatten(F.transform(items, lambda i: F.regexp_extract_all(
-        i, F.lit(_BOOKLINK_HREF), 1)))
+        i, F.lit(BOOKLINK_HREF), 1)))
 
 
 def body_text(html) -> Column:
@@ -122,7 +123,7 @@ def body_text(html) -> Column:
     body = F.regexp_extract(_col(html), r"(?is)<body\b[^>]*>(.*)</body>", 1)
     body = F.regexp_replace(body, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
     body = F.regexp_replace(body, r"(?i)<br\b[^>]*>", "\n")
-    return decode_entities(F.regexp_replace(body, _ANY_TAG, ""))
+    return decode_entities(F.regexp_replace(body, ANY_TAG, ""))
 
 
-assert BOOK_LINK_PREFIX in _BOOKLINK_HREF
+assert BOOK_LINK_PREFIX in BOOKLINK_HREF

@@ -11,6 +11,10 @@ from quire.constants import (
     BASE_URL, FRAGMENT_STUB, LANGUAGES, METADATA_PAIR, MONTHS, MONTHS_SHORT, STOPWORDS,
     TOKEN_BREAK_CLASS,
 )
+from quire.functions.html import (
+    ANCHOR, BLOCK_TAGS as BLOCK, BOOKLINK_HREF as LI_HREF, BOOKLINK_ITEM as LI, CELL,
+    DATE_CELL, ENTITIES, H1, HREF,
+)
 from quire.plans.fixtures import CRITERIA_PROFILES
 
 
@@ -119,10 +123,6 @@ MCAND = "mc AS (SELECT cand.* FROM cand SEMI JOIN m ON cand.query_id = m.query_i
 PASSAGE_SEARCH = f"{BASE}, {PASSAGE_REQ}, {RW}, {CAND}, {MATCH}, {MCAND}"
 POS_TEXT = "string_agg(word || ':' || array_to_string(p, ' '), ';' ORDER BY word)"
 
-BLOCK = (r"(?i)</?(br|p|div|li|ul|ol|h[1-6]|table|tr|td|th|article|section|nav|header|"
-         r"footer|blockquote|pre)\b[^>]*>")
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
 
 
 def decode(x: str) -> str:
@@ -136,7 +136,6 @@ def html_text(x: str) -> str:
     return f"trim(regexp_replace({decode(t)}, '[ \\t\\n\\f\\r\u00a0]+', ' ', 'g'))"
 
 
-H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
 HEADING = f"CASE WHEN regexp_matches(html, '(?is)<h1\\b') THEN {html_text(f'regexp_extract(html, {_q(H1)}, 1)')} END"
 TA = r"(.*)\s+by\s+(.*)"
 
@@ -145,12 +144,6 @@ def title_part(h: str, g: int) -> str:
     return f"CASE WHEN regexp_matches({h}, {_q(TA)}) THEN trim(regexp_extract({h}, {_q(TA)}, {g})) ELSE 'Unknown' END"
 
 
-DATE_CELL = r'(?is)<td\b[^>]*itemprop="datePublished"[^>]*>(.*?)</td>'
-CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
-ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
-HREF = r'(?is)\bhref="([^"]*)"'
-LI = r'(?is)<li\b[^>]*class="(?:[^"]*\s)?booklink(?:\s[^"]*)?"[^>]*>(.*?)</li>'
-LI_HREF = r'(?is)<a\b[^>]*href="(/ebooks/[^"]*)"'
 
 RELEASE = (f"CASE WHEN trim(array_to_string(list_transform(regexp_extract_all(html, {_q(DATE_CELL)}, 1), "
            f"lambda c: {html_text('c')}), ' ')) = '' THEN 'Unknown' ELSE "
