@@ -8,6 +8,10 @@ Everything in this module is a constant, stated once, in its natural order.
 # digits are in the class; the ASCII apostrophe is NOT (so "don't" stays one token), while
 # the curly quotes are.  Valid in both Java regex (Spark) and RE2 (DuckDB oracles).
 TOKEN_BREAK_CLASS = "[\\[\\]\\\\,.;:º\\dª&`’´\\-_()¡\"!?¿{}=+<>|^“‘/$™%—•*”]"
+# The same class as a plain character set (Java's \d is ASCII 0-9 only).
+TOKEN_BREAK_CHARS = "[]\\,.;:º0123456789ª&`’´-_()¡\"!?¿{}=+<>|^“‘/$™%—•*”"
+# Java's \s: the characters a token split breaks on.
+JAVA_WHITESPACE = " \t\n\x0b\f\r"
 
 # --- fixed values: English stopword list (176 words, in list order) ---------------------
 STOPWORDS = (

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quire.constants import HEADER_MARKER, TOKEN_BREAK_CLASS
+from quire.constants import HEADER_MARKER, JAVA_WHITESPACE, TOKEN_BREAK_CHARS
 
 # Java's String.trim removes every char <= U+0020 at both ends; Spark's trim only spaces.
 _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+\z"
@@ -19,12 +19,17 @@ def tokenize(text) -> Column:
     """Default tokenizer: ARRAY<STRING> of the words of ``text`` in reading order.
 
     Lower-case, every character of the break class becomes one space, split on runs of
-    whitespace, drop empty strings.  Stopwords are kept here: positions count them.
+    (Java) whitespace, drop empty strings.  Stopwords are kept here: positions count them.
     Tokenizing the whole text at once equals tokenizing it line by line, because line
     breaks are whitespace for the split.
+
+    The break class and the whitespace are fixed character sets, so one ``translate``
+    maps them all to a space and the split is on a single space (no regex engine); the
+    empty strings between consecutive spaces are dropped by the filter.
     """
-    cleaned = F.regexp_replace(F.lower(_col(text)), TOKEN_BREAK_CLASS, " ")
-    return F.filter(F.split(cleaned, r"\s+"), lambda w: w != F.lit(""))
+    breaks = TOKEN_BREAK_CHARS + JAVA_WHITESPACE
+    cleaned = F.translate(F.lower(_col(text)), breaks, " " * len(breaks))
+    return F.filter(F.split(cleaned, " "), lambda w: w != F.lit(""))
 
 
 def java_trim(c) -> Column:

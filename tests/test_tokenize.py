@@ -64,3 +64,14 @@ def test_strip_header(spark):
 def test_java_trim_strips_control_chars(spark):
     df = spark.createDataFrame([("\t\x01 x \n\x0b",)], "t STRING")
     assert df.select(java_trim("t").alias("t")).first()["t"] == "x"
+
+
+def test_break_class_equals_break_characters(spark):
+    """The regex class and the plain character set agree on every BMP character below
+    the surrogates (Java's \\d is ASCII only)."""
+    from quire.constants import TOKEN_BREAK_CHARS, TOKEN_BREAK_CLASS
+    chars = spark.range(0, 0xD800).selectExpr(
+        "cast(id as int) as c", "decode(unhex(lpad(hex(id), 4, '0')), 'utf-16be') as ch")
+    bad = chars.filter(F.regexp_replace("ch", TOKEN_BREAK_CLASS, " ")
+                       != F.translate("ch", TOKEN_BREAK_CHARS, " " * len(TOKEN_BREAK_CHARS)))
+    assert bad.count() == 0
