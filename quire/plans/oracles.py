@@ -275,11 +275,11 @@ ORACLES: dict[str, str] = {
     "search_all_words": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, word, "
                          f"array_to_string(p, ',') AS positions FROM mc"),
     "search_intersect": (
-        f"{BASE}, {PASSAGE_REQ}, pr AS (SELECT query_id * 1000 + CAST(i AS BIGINT) AS query_id, words[i + 1] AS w1, "
+        f"{BASE}, {PASSAGE_REQ}, pr AS (SELECT query_id, CAST(i AS INTEGER) AS pair, words[i + 1] AS w1, "
         f"words[i + 2] AS w2 FROM req, range(greatest(len(words) - 1, 0)) r(i)), "
-        f"a AS (SELECT pr.query_id, idx.book_id FROM idx JOIN pr ON idx.word = pr.w1), "
-        f"b AS (SELECT pr.query_id, idx.book_id FROM idx JOIN pr ON idx.word = pr.w2) "
-        f"SELECT query_id, book_id FROM a INTERSECT SELECT query_id, book_id FROM b"),
+        f"a AS (SELECT pr.query_id, pr.pair, idx.book_id FROM idx JOIN pr ON idx.word = pr.w1), "
+        f"b AS (SELECT pr.query_id, pr.pair, idx.book_id FROM idx JOIN pr ON idx.word = pr.w2) "
+        f"SELECT query_id, pair, book_id FROM a INTERSECT SELECT query_id, pair, book_id FROM b"),
     "search_result_map": f"{PASSAGE_SEARCH} SELECT query_id, book_id, {POS_TEXT} AS positions FROM mc GROUP BY 1, 2",
     "flatten_positions": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, array_to_string(list_sort(flatten(list(p))), ',') "
                           f"AS positions FROM mc GROUP BY 1, 2"),

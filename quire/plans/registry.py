@@ -37,9 +37,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 
 
-def register(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
-    return fn
+def register(name: str):
+    """Register a query under ``name`` (the key in ``queries()`` and ``oracle_sql()``)."""
+    def wrap(fn: Query) -> Query:
+        REGISTRY[name] = fn
+        return fn
+    return wrap
 
 
 # ---------------------------------------------------------------- shared inputs ----------
@@ -115,12 +118,12 @@ def _criteria_search(spark, sf, **criteria):
 
 # ---------------------------------------------------------------- sources ----------------
 
-@register
+@register("scan_books")
 def scan_books(spark, sf):
     return books(spark, sf)
 
 
-@register
+@register("stopwords")
 def stopwords(spark, sf):
     """Stopword list (S3) applied to the corpus: how many tokens each stopword removes."""
     sw = F.broadcast(stopwords_frame(spark))  # fixed 176-row list
@@ -128,7 +131,7 @@ def stopwords(spark, sf):
     return t.join(sw, "word").groupBy("word").agg(F.count("*").alias("n_removed"))
 
 
-@register
+@register("book_id_from_path")
 def book_id_from_path_q(spark, sf):
     d = documents(spark, sf).select(F.concat(
         F.lit("C:\\corpus\\"), "source", F.lit("\\00"), F.col("doc_id").cast("string"),
@@ -137,32 +140,26 @@ def book_id_from_path_q(spark, sf):
                     book_id_from_path("path").alias("book_id"))
 
 
-REGISTRY["book_id_from_path"] = REGISTRY.pop("book_id_from_path_q")
-
-
 # ---------------------------------------------------------------- tokenizer -------------
 
-@register
+@register("tokenize")
 def tokenize_q(spark, sf):
     t = books(spark, sf).select("book_id", tokenize("text").alias("t"))
     return t.select("book_id", F.size("t").alias("n_tokens"),
                     F.array_join("t", " ").alias("tokens"))
 
 
-REGISTRY["tokenize"] = REGISTRY.pop("tokenize_q")
-
-
-@register
+@register("token_positions")
 def token_positions(spark, sf):
     return tok.token_positions(books(spark, sf))
 
 
-@register
+@register("remove_stopwords")
 def remove_stopwords(spark, sf):
     return tok.index_tokens(books(spark, sf))
 
 
-@register
+@register("custom_tokenizer")
 def custom_tokenizer(spark, sf):
     from quire.functions.custom import letter_run_tokenizer
     return tok.index_tokens(books(spark, sf), tokenizer=letter_run_tokenizer)
@@ -170,14 +167,14 @@ def custom_tokenizer(spark, sf):
 
 # ---------------------------------------------------------------- index -----------------
 
-@register
+@register("build_postings")
 def build_postings(spark, sf):
     p = index(spark, sf)
     return p.select("word", "book_id", join_ints("positions").alias("positions"),
                     F.size("positions").alias("n_positions"))
 
 
-@register
+@register("merge_postings")
 def merge_postings(spark, sf):
     """Raw texts indexed in one run, header-stripped re-downloads in another: the merged
     index holds the union of both position sets per (word, book)."""
@@ -187,23 +184,23 @@ def merge_postings(spark, sf):
     return flat_postings(post.merge_postings(raw, stripped))
 
 
-@register
+@register("word_books")
 def word_books(spark, sf):
     return post.word_books(index(spark, sf))
 
 
-@register
+@register("word_to_books")
 def word_to_books(spark, sf):
     return post.word_book_counts(index(spark, sf))
 
 
-@register
+@register("postings_keyed")
 def postings_keyed(spark, sf):
     return post.keyed_postings(index(spark, sf)).select(
         "key", join_ints("positions").alias("positions"))
 
 
-@register
+@register("index_sizes")
 def index_sizes(spark, sf):
     return post.index_sizes(index(spark, sf))
 
@@ -220,25 +217,25 @@ def _incremental(spark, sf):
     return idx, led
 
 
-@register
+@register("incremental_index")
 def incremental_index(spark, sf):
     idx, _ = _incremental(spark, sf)
     return flat_postings(read_postings(spark, idx, merge=True))
 
 
-@register
+@register("indexed_books")
 def indexed_books(spark, sf):
     _, led = _incremental(spark, sf)
     return read_ledger(spark, led)
 
 
-@register
+@register("nbooks")
 def nbooks(spark, sf):
     _, led = _incremental(spark, sf)
     return ledger.ledger_size(read_ledger(spark, led))
 
 
-@register
+@register("is_indexed")
 def is_indexed(spark, sf):
     led = work_path(spark, "ledger")
     d = documents(spark, sf)
@@ -247,7 +244,7 @@ def is_indexed(spark, sf):
                                read_ledger(spark, led))
 
 
-@register
+@register("store_books")
 def store_books_q(spark, sf):
     """Books delivered twice (raw, then header-stripped when a header exists): the store
     keeps the last arrival of each id."""
@@ -261,10 +258,7 @@ def store_books_q(spark, sf):
     return spark.read.parquet(path)
 
 
-REGISTRY["store_books"] = REGISTRY.pop("store_books_q")
-
-
-@register
+@register("stream_index")
 def stream_index(spark, sf):
     """Books land as files (each id delivered once, German books twice); a Structured
     Streaming query indexes them micro-batch by micro-batch."""
@@ -285,54 +279,51 @@ def _catalog_cols(df):
     return df.select("book_id", "title", "author", "date", "language")
 
 
-@register
+@register("catalog_lines")
 def catalog_lines(spark, sf):
     return fixtures.catalog_lines(documents(spark, sf)).select("line")
 
 
-@register
+@register("parse_catalog")
 def parse_catalog(spark, sf):
     p = cat.parse_catalog(fixtures.catalog_lines(documents(spark, sf)))
     return p.select("book_id", "title", "author", "date", "language",
                     F.array_join(F.array_sort(F.map_keys("fields")), ",").alias("keys"))
 
 
-@register
+@register("load_catalog")
 def load_catalog(spark, sf):
     return _catalog_cols(catalog(spark, sf))
 
 
-@register
+@register("catalog_last_wins")
 def catalog_last_wins(spark, sf):
     return _catalog_cols(cat.load_catalog(fixtures.recrawled_catalog_lines(documents(spark, sf))))
 
 
-@register
+@register("release_year")
 def release_year_q(spark, sf):
     # year as text: a nullable integer column would hash differently across engines
     return catalog(spark, sf).select("book_id", "date",
                                      release_year("date").cast("string").alias("year"))
 
 
-REGISTRY["release_year"] = REGISTRY.pop("release_year_q")
-
-
 # ---------------------------------------------------------------- lookups / search ------
 
-@register
+@register("books_by_word")
 def books_by_word(spark, sf):
     words = passages(spark, sf).select(F.explode("words").alias("word"))
     return srch.books_by_word(post.word_books(stored_index(spark, sf)[0]), words)
 
 
-@register
+@register("positions_in_book")
 def positions_in_book(spark, sf):
     keys = plain_title_requests(spark, sf).select(
         F.explode("words").alias("word"), F.col("query_id").alias("book_id"))
     return flat_postings(srch.positions_in_book(stored_index(spark, sf)[0], keys))
 
 
-@register
+@register("parse_query")
 def parse_query_q(spark, sf):
     raw = spark.read.parquet(table_path(sf, "benchmark")).select(
         F.col("item_id").alias("query_id"), F.regexp_replace("text", r"\s", "+").alias("q"))
@@ -341,23 +332,20 @@ def parse_query_q(spark, sf):
                     F.array_join("words", "|").alias("words"))
 
 
-REGISTRY["parse_query"] = REGISTRY.pop("parse_query_q")
-
-
-@register
+@register("search_any_candidates")
 def search_any_candidates(spark, sf):
     c = srch.candidates(stored_index(spark, sf)[0], passages(spark, sf))
     return c.select("query_id", "word", "book_id", join_ints("positions").alias("positions"))
 
 
-@register
+@register("search_all_words")
 def search_all_words(spark, sf):
     m = passage_matches(spark, sf)
     return m.select("query_id", "book_id", F.explode("positions").alias("word", "p")) \
         .select("query_id", "book_id", "word", join_ints("p").alias("positions"))
 
 
-@register
+@register("search_intersect")
 def search_intersect(spark, sf):
     """Two-word requests (every pair of consecutive distinct words of every passage)
     answered as the INTERSECT of the two per-word book sets."""
@@ -365,18 +353,20 @@ def search_intersect(spark, sf):
         "query_id", F.posexplode(F.arrays_zip(
             F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))),
             F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))))).alias("i", "pair"))
-    req = p.select((F.col("query_id") * 1000 + F.col("i")).alias("query_id"),
+    req = p.select(F.struct("query_id", F.col("i").alias("pair")).alias("query_id"),
                    F.array(F.col("pair")["0"], F.col("pair")["1"]).alias("words"))
-    return srch.intersect_two_words(stored_index(spark, sf)[0], req)
+    res = srch.intersect_two_words(stored_index(spark, sf)[0], req)
+    return res.select(F.col("query_id.query_id").alias("query_id"),
+                      F.col("query_id.pair").alias("pair"), "book_id")
 
 
-@register
+@register("search_result_map")
 def search_result_map(spark, sf):
     return passage_matches(spark, sf).select(
         "query_id", "book_id", positions_text("positions").alias("positions"))
 
 
-@register
+@register("flatten_positions")
 def flatten_positions_q(spark, sf):
     m = passage_matches(spark, sf)
     return m.select("query_id", "book_id", join_ints(flatten_positions(
@@ -384,41 +374,38 @@ def flatten_positions_q(spark, sf):
             e["key"].alias("word"), e["value"].alias("positions"))))).alias("positions"))
 
 
-REGISTRY["flatten_positions"] = REGISTRY.pop("flatten_positions_q")
-
-
-@register
+@register("search_title")
 def search_title(spark, sf):
     return _criteria_search(spark, sf, title="e")
 
 
-@register
+@register("search_author")
 def search_author(spark, sf):
     return _criteria_search(spark, sf, author="SRC1")
 
 
-@register
+@register("search_language")
 def search_language(spark, sf):
     return _criteria_search(spark, sf, language="english")
 
 
-@register
+@register("search_from")
 def search_from(spark, sf):
     return _criteria_search(spark, sf, year_from="2000")
 
 
-@register
+@register("search_to")
 def search_to(spark, sf):
     return _criteria_search(spark, sf, year_to="2005")
 
 
-@register
+@register("search_filtered")
 def search_filtered(spark, sf):
     return _criteria_search(spark, sf, author="author src1", year_from="1998",
                             year_to="2012", language="E")
 
 
-@register
+@register("search_batch")
 def search_batch(spark, sf):
     req = fixtures.title_requests(documents(spark, sf))
     postings, stats = stored_index(spark, sf)
@@ -426,13 +413,13 @@ def search_batch(spark, sf):
     return r.select("query_id", "book_id", positions_text("positions").alias("positions"))
 
 
-@register
+@register("search_json")
 def search_json(spark, sf):
     return passage_matches(spark, sf).select("query_id", "book_id",
                                              result_json().alias("json"))
 
 
-@register
+@register("fragment_stub")
 def fragment_stub(spark, sf):
     from quire.constants import FRAGMENT_STUB
     m = passage_matches(spark, sf).select(
@@ -442,7 +429,7 @@ def fragment_stub(spark, sf):
         FRAGMENT_STUB, F.col("pos"), F.col("book_id")).alias("fragment"))
 
 
-@register
+@register("text_fragment")
 def text_fragment(spark, sf):
     """Keyword in context: the 5 tokens before and after the first hit of each word."""
     from quire.operators.fragments import keyword_in_context
@@ -454,15 +441,12 @@ def text_fragment(spark, sf):
 
 # ---------------------------------------------------------------- extraction ------------
 
-@register
+@register("strip_header")
 def strip_header_q(spark, sf):
     return documents(spark, sf).select(F.col("doc_id").alias("book_id"),
                                        strip_header("text").alias("text"))
 
 
-REGISTRY["strip_header"] = REGISTRY.pop("strip_header_q")
-
-
 def _book_pages(spark, sf):
     return fixtures.book_pages(documents(spark, sf))
 
@@ -471,85 +455,73 @@ def _listing(spark, sf):
     return fixtures.listing_pages(documents(spark, sf))
 
 
-@register
+@register("title_author")
 def title_author(spark, sf):
     h = _book_pages(spark, sf).select("href", heading("html").alias("h"))
     return h.select("href", split_title("h").alias("title"), split_author("h").alias("author"))
 
 
-@register
+@register("page_heading")
 def page_heading(spark, sf):
     p = spark.read.parquet(table_path(sf, "pages"))
     return p.select("page_id", heading("html").alias("heading"))
 
 
-@register
+@register("page_text")
 def page_text(spark, sf):
     p = spark.read.parquet(table_path(sf, "pages"))
     return p.select("page_id", body_text("html").alias("text"))
 
 
-@register
+@register("extract_links")
 def extract_links(spark, sf):
     return crawling.extract_links(_listing(spark, sf))
 
 
-@register
+@register("links_per_page")
 def links_per_page(spark, sf):
     return crawling.links_per_page(_listing(spark, sf))
 
 
-@register
+@register("extract_book_record")
 def extract_book_record(spark, sf):
     return crawling.extract_book_records(_book_pages(spark, sf))
 
 
-@register
+@register("release_date")
 def release_date_q(spark, sf):
     return _book_pages(spark, sf).select("href", release_date("html").alias("release_date"))
 
 
-REGISTRY["release_date"] = REGISTRY.pop("release_date_q")
-
-
-@register
+@register("detect_language")
 def detect_language(spark, sf):
     return _book_pages(spark, sf).select("href", language_cell("html").alias("language"))
 
 
-@register
+@register("download_link")
 def download_link_q(spark, sf):
     return _book_pages(spark, sf).select("href", download_link("html").alias("download"))
 
 
-REGISTRY["download_link"] = REGISTRY.pop("download_link_q")
-
-
-@register
+@register("absolute_url")
 def absolute_url_q(spark, sf):
     d = _book_pages(spark, sf).select("href", download_link("html").alias("download"))
     return d.filter(F.col("download").isNotNull()).select(
         "href", absolute_url("download").alias("url"))
 
 
-REGISTRY["absolute_url"] = REGISTRY.pop("absolute_url_q")
-
-
-@register
+@register("link_book_id")
 def link_book_id_q(spark, sf):
     links = crawling.extract_links(_listing(spark, sf))
     return links.select("href", link_book_id("href").alias("book_id"))
 
 
-REGISTRY["link_book_id"] = REGISTRY.pop("link_book_id_q")
-
-
-@register
+@register("crawl_frontier")
 def crawl_frontier(spark, sf):
     return crawl.frontier_of(_listing(spark, sf))
 
 
-@register
+@register("pending_pages")
 def pending_pages(spark, sf):
     """Frontier minus the listing pages already fetched.  Stand-in ledger: a moderation
     crawl fetched every listing page that lists a book labelled toxic."""
