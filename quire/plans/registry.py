@@ -62,10 +62,14 @@ def index(spark, sf):
 _STORED: dict = {}
 
 
+def _session_key(spark) -> str:
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def stored_index(spark, sf):
     """(postings, word stats) of the index of ``documents``, saved once per session as a
     book-bucketed table in the shared work folder and opened from there."""
-    key = (spark.sparkContext.applicationId, sf)
+    key = (_session_key(spark), sf)
     if key not in _STORED:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         path = work_path(spark, "index-table")
@@ -77,7 +81,7 @@ def stored_index(spark, sf):
 def stored_catalog(spark, sf):
     """The parsed catalogue of the metadata log, saved once per session bucketed like the
     index (criteria joins of the search queries stay inside buckets)."""
-    key = (spark.sparkContext.applicationId, sf, "catalog")
+    key = (_session_key(spark), sf, "catalog")
     if key not in _STORED:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         path = work_path(spark, "catalog-table")

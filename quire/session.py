@@ -61,15 +61,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     only when neither is set, as in tests, a fresh local folder is created and set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+    try:
+        jsc = spark.sparkContext._jsc.sc()
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        jsc = None
+    if not root and jsc is not None:
+        jdir = jsc.getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
         root = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     # make sure DataFrame.checkpoint() writes to the same shared folder
-    jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if not jdir.isDefined():
+    if jsc is not None and not jsc.getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(root)
     return root
 
