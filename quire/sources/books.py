@@ -29,18 +29,20 @@ def books_from_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def list_books(spark: SparkSession, directory: str) -> DataFrame:
     """(path) of the regular files directly in ``directory`` (not recursive), with '/'
     separators; an empty listing when the directory does not exist."""
-    from py4j.protocol import Py4JJavaError
-    try:
-        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
-                 .load(directory).select("path"))
-        files.schema  # resolves the listing; raises for a missing path
-    except (Py4JJavaError, Exception) as exc:  # AnalysisException: path does not exist
-        if "PATH_NOT_FOUND" in str(exc) or "does not exist" in str(exc):
-            return spark.createDataFrame([], "path STRING")
-        raise
+    if not _is_directory(spark, directory):
+        return spark.createDataFrame([], "path STRING")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false")
+             .load(directory).select("path"))
     return files.select(normalize_separators("path").alias("path"))
 
 
+def _is_directory(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(hpath) and fs.getFileStatus(hpath).isDirectory()
+
+
 def books_from_files(spark: SparkSession, directory: str) -> DataFrame:
     """One row per text file of ``directory``: (path, doc_key, book_id, text).
 

@@ -55,3 +55,19 @@ def test_release_year_lenient(spark):
         "Unknown", "Sept 5, 2001", "Jan 0, 2000", "Mar 3, 2004 extra"]], "d STRING")
     got = [r[0] for r in df.select(release_year("d")).collect()]
     assert got == [1851, 1993, 2000, 2000, 2001, None, None, 1999, 2004]
+
+
+def test_catalog_log_append_and_read_back_last_wins(spark):
+    import time
+    from quire.session import work_path
+    from quire.sinks.books_store import append_catalog_lines
+    from quire.sources.catalog import read_catalog_lines
+    log = work_path(spark, "t-catalog-log")
+    first = spark.createDataFrame([("ID: 1, Title: Old One",), ("ID: 2, Title: Two",)], "line STRING")
+    append_catalog_lines(first.coalesce(1), log)
+    time.sleep(1.2)   # the second run's files are newer
+    second = spark.createDataFrame([("ID: 1, Title: New One",), ("ID: 1, Title: Newest",)],
+                                   "line STRING")
+    append_catalog_lines(second.coalesce(1), log)
+    cat = load_catalog(read_catalog_lines(spark, log))
+    assert rows(cat, "book_id", "title") == [(1, "Newest"), (2, "Two")]

@@ -48,6 +48,7 @@ def test_files_with_same_int_id_are_united(spark):
     listed = sorted(os.path.basename(r.path) for r in list_books(spark, folder).collect())
     assert listed == ["007.txt", "12.txt", "7.txt", "notes.txt"]
     assert list_books(spark, folder + "/missing").count() == 0
+    assert list_books(spark, folder + "/12.txt").count() == 0   # a file is not a folder
     books = books_from_files(spark, folder)
     assert sorted(r.doc_key for r in books.collect()) == ["007", "12", "7"]
     idx, led = work_path(spark, "f-index"), work_path(spark, "f-ledger")
