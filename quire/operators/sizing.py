@@ -20,3 +20,24 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
 
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
+
+
+def _partitions(df: DataFrame, partitions: int | None) -> int:
+    if partitions:
+        return partitions
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks when its input has fewer splits, so
+    CPU-heavy per-row work (tokenizing, regex parsing) runs in parallel.  Keyless, so no
+    id or text can make one task hot; inputs that already split into enough tasks (the
+    normal case at scale) are left as they are."""
+    target = _partitions(df, partitions)
+    try:
+        splits = df.rdd.getNumPartitions()   # plans the scan only, runs no job
+    except Exception:  # noqa: BLE001 - sessions without the RDD API: always spread
+        splits = 0
+    if splits >= target:
+        return df
+    return df.repartition(target)

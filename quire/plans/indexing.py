@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from quire.constants import STOPWORDS
 from quire.functions.text import tokenize
 from quire.operators.ledger import not_indexed
+from quire.operators.sizing import spread
 from quire.operators.postings import build_postings
 from quire.operators.tokens import Tokenizer, index_tokens
 from quire.sinks.index_store import (
@@ -27,26 +28,6 @@ from quire.sinks.index_store import (
 )
 
 
-def _partitions(df: DataFrame, partitions: int | None) -> int:
-    if partitions:
-        return partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def spread(books: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin the books over ``partitions`` tasks when the input has fewer splits;
-    keyless, so no id or text can make one task hot.  Inputs that already split into
-    enough tasks (the normal case at scale) are left as they are."""
-    target = _partitions(books, partitions)
-    try:
-        splits = books.rdd.getNumPartitions()   # plans the scan only, runs no job
-    except Exception:  # noqa: BLE001 - sessions without the RDD API: always spread
-        splits = 0
-    if splits >= target:
-        return books
-    return books.repartition(target)
-
-
 def build_index(books: DataFrame, tokenizer: Tokenizer = tokenize, stopwords=STOPWORDS,
                 partitions: int | None = None) -> DataFrame:
     """(word, book_id, positions) for a DataFrame of (book_id, text)."""

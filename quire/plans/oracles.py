@@ -298,6 +298,12 @@ ORACLES: dict[str, str] = {
                       f"SELECT h.query_id, h.book_id, h.word, h.pos, array_to_string(tok.t[greatest(h.pos - 5, 0) + 1 : h.pos + 5 + 1], ' ') "
                       f"AS fragment FROM h JOIN tok ON h.book_id = tok.book_id"),
     "strip_header": f"SELECT doc_id AS book_id, {strip_header('text')} AS text FROM documents",
+    "index_pages": (
+        "WITH b AS (SELECT page_id, regexp_extract(html, '(?is)<body\\b[^>]*>(.*)</body>', 1) AS x FROM pages), "
+        "c AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->', '', 'g'), "
+        "'(?i)<br\\b[^>]*>', chr(10), 'g') AS x FROM b), "
+        + f"d AS (SELECT page_id, {decode(TAGS_REMOVED)} AS x FROM c), "
+        + f"tok AS (SELECT page_id AS book_id, {tokens_of(strip_header('x'))} AS t FROM d), {TP}, {IDX} {FLAT}"),
     "title_author": (f"WITH {BOOK_PAGES}, hh AS (SELECT href, {HEADING} AS h FROM bp) "
                      f"SELECT href, {title_part('h', 1)} AS title, {title_part('h', 2)} AS author FROM hh"),
     "page_heading": f"SELECT page_id, {HEADING} AS heading FROM pages",

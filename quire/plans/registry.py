@@ -459,6 +459,15 @@ def _listing(spark, sf):
     return fixtures.listing_pages(documents(spark, sf))
 
 
+@register("index_pages")
+def index_pages(spark, sf):
+    """The download-to-index flow over fetched web pages: body text of every page, the
+    header cut at the first *** marker, then the positional index (page_id as book id)."""
+    p = spark.read.parquet(table_path(sf, "pages")).select(
+        F.col("page_id").alias("book_id"), strip_header(body_text("html")).alias("text"))
+    return flat_postings(build_index(p))
+
+
 @register("title_author")
 def title_author(spark, sf):
     h = _book_pages(spark, sf).select("href", heading("html").alias("h"))
