@@ -1,0 +1,45 @@
+import json
+import os
+
+from quire.__main__ import main
+from quire.operators import search as S
+from quire.plans import fixtures
+from quire.session import work_path
+from quire.sinks.books_store import append_catalog_lines
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_cli_index_catalog_search(spark, tmp_path):
+    idx, cat, lines = (work_path(spark, n) for n in ("cli-index", "cli-catalog", "cli-lines"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    main(["index", "--books", f"{SF}/documents.parquet", "--out", idx, "--buckets", "4"], spark)
+    append_catalog_lines(fixtures.catalog_lines(docs).select("line").coalesce(1), lines)
+    main(["catalog", "--lines", lines, "--out", cat, "--buckets", "4"], spark)
+
+    # one request from the command line, with a criterion
+    out = work_path(spark, "cli-out")
+    main(["search", "--index", idx, "--buckets", "4", "--catalog", cat, "--words", "en+er",
+          "--language", "english", "--out", out], spark)
+    got = sorted(r["book_id"] for r in spark.read.json(out).collect())
+    from quire.sinks.index_store import open_catalog_table, open_index_table
+    postings, stats = open_index_table(spark, idx, 4)
+    catalog = open_catalog_table(spark, cat, 4)
+    expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"],
+                                                language="english", catalog=catalog).collect())
+    assert got == expect and got
+
+    # a request file
+    req = tmp_path / "requests.jsonl"
+    req.write_text("\n".join(json.dumps(r) for r in [
+        {"query_id": 1, "words": ["en", "er"]}, {"query_id": 2, "words": ["zzz"]}]))
+    out2 = work_path(spark, "cli-out2")
+    main(["search", "--index", idx, "--buckets", "4", "--requests", str(req), "--out", out2], spark)
+    rows = spark.read.json(out2).collect()
+    assert {r["query_id"] for r in rows} == {1}
+    assert all(set(r["positions"].asDict()) == {"en", "er"} for r in rows)
+
+
+def test_cli_fragment_stub():
+    assert main(["fragment", "--book", "12", "--word-pos", "3"]) == \
+        "Sample text containing word 3 in book 12"
