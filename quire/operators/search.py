@@ -23,6 +23,12 @@ from pyspark.sql import types as T
 from quire.functions.metadata import release_year
 from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, has_at_most
 
+# Requests with at most this many distinct words also filter the index scan with
+# ``word IN (...)``: the index files are sorted by word, so Parquet row-group and page
+# statistics (and the word bloom filter) skip everything else.  Larger batches rely on
+# the joins alone.
+MAX_PUSHDOWN_WORDS = 10_000
+
 CRITERIA = ("title", "author", "year_from", "year_to", "language")
 
 REQUEST_SCHEMA = T.StructType([
@@ -47,6 +53,20 @@ def request_words(requests: DataFrame) -> DataFrame:
                            F.size(distinct_words).alias("n_words"))
 
 
+def prune_to_request_words(postings: DataFrame, requests: DataFrame,
+                           max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
+    """``postings`` filtered to the request words when their distinct set is small.
+
+    The set is counted with a bound first, so at most ``max_words`` literals ever reach
+    the driver; the filter only narrows the scan, the joins still decide the answer.
+    """
+    words = request_words(requests).select("word").distinct()
+    if max_words <= 0 or not has_at_most(words, max_words):
+        return postings
+    literal = [r["word"] for r in words.collect()]
+    return postings.filter(F.col("word").isin(literal))
+
+
 def candidates(postings: DataFrame, requests: DataFrame,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, n_words, word, book_id, positions) for every posting of a request word.
@@ -129,6 +149,7 @@ def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFram
 def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
+    postings = prune_to_request_words(postings, requests)
     m = matching_books(postings, requests, stats, max_broadcast_rows)
     return attach_positions(postings, m, requests, max_broadcast_rows)
 
@@ -184,6 +205,7 @@ def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame |
     are fetched, so filtered-out books never move their position lists.
     """
     requests = with_criteria_columns(requests)
+    postings = prune_to_request_words(postings, requests)
     matches = matching_books(postings, requests, stats, max_broadcast_rows)
     if catalog is not None:
         matches = filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
