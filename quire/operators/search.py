@@ -53,20 +53,27 @@ def request_words(requests: DataFrame) -> DataFrame:
                            F.size(distinct_words).alias("n_words"))
 
 
-def prune_to_request_words(postings: DataFrame, requests: DataFrame,
-                           max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
-    """``postings`` filtered to the request words when their distinct set is small.
+def prune_to_words(postings: DataFrame, words: DataFrame,
+                   max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
+    """``postings`` (any table with a ``word`` column) filtered to the words of ``words``
+    when their distinct set is small.
 
     The set is counted with a bound first, so at most ``max_words`` literals ever reach
     the driver; the filter only narrows the scan, the joins still decide the answer.
     """
-    words = request_words(requests).select("word").distinct()
-    if max_words <= 0 or not has_at_most(words, max_words):
+    distinct = words.select("word").distinct()
+    if max_words <= 0 or not has_at_most(distinct, max_words):
         return postings
-    literal = [r["word"] for r in words.collect()]
+    literal = [r["word"] for r in distinct.collect()]
     return postings.filter(F.col("word").isin(literal))
 
 
+def prune_to_request_words(postings: DataFrame, requests: DataFrame,
+                           max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
+    """``postings`` filtered to the words of the requests when that set is small."""
+    return prune_to_words(postings, request_words(requests), max_words)
+
+
 def candidates(postings: DataFrame, requests: DataFrame,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, n_words, word, book_id, positions) for every posting of a request word.
@@ -75,8 +82,8 @@ def candidates(postings: DataFrame, requests: DataFrame,
     are streamed once with no shuffle; otherwise both sides shuffle on ``word``.
     """
     qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
-    return postings.join(qw, "word").select("query_id", "n_words", "word", "book_id",
-                                            "positions")
+    return prune_to_request_words(postings, requests).join(qw, "word").select(
+        "query_id", "n_words", "word", "book_id", "positions")
 
 
 def matching_books(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
@@ -242,13 +249,14 @@ def search(spark: SparkSession, postings: DataFrame, words: list[str], title=Non
 def books_by_word(word_books: DataFrame, words: DataFrame) -> DataFrame:
     """Point lookups word -> books for a table of words (J1); absent words give no rows."""
     w = words.select("word").distinct()
-    return word_books.join(broadcast_if_small(w), "word").select("word", "book_id")
+    return prune_to_words(word_books, w).join(broadcast_if_small(w), "word") \
+        .select("word", "book_id")
 
 
 def positions_in_book(postings: DataFrame, keys: DataFrame) -> DataFrame:
     """Point lookups (word, book_id) -> positions (J2) for a table of keys."""
     k = keys.select("word", "book_id").distinct()
-    return postings.join(broadcast_if_small(k), ["word", "book_id"]) \
+    return prune_to_words(postings, k).join(broadcast_if_small(k), ["word", "book_id"]) \
         .select("word", "book_id", "positions")
 
 
@@ -257,7 +265,7 @@ def intersect_two_words(postings: DataFrame, requests: DataFrame) -> DataFrame:
     of the two per-word book sets: (query_id, book_id)."""
     two = requests.filter(F.size("words") == 2).select(
         "query_id", F.get("words", 0).alias("w1"), F.get("words", 1).alias("w2"))
-    wb = postings.select("word", "book_id")
+    wb = prune_to_request_words(postings, requests).select("word", "book_id")
     first = wb.join(broadcast_if_small(two.select("query_id", F.col("w1").alias("word"))),
                     "word").select("query_id", "book_id")
     second = wb.join(broadcast_if_small(two.select("query_id", F.col("w2").alias("word"))),
