@@ -28,6 +28,10 @@ from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_smal
 # statistics (and the word bloom filter) skip everything else.  Larger batches rely on
 # the joins alone.
 MAX_PUSHDOWN_WORDS = 10_000
+# Request tables up to this many rows are materialized once as a local relation, so the
+# size checks, the pushdown list and the broadcasts do not recompute a derived request
+# table again and again.  Larger batches stay distributed.
+MAX_LOCAL_REQUESTS = 10_000
 
 CRITERIA = ("title", "author", "year_from", "year_to", "language")
 
@@ -38,6 +42,13 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
+def localize_requests(requests: DataFrame, max_rows: int = MAX_LOCAL_REQUESTS) -> DataFrame:
+    """The same requests as a local relation when a bounded count proves them small."""
+    if max_rows <= 0 or not has_at_most(requests, max_rows):
+        return requests
+    return requests.sparkSession.createDataFrame(requests.collect(), requests.schema)
+
+
 def with_criteria_columns(requests: DataFrame) -> DataFrame:
     """Add any missing criterion column as NULL (no filter)."""
     for c in CRITERIA:
@@ -81,6 +92,7 @@ def candidates(postings: DataFrame, requests: DataFrame,
     The request side is broadcast when a bounded count proves it small, so the postings
     are streamed once with no shuffle; otherwise both sides shuffle on ``word``.
     """
+    requests = localize_requests(requests)
     qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
     return prune_to_request_words(postings, requests).join(qw, "word").select(
         "query_id", "n_words", "word", "book_id", "positions")
@@ -156,6 +168,7 @@ def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFram
 def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
+    requests = localize_requests(requests)
     postings = prune_to_request_words(postings, requests)
     m = matching_books(postings, requests, stats, max_broadcast_rows)
     return attach_positions(postings, m, requests, max_broadcast_rows)
@@ -211,7 +224,7 @@ def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame |
     Criteria are applied to the matched (query_id, book_id) keys before any positions
     are fetched, so filtered-out books never move their position lists.
     """
-    requests = with_criteria_columns(requests)
+    requests = localize_requests(with_criteria_columns(requests))
     postings = prune_to_request_words(postings, requests)
     matches = matching_books(postings, requests, stats, max_broadcast_rows)
     if catalog is not None:
@@ -263,6 +276,7 @@ def positions_in_book(postings: DataFrame, keys: DataFrame) -> DataFrame:
 def intersect_two_words(postings: DataFrame, requests: DataFrame) -> DataFrame:
     """Books holding both words of two-word requests, as a set intersection (INTERSECT)
     of the two per-word book sets: (query_id, book_id)."""
+    requests = localize_requests(requests)
     two = requests.filter(F.size("words") == 2).select(
         "query_id", F.get("words", 0).alias("w1"), F.get("words", 1).alias("w2"))
     wb = prune_to_request_words(postings, requests).select("word", "book_id")
