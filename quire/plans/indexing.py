@@ -19,8 +19,7 @@ from pyspark.sql import functions as F
 
 from quire.constants import STOPWORDS
 from quire.functions.text import tokenize
-from quire.operators.ledger import not_indexed
-from quire.operators.sizing import spread
+from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, spread
 from quire.operators.postings import build_postings
 from quire.operators.tokens import Tokenizer, index_tokens
 from quire.sinks.index_store import (
@@ -35,6 +34,24 @@ def build_index(books: DataFrame, tokenizer: Tokenizer = tokenize, stopwords=STO
     return build_postings(index_tokens(src, tokenizer, stopwords))
 
 
+def new_books(books: DataFrame, ledger: DataFrame,
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Books whose key is not in the ledger, without moving book text when possible:
+
+    1. a ledger proven small by a bounded count is broadcast (anti join in the scan);
+    2. else the keys alone are anti-joined (only keys shuffle) and, when the new keys
+       are proven small, broadcast back onto the books (semi join in the scan);
+    3. else a plain anti join (AQE may still broadcast from runtime sizes).
+    """
+    led = ledger.select("doc_key")
+    if has_at_most(led, max_broadcast_rows):
+        return books.join(F.broadcast(led), "doc_key", "left_anti")
+    keys = books.select("doc_key").distinct().join(led, "doc_key", "left_anti")
+    if has_at_most(keys, max_broadcast_rows):
+        return books.join(F.broadcast(keys), "doc_key", "left_semi")
+    return books.join(led, "doc_key", "left_anti")
+
+
 def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
                     tokenizer: Tokenizer = tokenize, stopwords=STOPWORDS,
                     partitions: int | None = None) -> DataFrame:
@@ -42,14 +59,17 @@ def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
     list yet; returns the keys that were new in this run.
 
     The ledger listing is fixed when the run starts, so both writes see the same set of
-    new books even when tasks are retried.
+    new books even when tasks are retried.  Several rows with one key (a file delivered
+    twice) need no dedup of the text: their positions collapse in the (book_id, word)
+    set aggregation; only the ledger keys are made distinct.
     """
     spark = books.sparkSession
     valid = books.filter((F.col("doc_key") != "") & F.col("book_id").isNotNull())
-    new = not_indexed(valid, read_ledger(spark, ledger_path)).dropDuplicates(["doc_key"])
+    new = new_books(valid, read_ledger(spark, ledger_path))
     write_postings(build_index(new, tokenizer, stopwords, partitions), index_path)
-    append_ledger(new.select("doc_key"), ledger_path)
-    return new.select("doc_key")
+    keys = new.select("doc_key").distinct()
+    append_ledger(keys, ledger_path)
+    return keys
 
 
 def compact_index(index_path: str, table_path: str, buckets: int, spark=None) -> str:

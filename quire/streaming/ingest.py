@@ -5,8 +5,9 @@ A file source watches the folder where fetched books land (Parquet files of
 anti-join the ledger, append postings, append the ledger last.  A replayed batch
 (after a failure between the postings write and the checkpoint commit) finds its keys
 either absent from the ledger — and is indexed again, which the set-union merge of
-positions makes harmless — or present, and is skipped.  Duplicates inside a batch are
-dropped by key; no streaming dedup state is kept, so state does not grow.
+positions makes harmless — or present, and is skipped.  Copies of one key inside a batch
+collapse in the set aggregation of positions (only the ledger keys are made distinct);
+no streaming dedup state is kept, so state does not grow.
 """
 
 from __future__ import annotations
