@@ -21,7 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.metadata import release_year
-from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, has_at_most
+from quire.operators.sizing import (
+    DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, collect_if_small, has_at_most,
+)
 
 # Requests with at most this many distinct words also filter the index scan with
 # ``word IN (...)``: the index files are sorted by word, so Parquet row-group and page
@@ -44,9 +46,10 @@ REQUEST_SCHEMA = T.StructType([
 
 def localize_requests(requests: DataFrame, max_rows: int = MAX_LOCAL_REQUESTS) -> DataFrame:
     """The same requests as a local relation when a bounded count proves them small."""
-    if max_rows <= 0 or not has_at_most(requests, max_rows):
+    rows = collect_if_small(requests, max_rows) if max_rows > 0 else None
+    if rows is None:
         return requests
-    return requests.sparkSession.createDataFrame(requests.collect(), requests.schema)
+    return requests.sparkSession.createDataFrame(rows, requests.schema)
 
 
 def with_criteria_columns(requests: DataFrame) -> DataFrame:
@@ -72,11 +75,11 @@ def prune_to_words(postings: DataFrame, words: DataFrame,
     The set is counted with a bound first, so at most ``max_words`` literals ever reach
     the driver; the filter only narrows the scan, the joins still decide the answer.
     """
-    distinct = words.select("word").distinct()
-    if max_words <= 0 or not has_at_most(distinct, max_words):
+    rows = collect_if_small(words.select("word").distinct(), max_words) \
+        if max_words > 0 else None
+    if rows is None:
         return postings
-    literal = [r["word"] for r in distinct.collect()]
-    return postings.filter(F.col("word").isin(literal))
+    return postings.filter(F.col("word").isin([r["word"] for r in rows]))
 
 
 def prune_to_request_words(postings: DataFrame, requests: DataFrame,

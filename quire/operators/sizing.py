@@ -18,6 +18,13 @@ def has_at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def collect_if_small(df: DataFrame, max_rows: int) -> list | None:
+    """The rows of ``df`` when it has at most ``max_rows`` rows, else None — one job,
+    and never more than ``max_rows + 1`` rows reach the driver."""
+    rows = df.limit(max_rows + 1).collect()
+    return rows if len(rows) <= max_rows else None
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
