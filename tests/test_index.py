@@ -92,3 +92,13 @@ def test_compacted_index_table_equals_full_build(spark):
     postings, stats = open_index_table(spark, table, 4, name)
     assert _flat(postings) == _flat(build_index(b))
     assert stats.count() == postings.select("word").distinct().count()
+
+
+def test_ledger_check_paths_agree(spark):
+    from quire.plans.indexing import new_books
+    b = books_from_table(_docs(spark))
+    ledger = b.filter(F.col("book_id") % 2 == 0).select("doc_key")
+    expect = sorted(r.doc_key for r in b.join(ledger, "doc_key", "left_anti").collect())
+    for bound in (10**6, 1, 0):      # broadcast ledger / broadcast new keys / plain anti join
+        got = sorted(r.doc_key for r in new_books(b, ledger, bound).collect())
+        assert got == expect

@@ -145,3 +145,25 @@ def test_bucketed_index_table_roundtrip(spark, index, catalog):
     got = S.search(spark, postings, ["whale", "sea"], year_to="1900", catalog=catalog,
                    stats=stats).collect()
     assert [(r.book_id, r.positions) for r in got] == [(1, {"whale": [2, 5], "sea": [8]})]
+
+
+def test_large_batch_paths_equal_small_batch_paths(spark, index, catalog, monkeypatch):
+    """Beyond the size bounds (no local requests, no scan pruning, no broadcasts) the
+    plan takes its shuffle paths; the answer must not change."""
+    from quire.operators.postings import word_stats
+    reqs = S.make_requests(spark, [
+        dict(query_id=1, words=["whale", "sea"]), dict(query_id=2, words=["sea"], title="moby"),
+        dict(query_id=3, words=["ship", "sea"], year_from="1800"), dict(query_id=4, words=["x"])])
+    stats = word_stats(index)
+
+    def answer(**kw):
+        res = S.search_batch(index, reqs, catalog, stats, **kw)
+        return sorted((r.query_id, r.book_id, tuple(sorted(r.positions.items()))) for r in res.collect())
+
+    small = answer()
+    monkeypatch.setattr(S, "MAX_LOCAL_REQUESTS", 0)
+    monkeypatch.setattr(S, "MAX_PUSHDOWN_WORDS", 0)
+    large = answer(max_broadcast_rows=0)
+    assert small == large
+    # book 2's release date is "Unknown", so the year bound of query 3 drops it
+    assert [r[:2] for r in small] == [(1, 1), (1, 2), (2, 1), (3, 3)]
