@@ -102,3 +102,23 @@ def test_ledger_check_paths_agree(spark):
     for bound in (10**6, 1, 0):      # broadcast ledger / broadcast new keys / plain anti join
         got = sorted(r.doc_key for r in new_books(b, ledger, bound).collect())
         assert got == expect
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.integers(min_value=0, max_value=2), min_size=8, max_size=8))
+def test_incremental_over_random_splits_equals_full(spark, runs_of):
+    """Books go to runs 0..2 by a random assignment of id classes (id mod 8); indexing the
+    runs one after the other gives the full index."""
+    d = _docs(spark)
+    b = books_from_table(d)
+    idx, led = work_path(spark, "h-index"), work_path(spark, "h-ledger")
+    klass = F.col("book_id") % 8
+    for run in range(3):
+        members = [k for k, r in enumerate(runs_of) if r == run]
+        if members:
+            index_new_books(b.filter(klass.isin(members)), idx, led)
+    assert _flat(read_postings(spark, idx, merge=True)) == _flat(build_index(b))

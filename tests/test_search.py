@@ -167,3 +167,11 @@ def test_large_batch_paths_equal_small_batch_paths(spark, index, catalog, monkey
     assert small == large
     # book 2's release date is "Unknown", so the year bound of query 3 drops it
     assert [r[:2] for r in small] == [(1, 1), (1, 2), (2, 1), (3, 3)]
+
+
+def test_keyword_in_context_edges(spark):
+    from quire.operators.fragments import keyword_in_context
+    books = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "book_id BIGINT, text STRING")
+    hits = spark.createDataFrame([(1, 0), (1, 6), (1, 11)], "book_id BIGINT, pos INT")
+    got = sorted((r.pos, r.fragment) for r in keyword_in_context(hits, books, radius=2).collect())
+    assert got == [(0, "a b c"), (6, "e f g h i"), (11, "j k l")]
