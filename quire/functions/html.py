@@ -27,12 +27,13 @@ ANY_TAG = r"<[^>]*>"
 TEXT_WS = "[ \\t\\n\\f\\r\u00a0]+"  # jsoup whitespace, incl. no-break space
 
 H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
-DATE_CELL = r"""(?is)<td\b[^>]*itemprop="datePublished"[^>]*>(.*?)</td>"""
+DATE_CELL = r"""(?is)<td\b[^>]*itemprop=["']?datePublished["']?[^>]*>(.*?)</td>"""
 CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
 ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
-HREF = r"""(?is)\bhref="([^"]*)\""""
-BOOKLINK_ITEM = r"""(?is)<li\b[^>]*class="(?:[^"]*\s)?booklink(?:\s[^"]*)?"[^>]*>(.*?)</li>"""
-BOOKLINK_HREF = r"""(?is)<a\b[^>]*href="(/ebooks/[^"]*)\""""
+HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
+BOOKLINK_ITEM = (r"""(?is)<li\b[^>]*class\s*=\s*["'](?:[^"']*\s)?booklink(?:\s[^"']*)?["'][^>]*>"""
+                 r"""(.*?)</li>""")
+BOOKLINK_HREF = r"""(?is)<a\b[^>]*\bhref\s*=\s*["'](/ebooks/[^"']*)["']"""
 
 
 def _col(c) -> Column:

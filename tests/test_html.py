@@ -64,3 +64,12 @@ def test_book_records_drop_incomplete_pages(spark):
         ("/ebooks/", PAGE)], "href STRING, html STRING")
     recs = rows(extract_book_records(pages), "book_id", "title", "author", "download_url")
     assert recs == [("5", "A by B", "C & D", "https://www.gutenberg.org/ebooks/5.txt")]
+
+
+def test_single_quoted_attributes(spark):
+    html = ("<li class='booklink'><a href='/ebooks/9'>x</a></li>"
+            "<td itemprop='datePublished'>May 1, 2001</td>"
+            "<a href = '/ebooks/9.txt'>Plain Text UTF-8</a>")
+    assert _one(spark, book_links("html"), html) == ["/ebooks/9"]
+    assert _one(spark, release_date("html"), html) == "May 1, 2001"
+    assert _one(spark, download_link("html"), html) == "/ebooks/9.txt"
