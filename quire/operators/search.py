@@ -4,10 +4,17 @@ A request is a row ``(query_id, words ARRAY<STRING>, title, author, year_from, y
 language)``; criteria are nullable strings and NULL means "no filter".  A batch of
 requests is answered by ONE plan:
 
-    explode(distinct words) --(size-checked broadcast)--> join postings on word
-      -> group by (query_id, book_id): keep books that matched every distinct word
-      -> left join catalogue on book_id (only needed when a request has criteria)
-      -> null-tolerant criteria predicates
+    small request table -> local relation (bounded collect); small word set -> the index
+      scan is filtered with word IN (...) (Parquet statistics skip the rest)
+    rarest word per request (word statistics) --(size-checked broadcast)--> seed books
+      -> (query, book, word) keys joined to the index on (word, book_id)
+      -> group by (query_id, book_id): keep books that hold every distinct word
+      -> left join catalogue on book_id, null-tolerant criteria predicates
+      -> positions fetched for the surviving (query, book) pairs only
+    (without statistics every posting of every request word is a candidate)
+
+Over a book-bucketed index and catalogue (see quire.sinks.index_store) every join and
+aggregation above stays inside its bucket; only request-sized data moves.
 
 Words are matched exactly (no lower-casing or trimming of the request); a duplicate word
 counts once; an empty word never matches, so it empties the result; a request with no
