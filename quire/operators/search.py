@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 
 from quire.functions.metadata import release_year
 from quire.operators.sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, collect_if_small, has_at_most,
+    DEFAULT_MAX_BROADCAST_ROWS, KNOWN_SMALL, broadcast_if_small, collect_if_small,
+    has_at_most,
 )
 
 # Requests with at most this many distinct words also filter the index scan with
@@ -95,6 +96,22 @@ def prune_to_request_words(postings: DataFrame, requests: DataFrame,
     return prune_to_words(postings, request_words(requests), max_words)
 
 
+def request_word_list(requests: DataFrame, max_words: int = MAX_PUSHDOWN_WORDS) -> list | None:
+    """The distinct request words when there are at most ``max_words`` of them."""
+    if max_words <= 0:
+        return None
+    rows = collect_if_small(request_words(requests).select("word").distinct(), max_words)
+    return None if rows is None else [r["word"] for r in rows]
+
+
+def _narrow(postings: DataFrame, stats: DataFrame | None, words: list | None):
+    """Filter the index (and its word statistics) scans to a known small word list."""
+    if words is None:
+        return postings, stats
+    keep = F.col("word").isin(list(words))
+    return postings.filter(keep), (None if stats is None else stats.filter(keep))
+
+
 def candidates(postings: DataFrame, requests: DataFrame,
                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, n_words, word, book_id, positions) for every posting of a request word.
@@ -179,7 +196,7 @@ def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame |
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
     requests = localize_requests(requests)
-    postings = prune_to_request_words(postings, requests)
+    postings, stats = _narrow(postings, stats, request_word_list(requests))
     m = matching_books(postings, requests, stats, max_broadcast_rows)
     return attach_positions(postings, m, requests, max_broadcast_rows)
 
@@ -228,14 +245,20 @@ def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFr
 
 def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame | None = None,
                  stats: DataFrame | None = None,
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
+                 word_list: list[str] | None = None) -> DataFrame:
     """Answer a table of requests: (query_id, book_id, positions MAP<word, ARRAY<INT>>).
 
     Criteria are applied to the matched (query_id, book_id) keys before any positions
-    are fetched, so filtered-out books never move their position lists.
+    are fetched, so filtered-out books never move their position lists.  ``word_list``
+    (with ``max_broadcast_rows=KNOWN_SMALL``) is for requests built on the driver: their
+    words filter the scan directly and no sizing job runs.
     """
-    requests = localize_requests(with_criteria_columns(requests))
-    postings = prune_to_request_words(postings, requests)
+    requests = with_criteria_columns(requests)
+    if word_list is None:
+        requests = localize_requests(requests)
+        word_list = request_word_list(requests)
+    postings, stats = _narrow(postings, stats, word_list)
     matches = matching_books(postings, requests, stats, max_broadcast_rows)
     if catalog is not None:
         matches = filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
@@ -265,8 +288,10 @@ def search(spark: SparkSession, postings: DataFrame, words: list[str], title=Non
                                      language=language)])
     if all(v is None for v in (title, author, year_from, year_to, language)):
         catalog = None
-    return search_batch(postings, req, catalog, stats).select("book_id", "positions") \
-        .orderBy("book_id")
+    # one literal request: its size and words are known here, so no sizing jobs run
+    res = search_batch(postings, req, catalog, stats, max_broadcast_rows=KNOWN_SMALL,
+                       word_list=sorted(set(words)))
+    return res.select("book_id", "positions").orderBy("book_id")
 
 
 def books_by_word(word_books: DataFrame, words: DataFrame) -> DataFrame:

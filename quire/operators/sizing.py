@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
+KNOWN_SMALL = None   # pass as max_rows when the caller built the data on the driver
+
+
+def has_at_most(df: DataFrame, max_rows: int | None) -> bool:
+    """Bounded count; ``KNOWN_SMALL`` (None) means the caller already knows the bound
+    (e.g. a request literal built on the driver) and no job runs."""
+    if max_rows is KNOWN_SMALL:
+        return True
     return df.limit(max_rows + 1).count() <= max_rows
 
 
@@ -25,7 +32,8 @@ def collect_if_small(df: DataFrame, max_rows: int) -> list | None:
     return rows if len(rows) <= max_rows else None
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_small(df: DataFrame,
+                       max_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 

@@ -97,7 +97,9 @@ def save_index_table(postings: DataFrame, path: str, buckets: int,
     name = save_bucketed(postings.select("word", "book_id", "positions"), path, buckets,
                          _INDEX_SORT, name, "quire_index", bloom_col="word")
     spark = postings.sparkSession
-    word_stats(spark.table(name)).write.mode("overwrite").parquet(path + "_stats")
+    # sorted by word, so a word filter skips row groups of the statistics too
+    word_stats(spark.table(name)).orderBy("word").write.mode("overwrite") \
+        .parquet(path + "_stats")
     return name
 
 
