@@ -7,9 +7,10 @@ many copies (even a third of all rows) is tokenized by many tasks, and its posti
 spread over partitions by word.  When the input has fewer splits than the target
 parallelism (small files, one row group), the books are first spread round-robin.
 
-Incremental: the same build restricted to books whose key is not in the ledger; postings
-are appended first and the ledger last, so a failed or replayed run never marks a book
-indexed without its postings, and a rerun adds nothing.
+Incremental: the same build restricted to books whose key is not in the ledger; each
+run's postings go to their own ``run=<id>`` partition first and the ledger rows
+(doc_key, run) last, so a failed or replayed run is never visible (readers take only
+committed runs) and a rerun adds nothing.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, spre
 from quire.operators.postings import build_postings
 from quire.operators.tokens import Tokenizer, index_tokens
 from quire.sinks.index_store import (
-    append_ledger, read_ledger, read_postings, save_index_table, write_postings,
+    append_ledger, new_run_id, read_ledger, read_postings, save_index_table, write_run,
 )
 
 
@@ -66,16 +67,19 @@ def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
     spark = books.sparkSession
     valid = books.filter((F.col("doc_key") != "") & F.col("book_id").isNotNull())
     new = new_books(valid, read_ledger(spark, ledger_path))
-    write_postings(build_index(new, tokenizer, stopwords, partitions), index_path)
+    run = new_run_id()
+    write_run(build_index(new, tokenizer, stopwords, partitions), index_path, run)
     keys = new.select("doc_key").distinct()
-    append_ledger(keys, ledger_path)
+    append_ledger(keys, ledger_path, run)        # the commit record, written last
     return keys
 
 
-def compact_index(index_path: str, table_path: str, buckets: int, spark=None) -> str:
-    """Merge the runs appended to ``index_path`` (set union of positions per
-    (word, book_id)) into a book-bucketed index table at ``table_path`` that searches
-    read without shuffling; returns the table name."""
+def compact_index(index_path: str, ledger_path: str, table_path: str, buckets: int,
+                  spark=None) -> str:
+    """Write the committed runs of ``index_path`` (books indexed under several keys
+    merged) as a book-bucketed index table at ``table_path`` that searches read without
+    shuffling; returns the table name."""
     from pyspark.sql import SparkSession
     spark = spark or SparkSession.getActiveSession()
-    return save_index_table(read_postings(spark, index_path, merge=True), table_path, buckets)
+    return save_index_table(read_postings(spark, index_path, ledger_path), table_path,
+                            buckets)

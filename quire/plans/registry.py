@@ -223,14 +223,14 @@ def _incremental(spark, sf):
 
 @register("incremental_index")
 def incremental_index(spark, sf):
-    idx, _ = _incremental(spark, sf)
-    return flat_postings(read_postings(spark, idx, merge=True))
+    idx, led = _incremental(spark, sf)
+    return flat_postings(read_postings(spark, idx, led))
 
 
 @register("indexed_books")
 def indexed_books(spark, sf):
     _, led = _incremental(spark, sf)
-    return read_ledger(spark, led)
+    return read_ledger(spark, led).select("doc_key")
 
 
 @register("nbooks")
@@ -274,7 +274,7 @@ def stream_index(spark, sf):
     idx, led, ck = work_path(spark, "index"), work_path(spark, "ledger"), work_path(spark, "ckpt")
     q = start_stream_index(spark, src, idx, led, ck, available_now=True)
     q.awaitTermination()
-    return flat_postings(read_postings(spark, idx, merge=True))
+    return flat_postings(read_postings(spark, idx, led))
 
 
 # ---------------------------------------------------------------- catalogue -------------

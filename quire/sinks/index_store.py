@@ -1,4 +1,10 @@
-"""Index and ledger tables as Parquet folders (append-only, ledger written last)."""
+"""Index and ledger tables as Parquet folders (append-only, ledger written last).
+
+Incremental runs write their postings under their own partition ``run=<id>`` and then
+append ``(doc_key, run)`` rows to the ledger.  The ledger is the commit record: readers
+take only the runs it lists (partition pruning), so postings of a run whose ledger write
+never happened (a failed or replayed batch) are invisible, and nothing is counted twice.
+"""
 
 from __future__ import annotations
 
@@ -9,6 +15,7 @@ from pyspark.sql import functions as F
 
 from quire.operators.ledger import LEDGER_SCHEMA
 from quire.operators.postings import POSTINGS_SCHEMA, merge_postings, word_stats
+from quire.operators.sizing import broadcast_if_small, collect_if_small
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -25,14 +32,52 @@ def write_postings(postings: DataFrame, path: str, mode: str = "append") -> None
         .sortWithinPartitions("word", "book_id").write.mode(mode).parquet(path)
 
 
-def read_postings(spark: SparkSession, path: str, merge: bool = False) -> DataFrame:
-    """Postings of an index folder; ``merge=True`` unions positions of the same
-    (word, book_id) written by different runs (needed after incremental runs that
-    re-indexed an id under another key, e.g. ``007`` and ``7``)."""
+def new_run_id() -> str:
+    return "r-" + uuid.uuid4().hex
+
+
+def write_run(postings: DataFrame, path: str, run: str) -> None:
+    """Append one run's postings under ``path/run=<run>``, sorted by (word, book_id)."""
+    (postings.select("word", "book_id", "positions", F.lit(run).alias("run"))
+     .sortWithinPartitions("word", "book_id").write.mode("append").partitionBy("run")
+     .parquet(path))
+
+
+# Committed-run lists up to this size become a partition filter (pruning); the ledger
+# holds one row per book, but runs are few.
+MAX_RUNS_LISTED = 100_000
+
+
+def read_postings(spark: SparkSession, path: str, ledger_path: str | None = None,
+                  merge: bool = False) -> DataFrame:
+    """Postings of an index folder.
+
+    With ``ledger_path``: only committed runs are read, and only books indexed under
+    more than one key (``007.txt`` and ``7.txt`` are both book 7) have their positions
+    merged — found from the ledger alone, so the rest of the index is read as written.
+    Without it, ``merge=True`` set-merges every (word, book_id).
+    """
     if not _exists(spark, path):
         return spark.createDataFrame([], POSTINGS_SCHEMA)
     df = spark.read.parquet(path)
-    return merge_postings(df) if merge else df
+    if ledger_path is None:
+        df = df.select("word", "book_id", "positions")
+        return merge_postings(df) if merge else df
+    ledger = read_ledger(spark, ledger_path)
+    runs = collect_if_small(ledger.select("run").distinct(), MAX_RUNS_LISTED)
+    if runs is not None:
+        df = df.filter(F.col("run").isin([r["run"] for r in runs]))
+    else:
+        df = df.join(F.broadcast(ledger.select("run").distinct()), "run", "left_semi")
+    df = df.select("word", "book_id", "positions")
+    keys = ledger.select(F.col("doc_key").try_cast("int").cast("bigint").alias("book_id"),
+                         "doc_key").distinct()
+    multi = keys.groupBy("book_id").count().filter(F.col("count") > 1).select("book_id")
+    if collect_if_small(multi, 0) is not None:      # no book came under two keys
+        return df
+    m = broadcast_if_small(multi)
+    return (df.join(m, "book_id", "left_anti")
+            .unionByName(merge_postings(df.join(m, "book_id", "left_semi"))))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
@@ -42,8 +87,10 @@ def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def append_ledger(keys: DataFrame, path: str) -> None:
-    keys.select(F.col("doc_key").cast("string")).write.mode("append").parquet(path)
+def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
+    """Append (doc_key, run) rows: the commit record of a run (written after its data)."""
+    keys.select(F.col("doc_key").cast("string"),
+                F.lit(run).cast("string").alias("run")).write.mode("append").parquet(path)
 
 
 # ---- document-partitioned index table --------------------------------------------------

@@ -29,11 +29,11 @@ def test_incremental_over_any_split_equals_full_and_rerun_adds_nothing(spark):
     b = books_from_table(d)
     index_new_books(b.filter(F.col("book_id") % 3 == 0), idx, led)
     index_new_books(b, idx, led)
-    assert _flat(read_postings(spark, idx, merge=True)) == full
+    assert _flat(read_postings(spark, idx, led)) == full
     n_ledger = read_ledger(spark, led).count()
     index_new_books(b, idx, led)  # second run: a no-op
     assert read_ledger(spark, led).count() == n_ledger == d.count()
-    assert _flat(read_postings(spark, idx, merge=True)) == full
+    assert _flat(read_postings(spark, idx, led)) == full
 
 
 def test_files_with_same_int_id_are_united(spark):
@@ -53,7 +53,7 @@ def test_files_with_same_int_id_are_united(spark):
     assert sorted(r.doc_key for r in books.collect()) == ["007", "12", "7"]
     idx, led = work_path(spark, "f-index"), work_path(spark, "f-ledger")
     index_new_books(books, idx, led)
-    got = {(r.word, r.book_id): r.positions for r in read_postings(spark, idx, merge=True).collect()}
+    got = {(r.word, r.book_id): r.positions for r in read_postings(spark, idx, led).collect()}
     assert got[("whale", 7)] == [0, 2]    # union of {0} and {2}
     assert got[("sea", 7)] == [1]
     assert got[("ship", 7)] == [0]
@@ -75,7 +75,7 @@ def test_stream_equals_batch(spark):
     b.filter(F.col("book_id") < 20).coalesce(1).write.mode("append").parquet(src)  # re-delivery
     idx, led, ck = (work_path(spark, n) for n in ("s-index", "s-ledger", "s-ckpt"))
     start_stream_index(spark, src, idx, led, ck).awaitTermination()
-    assert _flat(read_postings(spark, idx, merge=True)) == _flat(build_index(b))
+    assert _flat(read_postings(spark, idx, led)) == _flat(build_index(b))
     assert read_ledger(spark, led).count() == d.count()
 
 
@@ -88,7 +88,7 @@ def test_compacted_index_table_equals_full_build(spark):
     index_new_books(b.filter(F.col("book_id") < 50), idx, led)
     index_new_books(b, idx, led)
     table = work_path(spark, "c-table")
-    name = compact_index(idx, table, 4, spark)
+    name = compact_index(idx, led, table, 4, spark)
     postings, stats = open_index_table(spark, table, 4, name)
     assert _flat(postings) == _flat(build_index(b))
     assert stats.count() == postings.select("word").distinct().count()
@@ -121,4 +121,18 @@ def test_incremental_over_random_splits_equals_full(spark, runs_of):
         members = [k for k, r in enumerate(runs_of) if r == run]
         if members:
             index_new_books(b.filter(klass.isin(members)), idx, led)
+    assert _flat(read_postings(spark, idx, led)) == _flat(build_index(b))
+
+
+def test_uncommitted_run_is_invisible(spark):
+    """A run whose ledger write never happened (crash, or a replayed stream batch) leaves
+    postings behind; readers ignore them, and the replay indexes the books once."""
+    from quire.sinks.index_store import new_run_id, write_run
+    b = books_from_table(_docs(spark))
+    idx, led = work_path(spark, "o-index"), work_path(spark, "o-ledger")
+    write_run(build_index(b.filter(F.col("book_id") < 30)), idx, new_run_id())  # orphan
+    assert read_postings(spark, idx, led).count() == 0
+    index_new_books(b, idx, led)
+    assert _flat(read_postings(spark, idx, led)) == _flat(build_index(b))
+    # without the ledger, a full set-merge read still gives the same index
     assert _flat(read_postings(spark, idx, merge=True)) == _flat(build_index(b))
