@@ -19,33 +19,39 @@ def format_metadata_line(book_id, title, author, date, language) -> Column:
                                                 (book_id, title, author, date, language)])
 
 
-def _pairs(line) -> Column:
+def metadata_pairs(line) -> Column:
+    """ARRAY<STRUCT<k, v>> of every ``Key: value`` match of the line, in order.  Compute
+    it once (one projection) and pass it to the functions below with ``pairs=``."""
     keys = F.regexp_extract_all(_col(line), F.lit(METADATA_PAIR), 1)
     values = F.regexp_extract_all(_col(line), F.lit(METADATA_PAIR), 2)
     return F.arrays_zip(keys.alias("k"), values.alias("v"))
 
 
-def metadata_field(line, key: str) -> Column:
+def _pairs_of(line, pairs) -> Column:
+    return metadata_pairs(line) if pairs is None else _col(pairs)
+
+
+def metadata_field(line, key: str, pairs=None) -> Column:
     """Value of ``key`` in the line (the last one when the key repeats); NULL if absent."""
-    hits = F.filter(_pairs(line), lambda p: p["k"] == F.lit(key))
+    hits = F.filter(_pairs_of(line, pairs), lambda p: p["k"] == F.lit(key))
     return F.try_element_at(hits, F.lit(-1))["v"]
 
 
-def metadata_id(line) -> Column:
+def metadata_id(line, pairs=None) -> Column:
     """Book id of the line as INT: the last ``ID`` value when it is an integer literal,
     -1 when the line has no ``ID``, NULL when the value is not an integer (set aside)."""
-    v = metadata_field(line, "ID")
+    v = metadata_field(line, "ID", pairs)
     parsed = F.when(v.rlike(r"^[+-]?[0-9]+$"), v.try_cast("int"))
     return F.when(v.isNull(), F.lit(-1)).otherwise(parsed)
 
 
-def metadata_fields(line) -> Column:
+def metadata_fields(line, pairs=None) -> Column:
     """MAP<STRING,STRING> of every key except ``ID``; a repeated key keeps its last value.
 
     Duplicates are resolved with array functions, so the session's map-key policy does
     not matter.
     """
-    pairs = F.filter(_pairs(line), lambda p: p["k"] != F.lit("ID"))
+    pairs = F.filter(_pairs_of(line, pairs), lambda p: p["k"] != F.lit("ID"))
     keys = F.transform(pairs, lambda p: p["k"])
     last = F.filter(pairs, lambda p, i: ~F.array_contains(
         F.slice(keys, i + 2, F.greatest(F.size(keys) - i - 1, F.lit(0))), p["k"]))
