@@ -67,8 +67,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         print(out)
         return out
     if spark is None:
+        from pyspark import SparkConf
         from quire.session import get_session
-        spark = get_session()
+        # spark-submit sets the master; a plain `python -m quire` runs locally
+        master = None if SparkConf().contains("spark.master") else "local[*]"
+        spark = get_session(master)
     if args.cmd == "index":
         from quire.plans.indexing import build_index
         from quire.sinks.index_store import save_index_table
