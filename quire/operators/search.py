@@ -1,7 +1,8 @@
 """Conjunctive multi-word search over postings, with metadata criteria.
 
 A request is a row ``(query_id, words ARRAY<STRING>, title, author, year_from, year_to,
-language)``; criteria are nullable strings and NULL means "no filter".  A batch of
+language)`` with a unique ``query_id``; criteria are nullable strings and NULL means "no
+filter".  A batch of
 requests is answered by ONE plan:
 
     small request table -> local relation (bounded collect); small word set -> the index
