@@ -90,13 +90,13 @@ def language_cell(html) -> Column:
 
 
 def download_link(html) -> Column:
-    """href of the first anchor whose text contains 'Plain Text UTF-8' (any case); NULL if
-    there is none (the book is then dropped)."""
+    """href (character references decoded) of the first anchor whose text contains
+    'Plain Text UTF-8' (any case); NULL if there is none (the book is then dropped)."""
     anchors = F.regexp_extract_all(_col(html), F.lit(ANCHOR), 0)
     plain = F.filter(anchors, lambda a: F.lower(
         html_text(F.regexp_extract(a, ANCHOR, 2))).contains(DOWNLOAD_ANCHOR_TEXT))
     first = F.get(plain, 0)
-    return F.when(first.isNotNull(), F.regexp_extract(first, HREF, 1))
+    return F.when(first.isNotNull(), decode_entities(F.regexp_extract(first, HREF, 1)))
 
 
 def absolute_url(href, base: str = BASE_URL) -> Column:
@@ -112,10 +112,11 @@ def link_book_id(href) -> Column:
 
 
 def book_links(html) -> Column:
-    """ARRAY of hrefs of ``li.booklink a[href^='/ebooks/']`` in document order."""
+    """ARRAY of hrefs (references decoded) of ``li.booklink a[href^='/ebooks/']`` in
+    document order."""
     items = F.regexp_extract_all(_col(html), F.lit(BOOKLINK_ITEM), 1)
-    return F.flatten(F.transform(items, lambda i: F.regexp_extract_all(
-        i, F.lit(BOOKLINK_HREF), 1)))
+    return F.transform(F.flatten(F.transform(items, lambda i: F.regexp_extract_all(
+        i, F.lit(BOOKLINK_HREF), 1))), decode_entities)
 
 
 def body_text(html) -> Column:

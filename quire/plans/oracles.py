@@ -152,9 +152,9 @@ RELEASE = (f"CASE WHEN trim(array_to_string(list_transform(regexp_extract_all(ht
 LANGS = "[" + ", ".join(_q(x) for x in LANGUAGES) + "]"
 LANGUAGE = (f"coalesce(list_filter(list_transform(regexp_extract_all(html, {_q(CELL)}, 1), "
             f"lambda c: {html_text('c')}), lambda t: list_contains({LANGS}, t))[1], 'Unknown')")
-DOWNLOAD = (f"regexp_extract(list_filter(regexp_extract_all(html, {_q(ANCHOR)}, 0), lambda a: "
-            f"contains(lower({html_text(f'regexp_extract(a, {_q(ANCHOR)}, 2)')}), 'plain text utf-8'))[1], "
-            f"{_q(HREF)}, 1)")
+DOWNLOAD = decode(f"regexp_extract(list_filter(regexp_extract_all(html, {_q(ANCHOR)}, 0), lambda a: "
+                  f"contains(lower({html_text(f'regexp_extract(a, {_q(ANCHOR)}, 2)')}), 'plain text utf-8'))[1], "
+                  f"{_q(HREF)}, 1)")
 
 BOOK_PAGES = (
     "bp AS (SELECT '/ebooks/' || book_id AS href, '<html><body><h1>' || replace(title, '<', ' ') "
@@ -171,8 +171,8 @@ def listing(where: str = "") -> str:
             f"AS html FROM documents {where} GROUP BY 1")
 
 
-LINKS = (f"links AS (SELECT start_index, flatten(list_transform(regexp_extract_all(html, {_q(LI)}, 1), "
-         f"lambda i: regexp_extract_all(i, {_q(LI_HREF)}, 1))) AS l FROM lp)")
+LINKS = (f"links AS (SELECT start_index, list_transform(flatten(list_transform(regexp_extract_all(html, {_q(LI)}, 1), "
+         f"lambda i: regexp_extract_all(i, {_q(LI_HREF)}, 1))), lambda h: {decode('h')}) AS l FROM lp)")
 LINK_ROWS = ("lr AS (SELECT start_index, CAST(i AS INTEGER) AS link_no, l[i + 1] AS href "
              "FROM links, range(len(l)) r(i))")
 FRONTIER = ("fr AS (SELECT CAST(g AS INTEGER) AS page, false AS claimed FROM "

@@ -73,3 +73,10 @@ def test_single_quoted_attributes(spark):
     assert _one(spark, book_links("html"), html) == ["/ebooks/9"]
     assert _one(spark, release_date("html"), html) == "May 1, 2001"
     assert _one(spark, download_link("html"), html) == "/ebooks/9.txt"
+
+
+def test_hrefs_are_decoded(spark):
+    html = ('<li class="booklink"><a href="/ebooks/1?a=1&amp;b=2">x</a></li>'
+            '<a href="/files/1.txt?x=1&amp;y=2">Plain Text UTF-8</a>')
+    assert _one(spark, book_links("html"), html) == ["/ebooks/1?a=1&b=2"]
+    assert _one(spark, download_link("html"), html) == "/files/1.txt?x=1&y=2"
