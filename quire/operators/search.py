@@ -61,6 +61,27 @@ def localize_requests(requests: DataFrame, max_rows: int = MAX_LOCAL_REQUESTS) -
     return requests.sparkSession.createDataFrame(rows, requests.schema)
 
 
+def _prepare(requests: DataFrame, max_broadcast_rows):
+    """(requests, word list or None, broadcast bound) for a search.
+
+    A small request table is collected once (bounded) into a local relation; its rows
+    then give the distinct words and the request-word count on the driver, so no sizing
+    job runs later (the bound becomes KNOWN_SMALL when the rows prove it).
+    """
+    rows = collect_if_small(requests, MAX_LOCAL_REQUESTS) if MAX_LOCAL_REQUESTS > 0 else None
+    if rows is None:
+        return requests, request_word_list(requests), max_broadcast_rows
+    local = requests.sparkSession.createDataFrame(rows, requests.schema)
+    per_request = [set(r["words"] or []) for r in rows]
+    words = set().union(*per_request) if per_request else set()
+    word_list = sorted(words, key=str) if 0 < MAX_PUSHDOWN_WORDS and \
+        len(words) <= MAX_PUSHDOWN_WORDS else None
+    n_request_words = sum(len(w) for w in per_request)
+    if max_broadcast_rows is not KNOWN_SMALL and n_request_words <= max_broadcast_rows:
+        max_broadcast_rows = KNOWN_SMALL
+    return local, word_list, max_broadcast_rows
+
+
 def with_criteria_columns(requests: DataFrame) -> DataFrame:
     """Add any missing criterion column as NULL (no filter)."""
     for c in CRITERIA:
@@ -196,8 +217,8 @@ def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFram
 def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
-    requests = localize_requests(requests)
-    postings, stats = _narrow(postings, stats, request_word_list(requests))
+    requests, word_list, max_broadcast_rows = _prepare(requests, max_broadcast_rows)
+    postings, stats = _narrow(postings, stats, word_list)
     m = matching_books(postings, requests, stats, max_broadcast_rows)
     return attach_positions(postings, m, requests, max_broadcast_rows)
 
@@ -257,8 +278,7 @@ def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame |
     """
     requests = with_criteria_columns(requests)
     if word_list is None:
-        requests = localize_requests(requests)
-        word_list = request_word_list(requests)
+        requests, word_list, max_broadcast_rows = _prepare(requests, max_broadcast_rows)
     postings, stats = _narrow(postings, stats, word_list)
     matches = matching_books(postings, requests, stats, max_broadcast_rows)
     if catalog is not None:
