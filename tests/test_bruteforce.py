@@ -85,3 +85,61 @@ def test_hot_book_with_many_copies(spark):
     exchanges = re.findall(r"Exchange (\w+)\(([^)]*)\)", plan)
     keyed = [cols for kind, cols in exchanges if kind == "hashpartitioning"]
     assert keyed and all("word" in cols for cols in keyed)
+
+
+MONTHS3 = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+catalog_st = st.lists(st.tuples(
+    st.sampled_from(["Moby Dick", "Sea Tales", "Ship Log", "Whale Song", "Dry Land"]),
+    st.sampled_from(["Melville", "Anon", "Cook", "SEA Writer"]),
+    st.one_of(st.just("Unknown"), st.tuples(st.integers(0, 11), st.integers(1, 28),
+                                            st.integers(1800, 2020))),
+    st.sampled_from(["English", "French", "Unknown"]),
+    st.booleans()), min_size=12, max_size=12)
+crit_st = st.lists(st.tuples(
+    st.lists(st.sampled_from(VOCAB), min_size=1, max_size=3),
+    st.one_of(st.none(), st.sampled_from(["sea", "MOBY", "", "log"])),
+    st.one_of(st.none(), st.sampled_from(["anon", "sea", "COOK"])),
+    st.one_of(st.none(), st.integers(1800, 2020).map(str)),
+    st.one_of(st.none(), st.integers(1800, 2020).map(str)),
+    st.one_of(st.none(), st.sampled_from(["english", "fr", "x"]))), min_size=1, max_size=6)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(books_st, catalog_st, crit_st)
+def test_criteria_search_matches_brute_force(spark, books, cat_rows, reqs):
+    from quire.operators.catalog import load_catalog
+    bdf = spark.createDataFrame([(b, " ".join(t)) for b, t in enumerate(books)],
+                                "book_id BIGINT, text STRING")
+    postings = build_index(bdf, partitions=4).cache()
+    meta, lines = {}, []
+    for b, (title, author, date, lang, present) in enumerate(cat_rows[:len(books)]):
+        if not present:
+            continue            # a book without catalogue data
+        d = date if date == "Unknown" else f"{MONTHS3[date[0]]} {date[1]}, {date[2]}"
+        lines.append((len(lines), f"ID: {b}, Title: {title}, Author: {author}, "
+                                   f"Release Date: {d}, Language: {lang}"))
+        meta[b] = (title, author, None if date == "Unknown" else date[2], lang)
+    catalog = load_catalog(spark.createDataFrame(lines, "line_no BIGINT, line STRING"))
+    requests = [dict(query_id=q, words=w, title=t, author=a, year_from=f, year_to=to,
+                     language=lg) for q, (w, t, a, f, to, lg) in enumerate(reqs)]
+    got = {(r.query_id, r.book_id) for r in
+           S.search_batch(postings, S.make_requests(spark, requests), catalog).collect()}
+
+    def ok(b, r):
+        crit = [r[c] for c in ("title", "author", "year_from", "year_to", "language")]
+        if all(c is None for c in crit):
+            return True
+        if b not in meta:
+            return False
+        title, author, year, lang = meta[b]
+        checks = [(r["title"], lambda v: v.lower() in title.lower()),
+                  (r["author"], lambda v: v.lower() in author.lower()),
+                  (r["language"], lambda v: v.lower() in lang.lower()),
+                  (r["year_from"], lambda v: year is not None and year >= int(v)),
+                  (r["year_to"], lambda v: year is not None and year <= int(v))]
+        return all(v is None or f(v) for v, f in checks)
+
+    expected = {(q, b) for q, r in enumerate(requests) for b, toks in enumerate(books)
+                if all(w in toks and w not in STOPWORDS for w in set(r["words"])) and ok(b, r)}
+    assert got == expected
+    postings.unpersist()
