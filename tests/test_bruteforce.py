@@ -143,3 +143,39 @@ def test_criteria_search_matches_brute_force(spark, books, cat_rows, reqs):
                 if all(w in toks and w not in STOPWORDS for w in set(r["words"])) and ok(b, r)}
     assert got == expected
     postings.unpersist()
+
+
+PAIR = re.compile(r"(\w+)\s*:\s*((?:\w+\s+\d{1,2},\s+\d{4})|[^,]+)", re.ASCII)
+piece_st = st.sampled_from([
+    "ID: 3", "ID: 12", "ID: x9", "Title: Moby, Dick", "Title: July 4, 1776 story",
+    "Author: A: B", "Release Date: Oct 18, 1851", "Release Date: Unknown", "Language: English",
+    "Title: Second", " junk ", "Language:French", "ID:7"])
+lines_st = st.lists(st.lists(piece_st, min_size=1, max_size=6).map(", ".join),
+                    min_size=1, max_size=15)
+
+
+def py_parse(line):
+    book, fields = -1, {}
+    for k, v in PAIR.findall(line):
+        if k == "ID":
+            book = int(v) if re.fullmatch(r"[+-]?[0-9]+", v) else None
+        else:
+            fields[k] = v
+    return book, fields
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines_st)
+def test_catalog_parse_and_last_wins_match_python(spark, lines):
+    from quire.operators.catalog import load_catalog, parse_catalog
+    df = spark.createDataFrame(list(enumerate(lines)), "line_no BIGINT, line STRING")
+    got = {r.line_no: (r.book_id, dict(r.fields)) for r in parse_catalog(df).collect()}
+    assert got == {i: py_parse(l) for i, l in enumerate(lines)}
+    last = {}
+    for l in lines:
+        b, f = py_parse(l)
+        if b is not None and b >= 0:
+            last[b] = f
+    cat = {r.book_id: (r.title, r.author, r.date, r.language) for r in load_catalog(df).collect()}
+    assert cat == {b: (f.get("Title"), f.get("Author"), f.get("Date"), f.get("Language"))
+                   for b, f in last.items()}
