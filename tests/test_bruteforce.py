@@ -179,3 +179,25 @@ def test_catalog_parse_and_last_wins_match_python(spark, lines):
     cat = {r.book_id: (r.title, r.author, r.date, r.language) for r in load_catalog(df).collect()}
     assert cat == {b: (f.get("Title"), f.get("Author"), f.get("Date"), f.get("Language"))
                    for b, f in last.items()}
+
+
+FULL = ["January", "February", "March", "April", "May", "June", "July", "August",
+        "September", "October", "November", "December"]
+date_st = st.tuples(st.integers(0, 11), st.booleans(), st.sampled_from([str.lower, str.upper, str]),
+                    st.integers(0, 99), st.integers(1000, 9000))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(date_st, min_size=1, max_size=40))
+def test_lenient_year_matches_calendar_arithmetic(spark, dates):
+    import datetime
+    from quire.functions.metadata import release_year
+    texts, expected = [], []
+    for m, full, case, day, year in dates:
+        name = case(FULL[m] if full else FULL[m][:3])
+        texts.append(f"{name} {day}, {year}")
+        d = datetime.date(year, m + 1, 1) + datetime.timedelta(days=day - 1)
+        expected.append(d.year)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, d STRING")
+    got = [r.y for r in df.select("i", release_year("d").alias("y")).orderBy("i").collect()]
+    assert got == expected
