@@ -201,3 +201,43 @@ def test_lenient_year_matches_calendar_arithmetic(spark, dates):
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, d STRING")
     got = [r.y for r in df.select("i", release_year("d").alias("y")).orderBy("i").collect()]
     assert got == expected
+
+
+JAVA_MARKER = re.compile(r"\*\*\*[^\n\r\x85\u2028\u2029]*?\*\*\*")  # Java "." 
+TA = re.compile(r"(.*)\s+by\s+(.*)", re.ASCII)
+marker_text_st = st.lists(st.sampled_from(
+    ["***", "*", "x", " ", "\n", "\r", "\x85", "\u2028", "\t", "\x01", "by", " by ", "Ab",
+     "ye"]),
+    max_size=30).map("".join)
+
+
+def py_strip_header(t):
+    m = JAVA_MARKER.search(t)
+    if not m:
+        return t
+    rest = t[m.end():]
+    i, j = 0, len(rest)
+    while i < j and ord(rest[i]) <= 0x20:
+        i += 1
+    while j > i and ord(rest[j - 1]) <= 0x20:
+        j -= 1
+    return rest[i:j]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(marker_text_st, min_size=1, max_size=30))
+def test_header_strip_and_title_split_match_java_rules(spark, texts):
+    from quire.functions.html import split_author, split_title
+    from quire.functions.text import strip_header
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i INT, t STRING")
+    got = df.select("i", strip_header("t").alias("s")).orderBy("i").collect()
+    assert [r.s for r in got] == [py_strip_header(t) for t in texts]
+    # headings are whitespace-normalized single lines
+    heads = [" ".join(t.replace("\x85", " ").replace("\u2028", " ").split()) for t in texts]
+    hdf = spark.createDataFrame([(i, h) for i, h in enumerate(heads)], "i INT, h STRING")
+    got = hdf.select("i", split_title("h").alias("a"), split_author("h").alias("b")) \
+        .orderBy("i").collect()
+    for r, h in zip(got, heads):
+        m = TA.search(h)
+        assert (r.a, r.b) == ((m.group(1).strip(), m.group(2).strip()) if m else
+                              ("Unknown", "Unknown")), repr(h)
