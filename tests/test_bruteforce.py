@@ -241,3 +241,93 @@ def test_header_strip_and_title_split_match_java_rules(spark, texts):
         m = TA.search(h)
         assert (r.a, r.b) == ((m.group(1).strip(), m.group(2).strip()) if m else
                               ("Unknown", "Unknown")), repr(h)
+
+
+from html.parser import HTMLParser  # noqa: E402
+
+BLOCKS = {"br", "p", "div", "li", "ul", "ol", "h1", "h2", "h3", "h4", "h5", "h6", "table",
+          "tr", "td", "th", "article", "section", "nav", "header", "footer", "blockquote",
+          "pre"}
+
+
+class _Page(HTMLParser):
+    """Reference-style extraction with a real HTML parser (jsoup-like text rules)."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.h1, self.cells, self.anchors = [], None, [], []
+        self.cur_h1, self.cur_td, self.cur_a = None, None, None
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag in BLOCKS:
+            for buf in (self.cur_h1, self.cur_td, self.cur_a):
+                if buf is not None:
+                    buf.append(" ")
+        if tag == "h1" and self.h1 is None and self.cur_h1 is None:
+            self.cur_h1 = []
+        elif tag == "td":
+            self.cur_td, self.td_attrs = [], a
+        elif tag == "a":
+            self.cur_a, self.a_href = [], a.get("href", "")
+
+    def handle_endtag(self, tag):
+        if tag in BLOCKS:
+            for buf in (self.cur_h1, self.cur_td, self.cur_a):
+                if buf is not None:
+                    buf.append(" ")
+        norm = lambda b: " ".join("".join(b).replace("\xa0", " ").split(" ")).split()  # noqa
+        if tag == "h1" and self.cur_h1 is not None:
+            self.h1, self.cur_h1 = " ".join(norm(self.cur_h1)), None
+        elif tag == "td" and self.cur_td is not None:
+            self.cells.append((" ".join(norm(self.cur_td)), self.td_attrs.get("itemprop")))
+            self.cur_td = None
+        elif tag == "a" and self.cur_a is not None:
+            self.anchors.append((" ".join(norm(self.cur_a)), self.a_href))
+            self.cur_a = None
+
+    def handle_data(self, data):
+        for buf in (self.cur_h1, self.cur_td, self.cur_a):
+            if buf is not None:
+                buf.append(data)
+
+
+word_st = st.sampled_from(["Moby", "Dick", "by", "Sea", "&amp;", "&lt;x&gt;", "Tales", "A"])
+inline_st = st.lists(st.one_of(word_st, word_st.map(lambda w: f"<i>{w}</i>"),
+                               word_st.map(lambda w: f"<b> {w} </b>")), min_size=1, max_size=6)
+page_st = st.tuples(
+    inline_st, st.lists(st.sampled_from(["English", "Dutch", "Klingon", "  French ", "english"]),
+                        max_size=3),
+    st.lists(st.sampled_from(["Jan 2, 1990", "Unknown x", " May 1, 2001 "]), max_size=2),
+    st.lists(st.tuples(st.sampled_from(["Plain Text UTF-8", "EPUB", "plain text utf-8 (zip)"]),
+                       st.sampled_from(['"/ebooks/1.txt"', "'/files/2.txt?a=1&amp;b=2'",
+                                        '"http://x/3.txt"'])), max_size=3))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(page_st, min_size=1, max_size=10))
+def test_html_extraction_matches_a_parser_on_well_formed_pages(spark, pages):
+    from quire.functions.html import download_link, heading, language_cell, release_date
+    htmls = []
+    for h1, langs, dates, anchors in pages:
+        cells = "".join(f"<td>{l}</td>" for l in langs) + \
+            "".join(f'<td itemprop="datePublished">{d}</td>' for d in dates)
+        links = "".join(f"<a href={href}>{text}</a>" for text, href in anchors)
+        htmls.append(f"<html><body><h1>{' '.join(h1)}</h1><table><tr>{cells}</tr></table>"
+                     f"{links}</body></html>")
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(htmls)], "i INT, html STRING")
+    got = df.select("i", heading("html").alias("h"), release_date("html").alias("d"),
+                    language_cell("html").alias("l"), download_link("html").alias("a")) \
+        .orderBy("i").collect()
+    for r, html in zip(got, htmls):
+        p = _Page()
+        p.feed(html)
+        dates = " ".join(t for t, prop in p.cells if prop == "datePublished").strip()
+        langs = [t for t, _ in p.cells if t in ("English", "Spanish", "French", "German",
+                                                "Italian", "Dutch", "Chinese", "Russian",
+                                                "Japanese")]
+        dl = [href for text, href in p.anchors if "plain text utf-8" in text.lower()]
+        assert r.h == p.h1
+        assert r.d == (dates or "Unknown")
+        assert r.l == (langs[0] if langs else "Unknown")
+        assert r.a == (dl[0] if dl else None)
