@@ -136,3 +136,9 @@ def test_uncommitted_run_is_invisible(spark):
     assert _flat(read_postings(spark, idx, led)) == _flat(build_index(b))
     # without the ledger, a full set-merge read still gives the same index
     assert _flat(read_postings(spark, idx, merge=True)) == _flat(build_index(b))
+
+
+def test_stopwords_from_a_table_equal_the_bundled_list(spark):
+    from quire.sources.stopwords import stopwords_frame
+    b = books_from_table(_docs(spark))
+    assert _flat(build_index(b, stopwords=stopwords_frame(spark))) == _flat(build_index(b))
