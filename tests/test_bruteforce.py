@@ -5,7 +5,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from quire.constants import STOPWORDS, TOKEN_BREAK_CLASS
 from quire.functions.text import tokenize

@@ -1,5 +1,4 @@
 import json
-import os
 
 from quire.__main__ import main
 from quire.operators import search as S
