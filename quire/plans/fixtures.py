@@ -3,8 +3,9 @@
 The driver ships book texts (``documents``), passages (``benchmark``) and web pages
 (``pages``), but no metadata log, no catalogue HTML and no search requests.  These
 functions only shape driver rows into the schemas the jobs read; they do none of the
-jobs' work (no parsing, tokenizing, matching or filtering happens here beyond choosing
-request words with the library tokenizer, as a user would type them).
+jobs' work.  Beyond formatting, they only choose which rows a stand-in holds (e.g. the
+books a second crawl re-delivers are those whose text had a header) and choose request
+words with the library tokenizer, as a user would type them.
 """
 
 from __future__ import annotations
