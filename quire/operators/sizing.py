@@ -43,16 +43,25 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _cores(df: DataFrame) -> int | None:
+    try:
+        return int(df.sparkSession.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        return None
+
+
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``partitions`` tasks when its input has fewer splits, so
-    CPU-heavy per-row work (tokenizing, regex parsing) runs in parallel.  Keyless, so no
-    id or text can make one task hot; inputs that already split into enough tasks (the
-    normal case at scale) are left as they are."""
+    """Round-robin ``df`` over ``partitions`` tasks when its input has fewer splits than
+    the cluster has cores, so CPU-heavy per-row work (tokenizing, regex parsing) runs in
+    parallel.  Keyless, so no id or text can make one task hot.  An input that already
+    splits into at least one task per core (the normal case at scale) is left as it is:
+    no data moves."""
     target = _partitions(df, partitions)
+    cores = _cores(df) or target
     try:
         splits = df.rdd.getNumPartitions()   # plans the scan only, runs no job
     except Exception:  # noqa: BLE001 - sessions without the RDD API: always spread
         splits = 0
-    if splits >= target:
+    if splits >= min(cores, target):
         return df
     return df.repartition(target)
