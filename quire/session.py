@@ -24,6 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     # joins on (word, book_id) reuse a book_id bucketing / partitioning of the index
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
+    # an index bucket is one file sorted by (word, book_id): joins can use that order
+    # instead of sorting the bucket again (Spark applies it only to one-file buckets)
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
