@@ -1,0 +1,30 @@
+"""The README's quick-use flow, run end to end on sf0.001."""
+
+from quire.operators import search as S
+from quire.operators.catalog import load_catalog
+from quire.plans import fixtures
+from quire.plans.indexing import build_index
+from quire.session import work_path
+from quire.sinks.books_store import append_catalog_lines
+from quire.sinks.index_store import open_index_table, save_index_table
+from quire.sources.books import books_from_table
+from quire.sources.catalog import read_catalog_lines
+
+SF = "/root/testdata/sf0.001"
+
+
+def test_quick_use(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    books = books_from_table(docs)
+    index_dir, lines_dir = work_path(spark, "qu-index"), work_path(spark, "qu-lines")
+    name = save_index_table(build_index(books), index_dir, buckets=8)
+    postings, stats = open_index_table(spark, index_dir, 8, name)
+    append_catalog_lines(fixtures.catalog_lines(docs).select("line"), lines_dir)
+    catalog = load_catalog(read_catalog_lines(spark, lines_dir))
+    one = S.search(spark, postings, ["en", "er"], year_from="2000", catalog=catalog,
+                   stats=stats).collect()
+    assert one and all(set(r.positions) == {"en", "er"} for r in one)
+    requests = S.make_requests(spark, [dict(query_id=1, words=["en", "er"], year_from="2000"),
+                                       dict(query_id=2, words=["en"])])
+    batch = S.search_batch(postings, requests, catalog, stats).collect()
+    assert sorted(r.book_id for r in batch if r.query_id == 1) == [r.book_id for r in one]
