@@ -15,7 +15,10 @@ from quire.functions.html import (
     ANCHOR, BLOCK_TAGS as BLOCK, BOOKLINK_HREF as LI_HREF, BOOKLINK_ITEM as LI, CELL,
     DATE_CELL, ENTITIES, H1, HREF,
 )
-from quire.plans.fixtures import CRITERIA_PROFILES
+from quire.plans.fixtures import (
+    BOOKS_PER_LISTING, CRITERIA_PROFILES, DATE_MULT, DATE_ORIGIN, DATE_SPAN, LANG_NAMES,
+    NO_DOWNLOAD_EVERY, TITLE_CHARS, UNKNOWN_DATE_EVERY,
+)
 
 
 def _q(s: str) -> str:
@@ -52,15 +55,16 @@ IDX = (f"idx AS (SELECT word, book_id, list_sort(list_distinct(list(pos))) AS p
        f"FROM tp WHERE word NOT IN {STOP} GROUP BY word, book_id)")
 BASE = f"WITH {TOK}, {TP}, {IDX}"
 
-TITLE = "translate(substring(text, 1, 40), chr(13) || chr(10), '  ')"
-LANG = ("CASE lang WHEN 'en' THEN 'English' WHEN 'fr' THEN 'French' WHEN 'de' THEN 'German' "
-        "WHEN 'es' THEN 'Spanish' ELSE 'Unknown' END")
-RDATE = ("CASE WHEN doc_id % 10 = 0 THEN 'Unknown' ELSE strftime(DATE '1995-01-01' + "
-         "CAST((doc_id * 37) % 9000 AS INTEGER), '%b %-d, %Y') END")
+TITLE = f"translate(substring(text, 1, {TITLE_CHARS}), chr(13) || chr(10), '  ')"
+LANG = ("CASE lang " + " ".join(f"WHEN {_q(c)} THEN {_q(n)}" for c, n in LANG_NAMES)
+        + " ELSE 'Unknown' END")
+RDATE = (f"CASE WHEN doc_id % {UNKNOWN_DATE_EVERY} = 0 THEN 'Unknown' ELSE "
+         f"strftime(DATE '{DATE_ORIGIN}' + CAST((doc_id * {DATE_MULT}) % {DATE_SPAN} AS INTEGER), "
+         f"'%b %-d, %Y') END")
 
 
 def catalog_fields(text: str = "text", where: str = "") -> str:
-    return (f"SELECT doc_id AS book_id, translate(substring({text}, 1, 40), chr(13) || chr(10), '  ') AS title, "
+    return (f"SELECT doc_id AS book_id, translate(substring({text}, 1, {TITLE_CHARS}), chr(13) || chr(10), '  ') AS title, "
             f"'Author ' || source AS author, {RDATE} AS release_date, {LANG} AS language "
             f"FROM documents {where}")
 
@@ -160,12 +164,12 @@ BOOK_PAGES = (
     "bp AS (SELECT '/ebooks/' || book_id AS href, '<html><body><h1>' || replace(title, '<', ' ') "
     "|| ' by ' || author || '</h1><table><tr><td>' || language || '</td>' || "
     "CASE WHEN release_date = 'Unknown' THEN '' ELSE '<td itemprop=\"datePublished\">' || release_date || '</td>' END "
-    "|| '</tr></table>' || CASE WHEN book_id % 17 = 0 THEN '' ELSE '<a href=\"/ebooks/' || book_id || "
+    f"|| '</tr></table>' || CASE WHEN book_id % {NO_DOWNLOAD_EVERY} = 0 THEN '' ELSE '<a href=\"/ebooks/' || book_id || "
     "'.txt.utf-8\">Plain Text UTF-8</a>' END || '</body></html>' AS html FROM (" + catalog_fields() + "))")
 
 
 def listing(where: str = "") -> str:
-    return ("SELECT CAST(floor(doc_id / 25) * 25 AS INTEGER) AS start_index, "
+    return (f"SELECT CAST(floor(doc_id / {BOOKS_PER_LISTING}) * {BOOKS_PER_LISTING} AS INTEGER) AS start_index, "
             "'<html><body><a href=\"/ebooks/search\">all</a><ul>' || string_agg('<li class=\"booklink\">"
             "<a href=\"/ebooks/' || doc_id || '\">x</a></li>', '' ORDER BY doc_id) || '</ul></body></html>' "
             f"AS html FROM documents {where} GROUP BY 1")
