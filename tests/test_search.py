@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from quire.functions.text import parse_query
@@ -174,3 +175,28 @@ def test_keyword_in_context_edges(spark):
     hits = spark.createDataFrame([(1, 0), (1, 6), (1, 11)], "book_id BIGINT, pos INT")
     got = sorted((r.pos, r.fragment) for r in keyword_in_context(hits, books, radius=2).collect())
     assert got == [(0, "a b c"), (6, "e f g h i"), (11, "j k l")]
+
+
+def test_random_requests_on_real_index_equal_intersections(spark):
+    """On the sf0.001 index: a k-word request returns exactly the books in every
+    one-word answer (words drawn from the real vocabulary, frequent and rare)."""
+    import random
+    from quire.operators.postings import word_stats
+    from quire.sources.books import books_from_table
+    idx = build_index(books_from_table(
+        spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))).cache()
+    stats = word_stats(idx).cache()
+    vocab = [r.word for r in stats.orderBy(F.desc("n_books"), "word").limit(300).collect()]
+    rng = random.Random(7)
+    reqs = [dict(query_id=i, words=rng.sample(vocab, rng.choice([2, 3]))) for i in range(40)]
+    got = {}
+    for r in S.search_batch(idx, S.make_requests(spark, reqs), stats=stats).collect():
+        got.setdefault(r.query_id, set()).add(r.book_id)
+    books_of = {}
+    for r in idx.filter(F.col("word").isin(vocab)).select("word", "book_id").collect():
+        books_of.setdefault(r.word, set()).add(r.book_id)
+    for q in reqs:
+        expect = set.intersection(*(books_of[w] for w in q["words"]))
+        assert got.get(q["query_id"], set()) == expect
+    idx.unpersist()
+    stats.unpersist()
