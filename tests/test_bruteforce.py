@@ -330,3 +330,42 @@ def test_html_extraction_matches_a_parser_on_well_formed_pages(spark, pages):
         assert r.d == (dates or "Unknown")
         assert r.l == (langs[0] if langs else "Unknown")
         assert r.a == (dl[0] if dl else None)
+
+
+class _Listing(HTMLParser):
+    """Anchors with href^='/ebooks/' inside li elements whose class list has booklink."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.in_item, self.links = False, []
+
+    def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "li":
+            self.in_item = "booklink" in (a.get("class") or "").split()
+        elif tag == "a" and self.in_item and (a.get("href") or "").startswith("/ebooks/"):
+            self.links.append(a["href"])
+
+    def handle_endtag(self, tag):
+        if tag == "li":
+            self.in_item = False
+
+
+item_st = st.tuples(st.sampled_from(["booklink", "x booklink", "booklinks", "other", "booklink y"]),
+                    st.sampled_from(["/ebooks/1", "/ebooks/22?a=1&amp;b=2", "/other/3", "/ebooks/"]),
+                    st.sampled_from(['"', "'"]))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(item_st, max_size=6), min_size=1, max_size=8))
+def test_book_links_match_a_parser(spark, pages):
+    from quire.functions.html import book_links
+    htmls = ["<html><body><a href=\"/ebooks/0\">out</a><ul>" + "".join(
+        f'<li class={q}{cls}{q}><a href={q}{href}{q}>t</a></li>' for cls, href, q in items)
+        + "</ul></body></html>" for items in pages]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(htmls)], "i INT, html STRING")
+    got = [r.l for r in df.select("i", book_links("html").alias("l")).orderBy("i").collect()]
+    for links, html in zip(got, htmls):
+        p = _Listing()
+        p.feed(html)
+        assert links == p.links
