@@ -369,3 +369,49 @@ def test_book_links_match_a_parser(spark, pages):
         p = _Listing()
         p.feed(html)
         assert links == p.links
+
+
+class _Body(HTMLParser):
+    """Whole text of body: data of every text node, br as a newline, no script/style."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.in_body, self.skip, self.out = False, 0, []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "body":
+            self.in_body = True
+        elif tag in ("script", "style"):
+            self.skip += 1
+        elif tag == "br" and self.in_body:
+            self.out.append("\n")
+
+    def handle_endtag(self, tag):
+        if tag in ("script", "style"):
+            self.skip -= 1
+        elif tag == "body":
+            self.in_body = False
+
+    def handle_data(self, data):
+        if self.in_body and not self.skip:
+            self.out.append(data)
+
+
+chunk_st = st.sampled_from([
+    "<p>one  two</p>", "<br>", "<br/>", "<b>x</b>y", "<script>var a = '<b>';</script>",
+    "<style>p{a:b}</style>", "<!-- note -->", "a &amp; b", "&lt;tag&gt;", "\n  text\t",
+    "&quot;q&quot;", "<div>d</div>", "&copy; &middot;"])
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.lists(chunk_st, max_size=8).map("".join), min_size=1, max_size=8))
+def test_body_text_matches_a_parser(spark, bodies):
+    from quire.functions.html import body_text
+    htmls = [f"<html><head><title>t</title><script>x()</script></head><body>{b}</body></html>"
+             for b in bodies]
+    df = spark.createDataFrame([(i, h) for i, h in enumerate(htmls)], "i INT, html STRING")
+    got = [r.t for r in df.select("i", body_text("html").alias("t")).orderBy("i").collect()]
+    for text, html in zip(got, htmls):
+        p = _Body()
+        p.feed(html)
+        assert text == "".join(p.out), repr(html)
