@@ -25,13 +25,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def write_postings(postings: DataFrame, path: str, mode: str = "append") -> None:
-    """Write postings sorted by (word, book_id) inside each file, so Parquet row-group
-    statistics on ``word`` let point lookups skip most of the index."""
-    postings.select("word", "book_id", "positions") \
-        .sortWithinPartitions("word", "book_id").write.mode(mode).parquet(path)
-
-
 def new_run_id() -> str:
     return "r-" + uuid.uuid4().hex
 
@@ -71,7 +64,7 @@ def read_postings(spark: SparkSession, path: str, ledger_path: str | None = None
         df = df.join(F.broadcast(ledger.select("run").distinct()), "run", "left_semi")
     df = df.select("word", "book_id", "positions")
     keys = ledger.select(F.col("doc_key").try_cast("int").cast("bigint").alias("book_id"),
-                         "doc_key").distinct()
+                         "doc_key").filter(F.col("book_id").isNotNull()).distinct()
     multi = keys.groupBy("book_id").count().filter(F.col("count") > 1).select("book_id")
     if collect_if_small(multi, 0) is not None:      # no book came under two keys
         return df
