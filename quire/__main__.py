@@ -6,6 +6,7 @@
                             (--words 'w1+w2' [--title T] [--author A] [--from Y] [--to Y]
                              [--language L] | --requests FILE.jsonl) --out PATH
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
+    python -m quire compact --index PATH --ledger PATH --out PATH --buckets N
     python -m quire nbooks  --ledger PATH
     python -m quire fragment --book ID --word-pos N
 
@@ -52,6 +53,10 @@ def _parser() -> argparse.ArgumentParser:
     st = sub.add_parser("ingest")
     for a in ("source", "index", "ledger", "checkpoint"):
         st.add_argument(f"--{a}", required=True)
+    cp = sub.add_parser("compact")
+    for a in ("index", "ledger", "out"):
+        cp.add_argument(f"--{a}", required=True)
+    cp.add_argument("--buckets", type=int, required=True)
     n = sub.add_parser("nbooks")
     n.add_argument("--ledger", required=True)
     f = sub.add_parser("fragment")
@@ -92,6 +97,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         q = start_stream_index(spark, args.source, args.index, args.ledger, args.checkpoint)
         q.awaitTermination()
         return q.id
+    if args.cmd == "compact":
+        from quire.plans.indexing import compact_index
+        return compact_index(args.index, args.ledger, args.out, args.buckets, spark)
     if args.cmd == "nbooks":
         from quire.operators.ledger import ledger_size
         from quire.sinks.index_store import read_ledger

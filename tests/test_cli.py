@@ -42,3 +42,21 @@ def test_cli_index_catalog_search(spark, tmp_path):
 def test_cli_fragment_stub():
     assert main(["fragment", "--book", "12", "--word-pos", "3"]) == \
         "Sample text containing word 3 in book 12"
+
+
+def test_cli_ingest_compact_search(spark):
+    from quire.sources.books import books_from_table
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    landing, idx, led, ck, table = (work_path(spark, n) for n in
+                                    ("cli-land", "cli-runs", "cli-led", "cli-ck", "cli-table"))
+    books_from_table(docs).repartition(2).write.parquet(landing)
+    main(["ingest", "--source", landing, "--index", idx, "--ledger", led,
+          "--checkpoint", ck], spark)
+    assert main(["nbooks", "--ledger", led], spark) == docs.count()
+    main(["compact", "--index", idx, "--ledger", led, "--out", table, "--buckets", "4"], spark)
+    out = work_path(spark, "cli-out3")
+    main(["search", "--index", table, "--buckets", "4", "--words", "en+er", "--out", out], spark)
+    from quire.sinks.index_store import open_index_table
+    postings, _ = open_index_table(spark, table, 4)
+    expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"]).collect())
+    assert sorted(r["book_id"] for r in spark.read.json(out).collect()) == expect
