@@ -96,6 +96,11 @@ def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
 # the book_id bucketing.  Bucketing happens after aggregation, where one book is at most
 # its vocabulary, so a book delivered in many copies cannot make a bucket hot.
 
+def _sql_string(text: str) -> str:
+    """Escape a value for a single-quoted Spark SQL string literal."""
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 def _table_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
 
@@ -123,7 +128,7 @@ def open_bucketed(spark: SparkSession, path: str, schema: str, buckets: int,
     if not spark.catalog.tableExists(name):
         spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (book_id) "
                   f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS "
-                  f"LOCATION '{path}'")
+                  f"LOCATION '{_sql_string(path)}'")
     return spark.table(name)
 
 
