@@ -352,7 +352,7 @@ def search_all_words(spark, sf):
 @register("search_intersect")
 def search_intersect(spark, sf):
     """Two-word requests (every pair of consecutive distinct words of every passage)
-    answered as the INTERSECT of the two per-word book sets."""
+    answered as the set intersection of the two per-word book sets."""
     p = passages(spark, sf).select(
         "query_id", F.posexplode(F.arrays_zip(
             F.slice("words", 1, F.greatest(F.size("words") - 1, F.lit(0))),
