@@ -12,7 +12,8 @@
 
 ``search --words`` splits on '+' like the reference route; a request file holds one JSON
 object per line: {"query_id": 1, "words": [...], "title": ..., "year_from": ..., ...}.
-Results are JSON lines {"query_id", "book_id", "positions": {word: [pos, ...]}}.
+Results are JSON lines {"query_id", "bookId", "positions": {word: [pos, ...]}} — the
+reference's result object plus the request id.
 """
 
 from __future__ import annotations
@@ -129,7 +130,8 @@ def _search(spark: SparkSession, args) -> str:
         requests = S.with_criteria_columns(
             spark.read.schema(S.REQUEST_SCHEMA).json(args.requests))
     res = S.search_batch(postings, requests, catalog, stats)
-    res.write.mode("overwrite").json(args.out)
+    res.select("query_id", F.col("book_id").alias("bookId"), "positions") \
+        .write.mode("overwrite").json(args.out)
     return args.out
 
 

@@ -20,7 +20,7 @@ def test_cli_index_catalog_search(spark, tmp_path):
     out = work_path(spark, "cli-out")
     main(["search", "--index", idx, "--buckets", "4", "--catalog", cat, "--words", "en+er",
           "--language", "english", "--out", out], spark)
-    got = sorted(r["book_id"] for r in spark.read.json(out).collect())
+    got = sorted(r["bookId"] for r in spark.read.json(out).collect())
     from quire.sinks.index_store import open_catalog_table, open_index_table
     postings, stats = open_index_table(spark, idx, 4)
     catalog = open_catalog_table(spark, cat, 4)
@@ -59,4 +59,4 @@ def test_cli_ingest_compact_search(spark):
     from quire.sinks.index_store import open_index_table
     postings, _ = open_index_table(spark, table, 4)
     expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"]).collect())
-    assert sorted(r["book_id"] for r in spark.read.json(out).collect()) == expect
+    assert sorted(r["bookId"] for r in spark.read.json(out).collect()) == expect
