@@ -120,6 +120,9 @@ def _search(spark: SparkSession, args) -> str:
         for bound in (getattr(args, "from"), args.to):
             if bound is not None:
                 int(bound)   # a bad year bound fails here, before any job runs
+        if all(v is None for v in (args.title, args.author, getattr(args, "from"), args.to,
+                                   args.language)):
+            catalog = None      # no criterion: the metadata is not needed
         one = spark.createDataFrame([(0, args.words)], "query_id BIGINT, q STRING")
         requests = one.select("query_id", parse_query("q").alias("words"),
                               *[F.lit(v).cast("string").alias(c) for c, v in
