@@ -59,7 +59,8 @@ def gram_counts(text: str | None, dims: int = DIMS) -> np.ndarray | None:
         grams = [one[one != 0] * np.uint32(2654435761)]
         if len(codes) > 1:
             two = codes[:-1] * np.uint32(2246822519) + codes[1:] * np.uint32(3266489917)
-            grams.append((two ^ (two >> np.uint32(15))) * np.uint32(668265263))
+            new = two[len(tail) - 1:]                        # pairs inside the tail are counted
+            grams.append((new ^ (new >> np.uint32(15))) * np.uint32(668265263))
             if len(codes) > 2:
                 three = two[:-1] * np.uint32(374761393) + codes[2:] * np.uint32(2654435769)
                 grams.append((three ^ (three >> np.uint32(13))) * np.uint32(2246822519))

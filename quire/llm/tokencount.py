@@ -113,9 +113,10 @@ def scan_separators(files: DataFrame, eod: int = EOD, dtype: str = DTYPE, block_
             yield pa.RecordBatch.from_arrays([batch.column("file"), pa.array(sizes, pa.int64())], ["file", "tokens"])
 
     names = files.select("file").filter("file is not null").distinct()
-    blocks = (names.mapInArrow(sized, "file string, tokens bigint").filter("tokens > 0")
-              .select("file", "tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(tokens - 1) div {block_tokens}"))).alias("block"))
-              .repartition("file", "block"))
+    lengths = staged(names.mapInArrow(sized, "file string, tokens bigint").filter("tokens > 0"), "token-files")
+    tasks = lengths.agg(F.sum(F.ceil(F.col("tokens") / block_tokens))).first()[0] or 1
+    blocks = (lengths.select("file", "tokens", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(tokens - 1) div {block_tokens}"))).alias("block"))
+              .repartition(tasks, "file", "block"))     # tiny rows, large reads: a task a block
 
     def scanned(batches):
         for batch in batches:

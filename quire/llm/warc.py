@@ -229,7 +229,9 @@ def normalise(files: DataFrame, plan: DataFrame | None = None, folder: str | Non
                     [pa.array([uri]), pa.array([f"{root}/{name}.warc.gz"]), pa.array([f"{root}/{name}.idx"]), pa.array([n], pa.int64())],
                     ["file", "archive", "sidecar", "n"])
 
-    return staged(names.join(asked, "file", "left").repartition("file").mapInArrow(
+    # the rows are tiny and the files are not: as many tasks as files
+    tasks = max(1, names.count())
+    return staged(names.join(asked, "file", "left").repartition(tasks, "file").mapInArrow(
         rewritten, "file string, archive string, sidecar string, n bigint"), "warc-archives")
 
 
@@ -244,9 +246,10 @@ def read_records(archives: DataFrame, records_a_task: int = 2048, with_payload:
 
     (archive, seq, page_id, record_type, refers_to, payload_bytes, payload_digest[, payload]).
     The digest of a payload that is there is computed and must equal the header's."""
+    tasks = archives.agg(F.sum(F.ceil(F.col("n") / records_a_task))).first()[0] or 1
     ranges = (archives.filter("n > 0")
               .select("archive", "sidecar", "n", F.explode(F.expr(f"sequence(0l, n - 1, {records_a_task}l)")).alias("seq0"))
-              .repartition("archive", "seq0"))
+              .repartition(tasks, "archive", "seq0"))
 
     def read(batches):
         for batch in batches:
