@@ -12,13 +12,12 @@ starts in a document with a smaller id.  Steps:
    (alphabet: words) of its passages, and all runs that hold the shard's phrases stream through
    it; every occurrence in a later document is reported.  Shards are cut so that an automaton
    has a bounded number of passages.
-4. Removal.  The ranges join their documents, and covered words go.
+4. Removal.  The ranges join their documents, and covered words go.  Exact copies of a smaller
+   document, known from two 64-bit hashes, skip steps 1 to 3 and lose all words of windows.
 
 All documents are streamed in steps 1 and 4; only the parts that can hold a passage travel in
-between.  A phrase with more than ``hot`` occurrences is not gathered anywhere: its
-windows are confirmed by a combined aggregation and located by a join that AQE may split.
-Exact copies of a smaller document are known from a digest of two 64-bit hashes
-and lose all words of windows without travelling.
+between.  A phrase with more than ``hot`` occurrences is not gathered anywhere: its different runs
+and their windows are confirmed by combined aggregations and located by joins that AQE may split.
 
 Words are runs of characters other than space and U+0009 to U+000D, unchanged.  Null texts have
 none.  Texts shorter than a window stay whole.  Rows that repeat an id do not remove
@@ -38,7 +37,7 @@ from quire.llm.common import slices
 from quire.llm.wordhash import mix, phrase_hashes, window_anchors, words_of
 
 WINDOW = 13
-PHRASE = 5
+PHRASE = 4
 #: occurrences above which a phrase's windows are not gathered in one shard
 HOT = 2048
 #: runs of words a shard takes at a time; bounds the automaton
@@ -58,7 +57,7 @@ def anchors_of(word_hash: np.ndarray, first: np.ndarray, window: int, phrase: in
 
 
 def _anchor_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
-    """(a, id, d1, c): anchor phrases of every document with their number of places."""
+    """(a, id, c): anchor phrases of every document with their number of places."""
     def found(batches):
         for part, texts in slices(batches, "text", most_bytes=1 << 19):
             words = words_of(texts)
@@ -72,83 +71,114 @@ def _anchor_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
             value, doc = value[order], doc[order]
             new = np.flatnonzero(np.concatenate(([True], (np.diff(value) != 0) | (np.diff(doc) != 0))))
             counts = np.diff(np.append(new, len(value)))
-            doc = pa.array(doc[new])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(value[new].view(np.int64)), part.column("id").take(doc), part.column("d1").take(doc),
-                 pa.array(counts, pa.int64())], ["a", "id", "d1", "c"])
+                [pa.array(value[new].view(np.int64)), part.column("id").take(pa.array(doc[new])), pa.array(counts, pa.int64())],
+                ["a", "id", "c"])
 
-    return docs.mapInArrow(found, "a bigint, id bigint, d1 bigint, c bigint")
+    return docs.mapInArrow(found, "a bigint, id bigint, c bigint")
 
 
 def _runs(held: DataFrame, window: int, phrase: int) -> DataFrame:
-    """Runs of words around candidate phrases: whole for phrases in ``light``, window by
-    window for phrases in ``heavy``; words joined by one space."""
+    """The run of words around each place of the phrases in ``phrases``, joined by one space."""
     def cut(batches):
         for part, texts in slices(batches, "text", most_rows=64):
-            light, heavy = (part.column(c).to_pylist() for c in ("light", "heavy"))
-            out = [[] for _ in range(6)]
+            wanted = part.column("phrases")
+            out = [[] for _ in range(5)]
             for i, text in enumerate(texts):
                 hashed = words_of([text])
                 p, starts, at = anchors_of(hashed.hash, hashed.first, window, phrase)
                 if not len(at):
                     continue
-                words = text.split()
                 edge = np.flatnonzero(np.concatenate(([True], np.diff(at) != 0, [True])))
                 value = p[at[edge[:-1]]].view(np.int64)
-                whole, single = np.isin(value, light[i] or []), np.isin(value, heavy[i] or [])
-                row, d1 = part.column("id")[i].as_py(), part.column("d1")[i].as_py()
-                for r in np.flatnonzero(whole | single).tolist():
-                    lo, hi = int(starts[edge[r]]), int(starts[edge[r + 1] - 1])
-                    for s, e in [(lo, hi)] if whole[r] else [(w, w) for w in range(lo, hi + 1)]:
-                        for x, v in zip(out, (int(value[r]), row, d1, s, b" ".join(words[s:e + window]), bool(single[r]))):
-                            x.append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.bool_())],
-                ["a", "id", "d1", "start", "run", "hot"])
+                here = np.flatnonzero(np.isin(value, wanted[i].values.to_numpy()))
+                if not len(here):
+                    continue
+                words = text.split()
+                lo, hi = starts[edge[here]].tolist(), (starts[edge[here + 1] - 1] + window).tolist()
+                out[0] += value[here].tolist()
+                out[1] += [part.column("id")[i].as_py()] * len(here)
+                out[2] += [part.column("d1")[i].as_py()] * len(here)
+                out[3] += lo
+                out[4] += [b" ".join(words[s:e]) for s, e in zip(lo, hi)]
+            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in out[:4]], pa.array(out[4], pa.binary())],
+                                             ["a", "id", "d1", "start", "run"])
+
+    return held.mapInArrow(cut, "a bigint, id bigint, d1 bigint, start bigint, run binary")
+
+
+def _windows(runs: DataFrame, window: int) -> DataFrame:
+    """(run, place, passage, least, most): every window of distinct runs."""
+    def cut(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                whose, place, passage = [], [], []
+                for i, run in enumerate(part.column("run").to_pylist()):
+                    words = run.split(b" ")
+                    n = len(words) - window + 1
+                    whose += [i] * n
+                    place += range(n)
+                    passage += [b" ".join(words[k:k + window]) for k in range(n)]
+                took = pa.array(whose, pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("run").take(took), pa.array(place, pa.int64()), pa.array(passage, pa.binary()),
+                     part.column("least").take(took), part.column("most").take(took)], ["run", "place", "passage", "least", "most"])
+
+    return runs.mapInArrow(cut, "run binary, place bigint, passage binary, least bigint, most bigint")
+
 
-    return held.mapInArrow(cut, "a bigint, id bigint, d1 bigint, start bigint, run binary, hot boolean")
+def _ranges(ends: list[int], window: int) -> list[tuple[int, int]]:
+    """(first word, last word) of touching windows that end at ``ends``."""
+    out = []
+    for e in ends:
+        if out and e - window < out[-1][1] + 1:
+            out[-1] = (out[-1][0], e)
+        else:
+            out.append((e - window + 1, e))
+    return out
 
 
 def locate(ids: np.ndarray, runs: list[bytes], window: int) -> list[tuple[int, int, int]]:
     """(run, first word, last word) of passages that also start in a smaller document.
 
     Confirms the windows that start in two documents, compiles one automaton of them, and
-    streams every run through it."""
-    vocabulary: dict[bytes, int] = {}
-    codes = [tuple(vocabulary.setdefault(w, len(vocabulary) + 1) for w in run.split(b" ")) for run in runs]
-    first = np.concatenate(([0], np.cumsum([len(c) for c in codes])))
-    flat = np.fromiter((x for c in codes for x in c), np.uint64, int(first[-1]))
-    starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(first[:-1], first[1:])]) if runs else first[:0]
+    streams every different run through it."""
+    index: dict[bytes, int] = {}
+    which = np.fromiter((index.setdefault(r, len(index)) for r in runs), np.int64, len(runs))
+    words = b" ".join(index).split(b" ") if index else []
+    number = {w: i for i, w in enumerate(dict.fromkeys(words), 1)}
+    flat = list(map(number.__getitem__, words))
+    first = np.concatenate(([0], np.cumsum([r.count(b" ") + 1 for r in index], dtype=np.int64)))
+    order = np.lexsort((ids, which))                       # the rows of a run by document
+    rows = np.searchsorted(which[order], np.arange(len(index) + 1))
+    least, most = ids[order[rows[:-1]]], ids[order[rows[1:] - 1]]
+    starts = np.concatenate([np.arange(a, b - window + 1) for a, b in zip(first[:-1], first[1:])]) if index else first[:0]
     if not len(starts):
         return []
-    value = phrase_hashes(mix(flat), window)[starts]
+    value = phrase_hashes(mix(np.array(flat, np.uint64)), window)[starts]
     run = np.searchsorted(first, starts, "right") - 1
-    order = np.lexsort((ids[run], value))
-    new = np.flatnonzero(np.concatenate(([True], np.diff(value[order]) != 0)))
-    last = np.append(new[1:], len(order)) - 1
-    least, most = ids[run[order[new]]], ids[run[order[last]]]
-    recurring = np.flatnonzero(least < most)
+    by = np.argsort(value, kind="stable")
+    new = np.flatnonzero(np.concatenate(([True], np.diff(value[by]) != 0)))
+    low, high = np.minimum.reduceat(least[run[by]], new), np.maximum.reduceat(most[run[by]], new)
+    recurring = np.flatnonzero(low < high)
     if not len(recurring):
         return []
     passages = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for n, group in enumerate(recurring.tolist()):
-        r, s = int(run[order[new[group]]]), int(starts[order[new[group]]])
-        s -= int(first[r])
-        passages.add_word(codes[r][s:s + window], n)
+    at = starts[by[new[recurring]]].tolist()
+    for n, s in enumerate(at):
+        passages.add_word(tuple(flat[s:s + window]), n)
     passages.make_automaton()
-    least = least[recurring]
+    low = low[recurring].tolist()
     found = []
-    for r, code in enumerate(codes):
-        ends = [e for e, n in passages.iter(code) if least[n] < ids[r]]
-        at = 0
-        while at < len(ends):
-            upto = at
-            while upto + 1 < len(ends) and ends[upto + 1] <= ends[upto] + window:
-                upto += 1
-            found.append((r, ends[at] - window + 1, ends[upto]))
-            at = upto + 1
-    return found
+    for u in np.unique(run[np.isin(value, value[by[new[recurring]]])]).tolist():
+        hits = [(e, low[n]) for e, n in passages.iter(tuple(flat[first[u]:first[u + 1]]))]
+        top = max((f for _, f in hits), default=0)
+        everywhere = _ranges([e for e, _ in hits], window)
+        for r in order[rows[u]:rows[u + 1]].tolist():
+            here = everywhere if ids[r] > top else _ranges([e for e, f in hits if f < ids[r]], window)
+            found += [(r, a, b) for a, b in here]
+    return sorted(found)
 
 
 def _located(runs: DataFrame, window: int, shard_runs: int) -> DataFrame:
@@ -193,19 +223,20 @@ def _located(runs: DataFrame, window: int, shard_runs: int) -> DataFrame:
 
 
 def _removed(rows: DataFrame, window: int) -> DataFrame:
-    """(id, n_words, n_removed, kept) from texts with their ranges and their least copy."""
+    """(id, n_words, n_removed, kept) from texts with the ranges and the copied texts of their id."""
     def cut(batches):
         for part, texts in slices(batches, "text"):
             out = [[] for _ in range(3)]
-            ids, copies, ranges = (part.column(c).to_pylist() for c in ("id", "copy_of", "ranges"))
+            ids, digests, copies, ranges = (part.column(c).to_pylist() for c in ("id", "d1", "copies", "ranges"))
             for i, text in enumerate(texts):
                 words = text.split() if text else []
                 n = len(words)
-                if n >= window and copies[i] is not None and copies[i] < ids[i]:
+                own = [(r["start"], r["stop"]) for r in ranges[i] or () if r["d1"] == digests[i]]
+                if n >= window and digests[i] in (copies[i] or ()):
                     words = []
-                elif ranges[i]:
+                elif own:
                     gone = np.zeros(n + 1, np.int64)
-                    at = np.array([(r["start"], r["stop"]) for r in ranges[i]])
+                    at = np.array(own)
                     np.add.at(gone, at[:, 0], 1)
                     np.add.at(gone, at[:, 1], -1)
                     words = [words[j] for j in np.flatnonzero(gone[:n].cumsum() == 0).tolist()]
@@ -224,30 +255,43 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     """(key, n_words, n_removed, kept): ``kept`` holds the words that stay, joined by one space."""
     base = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     named = base.filter("id is not null").select("id", F.xxhash64("text").alias("d1"), "text")
-    anchors = _anchor_rows(named, window, phrase)
-    recurring = (anchors.groupBy("a").agg(F.min("d1").alias("x"), F.max("d1").alias("y"), F.sum("c").alias("n"))
-                 .filter("x != y").select("a", (F.col("n") > hot).alias("hot")))
-    mine = (anchors.select("a", "id", "d1").join(recurring, "a").groupBy("id", "d1")
-            .agg(F.collect_set(F.when(~F.col("hot"), F.col("a"))).alias("light"),
-                 F.collect_set(F.when(F.col("hot"), F.col("a"))).alias("heavy")))
-    # exact copies: the least document with the same text
+    # exact copies of a smaller document, by id (an id that repeats may have several texts)
     digests = named.select("id", "d1", F.xxhash64(F.lit(1), "text").alias("d2"))
-    least = digests.groupBy("d1", "d2").agg(F.min("id").alias("copy_of"), F.count("*").alias("n")).filter("n > 1")
-    copies = (digests.join(least, ["d1", "d2"]).filter("copy_of < id").select("id", "d1", "copy_of").distinct())
-
-    texts = named.repartition("id", "d1")          # read by both joins below: one exchange
-    sources = mine.join(copies, ["id", "d1"], "left_anti")
-    runs = _runs(texts.join(sources, ["id", "d1"]).select("id", "d1", "text", "light", "heavy"), window, phrase)
-    light = _located(runs.filter("not hot").repartition("a").sortWithinPartitions("a")
-                     .select("a", "id", "d1", "start", "run"), window, shard_runs)
-    windows = runs.filter("hot").select("run", "id", "d1", "start")
-    passages = windows.groupBy("run").agg(F.min("id").alias("least"), F.max("id").alias("most")).filter("least < most")
-    heavy = (windows.join(passages, "run").filter("id > least")
-             .select("id", "d1", "start", (F.col("start") + window).alias("stop")))
-    ranges = light.union(heavy).groupBy("id", "d1").agg(F.collect_list(F.struct("start", "stop")).alias("ranges"))
-    known = (ranges.join(copies, ["id", "d1"], "full"))
-    whole = texts.join(known, ["id", "d1"], "left").select("id", "text", "copy_of", "ranges")
+    least = digests.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
+    copies = (digests.join(least, ["d1", "d2"]).filter("first < id")
+              .groupBy("id").agg(F.collect_set("d1").alias("copies")))
+    # every use of the texts reads this exchange; the other sides are small and hashed, so texts are not sorted
+    texts = named.repartition("id")
+    fresh = (texts.join(copies.hint("shuffle_hash"), "id", "left")
+             .filter(~F.coalesce(F.array_contains("copies", F.col("d1")), F.lit(False))).select("id", "d1", "text"))
+
+    anchors = _anchor_rows(fresh, window, phrase)
+    recurring = (anchors.groupBy("a").agg(F.min("id").alias("x"), F.max("id").alias("y"), F.sum("c").alias("n"))
+                 .filter("x < y").select("a", (F.col("n") > hot).alias("hot")))
+    mine = anchors.select("a", "id").join(recurring, "a").groupBy("id").agg(
+        F.collect_set(F.when(~F.col("hot"), F.col("a"))).alias("light"),
+        F.collect_set(F.when(F.col("hot"), F.col("a"))).alias("heavy"))
+
+    def around(phrases: str) -> DataFrame:
+        held = fresh.join(mine.hint("shuffle_hash"), "id").withColumn("phrases", F.col(phrases)).filter("size(phrases) > 0")
+        return _runs(held.select("id", "d1", "text", "phrases"), window, phrase)
+
+    light = _located(around("light").repartition("a").sortWithinPartitions("a"), window, shard_runs)
+    heavy = around("heavy").select("run", "id", "d1", "start")
+    windows = _windows(heavy.groupBy("run").agg(F.min("id").alias("least"), F.max("id").alias("most")), window)
+    passages = (windows.groupBy("passage").agg(F.min("least").alias("first"), F.max("most").alias("last"))
+                .filter("first < last").select("passage", "first"))
+    places = windows.select("run", "place", "passage").join(passages, "passage").groupBy("run").agg(
+        F.collect_list(F.struct("place", "first")).alias("places"), F.min("first").alias("first"))
+    hits = heavy.join(places, "run").filter("id > first").select("id", "d1", "start", F.filter(
+        "places", lambda p: p["first"] < F.col("id")).alias("places"))
+    found = hits.select(
+        "id", "d1", "start", F.explode("places.place").alias("place")).select(
+        "id", "d1", (F.col("start") + F.col("place")).alias("start"), (F.col("start") + F.col("place") + window).alias("stop"))
+    ranges = light.union(found).groupBy("id").agg(F.collect_list(F.struct("d1", "start", "stop")).alias("ranges"))
+    known = ranges.join(copies, "id", "full")
+    whole = texts.join(known.hint("shuffle_hash"), "id", "left").select("id", "d1", "text", "copies", "ranges")
     unnamed = base.filter("id is null").select(
-        "id", "text", F.lit(None).cast("bigint").alias("copy_of"),
-        F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("ranges"))
+        "id", F.lit(0).cast("bigint").alias("d1"), "text", F.lit(None).cast("array<bigint>").alias("copies"),
+        F.lit(None).cast("array<struct<d1:bigint,start:bigint,stop:bigint>>").alias("ranges"))
     return _removed(whole.union(unnamed), window).withColumnRenamed("id", key)
