@@ -231,7 +231,7 @@ def _removed(rows: DataFrame, window: int) -> DataFrame:
             for i, text in enumerate(texts):
                 words = text.split() if text else []
                 n = len(words)
-                own = [(r["start"], r["stop"]) for r in ranges[i] or () if r["d1"] == digests[i]]
+                own = [(a, a + r["size"]) for r in ranges[i] or () if r["d1"] == digests[i] for a in r["starts"]]
                 if n >= window and digests[i] in (copies[i] or ()):
                     words = []
                 elif own:
@@ -283,15 +283,15 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 .filter("first < last").select("passage", "first"))
     places = windows.select("run", "place", "passage").join(passages, "passage").groupBy("run").agg(
         F.collect_list(F.struct("place", "first")).alias("places"), F.min("first").alias("first"))
-    hits = heavy.join(places, "run").filter("id > first").select("id", "d1", "start", F.filter(
-        "places", lambda p: p["first"] < F.col("id")).alias("places"))
-    found = hits.select(
-        "id", "d1", "start", F.explode("places.place").alias("place")).select(
-        "id", "d1", (F.col("start") + F.col("place")).alias("start"), (F.col("start") + F.col("place") + window).alias("stop"))
-    ranges = light.union(found).groupBy("id").agg(F.collect_list(F.struct("d1", "start", "stop")).alias("ranges"))
+    # one row a run; its windows stay together in an array
+    found = heavy.join(places, "run").filter("id > first").select("id", "d1", F.transform(
+        F.filter("places", lambda p: p["first"] < F.col("id")), lambda p: F.col("start") + p["place"]).alias("starts"),
+        F.lit(window).cast("bigint").alias("size"))
+    light = light.select("id", "d1", F.array("start").alias("starts"), (F.col("stop") - F.col("start")).alias("size"))
+    ranges = light.union(found).groupBy("id").agg(F.collect_list(F.struct("d1", "starts", "size")).alias("ranges"))
     known = ranges.join(copies, "id", "full")
     whole = texts.join(known.hint("shuffle_hash"), "id", "left").select("id", "d1", "text", "copies", "ranges")
     unnamed = base.filter("id is null").select(
         "id", F.lit(0).cast("bigint").alias("d1"), "text", F.lit(None).cast("array<bigint>").alias("copies"),
-        F.lit(None).cast("array<struct<d1:bigint,start:bigint,stop:bigint>>").alias("ranges"))
+        F.lit(None).cast("array<struct<d1:bigint,starts:array<bigint>,size:bigint>>").alias("ranges"))
     return _removed(whole.union(unnamed), window).withColumnRenamed("id", key)
