@@ -72,6 +72,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = jsc.getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="quire-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     # make sure DataFrame.checkpoint() writes to the same shared folder
