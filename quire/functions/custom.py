@@ -1,20 +1,15 @@
-"""A custom tokenizer through the pluggable tokenizer port, as an Arrow-batched pandas UDF.
+"""A custom tokenizer through the pluggable tokenizer port, as a native expression.
 
 Any ``Column -> ARRAY<STRING>`` function can replace the default tokenizer; this one
 splits lower-cased text into runs of Unicode letters (digits and punctuation separate
-words).  It runs per Arrow batch inside the scan stage.
+words).
 """
 
 from __future__ import annotations
 
-import pandas as pd
-import regex
+from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_LETTER_RUN = regex.compile(r"\p{L}+")
 
-
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def letter_run_tokenizer(text: pd.Series) -> pd.Series:
-    return text.map(lambda s: None if s is None else _LETTER_RUN.findall(s.lower()))
+def letter_run_tokenizer(text: Column) -> Column:
+    return F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(0))
