@@ -2,21 +2,35 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.sinks.index_store import read_folder
+
+STORE_SCHEMA = "book_id BIGINT, doc_key STRING, text STRING, batch BIGINT"
+
 
 def latest_books(books: DataFrame, order_col: str = "arrival") -> DataFrame:
     """One row per book id: the last arrival overwrites earlier copies (``max_by`` is a
-    partial aggregate, so many copies of one id are combined before the shuffle)."""
+    partial aggregate, so many copies of one id are combined before the shuffle).  Copies
+    of one arrival are told apart by key and text, so the winner is always the same."""
     return (books.groupBy("book_id")
-            .agg(F.max_by(F.struct("doc_key", "text"), F.col(order_col)).alias("b"))
+            .agg(F.max_by(F.struct("doc_key", "text"), F.struct(order_col, "doc_key", "text")).alias("b"))
             .select("book_id", "b.doc_key", "b.text"))
 
 
 def store_books(books: DataFrame, path: str, order_col: str = "arrival") -> None:
-    """Overwrite the book store with the latest copy of every book."""
-    latest_books(books, order_col).write.mode("overwrite").parquet(path)
+    """Store the latest copy of every book of ``books``; each replaces the stored book of
+    its id, and all other stored books stay.  A call adds one batch folder."""
+    spark = books.sparkSession
+    last = read_folder(spark, path, STORE_SCHEMA).agg(F.max("batch")).first()[0]
+    (latest_books(books, order_col).withColumn("batch", F.lit((last or 0) + 1).cast("bigint"))
+     .write.mode("append").partitionBy("batch").parquet(path))
+
+
+def read_books(spark: SparkSession, path: str) -> DataFrame:
+    """(book_id, doc_key, text): every stored book as its last batch left it."""
+    return latest_books(read_folder(spark, path, STORE_SCHEMA), "batch")
 
 
 def append_catalog_lines(lines: DataFrame, path: str) -> None:

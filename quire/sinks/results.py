@@ -15,4 +15,4 @@ def result_json(book_id="book_id", positions="positions") -> Column:
 def write_results_json(results: DataFrame, path: str) -> None:
     """JSON lines, one result object per line, partitioned by the writing tasks (the
     ``{"results": [...]}`` envelope is a concatenation of these lines)."""
-    results.select("query_id", "book_id", "positions").write.mode("overwrite").json(path)
+    (results.select("query_id", F.col("book_id").alias("bookId"), "positions").write.mode("overwrite").json(path))
