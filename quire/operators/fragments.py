@@ -6,11 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quire.functions.text import tokenize
-from quire.operators.sizing import collect_if_small
-
-# Hit tables up to this many rows are collected once (bounded) and their book ids pushed
-# into the book scan; larger hit tables are joined on book_id by the planner.
-MAX_LOCAL_HITS = 100_000
+from quire.operators.sizing import broadcast_if_small
+from quire.session import work_path
 
 
 def keyword_in_context(hits: DataFrame, books: DataFrame, radius: int = 5,
@@ -18,21 +15,19 @@ def keyword_in_context(hits: DataFrame, books: DataFrame, radius: int = 5,
     """For rows (…, book_id, pos): the tokens from ``pos - radius`` to ``pos + radius``
     of that book, joined by spaces, as ``fragment``.
 
-    Only the books that have hits are tokenized.  A small hit table (bounded collect) is
-    computed once, and its book ids become a ``book_id IN (...)`` filter on the book scan,
-    so no book text is shuffled; a large one is semi-joined on book_id, and AQE may
-    broadcast the ids from their measured size.
+    The hits are computed once, into the shared work folder; nothing of them passes through
+    the driver.  Only the books that have hits are tokenized.  Fragments are cut once for each
+    (book, position) and then joined to the hits that share it.  Few ids or places (bounded
+    counts) are broadcast, so no book text is shuffled.
     """
-    rows = collect_if_small(hits, MAX_LOCAL_HITS)
-    if rows is not None:
-        hits = hits.sparkSession.createDataFrame(rows, hits.schema)
-        ids = sorted({r["book_id"] for r in rows})
-        wanted = books.filter(F.col("book_id").isin(ids))
-        hits_side = F.broadcast(hits)
-    else:
-        wanted = books.join(hits.select("book_id").distinct(), "book_id", "left_semi")
-        hits_side = hits
+    staged = work_path(hits.sparkSession, "hits")
+    hits.write.parquet(staged)
+    hits = hits.sparkSession.read.schema(hits.schema).parquet(staged)
+    ids = broadcast_if_small(hits.select("book_id").distinct())
+    places = broadcast_if_small(hits.select("book_id", "pos").distinct())
+    wanted = books.join(ids, "book_id", "left_semi")
     tokens = wanted.select("book_id", tokenizer(F.col("text")).alias("_tokens"))
     start = F.greatest(F.col("pos") - radius, F.lit(0))
     frag = F.array_join(F.slice("_tokens", start + 1, F.col("pos") + radius - start + 1), " ")
-    return tokens.join(hits_side, "book_id").select(*hits.columns, frag.alias("fragment"))
+    cut = tokens.join(places, "book_id").select("book_id", "pos", frag.alias("fragment"))
+    return hits.join(cut, ["book_id", "pos"]).select(*hits.columns, "fragment")

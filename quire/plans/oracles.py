@@ -296,9 +296,10 @@ ORACLES: dict[str, str] = {
     "search_batch": search_batch_sql(),
     "search_json": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, to_json({{'bookId': book_id, "
                     f"'positions': map_from_entries(list((word, p) ORDER BY word))}}) AS json FROM mc GROUP BY 1, 2"),
-    "fragment_stub": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, word, p[1] AS pos, "
-                      f"printf({_q(FRAGMENT_STUB)}, CAST(p[1] AS VARCHAR), CAST(book_id AS VARCHAR)) AS fragment FROM mc"),
-    "text_fragment": (f"{PASSAGE_SEARCH}, h AS (SELECT query_id, book_id, word, p[1] AS pos FROM mc) "
+    "fragment_stub": (f"{PASSAGE_SEARCH} SELECT query_id, book_id, word, pos, "
+                      f"printf({_q(FRAGMENT_STUB)}, CAST(pos AS VARCHAR), CAST(book_id AS VARCHAR)) AS fragment "
+                      f"FROM mc, unnest(p) AS u(pos)"),
+    "text_fragment": (f"{PASSAGE_SEARCH}, h AS (SELECT query_id, book_id, word, pos FROM mc, unnest(p) AS u(pos)) "
                       f"SELECT h.query_id, h.book_id, h.word, h.pos, array_to_string(tok.t[greatest(h.pos - 5, 0) + 1 : h.pos + 5 + 1], ' ') "
                       f"AS fragment FROM h JOIN tok ON h.book_id = tok.book_id"),
     "strip_header": f"SELECT doc_id AS book_id, {strip_header('text')} AS text FROM documents",
