@@ -2,7 +2,7 @@
 
     python -m quire index   --books PATH [--text-dir] --out PATH --buckets N
     python -m quire catalog --lines PATH --out PATH --buckets N
-    python -m quire search  --index PATH --buckets N [--catalog PATH]
+    python -m quire search  --index PATH [--catalog PATH]
                             (--words 'w1+w2' [--title T] [--author A] [--from Y] [--to Y]
                              [--language L] | --requests FILE.jsonl) --out PATH
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
@@ -43,7 +43,6 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("--buckets", type=int, required=True)
     s = sub.add_parser("search")
     s.add_argument("--index", required=True)
-    s.add_argument("--buckets", type=int, required=True)
     s.add_argument("--catalog")
     g = s.add_mutually_exclusive_group(required=True)
     g.add_argument("--words")
@@ -54,6 +53,7 @@ def _parser() -> argparse.ArgumentParser:
     st = sub.add_parser("ingest")
     for a in ("source", "index", "ledger", "checkpoint"):
         st.add_argument(f"--{a}", required=True)
+    st.add_argument("--max-files", type=int, default=1000)
     cp = sub.add_parser("compact")
     for a in ("index", "ledger", "out"):
         cp.add_argument(f"--{a}", required=True)
@@ -95,7 +95,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         return _search(spark, args)
     if args.cmd == "ingest":
         from quire.streaming.ingest import start_stream_index
-        q = start_stream_index(spark, args.source, args.index, args.ledger, args.checkpoint)
+        q = start_stream_index(spark, args.source, args.index, args.ledger, args.checkpoint,
+                               max_files_per_trigger=args.max_files)
         q.awaitTermination()
         return q.id
     if args.cmd == "compact":
@@ -114,8 +115,8 @@ def _search(spark: SparkSession, args) -> str:
     from quire.functions.text import parse_query
     from quire.operators import search as S
     from quire.sinks.index_store import open_catalog_table, open_index_table
-    postings, stats = open_index_table(spark, args.index, args.buckets)
-    catalog = open_catalog_table(spark, args.catalog, args.buckets) if args.catalog else None
+    postings, stats = open_index_table(spark, args.index)
+    catalog = open_catalog_table(spark, args.catalog) if args.catalog else None
     if args.words is not None:
         for bound in (getattr(args, "from"), args.to):
             if bound is not None:

@@ -51,17 +51,23 @@ def _cores(df: DataFrame) -> int | None:
 
 
 def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``partitions`` tasks when its input has fewer splits than
-    the cluster has cores, so CPU-heavy per-row work (tokenizing, regex parsing) runs in
-    parallel.  Keyless, so no id or text can make one task hot.  An input that already
-    splits into at least one task per core (the normal case at scale) is left as it is:
-    no data moves."""
+    """Round-robin ``df`` over ``partitions`` tasks when its source tables are smaller than
+    one full split a core, so CPU-heavy per-row work (tokenizing, regex parsing) runs in
+    parallel.  Keyless, so no id or text can make one task hot.  A source of at least one
+    full split (``spark.sql.files.maxPartitionBytes``) a core, the normal case at scale, is
+    left as it is: no data moves.  The size is the plan's own estimate; no job runs."""
     target = _partitions(df, partitions)
     cores = _cores(df) or target
-    try:
-        splits = df.rdd.getNumPartitions()   # plans the scan only, runs no job
-    except Exception:  # noqa: BLE001 - sessions without the RDD API: always spread
-        splits = 0
-    if splits >= min(cores, target):
+    if (_source_splits(df) or 0) >= min(cores, target):
         return df
     return df.repartition(target)
+
+
+def _source_splits(df: DataFrame) -> int | None:
+    """Full splits in the source tables, by the sizes in the optimized plan."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        size = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    except AttributeError:        # a session without a driver JVM: always spread
+        return None

@@ -20,9 +20,10 @@ from pyspark.sql import functions as F
 
 from quire.constants import STOPWORDS
 from quire.functions.text import tokenize
-from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, has_at_most, spread
+from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, spread
 from quire.operators.postings import build_postings
 from quire.operators.tokens import Tokenizer, index_tokens
+from quire.session import work_path
 from quire.sinks.index_store import (
     append_ledger, new_run_id, read_ledger, read_postings, save_index_table, write_run,
 )
@@ -35,22 +36,23 @@ def build_index(books: DataFrame, tokenizer: Tokenizer = tokenize, stopwords=STO
     return build_postings(index_tokens(src, tokenizer, stopwords))
 
 
-def new_books(books: DataFrame, ledger: DataFrame,
+def new_keys(books: DataFrame, ledger: DataFrame) -> DataFrame:
+    """Distinct keys of ``books`` that the ledger does not list; only keys are read."""
+    return books.select("doc_key").distinct().join(
+        ledger.select("doc_key"), "doc_key", "left_anti")
+
+
+def with_keys(books: DataFrame, keys: DataFrame,
               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Books whose key is not in the ledger, without moving book text when possible:
+    """Books of the given distinct keys.  Keys that a bounded count proves few are broadcast,
+    so that book text does not move; more keys meet the books in a shuffle."""
+    return books.join(broadcast_if_small(keys, max_broadcast_rows), "doc_key", "left_semi")
 
-    1. a ledger proven small by a bounded count is broadcast (anti join in the scan);
-    2. else the keys alone are anti-joined (only keys shuffle) and, when the new keys
-       are proven small, broadcast back onto the books (semi join in the scan);
-    3. else a plain anti join (AQE may still broadcast from runtime sizes).
-    """
-    led = ledger.select("doc_key")
-    if has_at_most(led, max_broadcast_rows):
-        return books.join(F.broadcast(led), "doc_key", "left_anti")
-    keys = books.select("doc_key").distinct().join(led, "doc_key", "left_anti")
-    if has_at_most(keys, max_broadcast_rows):
-        return books.join(F.broadcast(keys), "doc_key", "left_semi")
-    return books.join(led, "doc_key", "left_anti")
+
+def new_books(books: DataFrame, ledger: DataFrame,
+              max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """Books whose key is not in the ledger."""
+    return with_keys(books, new_keys(books, ledger), max_broadcast_rows)
 
 
 def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
@@ -59,17 +61,18 @@ def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
     """Index the books of ``books`` (doc_key, book_id, text) that the ledger does not
     list yet; returns the keys that were new in this run.
 
-    The ledger listing is fixed when the run starts, so both writes see the same set of
-    new books even when tasks are retried.  Several rows with one key (a file delivered
+    The new keys are written to the shared work folder once; postings and ledger are both
+    made from that table, so both see the same set of new books.  Several rows with one key (a file delivered
     twice) need no dedup of the text: their positions collapse in the (book_id, word)
     set aggregation; only the ledger keys are made distinct.
     """
     spark = books.sparkSession
     valid = books.filter((F.col("doc_key") != "") & F.col("book_id").isNotNull())
-    new = new_books(valid, read_ledger(spark, ledger_path))
+    staged = work_path(spark, "new-keys")
+    new_keys(valid, read_ledger(spark, ledger_path)).write.parquet(staged)
+    keys = spark.read.schema("doc_key STRING").parquet(staged)
     run = new_run_id()
-    write_run(build_index(new, tokenizer, stopwords, partitions), index_path, run)
-    keys = new.select("doc_key").distinct()
+    write_run(build_index(with_keys(valid, keys), tokenizer, stopwords, partitions), index_path, run)
     append_ledger(keys, ledger_path, run)        # the commit record, written last
     return keys
 

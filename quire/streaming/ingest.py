@@ -17,17 +17,21 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quire.plans.indexing import index_new_books
 
+#: files of one micro-batch
+MAX_FILES_PER_TRIGGER = 1000
+
 BOOK_FILE_SCHEMA = "doc_key STRING, book_id BIGINT, text STRING"
 
 
-def book_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
+def book_stream(spark: SparkSession, source_dir: str,
+                max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     return (spark.readStream.schema(BOOK_FILE_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger).parquet(source_dir))
 
 
 def start_stream_index(spark: SparkSession, source_dir: str, index_path: str,
                        ledger_path: str, checkpoint: str, available_now: bool = True,
-                       max_files_per_trigger: int = 1,
+                       max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
                        partitions: int | None = None) -> StreamingQuery:
     """Start the ingest query; with ``available_now`` it drains what is there and stops."""
     def index_batch(batch: DataFrame, batch_id: int) -> None:
