@@ -232,14 +232,34 @@ def _contains_ci(field: Column, value: Column) -> Column:
     return F.lower(field).contains(F.lower(value))
 
 
+def _with_year(catalog: DataFrame) -> DataFrame:
+    """``catalog`` with its release year: stored tables have it, parsed lines do not."""
+    return catalog if "year" in catalog.columns else catalog.withColumn("year", release_year("date"))
+
+
+def books_meeting(catalog: DataFrame, title=None, author=None, year_from=None, year_to=None,
+                  language=None) -> DataFrame:
+    """(book_id) of catalogue rows that meet every given literal criterion.  Year bounds
+    are plain comparisons, so a stored catalogue prunes with them in the scan."""
+    cat = _with_year(catalog)
+    for name, value in (("title", title), ("author", author), ("language", language)):
+        if value is not None:
+            cat = cat.filter(_contains_ci(F.col(name), F.lit(value)))
+    if year_from is not None:
+        cat = cat.filter(F.col("year") >= int(year_from))
+    if year_to is not None:
+        cat = cat.filter(F.col("year") <= int(year_to))
+    return cat.select("book_id")
+
+
 def criteria_predicate(req_prefix: str = "") -> Column:
-    """AND of every non-null criterion against catalogue columns title/author/date/
+    """AND of every non-null criterion against catalogue columns title/author/year/
     language.  With any criterion set, a book without a catalogue row fails (V1)."""
     r = lambda c: F.col(f"{req_prefix}{c}")
     has_any = F.lit(False)
     for c in CRITERIA:
         has_any = has_any | r(c).isNotNull()
-    year = release_year(F.col("date"))
+    year = F.col("year")
     checks = [
         r("title").isNull() | _contains_ci(F.col("title"), r("title")),
         r("author").isNull() | _contains_ci(F.col("author"), r("author")),
@@ -258,8 +278,8 @@ def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFr
     """Keep (query_id, book_id, ...) rows whose book satisfies the request's criteria."""
     req = with_criteria_columns(requests).select(
         "query_id", *[F.col(c).alias(f"_req_{c}") for c in CRITERIA])
-    cat = catalog.select("book_id", "title", "author", "date", "language",
-                         F.lit(True).alias("_has_meta"))
+    cat = _with_year(catalog).select("book_id", "title", "author", "language", "year",
+                                     F.lit(True).alias("_has_meta"))
     joined = (matches.join(broadcast_if_small(req, max_broadcast_rows), "query_id")
               .join(cat, "book_id", "left"))
     return joined.filter(criteria_predicate("_req_")).select(*matches.columns)
@@ -304,14 +324,15 @@ def search(spark: SparkSession, postings: DataFrame, words: list[str], title=Non
     for bound in (year_from, year_to):
         if bound is not None:
             int(bound)
-    req = make_requests(spark, [dict(query_id=0, words=words, title=title, author=author,
-                                     year_from=year_from, year_to=year_to,
-                                     language=language)])
-    if all(v is None for v in (title, author, year_from, year_to, language)):
-        catalog = None
+    req = make_requests(spark, [dict(query_id=0, words=words)])
+    criteria = dict(title=title, author=author, year_from=year_from, year_to=year_to,
+                    language=language)
     # one literal request: its size and words are known here, so no sizing jobs run
-    res = search_batch(postings, req, catalog, stats, max_broadcast_rows=KNOWN_SMALL,
-                       word_list=sorted(set(words)))
+    postings, stats = _narrow(postings, stats, sorted(set(words)))
+    matches = matching_books(postings, req, stats, KNOWN_SMALL)
+    if catalog is not None and any(v is not None for v in criteria.values()):
+        matches = matches.join(books_meeting(catalog, **criteria), "book_id", "left_semi")
+    res = attach_positions(postings, matches, req, KNOWN_SMALL)
     return res.select("book_id", "positions").orderBy("book_id")
 
 
@@ -339,7 +360,10 @@ def intersect_two_words(postings: DataFrame, requests: DataFrame) -> DataFrame:
     keys would shuffle both sides).
     """
     requests = localize_requests(requests)
-    two = requests.filter((F.size("words") == 2) & F.col("query_id").isNotNull()).select(
+    other = requests.filter(F.coalesce(F.size("words"), F.lit(0)) != 2).limit(1).count()
+    if other:
+        raise ValueError("every request must have two words; matching_books takes any number")
+    two = requests.filter(F.col("query_id").isNotNull()).select(
         "query_id", F.get("words", 0).alias("w1"), F.get("words", 1).alias("w2"))
     wb = prune_to_request_words(postings, requests).select("word", "book_id")
     first = wb.join(broadcast_if_small(two.select("query_id", F.col("w1").alias("word"))),

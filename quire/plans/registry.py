@@ -24,7 +24,7 @@ from quire.operators import crawl, ledger, postings as post, search as srch, tok
 from quire.plans import crawling, fixtures
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
-from quire.sinks.books_store import store_books
+from quire.sinks.books_store import read_books, store_books
 from quire.sinks.index_store import (
     append_ledger, open_catalog_table, open_index_table, read_ledger, read_postings,
     save_catalog_table, save_index_table,
@@ -73,8 +73,8 @@ def stored_index(spark, sf):
     if key not in _STORED:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         path = work_path(spark, "index-table")
-        name = save_index_table(index(spark, sf), path, buckets)
-        _STORED[key] = open_index_table(spark, path, buckets, name)
+        save_index_table(index(spark, sf), path, buckets)
+        _STORED[key] = open_index_table(spark, path)
     return _STORED[key]
 
 
@@ -85,8 +85,8 @@ def stored_catalog(spark, sf):
     if key not in _STORED:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         path = work_path(spark, "catalog-table")
-        name = save_catalog_table(catalog(spark, sf), path, buckets)
-        _STORED[key] = open_catalog_table(spark, path, buckets, name)
+        save_catalog_table(catalog(spark, sf), path, buckets)
+        _STORED[key] = open_catalog_table(spark, path)
     return _STORED[key]
 
 
@@ -210,15 +210,16 @@ def index_sizes(spark, sf):
 
 
 def _incremental(spark, sf):
-    """Two incremental runs into one index folder: English books first, then the whole
-    corpus (English books are skipped by the ledger)."""
-    idx, led = work_path(spark, "index"), work_path(spark, "ledger")
-    b = books(spark, sf)
-    lang = documents(spark, sf).select(F.col("doc_id").alias("book_id"), "lang")
-    index_new_books(b.join(lang.filter(F.col("lang") == "en"), "book_id", "left_semi"),
-                    idx, led)
-    index_new_books(b, idx, led)
-    return idx, led
+    """Two incremental runs into one index folder, once per session: English books first,
+    then the whole corpus (English books are skipped by the ledger)."""
+    key = (_session_key(spark), sf, "incremental")
+    if key not in _STORED:
+        idx, led = work_path(spark, "index"), work_path(spark, "ledger")
+        d = documents(spark, sf)
+        index_new_books(books_from_table(d.filter(F.col("lang") == "en")), idx, led)
+        index_new_books(books_from_table(d), idx, led)
+        _STORED[key] = idx, led
+    return _STORED[key]
 
 
 @register("incremental_index")
@@ -250,30 +251,30 @@ def is_indexed(spark, sf):
 
 @register("store_books")
 def store_books_q(spark, sf):
-    """Books delivered twice (raw, then header-stripped when a header exists): the store
-    keeps the last arrival of each id."""
+    """Books delivered twice (raw, then header-stripped when a header exists) in two calls:
+    the second replaces the books it brings and leaves the others."""
     d = documents(spark, sf)
     first = books_from_table(d).withColumn("arrival", F.lit(1))
     has_header = F.size(F.split("text", r"\*\*\*.*?\*\*\*", 2)) == 2
     again = books_from_table(d.filter(has_header).withColumn("text", strip_header("text"))) \
         .withColumn("arrival", F.lit(2))
     path = work_path(spark, "books")
-    store_books(first.unionByName(again), path)
-    return spark.read.parquet(path)
+    store_books(first, path)
+    store_books(again, path)
+    return read_books(spark, path)
 
 
 @register("stream_index")
 def stream_index(spark, sf):
-    """Books land as files (each id delivered once, German books twice); a Structured
-    Streaming query indexes them micro-batch by micro-batch."""
+    """Books land as files, and a Structured Streaming query indexes them; German books land
+    again, and the query goes on from its checkpoint."""
     from quire.streaming.ingest import start_stream_index
     src = work_path(spark, "landing")
     d = documents(spark, sf)
-    books_from_table(d).repartition(4).write.parquet(src)
-    books_from_table(d.filter(F.col("lang") == "de")).coalesce(1).write.mode("append").parquet(src)
     idx, led, ck = work_path(spark, "index"), work_path(spark, "ledger"), work_path(spark, "ckpt")
-    q = start_stream_index(spark, src, idx, led, ck, available_now=True)
-    q.awaitTermination()
+    for landed in (d, d.filter(F.col("lang") == "de")):
+        books_from_table(landed).write.mode("append").parquet(src)
+        start_stream_index(spark, src, idx, led, ck, available_now=True).awaitTermination()
     return flat_postings(read_postings(spark, idx, led))
 
 
@@ -428,18 +429,18 @@ def fragment_stub(spark, sf):
     from quire.constants import FRAGMENT_STUB
     m = passage_matches(spark, sf).select(
         "query_id", "book_id", F.explode("positions").alias("word", "p"))
-    first = m.select("query_id", "book_id", "word", F.get("p", 0).alias("pos"))
-    return first.select("query_id", "book_id", "word", "pos", F.format_string(
+    hits = m.select("query_id", "book_id", "word", F.explode("p").alias("pos"))
+    return hits.select("query_id", "book_id", "word", "pos", F.format_string(
         FRAGMENT_STUB, F.col("pos"), F.col("book_id")).alias("fragment"))
 
 
 @register("text_fragment")
 def text_fragment(spark, sf):
-    """Keyword in context: the 5 tokens before and after the first hit of each word."""
+    """Keyword in context: the 5 tokens before and after each hit of each word."""
     from quire.operators.fragments import keyword_in_context
     m = passage_matches(spark, sf).select(
         "query_id", "book_id", F.explode("positions").alias("word", "p"))
-    hits = m.select("query_id", "book_id", "word", F.get("p", 0).alias("pos"))
+    hits = m.select("query_id", "book_id", "word", F.explode("p").alias("pos"))
     return keyword_in_context(hits, books(spark, sf), radius=5)
 
 

@@ -8,11 +8,13 @@ never happened (a failed or replayed batch) are invisible, and nothing is counte
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quire.functions.metadata import release_year
 from quire.operators.ledger import LEDGER_SCHEMA
 from quire.operators.postings import POSTINGS_SCHEMA, merge_postings, word_stats
 from quire.operators.sizing import broadcast_if_small, collect_if_small
@@ -25,6 +27,14 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def read_folder(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A Parquet folder under its declared schema; without rows when the folder is missing,
+    holds no data file yet, or was left behind by a failed write."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def new_run_id() -> str:
     return "r-" + uuid.uuid4().hex
 
@@ -36,48 +46,40 @@ def write_run(postings: DataFrame, path: str, run: str) -> None:
      .parquet(path))
 
 
-# Committed-run lists up to this size become a partition filter (pruning); the ledger
-# holds one row per book, but runs are few.
-MAX_RUNS_LISTED = 100_000
-
-
 def read_postings(spark: SparkSession, path: str, ledger_path: str | None = None,
                   merge: bool = False) -> DataFrame:
     """Postings of an index folder.
 
-    With ``ledger_path``: only committed runs are read, and only books indexed under
-    more than one key (``007.txt`` and ``7.txt`` are both book 7) have their positions
-    merged — found from the ledger alone, so the rest of the index is read as written.
+    With ``ledger_path``: only committed runs are read, and only books indexed more than
+    once — under several keys (``007.txt`` and ``7.txt`` are both book 7) or by several
+    runs (two jobs that indexed the same key side by side) — have their positions merged.
+    They are found from the ledger alone, so the rest of the index is read as written.
     Without it, ``merge=True`` set-merges every (word, book_id).
+
+    The committed runs become a partition filter.  A run is one directory of the index,
+    and the driver lists those directories anyway, so the list adds no new bound.
     """
-    if not _exists(spark, path):
-        return spark.createDataFrame([], POSTINGS_SCHEMA)
-    df = spark.read.parquet(path)
+    df = read_folder(spark, path, POSTINGS_SCHEMA + ", run STRING")
     if ledger_path is None:
         df = df.select("word", "book_id", "positions")
         return merge_postings(df) if merge else df
     ledger = read_ledger(spark, ledger_path)
-    runs = collect_if_small(ledger.select("run").distinct(), MAX_RUNS_LISTED)
-    if runs is not None:
-        df = df.filter(F.col("run").isin([r["run"] for r in runs]))
-    else:
-        df = df.join(F.broadcast(ledger.select("run").distinct()), "run", "left_semi")
-    df = df.select("word", "book_id", "positions")
+    runs = [r["run"] for r in ledger.select("run").distinct().collect()]
+    df = df.filter(F.col("run").isin(runs)).select("word", "book_id", "positions")
     keys = ledger.select(F.col("doc_key").try_cast("int").cast("bigint").alias("book_id"),
-                         "doc_key").filter(F.col("book_id").isNotNull()).distinct()
+                         "doc_key", "run").filter(F.col("book_id").isNotNull()).distinct()
     multi = keys.groupBy("book_id").count().filter(F.col("count") > 1).select("book_id")
-    if collect_if_small(multi, 0) is not None:      # no book came under two keys
+    if collect_if_small(multi, 0) is not None:      # every book was indexed once
         return df
     m = broadcast_if_small(multi)
     return (df.join(m, "book_id", "left_anti")
-            .unionByName(merge_postings(df.join(m, "book_id", "left_semi"))))
+            .unionByName(merge_postings(df.join(m, "book_id", "left_semi")))
+            .select("word", "book_id", "positions"))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Ledger of indexed keys; an empty table with the ledger schema before the first run."""
-    if not _exists(spark, path):
-        return spark.createDataFrame([], LEDGER_SCHEMA)
-    return spark.read.parquet(path)
+    return read_folder(spark, path, LEDGER_SCHEMA)
 
 
 def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
@@ -95,23 +97,45 @@ def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
 # spark.sql.requireAllClusterKeysForCoPartition=false so joins on (word, book_id) accept
 # the book_id bucketing.  Bucketing happens after aggregation, where one book is at most
 # its vocabulary, so a book delivered in many copies cannot make a bucket hot.
+#
+# A stored table is a folder of versions.  Each save writes a new version and then appends
+# one row (version, buckets, number) to ``versions``: that row commits the save, postings
+# and statistics together, and tells readers the bucket count.
+
+VERSIONS_SCHEMA = "version STRING, buckets INT, number BIGINT"
+
 
 def _sql_string(text: str) -> str:
     """Escape a value for a single-quoted Spark SQL string literal."""
     return text.replace("\\", "\\\\").replace("'", "\\'")
 
 
-def _table_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+def _table_name(prefix: str, path: str, version: str) -> str:
+    """The same name each time one version is opened, so reopening adds no table."""
+    return f"{prefix}_{hashlib.sha1(f'{path}/{version}'.encode()).hexdigest()[:16]}"
+
+
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    return read_folder(spark, f"{path}/versions", VERSIONS_SCHEMA)
+
+
+def current_version(spark: SparkSession, path: str):
+    """(version, buckets, number) of the last committed save at ``path``, or None."""
+    return _versions(spark, path).orderBy(F.desc("number"), F.desc("version")).first()
+
+
+def _commit(spark: SparkSession, path: str, version: str, buckets: int) -> None:
+    last = current_version(spark, path)
+    number = 1 if last is None else last["number"] + 1
+    (spark.createDataFrame([(version, buckets, number)], VERSIONS_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(f"{path}/versions"))
 
 
 def save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
-                  name: str | None = None, prefix: str = "quire_table",
-                  bloom_col: str | None = None) -> str:
+                  name: str, bloom_col: str | None = None) -> str:
     """Write ``df`` as a Parquet table bucketed by book_id (one file per bucket, sorted by
     ``sort_cols`` inside it) at ``path``; returns the table name.  ``bloom_col`` gets a
     Parquet bloom filter, so equality / IN filters on it skip row groups."""
-    name = name or _table_name(prefix)
     writer = (df.repartition(buckets, "book_id").write.mode("overwrite").format("parquet")
               .bucketBy(buckets, "book_id").sortBy(*sort_cols).option("path", path))
     if bloom_col:
@@ -120,55 +144,70 @@ def save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
     return name
 
 
-def open_bucketed(spark: SparkSession, path: str, schema: str, buckets: int,
-                  sort_cols: list[str], name: str | None = None,
-                  prefix: str = "quire_table") -> DataFrame:
-    """Register (if needed) and read a table written by :func:`save_bucketed`."""
-    name = name or _table_name(prefix)
+def _open_bucketed(spark: SparkSession, path: str, schema: str, buckets: int | None,
+                   sort_cols: list[str], part: str, prefix: str) -> tuple[DataFrame, str]:
+    """(table, folder of its version) of the last committed save at ``path``."""
+    last = current_version(spark, path)
+    if last is None:
+        raise ValueError(f"no committed table at {path}")
+    if buckets is not None and buckets != last["buckets"]:
+        raise ValueError(f"{path} has {last['buckets']} buckets, not {buckets}")
+    folder = f"{path}/{last['version']}"
+    name = _table_name(prefix, path, last["version"])
     if not spark.catalog.tableExists(name):
         spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (book_id) "
-                  f"SORTED BY ({', '.join(sort_cols)}) INTO {buckets} BUCKETS "
-                  f"LOCATION '{_sql_string(path)}'")
-    return spark.table(name)
+                  f"SORTED BY ({', '.join(sort_cols)}) INTO {last['buckets']} BUCKETS "
+                  f"LOCATION '{_sql_string(folder + '/' + part)}'")
+    return spark.table(name), folder
 
 
 _INDEX_SORT = ["word", "book_id"]
 
 
-def save_index_table(postings: DataFrame, path: str, buckets: int,
-                     name: str | None = None) -> str:
-    """Write postings as a bucketed table at ``path`` (one file per bucket) and the word
-    statistics next to it (``path`` + ``_stats``); returns the table name."""
-    name = save_bucketed(postings.select("word", "book_id", "positions"), path, buckets,
-                         _INDEX_SORT, name, "quire_index", bloom_col="word")
+def save_index_table(postings: DataFrame, path: str, buckets: int) -> str:
+    """Write postings as a bucketed table (one file per bucket) and the word statistics
+    as a new version of the index at ``path``; returns the table name."""
     spark = postings.sparkSession
+    version = "v-" + uuid.uuid4().hex
+    name = save_bucketed(postings.select("word", "book_id", "positions"),
+                         f"{path}/{version}/postings", buckets, _INDEX_SORT,
+                         _table_name("quire_index", path, version), bloom_col="word")
     # a word filter skips row groups of the statistics through a bloom filter on word
     # (no global sort needed: the files keep the hash layout of the aggregation)
-    (word_stats(spark.table(name)).sortWithinPartitions("word").write.mode("overwrite")
-     .option("parquet.bloom.filter.enabled#word", "true").parquet(path + "_stats"))
+    (word_stats(spark.table(name)).sortWithinPartitions("word").write
+     .option("parquet.bloom.filter.enabled#word", "true").parquet(f"{path}/{version}/stats"))
+    _commit(spark, path, version, buckets)
     return name
 
 
-def open_index_table(spark: SparkSession, path: str, buckets: int,
-                     name: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, word stats) of a saved index."""
-    postings = open_bucketed(spark, path, POSTINGS_SCHEMA, buckets, _INDEX_SORT, name,
-                             "quire_index")
-    return postings, spark.read.parquet(path + "_stats")
+def open_index_table(spark: SparkSession, path: str,
+                     buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(postings, word stats) of the last committed save.  The bucket count comes from the
+    table itself; a ``buckets`` that differs raises ValueError."""
+    postings, folder = _open_bucketed(spark, path, POSTINGS_SCHEMA, buckets, _INDEX_SORT,
+                                      "postings", "quire_index")
+    return postings, spark.read.schema("word STRING, n_books BIGINT").parquet(f"{folder}/stats")
 
 
-CATALOG_SCHEMA = "book_id BIGINT, title STRING, author STRING, date STRING, language STRING"
+CATALOG_SCHEMA = ("book_id BIGINT, title STRING, author STRING, date STRING, language STRING, "
+                  "year INT")
 
 
-def save_catalog_table(catalog: DataFrame, path: str, buckets: int,
-                       name: str | None = None) -> str:
+def save_catalog_table(catalog: DataFrame, path: str, buckets: int) -> str:
     """Store the parsed catalogue bucketed like the index, so the criteria join of a
-    search is bucket to bucket and no query re-parses or shuffles the catalogue."""
-    return save_bucketed(catalog.select("book_id", "title", "author", "date", "language"),
-                         path, buckets, ["book_id"], name, "quire_catalog")
+    search is bucket to bucket and no query re-parses or shuffles the catalogue.  The
+    release year is parsed once, here; a literal year bound reaches the scan."""
+    version = "v-" + uuid.uuid4().hex
+    name = save_bucketed(
+        catalog.select("book_id", "title", "author", "date", "language",
+                       release_year("date").cast("int").alias("year")),
+        f"{path}/{version}/catalog", buckets, ["book_id"],
+        _table_name("quire_catalog", path, version))
+    _commit(catalog.sparkSession, path, version, buckets)
+    return name
 
 
-def open_catalog_table(spark: SparkSession, path: str, buckets: int,
-                       name: str | None = None) -> DataFrame:
-    return open_bucketed(spark, path, CATALOG_SCHEMA, buckets, ["book_id"], name,
-                         "quire_catalog")
+def open_catalog_table(spark: SparkSession, path: str, buckets: int | None = None) -> DataFrame:
+    """The last committed catalogue; bucket count as in :func:`open_index_table`."""
+    return _open_bucketed(spark, path, CATALOG_SCHEMA, buckets, ["book_id"], "catalog",
+                          "quire_catalog")[0]

@@ -18,12 +18,12 @@ def test_cli_index_catalog_search(spark, tmp_path):
 
     # one request from the command line, with a criterion
     out = work_path(spark, "cli-out")
-    main(["search", "--index", idx, "--buckets", "4", "--catalog", cat, "--words", "en+er",
+    main(["search", "--index", idx, "--catalog", cat, "--words", "en+er",
           "--language", "english", "--out", out], spark)
     got = sorted(r["bookId"] for r in spark.read.json(out).collect())
     from quire.sinks.index_store import open_catalog_table, open_index_table
-    postings, stats = open_index_table(spark, idx, 4)
-    catalog = open_catalog_table(spark, cat, 4)
+    postings, stats = open_index_table(spark, idx)
+    catalog = open_catalog_table(spark, cat)
     expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"],
                                                 language="english", catalog=catalog).collect())
     assert got == expect and got
@@ -33,7 +33,7 @@ def test_cli_index_catalog_search(spark, tmp_path):
     req.write_text("\n".join(json.dumps(r) for r in [
         {"query_id": 1, "words": ["en", "er"]}, {"query_id": 2, "words": ["zzz"]}]))
     out2 = work_path(spark, "cli-out2")
-    main(["search", "--index", idx, "--buckets", "4", "--requests", str(req), "--out", out2], spark)
+    main(["search", "--index", idx, "--requests", str(req), "--out", out2], spark)
     rows = spark.read.json(out2).collect()
     assert {r["query_id"] for r in rows} == {1}
     assert all(set(r["positions"].asDict()) == {"en", "er"} for r in rows)
@@ -55,8 +55,8 @@ def test_cli_ingest_compact_search(spark):
     assert main(["nbooks", "--ledger", led], spark) == docs.count()
     main(["compact", "--index", idx, "--ledger", led, "--out", table, "--buckets", "4"], spark)
     out = work_path(spark, "cli-out3")
-    main(["search", "--index", table, "--buckets", "4", "--words", "en+er", "--out", out], spark)
+    main(["search", "--index", table, "--words", "en+er", "--out", out], spark)
     from quire.sinks.index_store import open_index_table
-    postings, _ = open_index_table(spark, table, 4)
+    postings, _ = open_index_table(spark, table)
     expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"]).collect())
     assert sorted(r["bookId"] for r in spark.read.json(out).collect()) == expect

@@ -33,10 +33,10 @@ def test_build_never_shuffles_on_the_book_alone(spark):
 def test_batch_search_over_bucketed_tables_shuffles_only_request_sized_data(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     idx, cat = work_path(spark, "pl-index"), work_path(spark, "pl-cat")
-    name = save_index_table(build_index(books_from_table(docs)), idx, 8)
-    cname = save_catalog_table(load_catalog(fixtures.catalog_lines(docs)), cat, 8)
-    postings, stats = open_index_table(spark, idx, 8, name)
-    catalog = open_catalog_table(spark, cat, 8, cname)
+    save_index_table(build_index(books_from_table(docs)), idx, 8)
+    save_catalog_table(load_catalog(fixtures.catalog_lines(docs)), cat, 8)
+    postings, stats = open_index_table(spark, idx)
+    catalog = open_catalog_table(spark, cat)
     plan = _plan(S.search_batch(postings, fixtures.title_requests(docs), catalog, stats))
     assert "Bucketed: true" in plan
     assert all(k.startswith("query_id") for k in _hash_exchanges(plan))

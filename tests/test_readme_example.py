@@ -17,8 +17,8 @@ def test_quick_use(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     books = books_from_table(docs)
     index_dir, lines_dir = work_path(spark, "qu-index"), work_path(spark, "qu-lines")
-    name = save_index_table(build_index(books), index_dir, buckets=8)
-    postings, stats = open_index_table(spark, index_dir, 8, name)
+    save_index_table(build_index(books), index_dir, buckets=8)
+    postings, stats = open_index_table(spark, index_dir)
     append_catalog_lines(fixtures.catalog_lines(docs).select("line"), lines_dir)
     catalog = load_catalog(read_catalog_lines(spark, lines_dir))
     one = S.search(spark, postings, ["en", "er"], year_from="2000", catalog=catalog,

@@ -140,7 +140,7 @@ def test_bucketed_index_table_roundtrip(spark, index, catalog):
     from quire.sinks.index_store import open_index_table, save_index_table
     path = work_path(spark, "t-index-table")
     save_index_table(index, path, 4)
-    postings, stats = open_index_table(spark, path, 4)   # fresh table name, same files
+    postings, stats = open_index_table(spark, path)   # fresh table name, same files
     assert sorted(map(tuple, postings.collect())) == sorted(map(tuple, index.collect()))
     got = S.search(spark, postings, ["whale", "sea"], year_to="1900", catalog=catalog,
                    stats=stats).collect()
