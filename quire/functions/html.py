@@ -1,12 +1,14 @@
 """HTML extraction expressions for crawled pages (headings, table cells, anchors, body text).
 
 Everything is regular expressions and string functions, so extraction runs inside the
-scan stage with whole-stage codegen; the patterns use the subset shared by Java regex and
-RE2 so the DuckDB oracles can state the same thing.
+scan stage.  Pages need not be well formed: a missing ``body`` or an unclosed heading takes
+the rest of the page, and attribute values may go without quotes.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,37 +16,58 @@ from quire.constants import (
     BASE_URL, BOOK_LINK_PREFIX, DOWNLOAD_ANCHOR_TEXT, LANGUAGES, TITLE_AUTHOR, UNKNOWN,
 )
 
-# --- fixed values: named character references decoded in element text ------------------
-# (&amp; is decoded last so "&amp;lt;" becomes "&lt;", as a one-pass decoder does)
-ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-            ("&nbsp;", " "), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&"))
-
-# --- fixed values: element patterns (Java regex / RE2 common subset) ---------------------
+# element patterns (Java regex)
 # Tags whose boundaries separate words in element text.
 BLOCK_TAGS = (r"(?i)</?(br|p|div|li|ul|ol|h[1-6]|table|tr|td|th|article|section|nav|"
                r"header|footer|blockquote|pre)\b[^>]*>")
 ANY_TAG = r"<[^>]*>"
+CUT_TAG = r"<[A-Za-z/!][^>]*\z"    # a page that ends inside a tag
+HIDDEN = r"(?is)<script\b.*?(?:</script>|\z)|<style\b.*?(?:</style>|\z)|<!--.*?(?:-->|\z)"
 TEXT_WS = "[ \\t\\n\\f\\r\u00a0]+"  # jsoup whitespace, incl. no-break space
 
-H1 = r"(?is)<h1\b[^>]*>(.*?)</h1>"
+H1 = r"(?is)<h1\b[^>]*>(.*?)(?:</h1>|\z)"
 DATE_CELL = r"""(?is)<td\b[^>]*itemprop=["']?datePublished["']?[^>]*>(.*?)</td>"""
 CELL = r"(?is)<td\b[^>]*>(.*?)</td>"
 ANCHOR = r"(?is)<a\b([^>]*)>(.*?)</a>"
-HREF = r"""(?is)\bhref\s*=\s*["']([^"']*)["']"""
-BOOKLINK_ITEM = (r"""(?is)<li\b[^>]*class\s*=\s*["'](?:[^"']*\s)?booklink(?:\s[^"']*)?["'][^>]*>"""
-                 r"""(.*?)</li>""")
-BOOKLINK_HREF = r"""(?is)<a\b[^>]*\bhref\s*=\s*["'](/ebooks/[^"']*)["']"""
+HREF = r"""(?is)\bhref\s*=\s*["']?((?<=["'])[^"']*|(?<!["'])[^\s"'>]+)"""
+BOOKLINK_ITEM = (r"""(?is)<li\b[^>]*class\s*=\s*(?:["'](?:[^"']*\s)?booklink(?:\s[^"']*)?["']"""
+                 r"""|booklink(?=[\s>]))[^>]*>(.*?)(?:</li>|(?=<li\b)|\z)""")
+BOOKLINK_HREF = (r"""(?is)<a\b[^>]*\bhref\s*=\s*["']?"""
+                 r"""((?<=["'])/ebooks/[^"']*|(?<!["'])/ebooks/[^\s"'>]*)""")
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: code points of named references, from Python's own table, and the one name it lacks
+NAMED = {**name2codepoint, "apos": 39}
+REFERENCE = r"(?s)^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _referred(name: Column) -> Column:
+    """Character of a reference (the part between & and ;); NULL for an unknown name."""
+    hexed = F.lower(F.substring(name, 2, 1)) == "x"
+    point = F.when(name.startswith("#"), F.when(
+        hexed, F.conv(F.substr(name, F.lit(3)), 16, 10)).otherwise(F.substr(name, F.lit(2))).cast("int")).otherwise(
+        F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])[name])
+    valid = (point > 0) & (point <= 0x10FFFF) & ~point.between(0xD800, 0xDFFF)
+    shown = F.when(valid, point).when(point.isNotNull(), F.lit(0xFFFD))
+    return F.decode(F.unhex(F.lpad(F.hex(shown), 8, "0")), "UTF-32")
+
+
 def decode_entities(c) -> Column:
-    out = _col(c)
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return out
+    """Named and numeric character references decoded in one pass, so ``&amp;lt;`` gives
+    ``&lt;``.  Unknown names stay; numbers that are no character give U+FFFD."""
+    c = _col(c)
+
+    def part(p: Column, i: Column) -> Column:
+        name = F.regexp_extract(p, REFERENCE, 1)
+        char = F.when(name != "", _referred(name))
+        return F.when(i == 0, p).otherwise(F.coalesce(
+            F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)))
+
+    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), part), "")).otherwise(c)
 
 
 def html_text(fragment) -> Column:
@@ -120,12 +143,16 @@ def book_links(html) -> Column:
 
 
 def body_text(html) -> Column:
-    """Whole text of ``body``: scripts, styles and comments dropped, ``br`` as a newline,
-    tags removed, character references decoded, whitespace kept as it is."""
-    body = F.regexp_extract(_col(html), r"(?is)<body\b[^>]*>(.*)</body>", 1)
-    body = F.regexp_replace(body, r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", "")
+    """Whole text of ``body``, or of the page after its ``head`` where ``body`` is missing, to
+    the end of the page where nothing closes it: scripts, styles and comments dropped, ``br`` as a newline, tags removed, character
+    references decoded, whitespace kept as it is."""
+    html = _col(html)
+    opened = F.when(html.rlike(r"(?i)<body\b"), F.regexp_replace(html, r"(?is)\A.*?<body\b[^>]*>", "")) \
+        .otherwise(F.regexp_replace(html, r"(?is)<head\b.*?</head>", ""))
+    body = F.when(opened.rlike(r"(?i)</body>"), F.regexp_extract(opened, r"(?is)\A(.*)</body>", 1)).otherwise(opened)
+    body = F.regexp_replace(body, HIDDEN, "")
     body = F.regexp_replace(body, r"(?i)<br\b[^>]*>", "\n")
-    return decode_entities(F.regexp_replace(body, ANY_TAG, ""))
+    return decode_entities(F.regexp_replace(body, ANY_TAG + "|" + CUT_TAG, ""))
 
 
 assert BOOK_LINK_PREFIX in BOOKLINK_HREF

@@ -80,3 +80,26 @@ def test_hrefs_are_decoded(spark):
             '<a href="/files/1.txt?x=1&amp;y=2">Plain Text UTF-8</a>')
     assert _one(spark, book_links("html"), html) == ["/ebooks/1?a=1&b=2"]
     assert _one(spark, download_link("html"), html) == "/files/1.txt?x=1&y=2"
+
+
+def test_character_references(spark):
+    html = ("<body>caf&eacute; it&#8217;s &#x1F600; &amp;lt; &lt;b&gt; &nosuch; AT&T &; &#0; &#xD800; "
+            "&#9999999; &apos;&Alpha;&alpha;</body>")
+    assert _one(spark, body_text("html"), html) == (
+        "caf\u00e9 it\u2019s \U0001F600 &lt; <b> &nosuch; AT&T &; \ufffd \ufffd \ufffd '\u0391\u03b1")
+    assert _one(spark, heading("html"), "<h1>Caf&eacute;&nbsp; &#8212; x</h1>") == "Caf\u00e9 \u2014 x"
+
+
+def test_messy_pages(spark):
+    assert _one(spark, body_text("html"), "<p>no body</p> here") == "no body here"
+    assert _one(spark, body_text("html"), "<head><title>t</title></head><p>x") == "x"
+    assert _one(spark, body_text("html"), "<html><body class=a>open <b>end") == "open end"
+    assert _one(spark, body_text("html"), "<body>cut <script>var x = 1") == "cut "
+    assert _one(spark, body_text("html"), "<body>cut <!-- <p>x") == "cut "
+    assert _one(spark, body_text("html"), "<body>1 < 2 <a href='/x") == "1 < 2 "
+    assert _one(spark, body_text("html"), "") == ""
+    assert _one(spark, body_text("html"), None) is None
+    assert _one(spark, heading("html"), "<h1>open heading") == "open heading"
+    html = "<ul><li class=booklink><a href=/ebooks/5>x</a><li class=booklink><a class=c href='/ebooks/6'>y</a></ul>"
+    assert _one(spark, book_links("html"), html) == ["/ebooks/5", "/ebooks/6"]
+    assert _one(spark, download_link("html"), "<a href=/f/5.txt>Plain Text UTF-8</a>") == "/f/5.txt"
