@@ -266,6 +266,7 @@ ORACLES: dict[str, str] = {
     "index_sizes": (f"{BASE} SELECT count(*) AS word_book_entries, "
                     f"CAST(coalesce(sum(len(p)), 0) AS BIGINT) AS position_entries FROM idx"),
     "incremental_index": f"{BASE} {FLAT}",
+    "side_by_side_index": f"{BASE} {FLAT}",
     "stream_index": f"{BASE} {FLAT}",
     "indexed_books": "SELECT CAST(doc_id AS VARCHAR) AS doc_key FROM documents",
     "nbooks": "SELECT count(DISTINCT doc_id) AS nbooks FROM documents",
@@ -278,6 +279,7 @@ ORACLES: dict[str, str] = {
     "parse_catalog": f"WITH {LINES}, {PARSED} SELECT book_id, title, author, date, language, keys FROM parsed",
     "load_catalog": f"WITH {LINES}, {PARSED}, {CATALOG} SELECT * FROM cat",
     "catalog_last_wins": f"WITH {LINES2}, {PARSED}, {CATALOG} SELECT * FROM cat",
+    "catalog_log": f"WITH {LINES2}, {PARSED}, {CATALOG} SELECT * FROM cat",
     "release_year": f"WITH {LINES}, {PARSED}, {CATALOG} SELECT book_id, date, CAST({year_of('date')} AS VARCHAR) AS year FROM cat",
     "books_by_word": (f"{BASE}, {PASSAGE_REQ}, w AS (SELECT DISTINCT unnest(words) AS word FROM req) "
                       f"SELECT idx.word, idx.book_id FROM idx JOIN w ON idx.word = w.word"),

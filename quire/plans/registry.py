@@ -24,13 +24,14 @@ from quire.operators import crawl, ledger, postings as post, search as srch, tok
 from quire.plans import crawling, fixtures
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
-from quire.sinks.books_store import read_books, store_books
+from quire.sinks.books_store import append_catalog_lines, read_books, store_books
 from quire.sinks.index_store import (
-    append_ledger, open_catalog_table, open_index_table, read_ledger, read_postings,
-    save_catalog_table, save_index_table,
+    append_ledger, new_run_id, open_catalog_table, open_index_table, read_ledger, read_postings,
+    save_catalog_table, save_index_table, write_run,
 )
 from quire.sinks.results import result_json
 from quire.sources.books import books_from_table
+from quire.sources.catalog import read_catalog_lines
 from quire.sources.stopwords import stopwords_frame
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,6 +229,18 @@ def incremental_index(spark, sf):
     return flat_postings(read_postings(spark, idx, led))
 
 
+@register("side_by_side_index")
+def side_by_side_index(spark, sf):
+    """Two jobs that did not see each other index the same books; readers merge them."""
+    idx, led = work_path(spark, "index"), work_path(spark, "ledger")
+    b = books(spark, sf)
+    for _ in range(2):
+        run = new_run_id()
+        write_run(build_index(b), idx, run)
+        append_ledger(b.select("doc_key").distinct(), led, run)
+    return flat_postings(read_postings(spark, idx, led))
+
+
 @register("indexed_books")
 def indexed_books(spark, sf):
     _, led = _incremental(spark, sf)
@@ -306,6 +319,17 @@ def catalog_last_wins(spark, sf):
     return _catalog_cols(cat.load_catalog(fixtures.recrawled_catalog_lines(documents(spark, sf))))
 
 
+@register("catalog_log")
+def catalog_log(spark, sf):
+    """The metadata log as text files: two crawls append their lines, the reader takes the
+    last line of every book."""
+    path = work_path(spark, "catalog-log")
+    lines = fixtures.recrawled_catalog_lines(documents(spark, sf))
+    for delivery in (1, 2):
+        append_catalog_lines(lines.filter(F.col("line_no.delivery") == delivery), path)
+    return _catalog_cols(cat.load_catalog(read_catalog_lines(spark, path)))
+
+
 @register("release_year")
 def release_year_q(spark, sf):
     # year as text: a nullable integer column would hash differently across engines
