@@ -17,7 +17,8 @@ starts in a document with a smaller id.  Steps:
 
 All documents are streamed in steps 1 and 4; only the parts that can hold a passage travel in
 between.  A phrase with more than ``hot`` occurrences is not gathered anywhere: its different runs
-and their windows are confirmed by combined aggregations and located by joins that AQE may split.
+and their windows are confirmed by combined aggregations and located by a join on the run.  That
+join streams and spills, but the places of one very common run meet in one task.
 
 Words are runs of characters other than space and U+0009 to U+000D, unchanged.  Null texts have
 none.  Texts shorter than a window stay whole.  Rows that repeat an id do not remove
