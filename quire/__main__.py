@@ -5,12 +5,14 @@
     python -m quire search  --index PATH [--catalog PATH]
                             (--words 'w1+w2' [--title T] [--author A] [--from Y] [--to Y]
                              [--language L] | --requests FILE.jsonl) --out PATH
+    python -m quire add     --books DIR --index PATH --ledger PATH
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
     python -m quire compact --index PATH --ledger PATH --out PATH --buckets N
     python -m quire nbooks  --ledger PATH
     python -m quire fragment --book ID --word-pos N
 
-``search --words`` splits on '+' like the reference route; a request file holds one JSON
+``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
+how many books were new.  ``search --words`` splits on '+' like the reference route; a request file holds one JSON
 object per line: {"query_id": 1, "words": [...], "title": ..., "year_from": ..., ...}.
 Results are JSON lines {"query_id", "bookId", "positions": {word: [pos, ...]}} — the
 reference's result object plus the request id.
@@ -50,6 +52,9 @@ def _parser() -> argparse.ArgumentParser:
     for crit in ("title", "author", "from", "to", "language"):
         s.add_argument(f"--{crit}")
     s.add_argument("--out", required=True)
+    a = sub.add_parser("add")
+    for name in ("books", "index", "ledger"):
+        a.add_argument(f"--{name}", required=True)
     st = sub.add_parser("ingest")
     for a in ("source", "index", "ledger", "checkpoint"):
         st.add_argument(f"--{a}", required=True)
@@ -93,6 +98,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
                                   args.out, args.buckets)
     if args.cmd == "search":
         return _search(spark, args)
+    if args.cmd == "add":
+        from quire.plans.indexing import index_new_books
+        from quire.sources.books import books_from_files
+        n = index_new_books(books_from_files(spark, args.books), args.index, args.ledger).count()
+        print(n)
+        return n
     if args.cmd == "ingest":
         from quire.streaming.ingest import start_stream_index
         q = start_stream_index(spark, args.source, args.index, args.ledger, args.checkpoint,

@@ -60,3 +60,16 @@ def test_cli_ingest_compact_search(spark):
     postings, _ = open_index_table(spark, table)
     expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"]).collect())
     assert sorted(r["bookId"] for r in spark.read.json(out).collect()) == expect
+
+
+def test_cli_add_indexes_the_new_files_of_a_folder(spark, tmp_path):
+    from quire.sinks.index_store import read_postings
+    idx, led = work_path(spark, "cli-add"), work_path(spark, "cli-add-led")
+    add = ["add", "--books", str(tmp_path), "--index", idx, "--ledger", led]
+    (tmp_path / "7.txt").write_text("blue whale", encoding="utf-8")
+    (tmp_path / "notes.txt").write_text("not a book", encoding="utf-8")
+    assert main(add, spark) == 1 and main(add, spark) == 0
+    (tmp_path / "8.txt").write_text("green whale", encoding="utf-8")
+    assert main(add, spark) == 1
+    assert sorted((r.word, r.book_id) for r in read_postings(spark, idx, led).collect()) == [
+        ("blue", 7), ("green", 8), ("whale", 7), ("whale", 8)]
