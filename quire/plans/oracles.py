@@ -343,6 +343,12 @@ ORACLES: dict[str, str] = {
         f"SELECT href, book_id, {title_part('h', 1)} AS title, {title_part('h', 2)} AS author, release_date, language, "
         f"CASE WHEN starts_with(download, 'http') THEN download ELSE {_q(BASE_URL)} || download END AS download_url "
         f"FROM r WHERE h IS NOT NULL AND download IS NOT NULL AND book_id IS NOT NULL"),
+    "crawl_to_catalog": (
+        f"WITH {BOOK_PAGES}, r AS (SELECT href, {HEADING} AS h, {RELEASE} AS release_date, {LANGUAGE} AS language, "
+        f"{DOWNLOAD} AS download, string_split(href, '/')[3] AS book_id FROM bp), "
+        f"lines AS (SELECT 1 AS delivery, book_id AS seq, {line_of()} AS line FROM (SELECT book_id, "
+        f"{title_part('h', 1)} AS title, {title_part('h', 2)} AS author, release_date, language "
+        f"FROM r WHERE h IS NOT NULL AND download IS NOT NULL)), {PARSED}, {CATALOG} SELECT * FROM cat"),
     "release_date": f"WITH {BOOK_PAGES} SELECT href, {RELEASE} AS release_date FROM bp",
     "detect_language": f"WITH {BOOK_PAGES} SELECT href, {LANGUAGE} AS language FROM bp",
     "download_link": f"WITH {BOOK_PAGES} SELECT href, {DOWNLOAD} AS download FROM bp",

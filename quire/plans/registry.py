@@ -330,6 +330,15 @@ def catalog_log(spark, sf):
     return _catalog_cols(cat.load_catalog(read_catalog_lines(spark, path)))
 
 
+@register("crawl_to_catalog")
+def crawl_to_catalog(spark, sf):
+    """Book pages to records, records to lines of the metadata log, the log to the catalogue."""
+    path = work_path(spark, "catalog-log")
+    records = crawling.extract_book_records(_book_pages(spark, sf))
+    append_catalog_lines(crawling.catalog_lines_of(records), path)
+    return _catalog_cols(cat.load_catalog(read_catalog_lines(spark, path)))
+
+
 @register("release_year")
 def release_year_q(spark, sf):
     # year as text: a nullable integer column would hash differently across engines
