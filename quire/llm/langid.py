@@ -3,8 +3,13 @@
 A text is a normalised TF-IDF vector of its letter 1- to 3-grams (lower-cased, word ends
 marked, hashed to ``dims`` buckets, counts damped by log).  Every language has several
 centroids, found by spherical k-means; a text gets the language of the centroid with the
-largest cosine.  It is rejected if that cosine lies under ``slack`` times the least cosine
-seen between a training text of the cluster (whole, and cut to its first words) and its centroid.
+largest cosine.  It is rejected if that cosine lies under ``slack`` times the ``low`` quantile
+of the cosines that training texts of the cluster reach at that length.  Length is the number of
+distinct grams, in bands of half an octave (a repeated word is a short text); training texts
+count whole and cut to their first 4, 8, 16... characters.  A cluster with under ``BAND_ROWS`` texts in
+a band takes the band of its language, and that of a shorter band if those are too few as well.
+A cluster of less than the share ``low`` of a language's sample gives no centroid, so a few odd
+rows neither loosen a language nor become one of its centroids.
 
 Document frequencies come from every training row.  Centroids are fitted on about ``sample``
 texts a language, dealt by a hash of the id, and on at most ``max_labels`` languages (the
@@ -31,6 +36,8 @@ from pyspark.sql import functions as F
 UNDETERMINED = "und"
 DIMS = 1 << 13
 PIECE = 1 << 18
+#: texts from which a length band has a quantile of its own
+BAND_ROWS = 20
 
 
 @functools.cache
@@ -129,15 +136,52 @@ def k_means(vectors: np.ndarray, k: int, rounds: int = 8) -> tuple[np.ndarray, n
     return centroids, np.argmax(vectors @ centroids.T, axis=1)
 
 
+def bands(grams: np.ndarray, dims: int) -> np.ndarray:
+    """The length band of each number of distinct grams: half octaves, up to ``dims``."""
+    return np.floor(2 * np.log2(np.clip(grams, 1, dims))).astype(int)
+
+
+def reach(texts: list[str | None], idf: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(band, cluster, cosine) of the texts, whole and cut to their first 4, 8, 16... characters."""
+    found, longest = [], max((len(t) for t in texts if t), default=0)
+    sizes = [1 << i for i in range(2, longest.bit_length()) if 1 << i < min(longest, PIECE)]
+    for size in [*sizes, None]:
+        vectors, valid = unit_vectors([t[:size] for t in texts if t and (size is None or len(t) > size)], idf)
+        cosine = vectors[valid] @ centroids.T
+        found.append((bands((vectors[valid] > 0).sum(axis=1), len(idf)), cosine.argmax(axis=1), cosine.max(axis=1)))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def low_reach(band: np.ndarray, cluster: np.ndarray, cosine: np.ndarray, clusters: int, n_bands: int, low: float) -> np.ndarray:
+    """(clusters x bands): the ``low`` quantile of the cosines of each cluster and length band."""
+    out = np.zeros((clusters, n_bands))
+    full = [b for b in range(n_bands) if (band == b).sum() >= BAND_ROWS]
+    first = full[0] if full else n_bands
+    short = np.quantile(cosine[band < first], low) if (band < first).any() else 1.0
+    if full:                                  # too few texts are as short: no stricter than the first full band
+        short = min(short, np.quantile(cosine[band == first], low))
+    for c in range(clusters):
+        last = short
+        for b in range(n_bands):
+            if b in full:
+                own = (band == b) & (cluster == c)
+                last = np.quantile(cosine[own if own.sum() >= BAND_ROWS else band == b], low)
+            out[c, b] = last
+    return out
+
+
 def fit(train: DataFrame, label: str = "lang", key: str = "doc_id", text: str = "text", dims: int = DIMS,
-        clusters: int = 3, sample: int = 600, max_labels: int = 1000, slack: float = 0.5) -> dict:
+        clusters: int = 3, sample: int = 600, max_labels: int = 1000, slack: float = 0.5,
+        low: float = 0.02) -> dict:
     """A model (plain dict of numpy arrays) from labelled rows; null labels are ignored."""
     rows = train.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(text).cast("string").alias("text")
                         ).filter("label is not null")
     frequency, n = document_frequency(rows, dims)
     idf = np.log((1 + n) / (1 + frequency)) + 1
     labels = {r[0]: r[1] for r in rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_labels).collect()}
-    empty = {"idf": idf, "labels": [], "owner": np.zeros(0, int), "centroids": np.zeros((0, dims), np.float32), "radius": np.zeros(0)}
+    n_bands = int(bands(np.array([dims]), dims)[0]) + 1
+    empty = {"idf": idf, "labels": [], "owner": np.zeros(0, int), "centroids": np.zeros((0, dims), np.float32),
+             "radius": np.zeros((0, n_bands))}
     if not labels:
         return empty
     # about `sample` rows of each label: a label's share of a hash's range
@@ -152,17 +196,17 @@ def fit(train: DataFrame, label: str = "lang", key: str = "doc_id", text: str =
         out = {"label": [], "centroid": [], "radius": []}
         if len(vectors):
             centroids, member = k_means(vectors, clusters)
-            short, usable = unit_vectors([" ".join(t.split()[:4]) if t else t for t in part["text"]], idf)
-            least = (short[usable] @ centroids.T).max(axis=1).min() if usable.any() else 1.0
-            for c, centroid in enumerate(centroids):
-                if (own := member == c).any():
-                    out["label"].append(part["label"].iloc[0])
-                    out["centroid"].append(centroid.astype("<f4").tobytes())
-                    out["radius"].append(float(slack * min(least, (vectors[own] @ centroid).min())))
+            held = np.bincount(member, minlength=len(centroids))
+            centroids = centroids[(held > 0) & (held >= low * len(vectors))]
+            radius = slack * low_reach(*reach(part["text"].tolist(), idf, centroids), len(centroids), n_bands, low)
+            for centroid, least in zip(centroids, radius):
+                out["label"].append(part["label"].iloc[0])
+                out["centroid"].append(centroid.astype("<f4").tobytes())
+                out["radius"].append(least.tolist())
         return pd.DataFrame(out)
 
     kind = rows.schema["label"].dataType.simpleString()
-    found = drawn.groupBy("label").applyInPandas(cluster, f"label {kind}, centroid binary, radius double").collect()
+    found = drawn.groupBy("label").applyInPandas(cluster, f"label {kind}, centroid binary, radius array<double>").collect()
     if not found:
         return empty
     found.sort(key=lambda r: str(r["label"]))
@@ -181,7 +225,8 @@ def predict_texts(model: dict, texts: list[str | None]) -> tuple[list, np.ndarra
     best = cosine.argmax(axis=1)              # centroids are in label order: ties go to the first
     score = np.clip(cosine[np.arange(len(texts)), best].astype(float), 0, 1)
     score[~valid] = 0
-    rejected = ~valid | (score < model["radius"][best])
+    band = bands((vectors > 0).sum(axis=1), vectors.shape[1])
+    rejected = ~valid | (score < model["radius"][best, band])
     names = [str(model["labels"][model["owner"][b]]) if ok else UNDETERMINED for b, ok in zip(best, valid)]
     return names, score, rejected
 

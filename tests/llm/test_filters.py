@@ -1,3 +1,4 @@
+import base64
 import re
 from collections import defaultdict
 
@@ -175,6 +176,27 @@ def test_language_held_out_accuracy_and_rejection(spark, spoken):
     assert rejected.tolist() == [True, True, True, True, False, False] and names[4:] == ["en", "en"]
 
 
+def test_language_rejects_odd_long_texts_in_spite_of_odd_training_rows(spark):
+    rng = np.random.default_rng(7)
+
+    def letters(n):
+        return " ".join("".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(n))
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    labelled = docs.filter(~langid.held_out(F.col("doc_id"))).union(
+        spark.createDataFrame([(10_000, letters(4), "en"), (10_001, letters(100), "fr")], docs.schema))
+    model = langid.fit(labelled)
+    blobs = [base64.b64encode(rng.bytes(900)).decode() for _ in range(20)]
+    code = [open(f).read()[:3000] for f in (langid.__file__, decontaminate.__file__, pii.__file__)]
+    _, _, rejected = langid.predict_texts(model, [letters(n) for n in (20, 100, 500) for _ in range(20)] + blobs + code)
+    assert rejected.all()
+    clean = [r.text for r in docs.filter(langid.held_out(F.col("doc_id"))).collect()]
+    assert not langid.predict_texts(model, clean)[2].any()
+    # a language left out of training
+    _, _, foreign = langid.predict_texts(langid.fit(labelled.filter("lang <> 'es'")), [r.text for r in docs.filter("lang = 'es'").collect()])
+    assert foreign.mean() > 0.8
+
+
 def test_language_prediction_ignores_label_and_passes_columns(messy):
     model = langid.fit(messy)
     got = langid.predict(messy.withColumn("score", F.lit("old")), model)
