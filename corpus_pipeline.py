@@ -31,9 +31,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold benchmark passages."""
+    """Drop documents that hold benchmark passages, each row judged by itself."""
     items = spark.read.parquet(table_path(sf_dir, "benchmark"))
-    return decontaminate.drop_contaminated(docs, items).select(docs.columns)
+    return decontaminate.drop_contaminated_rows(docs, items).select(docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

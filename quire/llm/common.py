@@ -21,6 +21,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` staged with a number for each row, and the name of that new column.
+
+    The numbers are written with the rows, so every read sees the same ones."""
+    row, taken = "row_number_", {c.lower() for c in df.columns}
+    while row in taken:
+        row += "_"
+    return staged(df.withColumn(row, F.monotonically_increasing_id()), name), row
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column (null stays None)."""
     return column.cast(pa.binary()).to_pylist()

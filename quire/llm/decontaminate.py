@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.llm.common import numbered
+
 #: fixed by the contract of the operator
 WINDOW = 13
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -117,14 +119,22 @@ def contamination(hits: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Documents that are not contaminated, all columns kept.
+    """Documents whose id has no contaminated row, all columns kept.
 
-    Documents whose id is null are kept only if no row without an id is contaminated."""
+    Rows of one id fall together, and so do all rows without id: for tables in which each id
+    names one document.  ``drop_contaminated_rows`` judges every row by itself."""
     bad = contamination(find_hits(docs, items, key, text, **options), key).filter("contaminated").select(
         F.col(key).alias("bad_")).distinct()
     return docs.join(bad, docs[key].eqNullSafe(bad["bad_"]), "left_anti")
 
 
+def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
+    """Rows that are not contaminated, all columns kept; each is judged by itself and ids are not read."""
+    rows, row = numbered(docs, "numbered-documents")
+    bad = contamination(find_hits(rows, items, row, text, **options), row).filter("contaminated").select(row)
+    return rows.join(bad, row, "left_anti").drop(row)
+
+
 def remove_hit_words(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """(key, text): normalised words of each document without the hit ranges, joined by spaces."""
     hits = find_hits(docs, items, key, text, **options).select(F.col(key).alias("id_"), F.explode("ranges").alias("r"))

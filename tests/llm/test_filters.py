@@ -65,6 +65,22 @@ def test_drop_and_remove(messy, items):
     assert left[9] == "" and left[8] == "" and len(left[100]) > 0
 
 
+def test_benchmark_stage_judges_each_row_by_itself(spark, messy, items, tmp_path):
+    import corpus_pipeline
+
+    leak = items.filter("item_id = 1").first().text
+    docs = spark.createDataFrame([(None, leak), (None, "a clean text"), (None, "other clean words"), (None, None),
+                                  (1, leak), (1, "clean under the same id"), (2, "clean")], "doc_id long, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = corpus_pipeline.benchmark(spark, docs.repartition(3), str(tmp_path))
+    want = [(r.doc_id, r.text) for r in docs.collect() if r.text != leak]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    # columns of the operator's own names, and several scans
+    kept = decontaminate.drop_contaminated_rows(messy, items, max_broadcast_bytes=2000)
+    bad = [x[-1] for x in brute_hits([(i, r.text) for i, r in enumerate(messy.collect())], [(r.item_id, r.text) for r in items.collect()])]
+    assert kept.columns == messy.columns and kept.count() == len(bad) - sum(bad)
+
+
 def test_decontamination_plan_is_native(messy, items):
     plan = decontaminate.find_hits(messy, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan) and "BroadcastHashJoin" in plan
