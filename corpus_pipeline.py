@@ -21,13 +21,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every SimHash group, one row of it.
-
-    Documents without id cannot be named by a group and stay."""
-    groups = simhash.simhash_groups(docs, shingle=3, radius=3)
-    kept = groups.filter("doc_id = component").select("doc_id").distinct()
-    return (docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-            .union(docs.filter("doc_id is null")).select(docs.columns))
+    """Keep one row of every SimHash group: the smallest id, rows without id last."""
+    return simhash.one_row_a_group(docs, shingle=3, radius=3).select(docs.columns)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,9 +13,9 @@ fingerprints share a piece), and a bucket gives a spanning forest of its links,
 pairs: reachability is kept and rows stay linear.
 
 Null, empty and blank texts have no words and fingerprint 0, which links like any other.  A
-text with fewer words than the shingle length is one shingle.  Rows may repeat; rows with a
-null id get a fingerprint and their group's component, null if no id is known.  Long texts
-are hashed in pieces.  An empty table gives no rows.  Only ``key`` and ``text`` are read.
+text with fewer words than the shingle length is one shingle.  Rows may repeat; rows of one id
+are linked by their fingerprints only.  Rows with a null id link others as any row does; their
+component is null if no id of the group is known.  Long texts are hashed in pieces.  An empty table gives no rows.  Only ``key`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from quire.llm.common import slices, staged
+from quire.llm.common import numbered, slices, staged
 from quire.llm.components import components
 
 BITS = 64
@@ -153,18 +153,36 @@ def links(prints: DataFrame, radius: int = 3, bucket: int = BUCKET) -> DataFrame
     raise AssertionError("unreachable")
 
 
+def _components(prints: DataFrame, radius: int, bucket: int) -> tuple[DataFrame, DataFrame]:
+    """From (id, fp): (fp, group) of every fingerprint and (group, component) of every group.
+
+    Fingerprints are the nodes; ``component`` is the least id of a group, null if none is known."""
+    nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    roots = components(links(nodes.select("fp"), radius, bucket))
+    groups = staged(nodes.join(roots, nodes.fp == roots.node, "left")
+                    .select("fp", "least", F.coalesce("component", "fp").alias("group")), "groups")
+    return groups.select("fp", "group"), groups.groupBy("group").agg(F.min("least").alias("component"))
+
+
 def simhash_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
                    radius: int = 3, bucket: int = BUCKET) -> DataFrame:
     """(key, fp, component): component is the smallest id reachable over links of at most
     ``radius`` differing bits, itself included; one row per input row."""
     prints = staged(fingerprints(docs, key, text, shingle).withColumnRenamed(key, "id"), "fingerprints")
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    nodes = staged(nodes, "nodes")
-    near = links(nodes.select("fp"), radius, bucket)
-    known = nodes.filter("least is not null")
-    by_id = (near.join(known.select(F.col("fp").alias("a"), F.col("least").alias("u")), "a")
-             .join(known.select(F.col("fp").alias("b"), F.col("least").alias("v")), "b").select("u", "v"))
-    roots = components(by_id, "u", "v")
-    groups = (nodes.join(roots, nodes.least == roots.node, "left")
-              .select("fp", F.coalesce("component", "least").alias("component")))
-    return prints.join(groups, "fp").select(F.col("id").alias(key), "fp", "component")
+    groups, least = _components(prints, radius, bucket)
+    return (prints.join(groups.join(least, "group").select("fp", "component"), "fp")
+            .select(F.col("id").alias(key), "fp", "component"))
+
+
+def one_row_a_group(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                    radius: int = 3, bucket: int = BUCKET) -> DataFrame:
+    """One row of every group of ``simhash_groups``, all columns kept.
+
+    It is the row with the least id, nulls last; among several the one whose text has the
+    least XXH64, and of equal texts the first."""
+    rows, row = numbered(docs, "numbered-documents")
+    order = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"),
+                     F.xxhash64(F.col(text).cast("string")).alias("text"), F.col(row).alias("row"))
+    prints = staged(fingerprints(rows.select(order.alias("id"), F.col(text).alias("text")), "id", "text", shingle), "fingerprints")
+    _, least = _components(prints, radius, bucket)
+    return rows.join(least.select(F.col("component.row").alias(row)), row, "left_semi").drop(row)

@@ -43,6 +43,26 @@ def test_simhash_equals_brute_force(messy, bucket):
     assert all(r.component == zero for r in got if r.fp == 0)
 
 
+def test_rows_without_id_link_and_repeated_ids_stay_apart(spark):
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    base = [f"w{rng.randint(0, 10**6)}" for _ in range(300)]
+    near = [" ".join(base[:i] + [f"x{i}"] + base[i + 1:]) for i in range(300)]
+    prints = [brute_fingerprint(t) for t in near]
+    far = lambda i, j: (prints[i] ^ prints[j]).bit_count()
+    a, c, b = next((i, k, j) for i, j in combinations(range(300), 2) if far(i, j) > 3
+                   for k in range(300) if far(i, k) <= 3 and far(k, j) <= 3)
+    others = [" ".join(f"{x}{rng.randint(0, 10**6)}" for _ in range(50)) for x in "pqr"]
+    docs = spark.createDataFrame([(7, near[a]), (None, near[c]), (3, near[b]), (5, others[0]), (5, others[1]),
+                                  (None, others[2]), (None, others[2]), (None, others[1])], "doc_id long, text string")
+    got = {(r.doc_id, r.fp % 2 ** 64): r.component for r in simhash.simhash_groups(docs).collect()}
+    assert got[7, prints[a]] == got[None, prints[c]] == got[3, prints[b]] == 3
+    assert got[None, brute_fingerprint(others[1])] == 5 and got[None, brute_fingerprint(others[2])] is None
+    kept = sorted(map(tuple, corpus_pipeline.near_duplicates(spark, docs, "").collect()), key=repr)
+    assert kept == sorted([(3, near[b]), (5, others[0]), (5, others[1]), (None, others[2])], key=repr)
+
+
 def test_simhash_empty_table(no_rows):
     assert simhash.simhash_groups(no_rows).count() == 0
 
