@@ -12,9 +12,3 @@ from quire.session import get_session  # noqa: E402
 def spark():
     s = get_session("local[*]", 8)
     yield s
-
-
-def rows(df, *cols):
-    """Collect small test results as sorted tuples."""
-    cols = cols or tuple(df.columns)
-    return sorted((tuple(r[c] for c in cols) for r in df.collect()), key=repr)

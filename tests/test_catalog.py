@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.functions.metadata import format_metadata_line, release_year
 from quire.operators.catalog import load_catalog, parse_catalog
 

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.functions.html import (
     absolute_url, body_text, book_links, download_link, heading, language_cell,
     link_book_id, release_date, split_author, split_title,

@@ -3,7 +3,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.operators.postings import merge_postings
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import work_path

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.functions.text import parse_query
 from quire.operators import search as S
 from quire.operators.catalog import load_catalog

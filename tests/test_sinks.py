@@ -4,7 +4,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.session import work_path
 from quire.sinks.books_store import latest_books, read_books, store_books
 from quire.sinks.results import result_json, write_results_json

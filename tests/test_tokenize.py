@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from quire.functions.text import java_trim, strip_header, tokenize
 from quire.operators.tokens import index_tokens, token_positions
 
