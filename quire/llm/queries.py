@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, langid, mixing, pii, simhash, substring, tokencount, topk, warc
+from quire.llm import chat, decontaminate, langid, lexical, mixing, pii, repair, simhash, substring, tokencount, topk, warc
 from quire.llm.common import digest_hex
 from quire.session import table_path
 
@@ -77,6 +77,19 @@ def op10_pii(spark, sf_dir):
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
 
 
+def op11_ranked_search(spark, sf_dir):
+    """The 50 best documents of every benchmark item."""
+    index = lexical.build_index(_read(spark, sf_dir, "documents"))
+    return lexical.search(index, _read(spark, sf_dir, "benchmark"), k=50).select(
+        F.col("item").alias("item_id"), "rank", F.col("doc").alias("doc_id"), "score")
+
+
+def op12_repair(spark, sf_dir):
+    """Every conversation, damaged and then repaired at least cost."""
+    return repair.repair(repair.damage(_read(spark, sf_dir, "conversations"))).select(
+        F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py, one after another."""
     import corpus_pipeline
@@ -86,7 +99,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_substring_dedup, op3_simhash, op4_token_counts, op5_topk, op6_chat, op7_langid, op8_mixing,
-    op9_decontaminate, op10_pii, pipeline)}
+    op9_decontaminate, op10_pii, op11_ranked_search, op12_repair, pipeline)}
 
 _BASE32 = """
 array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -140,4 +153,62 @@ m AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT ite
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN p USING (doc_id) LEFT JOIN m USING (doc_id)""",
+    "op11_ranked_search": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, unnest(list_distinct(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))) AS term FROM benchmark),
+s AS (SELECT count(*) AS n_docs, sum(len(ws))::BIGINT AS l FROM d WHERE len(ws) > 0),
+m AS (SELECT r, 50 + (50 * len(ws) * n_docs) // l AS m FROM d, s WHERE len(ws) > 0),
+tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term, n_docs),
+x AS (SELECT q, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM b JOIN tf USING (term) JOIN w USING (term) JOIN m USING (r) GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM x JOIN (SELECT r, doc_id FROM d) USING (r) WHERE score > 0 QUALIFY rank <= 50""",
+    "op12_repair": r"""
+WITH RECURSIVE crc AS (SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, range(8)),
+  lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) AS c FROM range(256) AS r(i))),
+keyed AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+  coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k FROM conversations),
+hit AS (SELECT keyed.*, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(k) + 1), lambda j: ascii(k[j])::BIGINT)),
+  lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS f FROM keyed, crc),
+after AS (SELECT conv_id, turn, CASE f WHEN 4 THEN 'user' ELSE role END AS role,
+  CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM hit, range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END) AS c(n)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM after),
+fault AS (SELECT conv_id, turn, role, text, pos, role[1] AS i, lag(role[1]) OVER (PARTITION BY conv_id ORDER BY pos) AS before,
+  CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+  WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY pos) > 1 THEN 'duplicate'
+  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault FROM placed),
+counted AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+  count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before || i NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM fault GROUP BY conv_id),
+one AS (SELECT * FROM (VALUES ('E', 'D', NULL, 'E', 4), ('S', 'D', NULL, 'S', 4), ('U', 'D', NULL, 'U', 4), ('A', 'D', NULL, 'A', 4),
+  ('E', 'K', 's', 'S', 0), ('E', 'K', 'u', 'U', 0), ('S', 'K', 'u', 'U', 0), ('A', 'K', 'u', 'U', 0), ('U', 'K', 'a', 'A', 0),
+  ('E', 'R', NULL, 'U', 3), ('S', 'R', NULL, 'U', 3), ('A', 'R', NULL, 'U', 3), ('U', 'R', NULL, 'A', 3)) AS v(src, op, i, dst, cost)),
+more AS (SELECT * FROM (VALUES ('E', 'U'), ('S', 'U'), ('A', 'U'), ('U', 'A')) AS v(src, dst)),
+edit AS (SELECT * FROM one UNION ALL SELECT m.src, 'I' || op, i, o.dst, cost + 3 FROM more m JOIN one o ON o.src = m.dst
+  UNION ALL SELECT m.src, 'II' || op, i, o.dst, cost + 6 FROM more m JOIN more l ON l.src = m.dst JOIN one o ON o.src = l.dst),
+walk AS (SELECT conv_id, 0::BIGINT AS pos, 'E' AS state, 0::BIGINT AS cost, '' AS audit FROM counted
+  UNION ALL SELECT * FROM (SELECT w.conv_id, f.pos, e.dst AS state, (w.cost + e.cost +
+    CASE WHEN f.fault = 'truncated' AND e.op NOT LIKE '%D' THEN 3 ELSE 0 END)::BIGINT AS cost, w.audit || e.op AS audit
+    FROM walk w JOIN fault f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1 JOIN edit e ON e.src = w.state
+    WHERE (e.i IS NULL OR e.i = f.i) AND (e.op LIKE '%D' OR f.fault NOT IN ('blank', 'duplicate')))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, state ORDER BY cost, audit) = 1),
+ended AS (SELECT w.conv_id, cost + e.more AS cost, audit || e.tail AS audit FROM walk w
+  JOIN counted c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND w.pos = c.n
+  JOIN (VALUES ('E', '', 0), ('A', '', 0), ('U', 'I', 3), ('S', 'II', 6)) AS e(state, tail, more) ON e.state = w.state
+  QUALIFY row_number() OVER (PARTITION BY w.conv_id ORDER BY cost + e.more, audit || e.tail) = 1),
+letter AS (SELECT conv_id, j, audit[j] AS op, length(replace(audit[:j], 'I', '')) AS pos, length(replace(audit[:j], 'D', '')) AS place
+  FROM ended, unnest(range(1, length(audit) + 1)) AS t(j)),
+spoken AS (SELECT l.conv_id, j, op, f.role, CASE op WHEN 'I' THEN '' ELSE f.text END AS text,
+  place - max(CASE WHEN place = 1 AND op = 'K' AND f.i = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY l.conv_id) AS nth
+  FROM letter l LEFT JOIN fault f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos AND op <> 'I' WHERE op <> 'D'),
+said AS (SELECT conv_id, string_agg(CASE WHEN op = 'K' THEN role WHEN nth % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS t
+  FROM spoken GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM a.conv_id""",
 }
