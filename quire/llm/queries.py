@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quire.llm import chat, decontaminate, langid, lexical, mixing, pii, repair, simhash, substring, tokencount, topk, warc
+from quire.llm import chat, covertree, decontaminate, langid, lexical, mixing, pii, repair, simhash, substring, tokencount, topk, warc
 from quire.llm.common import digest_hex
 from quire.session import table_path
 
@@ -90,6 +90,12 @@ def op12_repair(spark, sf_dir):
         F.col("conv").alias("conv_id"), "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
 
 
+def op13_embedding_dedup(spark, sf_dir):
+    """Every vector's number of links at cosine 0.95 and its component."""
+    return covertree.links(_read(spark, sf_dir, "embeddings"), cosine=0.95).select(
+        "vec_id", "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def pipeline(spark, sf_dir):
     """All stages of corpus_pipeline.py, one after another."""
     import corpus_pipeline
@@ -99,7 +105,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_warc, op2_substring_dedup, op3_simhash, op4_token_counts, op5_topk, op6_chat, op7_langid, op8_mixing,
-    op9_decontaminate, op10_pii, op11_ranked_search, op12_repair, pipeline)}
+    op9_decontaminate, op10_pii, op11_ranked_search, op12_repair, op13_embedding_dedup, pipeline)}
 
 _BASE32 = """
 array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
@@ -211,4 +217,14 @@ SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
   coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(t, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN said s ON s.conv_id IS NOT DISTINCT FROM a.conv_id""",
+    "op13_embedding_dedup": """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+u AS (SELECT r, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS n FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+l AS (SELECT a.r AS a, b.r AS b FROM u a JOIN u b ON a.r <> b.r AND list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach AS (SELECT a, b FROM l UNION SELECT reach.a, l.b FROM reach JOIN l ON l.a = reach.b),
+c AS (SELECT a AS r, min(vec_id) AS least FROM reach JOIN v ON v.r = reach.b GROUP BY a),
+n AS (SELECT a AS r, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, least) AS component_id, vec_id <= coalesce(least, vec_id) AS kept
+FROM v LEFT JOIN c USING (r) LEFT JOIN n USING (r)""",
 }

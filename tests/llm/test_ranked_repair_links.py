@@ -1,0 +1,268 @@
+"""Ranked search, conversation repair and cover-tree links against plain versions."""
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from quire.llm import covertree, lexical, repair
+
+# ---------------------------------------------------------------- ranked search ----------
+
+TERMS = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def plain_search(docs, items, k):
+    bags = [(i, Counter(TERMS.findall((t or "").translate(UPPER)))) for i, t in docs]
+    bags = [(i, b, sum(b.values())) for i, b in bags if b]
+    n_docs, tokens = len(bags), sum(n for _, _, n in bags)
+    df = Counter(t for _, b, _ in bags for t in b)
+    out = []
+    for item, text in items:
+        terms = {t: math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[t] + 1))) for t in set(TERMS.findall((text or "").translate(UPPER))) if t in df}
+        scored = []
+        for i, b, n in bags:
+            m = 50 + (50 * n * n_docs) // tokens
+            score = sum(w * ((1_000_000_000 * b[t]) // (1000 * b[t] + 20 * m)) for t, w in terms.items() if t in b)
+            if score > 0:
+                scored.append((-score, i is None, i or 0))
+        out += [(item, r + 1, None if none else i, -s) for r, (s, none, i) in enumerate(sorted(scored)[:k])]
+    return sorted(out, key=repr)
+
+
+def found(df):
+    return sorted(((r.item, r.rank, r.doc, r.score) for r in df.collect()), key=repr)
+
+
+def test_search_equals_scoring_everything(spark, messy, monkeypatch):
+    monkeypatch.setattr(lexical, "BLOCK_TOKENS", 600)
+    monkeypatch.setattr(lexical, "BLOCK_DOCS", 9)
+    rows = [(r.doc_id, r.text) for r in messy.collect()]
+    rng = random.Random(3)
+    items = [(n, " ".join(rng.sample(t.split(), min(12, len(t.split()))))) for n, (_, t) in enumerate(rows) if t and len(t) < 5000]
+    items += [(900, None), (901, " .,- "), (902, "nowhereword"), (903, "ONE two"), (903, "ONE two"), (None, "one"), (904, "日本語 Grüße STRASSE")]
+    asked = spark.createDataFrame(items, "item_id long, text string").withColumn("query", F.lit("x")).withColumn("term", F.lit(1))
+    got = found(lexical.search(lexical.build_index(messy.repartition(3)), asked, k=5))
+    assert got == plain_search(rows, items, 5)
+
+
+def test_search_in_slices_gives_the_same(spark, messy, monkeypatch):
+    items = [(n, r.text) for n, r in enumerate(messy.collect()) if r.text and len(r.text) < 3000]
+    asked, index = spark.createDataFrame(items, "item_id long, text string"), lexical.build_index(messy)
+    whole = found(lexical.search(index, asked, k=7))
+    monkeypatch.setattr(lexical, "SLICE_BYTES", 4000)
+    assert found(lexical.search(index, asked, k=7)) == whole
+
+
+def test_search_of_empty_tables(spark, no_rows, messy):
+    items = spark.createDataFrame([(1, "one")], "item_id long, text string")
+    assert lexical.search(lexical.build_index(no_rows), items).count() == 0
+    assert lexical.search(lexical.build_index(messy), items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_blocks_skip_and_stay_exact(seed):
+    """Pairs tighten bounds: no term left out, and fewer documents scored than hold a term."""
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" for i in range(60)]
+    docs = [(n, " ".join(rng.choices(vocabulary, [1 / (i + 1) for i in range(60)], k=rng.randint(1, 40)))) for n in range(400)]
+    items = [(n, " ".join(rng.sample(vocabulary, rng.randint(1, 14)))) for n in range(25)]
+    bags = [Counter(t.split()) for _, t in docs]
+    df, tokens = Counter(t for b in bags for t in b), sum(map(lambda b: sum(b.values()), bags))
+    weight = lambda t: math.floor(1000 * math.log((2 * 400 + 2) / (2 * df[t] + 1)))
+    rows = [{"query": n, "item": n, "terms": sorted((t.encode() for t in q.split() if df[t.strip()]), key=lambda t: (weight(t.decode()), t)),
+             "weights": None} for n, q in items]
+    for r in rows:
+        r["weights"] = [weight(t.decode()) for t in r["terms"]]
+    work = lexical.Workload(rows, 400, tokens)
+
+    class One:                                           # stands for a record batch
+        def __init__(self, rows):
+            self.rows = rows
+
+        def to_pylist(self):
+            return self.rows
+
+    names = sorted(df)
+    post = {t: [(d, b[t]) for d, b in enumerate(bags) if t in b] for t in names}
+    raw = {"block": 1, "n_docs": 400, "ids": list(range(400)), "lengths": np.array([sum(b.values()) for b in bags], "<i4").tobytes(),
+           "terms": [t.encode() for t in names], "df": [len(post[t]) for t in names],
+           "docs": np.array([d for t in names for d, _ in post[t]], "<i4").tobytes(),
+           "tfs": np.array([n for t in names for _, n in post[t]], "<i4").tobytes()}
+    block = lexical.Block(next(lexical._prepared(work)([One([raw])])).to_pylist()[0], work)
+    want = plain_search(docs, items, 10)
+    for query, item, terms in work.queries:
+        best = sorted((x for x in want if x[0] == item), key=lambda x: x[1])
+        threshold = best[-1][3] if len(best) == 10 else 0
+        at, score = block.search(terms, threshold)
+        order = sorted(zip((-score).tolist(), at.tolist()))[:10]
+        assert [(s, d) for s, d in order] == [(-x[3], x[2]) for x in best]
+        held = sorted((t for t in terms), key=lambda t: block.lists[t][2])
+        bounds = block.prefix_bounds(held)
+        assert all(b <= sum(block.lists[t][2] for t in held[:i]) for i, b in enumerate(bounds))
+        for i, bound in enumerate(bounds):               # no document exceeds the bound of a prefix
+            total = np.zeros(400, np.int64)
+            for t in held[:i]:
+                np.add.at(total, block.lists[t][0], block.lists[t][1])
+            assert total.max() <= bound
+
+
+# ---------------------------------------------------------------- repair -----------------
+
+KEEP = {("E", "s"): "S", ("E", "u"): "U", ("S", "u"): "U", ("A", "u"): "U", ("U", "a"): "A"}
+ADD = {"E": "U", "S": "U", "A": "U", "U": "A"}
+
+
+def plain_repair(codes):
+    """All edits by breadth, best (cost, audit) per state."""
+    def with_inserts(now):
+        for _ in range(3):
+            for s, (cost, audit) in list(now.items()):
+                if ADD[s] not in now or (cost + 3, audit + "I") < now[ADD[s]]:
+                    now[ADD[s]] = (cost + 3, audit + "I")
+        return now
+
+    now = {"E": (0, "")}
+    for initial, fault in codes:
+        after = {}
+        for s, (cost, audit) in with_inserts(dict(now)).items():
+            options = [(s, cost + 4, audit + "D")]
+            if fault not in ("blank", "duplicate"):
+                more = 3 if fault else 0
+                options.append((ADD[s], cost + 3 + more, audit + "R"))
+                if (s, initial) in KEEP:
+                    options.append((KEEP[s, initial], cost + more, audit + "K"))
+            for t, c, a in options:
+                after[t] = min(after.get(t, (1e9, "")), (c, a))
+        now = after
+    now = with_inserts(dict(now))
+    return min(now[s] for s in "EA" if s in now)
+
+
+def plain_conversations(rows):
+    groups = {}
+    for conv, turn, role, text in rows:
+        group = groups.setdefault(conv, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        hit = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if hit == 1 else re.sub("[.!?]", "", text) if hit == 2 else text
+        group += [] if hit == 0 else [(turn, "user" if hit == 4 else role, text)] * (2 if hit == 3 else 1)
+    out = {}
+    for conv, group in groups.items():
+        group.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        seen, codes = set(), []
+        for _, role, text in group:
+            solid = re.findall(r"[^\x20\x09-\x0D]", text)
+            fault = "blank" if not solid else "duplicate" if (role, text) in seen else "" if solid[-1] in ".!?" else "truncated"
+            seen.add((role, text))
+            codes.append((role[:1], fault))
+        cost, audit = plain_repair(codes)
+        assert repair.cheapest_repair(codes) == (cost, audit)
+        turns = {t for t, _, _ in group if t is not None}
+        said, at = [], iter(group)
+        for op in audit:
+            row = None if op == "I" else next(at)
+            if op == "K":
+                said.append((row[1], row[2]))
+            elif op != "D":
+                system = bool(said) and said[0][0][:1] == "s"
+                said.append((("user", "assistant")[(len(said) - system) % 2], "" if row is None else row[2]))
+        out[conv] = (max(turns) - min(turns) + 1 - len(turns) if turns else 0, *(sum(f == x for _, f in codes) for x in ("blank", "duplicate", "truncated")),
+                     sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in zip(codes, codes[1:])), cost, audit,
+                     hashlib.sha256("\n".join(f"{r}:{t}" for r, t in said).encode()).hexdigest())
+    return out
+
+
+def repaired(spark, rows):
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    df = df.withColumn("hit", F.lit("x")).withColumn("conv", F.lit("y")).withColumn("gone", F.lit(7)).repartition(5)
+    return {r.conv: tuple(r)[1:] for r in repair.repair(repair.damage(df)).collect()}
+
+
+def test_repair_equals_plain_search(spark):
+    rng = random.Random(4)
+    roles, texts = ["system", "user", "assistant", "user", "assistant", "tool", "", None], ["Yes.", "no", "Why?", " ", "", None, "a.\n", "x" * 200_000]
+    rows = [(rng.choice([None, *range(300)]), rng.choice([None, *range(12)]), rng.choice(roles), rng.choice(texts)) for _ in range(1500)]
+    rows += [(1000, t, r, f"text {t}.") for t, r in enumerate(["system"] + ["user", "assistant"] * 2000)]
+    rows += [(2000 + i, None, None, None) for i in range(20)] + [(3000, 1, "user", "Same.")] * 5 + [(4000 + c, 0, "user", "Hi.") for c in range(60)]
+    assert repaired(spark, rows) == plain_conversations(rows)
+
+
+def test_repair_of_nothing(spark):
+    assert repaired(spark, []) == {}
+    gone = next(c for c in range(1000) if zlib.crc32(f"{c}:0".encode()) % 20 == 0)
+    assert repaired(spark, [(gone, 0, "user", "Hi.")]) == {gone: (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())}
+
+
+def test_search_is_proved_on_random_codes():
+    rng = random.Random(8)
+    for _ in range(3000):
+        codes = [(rng.choice("suatx"), rng.choice(["", "", "truncated", "blank", "duplicate"])) for _ in range(rng.randint(0, 12))]
+        assert repair.cheapest_repair(codes) == plain_repair(codes)
+
+
+# ---------------------------------------------------------------- links ------------------
+
+def plain_links(rows, cosine):
+    dims = max((len(v) for _, v in rows if v), default=0)
+    x = []
+    for _, v in rows:
+        ok = v is not None and all(c is not None and math.isfinite(c) for c in v) and any(v)
+        v = np.array([*v, *[0.0] * (dims - len(v))], float) if ok else None
+        x.append(None if v is None else v / np.abs(v).max() / np.linalg.norm(v / np.abs(v).max()))
+    linked = [[j for j in range(len(x)) if j != i and x[i] is not None and x[j] is not None and x[i] @ x[j] >= cosine] for i in range(len(x))]
+    out, seen = [], {}
+    for i in range(len(rows)):
+        if i not in seen:
+            part, todo = {i}, [i]
+            while todo:
+                for j in linked[todo.pop()]:
+                    if j not in part:
+                        part.add(j)
+                        todo.append(j)
+            seen |= {j: min((rows[j][0] for j in part if rows[j][0] is not None), default=None) for j in part}
+        out.append((rows[i][0], len(linked[i]), seen[i], rows[i][0] is not None and rows[i][0] == seen[i]))
+    return sorted(out, key=repr)
+
+
+def linked(spark, rows, **how):
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    df = df.withColumn("node", F.lit("n")).withColumn("size", F.lit(1)).withColumn("v", F.lit(0)).withColumn("id", F.lit("i"))
+    return sorted(((r.vec_id, r.n_links, r.component, r.kept) for r in covertree.links(df, **how).collect()), key=repr)
+
+
+def test_links_equal_all_pairs(spark):
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 8))
+    x = [(centres[i % 12] + (0.02 if i % 3 else 0.4) * rng.normal(size=8)).tolist() for i in range(260)]
+    rows = [(i, v) for i, v in enumerate(x)] + [(300 + i, x[5]) for i in range(40)] + [(i, x[7]) for i in (1, 2)] + [(None, x[5]), (None, x[9]), (None, None)]
+    rows += [(400, None), (401, []), (402, [0.0] * 8), (403, [1.0, None]), (404, [float("nan")] * 8), (405, [float("inf"), 1.0]), (400, None)]
+    rows += [(406, [1e300, 0.0]), (407, [1e-300]), (408, [2.0] + [0.0] * 7), (409, [-1.0])]
+    for block_rows in (2048, 16):
+        assert linked(spark, rows, cosine=0.95, block_rows=block_rows) == plain_links(rows, 0.95)
+
+
+def test_links_of_nothing(spark):
+    assert linked(spark, []) == []
+    assert linked(spark, [(2, None), (1, [0.0])]) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_cover_tree_levels():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 3))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tree, order = covertree.CoverTree.build(x)
+    assert sorted(order.tolist()) == list(range(300)) and np.array_equal(tree.x, x[order])
+    for node in range(len(tree.first)):
+        own = tree.x[tree.first[node]:tree.first[node] + tree.count[node]]
+        assert np.isclose(covertree.distances(own, tree.x[tree.centre[node]][None]).max(), tree.radius[node], atol=1e-7)
+        kids = slice(tree.kids[node], tree.kids[node] + tree.n_kids[node])
+        if tree.n_kids[node]:
+            assert tree.centre[kids][0] == tree.centre[node] and tree.count[kids].sum() == tree.count[node]
+            assert (tree.radius[kids] <= tree.radius[node]).all()

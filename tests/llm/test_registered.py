@@ -20,7 +20,7 @@ def con():
 
 def test_queries_are_registered():
     assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {n.split("_")[0] for n in QUERIES} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
