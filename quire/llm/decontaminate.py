@@ -118,16 +118,6 @@ def contamination(hits: DataFrame, key: str = "doc_id") -> DataFrame:
         ((F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Documents whose id has no contaminated row, all columns kept.
-
-    Rows of one id fall together, and so do all rows without id: for tables in which each id
-    names one document.  ``drop_contaminated_rows`` judges every row by itself."""
-    bad = contamination(find_hits(docs, items, key, text, **options), key).filter("contaminated").select(
-        F.col(key).alias("bad_")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(bad["bad_"]), "left_anti")
-
-
 def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """Rows that are not contaminated, all columns kept; each is judged by itself and ids are not read."""
     rows, row = numbered(docs, "numbered-documents")
@@ -135,11 +125,24 @@ def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text"
     return rows.join(bad, row, "left_anti").drop(row)
 
 
+def _outside(w: Column, ranges: Column) -> Column:
+    """The words between ranges (start, upto) sorted by start, in order."""
+    gap = "array<struct<start:int,upto:int>>"
+    start = F.struct(F.lit(0).alias("upto"), F.array().cast(gap).alias("gaps"))
+    step = lambda acc, r: F.struct(
+        F.greatest(acc["upto"], r["upto"]).alias("upto"),
+        F.when(r["start"] > acc["upto"], F.concat(acc["gaps"], F.array(F.struct(acc["upto"].alias("start"), r["start"].alias("upto"))).cast(gap)))
+        .otherwise(acc["gaps"]).alias("gaps"))
+    gaps = F.aggregate(ranges, start, step, lambda acc: F.concat(acc["gaps"], F.array(F.struct(acc["upto"].alias("start"), F.size(w).alias("upto"))).cast(gap)))
+    return F.flatten(F.transform(gaps, lambda g: F.slice(w, g["start"] + 1, g["upto"] - g["start"])))
+
+
 def remove_hit_words(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """(key, text): normalised words of each document without the hit ranges, joined by spaces."""
-    hits = find_hits(docs, items, key, text, **options).select(F.col(key).alias("id_"), F.explode("ranges").alias("r"))
-    spans = hits.groupBy("id_").agg(F.collect_set("r").alias("ranges_"))
-    w = docs.select(key, words(F.col(text).cast("string")).alias("w_")).join(spans, F.col(key).eqNullSafe(F.col("id_")), "left")
-    outside = F.filter("w_", lambda _, i: ~F.coalesce(
-        F.exists("ranges_", lambda r: (i >= r["start"]) & (i < r["upto"])), F.lit(False)))
-    return w.select(key, F.array_join(outside, " ").alias("text"))
+    """(key, text): normalised words of each row without its own hit ranges, joined by spaces.
+
+    Every row is judged by itself, whatever its id; one row per input row."""
+    rows, row = numbered(docs.select(key, text), "numbered-documents")
+    spans = find_hits(rows, items, row, text, **options).filter("n_hit > 0").select(row, "ranges")
+    w = rows.select(row, key, words(F.col(text).cast("string")).alias("w_")).join(spans, row, "left")
+    kept = F.when(F.col("ranges").isNull(), F.col("w_")).otherwise(_outside(F.col("w_"), F.col("ranges")))
+    return w.select(key, F.array_join(kept, " ").alias("text"))

@@ -16,10 +16,15 @@ their prefix sums give each bin its offset, and a window adds up only inside a b
 most of the rows is dealt over many tasks.  The source table stays a DataFrame: the driver sees
 sums over it.
 
+Places are computed on a slim frame of row numbers, hashes and token counts and joined to the rows
+by number.  The order comes from a hash of the row's columns (maps left out) and, among rows equal in all of
+them, of their running number: rows without id or of one repeated id are spread like all others, equal
+rows have places of their own, and the order of the input does not matter.  Running numbers are counted
+inside the parts of the input and offset by prefix sums over parts, so that no group of equal rows meets in one task.
+
 Null sources are one source of their own.  Null texts have no tokens; a source without any
-tokens has weight 0 and each of its documents appears once, in block 0.  Equal hashes (repeated rows)
-are ordered by id and share a position if equal in all.  Columns named like the added ones
-are replaced.  An empty table gives no rows.
+tokens has weight 0 and each of its documents appears once, in block 0.  Input columns named like the added
+ones are replaced, other names are untouched.  An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -28,8 +33,9 @@ from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quire.llm.common import staged
+from quire.llm.common import numbered, staged
 
 #: documents in a bin, about
 BIN_ROWS = 4096
@@ -93,44 +99,59 @@ def source_weights(tokens: DataFrame, target_entropy: float | None = None, max_r
     return per.withColumn("weight", weight), alpha, float(budget)
 
 
-def mix(docs: DataFrame, source: str = "source", key: str = "doc_id", text: str = "text", tokens: Column | None = None,
+def _numbered_twins(slim: DataFrame) -> DataFrame:
+    """``slim`` (row, h1, h2, ...) with ``nth``, the running number of a row among those of equal hashes."""
+    slim = slim.withColumn("part", F.shiftrightunsigned("row", 33))       # the task that numbered the row
+    same, first = Window.partitionBy("h1", "h2", "part"), Window.partitionBy("h1", "h2").orderBy("part")
+    starts = staged(slim.groupBy("h1", "h2", "part").agg(F.count("*").alias("n")).select(
+        "h1", "h2", "part", (F.sum("n").over(first) - F.col("n")).alias("start"), F.sum("n").over(Window.partitionBy("h1", "h2")).alias("all"))
+        .filter("all > 1").drop("all"), "twins")
+    counted = slim.join(starts, ["h1", "h2", "part"], "left")
+    alone = counted.filter("start is null").withColumn("nth", F.lit(0).cast("bigint"))
+    twins = counted.filter("start is not null").withColumn("nth", F.col("start") + F.row_number().over(same.orderBy("row")) - 1)
+    return alone.unionByName(twins).drop("part", "start")
+
+
+def mix(docs: DataFrame, source: str = "source", text: str = "text", tokens: Column | None = None,
         target_entropy: float | None = None, max_repetition: float | None = 2.0, budget: int | None = None,
         block_tokens: int = 1 << 20, seed: int = 7, bin_rows: int = BIN_ROWS) -> DataFrame:
-    """Rows of ``docs``, once for every time they are read, with block, position, epoch and n_tokens."""
-    docs = docs.drop(*ADDED)
-    counted = docs.withColumn("n_tokens", F.coalesce(
-        (word_count(F.col(text).cast("string")) if tokens is None else tokens).cast("bigint"), F.lit(0)))
-    # a source as a string that is never null, and the id as one for the order
-    counted = (counted.withColumn("source_", F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("")))
-               .withColumn("key_", F.col(key).cast("string")))
-    slim = staged(counted.select("source_", "key_", "n_tokens"), "counts")
-    weights, _, budget = source_weights(slim.select(F.col("source_").alias("source"), "n_tokens"),
-                                        target_entropy, max_repetition, budget)
+    """Rows of ``docs``, once for every time they are read, with block, position, epoch and n_tokens.
+
+    ``tokens`` is a column expression over ``docs``; without it the words of ``text`` are counted."""
+    names = [c for c in docs.columns if c.lower() not in ADDED]
+    rows, number = numbered(docs, "numbered-documents")
+    hashed = [rows[f.name] for f in rows.schema if f.name in names and not isinstance(f.dataType, T.MapType)]
+    hashed += [c.isNull() for c in hashed]
+    # a source as a string that is never null
+    slim = staged(rows.select(
+        F.col(number).alias("row"), F.xxhash64(*hashed).alias("h1"), F.xxhash64(F.lit(1), *hashed).alias("h2"),
+        F.coalesce(F.concat(F.lit("="), rows[source].cast("string")), F.lit("")).alias("source"),
+        F.coalesce((word_count(rows[text].cast("string")) if tokens is None else tokens).cast("bigint"), F.lit(0)).alias("n_tokens")), "counts")
+    weights, _, budget = source_weights(slim.select("source", "n_tokens"), target_entropy, max_repetition, budget)
     # written, so that its size is known: Spark broadcasts it if small and splits hot sources if not
     target = F.col("weight") * F.lit(budget)
     plan = staged(weights.select(
-        F.col("source").alias("source_"), F.col("total").alias("total_"), (F.col("weight") * block_tokens).alias("quota_"),
-        target.alias("target_"), F.greatest(F.lit(1), F.ceil(F.col("docs") / bin_rows)).cast("bigint").alias("bins_"),
-        F.when(F.col("total") > 0, F.ceil(F.round(target / F.col("total"), 9))).otherwise(1).cast("int").alias("epochs_")), "plan")
-
-    def read(rows: DataFrame) -> DataFrame:
-        """One row a reading, with its bin: some bits of the hash that orders the epoch."""
-        each = rows.join(plan, "source_").filter("epochs_ > 0").withColumn(
-            "epoch", F.explode(F.sequence(F.lit(0), F.col("epochs_") - 1)))
-        each = each.withColumn("order_", F.xxhash64("key_", "epoch", F.lit(seed)))
-        return each.withColumn("bin_", F.pmod(F.shiftrightunsigned("order_", 20), F.col("bins_")))
-
-    keys = ["source_", "epoch", "bin_"]
-    sums = staged(read(slim).groupBy(*keys).agg(F.sum("n_tokens").alias("n")), "bins")
-    before = Window.partitionBy("source_").orderBy("epoch", "bin_").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = staged(sums.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset_")), "offsets")
-    inside = Window.partitionBy(*keys).orderBy("order_", "key_").rowsBetween(Window.unboundedPreceding, -1)
-    placed = read(counted).withColumn("in_", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).join(offsets, keys)
-    at = F.col("offset_") + F.col("in_")
-    share = at / F.col("quota_")
-    block = F.when(F.col("quota_") > 0, F.floor(share)).otherwise(0).cast("bigint")
-    position = F.when(F.col("quota_") > 0, share - F.floor(share)).otherwise(0.0)
-    inside_target = at < F.round(F.col("target_"), 3)
-    unread = (F.col("epoch") == 0) & (F.col("n_tokens") == 0) & (F.round(F.col("target_") - F.col("total_"), 3) >= 0)
-    return (placed.filter(inside_target | (F.col("total_") == 0) | unread)
-            .select(*docs.columns, block.alias("block"), position.alias("position"), "epoch", "n_tokens"))
+        "source", "total", (F.col("weight") * block_tokens).alias("quota"), target.alias("target"),
+        F.greatest(F.lit(1), F.ceil(F.col("docs") / bin_rows)).cast("bigint").alias("bins"),
+        F.when(F.col("total") > 0, F.ceil(F.round(target / F.col("total"), 9))).otherwise(1).cast("int").alias("epochs")), "plan")
+
+    # one row a reading, with its bin: some bits of the hash that orders the epoch
+    order = F.xxhash64("h1", "h2", "nth", "epoch", F.lit(seed))
+    each = staged(_numbered_twins(slim).join(plan.select("source", "bins", "epochs"), "source").filter("epochs > 0")
+                  .withColumn("epoch", F.explode(F.sequence(F.lit(0), F.col("epochs") - 1))).withColumn("order", order)
+                  .withColumn("bin", F.pmod(F.shiftrightunsigned("order", 20), F.col("bins"))).drop("bins", "epochs"), "readings")
+    keys = ["source", "epoch", "bin"]
+    sums = each.groupBy(*keys).agg(F.sum("n_tokens").alias("n"))
+    before = Window.partitionBy("source").orderBy("epoch", "bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = staged(sums.select(*keys, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "offsets")
+    inside = Window.partitionBy(*keys).orderBy("order", "h1", "h2", "nth").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (each.withColumn("in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
+              .join(offsets, keys).join(plan.select("source", "total", "quota", "target"), "source"))
+    at = F.col("offset") + F.col("in")
+    share = at / F.col("quota")
+    block = F.when(F.col("quota") > 0, F.floor(share)).otherwise(0).cast("bigint")
+    position = F.when(F.col("quota") > 0, share - F.floor(share)).otherwise(0.0)
+    unread = (F.col("epoch") == 0) & (F.col("n_tokens") == 0) & (F.round(F.col("target") - F.col("total"), 3) >= 0)
+    read = placed.filter((at < F.round(F.col("target"), 3)) | (F.col("total") == 0) | unread).select(
+        F.col("row").alias(number), block.alias("block"), position.alias("position"), "epoch", "n_tokens")
+    return rows.select(number, *names).join(read, number).select(*names, *ADDED)

@@ -60,7 +60,8 @@ def op7_langid(spark, sf_dir):
 
 def op8_mixing(spark, sf_dir):
     """Every document as often as its source is read, with its block and place."""
-    mixed = mixing.mix(_read(spark, sf_dir, "documents").select("doc_id", "source", "text"), max_repetition=2.0)
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("words"))
+    mixed = mixing.mix(docs, tokens=F.col("words"), max_repetition=2.0)
     return mixed.select("doc_id", "source", "epoch", "block", F.round("position", 9).alias("position"), "n_tokens")
 
 

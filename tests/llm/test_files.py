@@ -1,7 +1,9 @@
 import base64
 import gzip
 import hashlib
+import random
 import zlib
+from collections import Counter
 from math import log
 
 import numpy as np
@@ -260,3 +262,31 @@ def test_mixing_messy_and_empty_tables(messy, no_rows):
     assert keys(got) == keys(messy.collect())
     assert mixed(no_rows) == []
     assert len(mixed(messy.filter("text is null"))) == messy.filter("text is null").count()
+
+
+def test_mixing_spreads_rows_without_id_and_equal_rows(spark):
+    """Half of the rows without id and a third equal in all: bins stay bounded, the input's order does not matter."""
+    rows = [(None, f"text {i}", "a") for i in range(1500)] + [(None, "equal rows", "a")] * 1000 + [(7, "one id", "b")] * 300
+    rows += [(i, "w " * (i % 9), "b") for i in range(200)]
+    shuffled = random.Random(3).sample(rows, len(rows))
+    seen = []
+    for data, parts in ((rows, 4), (shuffled, 7)):
+        df = spark.createDataFrame(data, "doc_id long, text string, source string").repartition(parts)
+        got = mixed(df, max_repetition=1.0, block_tokens=512, bin_rows=64)
+        assert len(got) >= len(rows)
+        seen.append(sorted(map(repr, got)))
+        places = [(r.block, r.position) for r in got if r.source == "a" and r.n_tokens]
+        assert len(set(places)) == len(places)                   # every row of a source a place of its own
+        spread = Counter(r.block for r in got if r.text == "equal rows")
+        assert max(spread.values()) < 1000 / 3
+    assert seen[0] == seen[1]
+
+
+def test_mixing_leaves_other_columns_alone(spark):
+    names = ("total_", "offset_", "order_", "key_", "bin_", "quota_", "epochs_", "row", "order", "bin", "total", "nth", "h1", "in", "row_number_")
+    df = spark.createDataFrame([(i, f"t {i}", "s") for i in range(50)], "doc_id long, text string, source string")
+    df = df.select("*", *[F.concat(F.lit(f"{n} "), "doc_id").alias(n) for n in names], F.create_map(F.lit("k"), F.col("doc_id")).alias("map"))
+    got = mixing.mix(df, max_repetition=1.0, bin_rows=8)
+    assert got.columns == [*df.columns, "block", "position", "epoch", "n_tokens"]
+    got = got.collect()
+    assert len(got) == 50 and all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)
