@@ -31,6 +31,21 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return staged(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+#: row numbers broadcast to drop rows, at most; about 16 bytes each
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def without(rows: DataFrame, row: str, gone: DataFrame) -> DataFrame:
+    """``rows`` but for those numbered in ``gone`` (a column ``row``, no number twice).
+
+    The numbers are written and counted first.  Few enough are broadcast, so no text moves;
+    more meet the rows in a shuffle."""
+    gone = staged(gone, "gone")
+    if gone.count() <= MAX_BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, row, "left_anti")
+
+
 def texts_as_bytes(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column (null stays None)."""
     return column.cast(pa.binary()).to_pylist()

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import numbered
+from quire.llm.common import numbered, without
 
 #: fixed by the contract of the operator
 WINDOW = 13
@@ -122,7 +122,7 @@ def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text"
     """Rows that are not contaminated, all columns kept; each is judged by itself and ids are not read."""
     rows, row = numbered(docs, "numbered-documents")
     bad = contamination(find_hits(rows, items, row, text, **options), row).filter("contaminated").select(row)
-    return rows.join(bad, row, "left_anti").drop(row)
+    return without(rows, row, bad).drop(row)
 
 
 def _outside(w: Column, ranges: Column) -> Column:

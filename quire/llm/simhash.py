@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from quire.llm.common import numbered, slices, staged
+from quire.llm.common import numbered, slices, staged, without
 from quire.llm.components import components
 
 BITS = 64
@@ -185,4 +185,5 @@ def one_row_a_group(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                      F.xxhash64(F.col(text).cast("string")).alias("text"), F.col(row).alias("row"))
     prints = staged(fingerprints(rows.select(order.alias("id"), F.col(text).alias("text")), "id", "text", shingle), "fingerprints")
     _, least = _components(prints, radius, bucket)
-    return rows.join(least.select(F.col("component.row").alias(row)), row, "left_semi").drop(row)
+    kept = least.select(F.col("component.row").alias(row))
+    return without(rows, row, prints.select(F.col("id.row").alias(row)).join(kept, row, "left_anti")).drop(row)
