@@ -126,25 +126,17 @@ def _search(spark: SparkSession, args) -> str:
     from quire.functions.text import parse_query
     from quire.operators import search as S
     from quire.sinks.index_store import open_catalog_table, open_index_table
-    postings, stats = open_index_table(spark, args.index)
+    index = open_index_table(spark, args.index)
     catalog = open_catalog_table(spark, args.catalog) if args.catalog else None
     if args.words is not None:
-        for bound in (getattr(args, "from"), args.to):
-            if bound is not None:
-                int(bound)   # a bad year bound fails here, before any job runs
-        if all(v is None for v in (args.title, args.author, getattr(args, "from"), args.to,
-                                   args.language)):
-            catalog = None      # no criterion: the metadata is not needed
-        one = spark.createDataFrame([(0, args.words)], "query_id BIGINT, q STRING")
-        requests = one.select("query_id", parse_query("q").alias("words"),
-                              *[F.lit(v).cast("string").alias(c) for c, v in
-                                (("title", args.title), ("author", args.author),
-                                 ("year_from", getattr(args, "from")), ("year_to", args.to),
-                                 ("language", args.language))])
+        # one literal request: only the files of its words are read, and its criteria reach the catalogue scan
+        words = spark.range(1).select(parse_query(F.lit(args.words)).alias("w")).first()["w"]
+        res = S.search(spark, index, words, args.title, args.author, getattr(args, "from"), args.to, args.language,
+                       catalog=catalog).withColumn("query_id", F.lit(0).cast("bigint"))
     else:
         requests = S.with_criteria_columns(
             spark.read.schema(S.REQUEST_SCHEMA).json(args.requests))
-    res = S.search_batch(postings, requests, catalog, stats)
+        res = S.search_batch(index, requests, catalog)
     res.select("query_id", F.col("book_id").alias("bookId"), "positions") \
         .write.mode("overwrite").json(args.out)
     return args.out

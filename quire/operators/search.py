@@ -1,21 +1,21 @@
-"""Conjunctive multi-word search over postings, with metadata criteria.
+"""Conjunctive multi-word search over a positional index, with metadata criteria.
 
 A request is a row ``(query_id, words ARRAY<STRING>, title, author, year_from, year_to,
 language)`` with a unique ``query_id``; criteria are nullable strings and NULL means "no
-filter".  A batch of
-requests is answered by ONE plan:
-
-    small request table -> local relation (bounded collect); small word set -> the index
-      scan is filtered with word IN (...) (Parquet statistics skip the rest)
-    rarest word per request (word statistics) --(size-checked broadcast)--> seed books
-      -> (query, book, word) keys joined to the index on (word, book_id)
-      -> group by (query_id, book_id): keep books that hold every distinct word
+filter".  A batch of requests is answered by ONE plan, the same at every size:
+
+    request words joined to the word table: the rarest word of each request; requests with
+      an unknown word end here
+    the bitmaps of that word (see quire.operators.word_blocks) are the candidate blocks
+      -> the other words are looked up by (word, part, block)
+      -> group by (query_id, block): bit_and of the masks of all words; set bits are the books
       -> left join catalogue on book_id, null-tolerant criteria predicates
       -> positions fetched for the surviving (query, book) pairs only
-    (without statistics every posting of every request word is a candidate)
 
-Over a book-bucketed index and catalogue (see quire.sinks.index_store) every join and
-aggregation above stays inside its bucket; only request-sized data moves.
+Over stored tables (see quire.sinks.index_store) only rows made from the requests move: the
+word table is bucketed by word, the bitmaps by (word, part), postings and catalogue by book_id.
+Declaring a search runs no job.  A literal request (``search``) knows its words, and reads only
+the files of the word-ordered postings that hold them.
 
 Words are matched exactly (no lower-casing or trimming of the request); a duplicate word
 counts once; an empty word never matches, so it empties the result; a request with no
@@ -24,25 +24,15 @@ words matches nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.metadata import release_year
-from quire.operators.sizing import (
-    DEFAULT_MAX_BROADCAST_ROWS, KNOWN_SMALL, broadcast_if_small, collect_if_small,
-    has_at_most,
-)
-
-# Requests with at most this many distinct words also filter the index scan with
-# ``word IN (...)``: the index files are sorted by word, so Parquet row-group and page
-# statistics (and the word bloom filter) skip everything else.  Larger batches rely on
-# the joins alone.
-MAX_PUSHDOWN_WORDS = 10_000
-# Request tables up to this many rows are materialized once as a local relation, so the
-# size checks, the pushdown list and the broadcasts do not recompute a derived request
-# table again and again.  Larger batches stay distributed.
-MAX_LOCAL_REQUESTS = 10_000
+from quire.operators.word_blocks import LANES, books_of, not_empty, part_of, word_blocks, word_counts
 
 CRITERIA = ("title", "author", "year_from", "year_to", "language")
 
@@ -53,33 +43,27 @@ REQUEST_SCHEMA = T.StructType([
 ])
 
 
-def localize_requests(requests: DataFrame, max_rows: int = MAX_LOCAL_REQUESTS) -> DataFrame:
-    """The same requests as a local relation when a bounded count proves them small."""
-    rows = collect_if_small(requests, max_rows) if max_rows > 0 else None
-    if rows is None:
-        return requests
-    return requests.sparkSession.createDataFrame(rows, requests.schema)
+@dataclass(frozen=True)
+class SearchIndex:
+    """What a search reads: ``postings`` (word, book_id, positions), ``blocks`` (bitmaps in
+    ``parts`` parts), ``words`` (word, n_books), and ``find``: the postings of given words."""
 
+    postings: DataFrame
+    blocks: DataFrame
+    words: DataFrame
+    parts: int
+    find: Callable[[list[str]], DataFrame]
 
-def _prepare(requests: DataFrame, max_broadcast_rows):
-    """(requests, word list or None, broadcast bound) for a search.
 
-    A small request table is collected once (bounded) into a local relation; its rows
-    then give the distinct words and the request-word count on the driver, so no sizing
-    job runs later (the bound becomes KNOWN_SMALL when the rows prove it).
-    """
-    rows = collect_if_small(requests, MAX_LOCAL_REQUESTS) if MAX_LOCAL_REQUESTS > 0 else None
-    if rows is None:
-        return requests, request_word_list(requests), max_broadcast_rows
-    local = requests.sparkSession.createDataFrame(rows, requests.schema)
-    per_request = [set(r["words"] or []) for r in rows]
-    words = set().union(*per_request) if per_request else set()
-    word_list = sorted(words, key=str) if 0 < MAX_PUSHDOWN_WORDS and \
-        len(words) <= MAX_PUSHDOWN_WORDS else None
-    n_request_words = sum(len(w) for w in per_request)
-    if max_broadcast_rows is not KNOWN_SMALL and n_request_words <= max_broadcast_rows:
-        max_broadcast_rows = KNOWN_SMALL
-    return local, word_list, max_broadcast_rows
+def index_over(postings: DataFrame) -> SearchIndex:
+    """An index over postings that are not stored: bitmaps and word counts are part of the plan."""
+    blocks = word_blocks(postings)
+    return SearchIndex(postings, blocks, word_counts(blocks), 1,
+                       lambda words: postings.filter(F.col("word").isin(list(words))))
+
+
+def _index(index: SearchIndex | DataFrame) -> SearchIndex:
+    return index if isinstance(index, SearchIndex) else index_over(index)
 
 
 def with_criteria_columns(requests: DataFrame) -> DataFrame:
@@ -97,130 +81,61 @@ def request_words(requests: DataFrame) -> DataFrame:
                            F.size(distinct_words).alias("n_words"))
 
 
-def prune_to_words(postings: DataFrame, words: DataFrame,
-                   max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
-    """``postings`` (any table with a ``word`` column) filtered to the words of ``words``
-    when their distinct set is small.
+def blocks_of_words(index: SearchIndex, words: DataFrame) -> DataFrame:
+    """Bitmaps of a table with a ``word`` column, its other columns kept.  Words are dealt to
+    the parts of the bitmaps, which stay where they are."""
+    parts = F.explode(F.sequence(F.lit(0), F.lit(index.parts - 1)))
+    return words.withColumn("part", parts).join(index.blocks, ["word", "part"])
 
-    The set is counted with a bound first, so at most ``max_words`` literals ever reach
-    the driver; the filter only narrows the scan, the joins still decide the answer.
-    """
-    rows = collect_if_small(words.select("word").distinct(), max_words) \
-        if max_words > 0 else None
-    if rows is None:
-        return postings
-    return postings.filter(F.col("word").isin([r["word"] for r in rows]))
-
-
-def prune_to_request_words(postings: DataFrame, requests: DataFrame,
-                           max_words: int = MAX_PUSHDOWN_WORDS) -> DataFrame:
-    """``postings`` filtered to the words of the requests when that set is small."""
-    return prune_to_words(postings, request_words(requests), max_words)
-
-
-def request_word_list(requests: DataFrame, max_words: int = MAX_PUSHDOWN_WORDS) -> list | None:
-    """The distinct request words when there are at most ``max_words`` of them."""
-    if max_words <= 0:
-        return None
-    rows = collect_if_small(request_words(requests).select("word").distinct(), max_words)
-    return None if rows is None else [r["word"] for r in rows]
 
+def candidates(index: SearchIndex | DataFrame, requests: DataFrame) -> DataFrame:
+    """(query_id, n_words, word, book_id, positions) for every posting of a request word."""
+    index = _index(index)
+    keys = books_of(blocks_of_words(index, request_words(requests)), "query_id", "n_words", "word")
+    return keys.join(index.postings, ["word", "book_id"]).select(
+        "query_id", "n_words", "word", "book_id", "positions")
 
-def _narrow(postings: DataFrame, stats: DataFrame | None, words: list | None):
-    """Filter the index (and its word statistics) scans to a known small word list."""
-    if words is None:
-        return postings, stats
-    keep = F.col("word").isin(list(words))
-    return postings.filter(keep), (None if stats is None else stats.filter(keep))
 
+def rarest_words(requests: DataFrame, words: DataFrame) -> DataFrame:
+    """(query_id, word, words): the request word found in the fewest books (ties: smallest
+    word) and all words, for requests whose words are all in the index."""
+    ranked = request_words(requests).join(words, "word")
+    return (ranked.groupBy("query_id").agg(
+        F.min_by("word", F.struct("n_books", "word")).alias("word"),
+        F.collect_list("word").alias("words"), F.max("n_words").alias("n_words"))
+        .filter(F.size("words") == F.col("n_words")).select("query_id", "word", "words"))
 
-def candidates(postings: DataFrame, requests: DataFrame,
-               max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """(query_id, n_words, word, book_id, positions) for every posting of a request word.
 
-    The request side is broadcast when a bounded count proves it small, so the postings
-    are streamed once with no shuffle; otherwise both sides shuffle on ``word``.
-    """
-    requests = localize_requests(requests)
-    qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
-    return prune_to_request_words(postings, requests).join(qw, "word").select(
-        "query_id", "n_words", "word", "book_id", "positions")
+def matching_books(index: SearchIndex | DataFrame, requests: DataFrame) -> DataFrame:
+    """(query_id, book_id) of books holding ALL distinct words of the request.
 
+    Relational division on bitmaps: blocks of the rarest word are the only candidates, and
+    every word of the request is looked up in them.  A request's words are bounded by the request."""
+    index = _index(index)
+    seeds = blocks_of_words(index, rarest_words(requests, index.words))
+    probes = seeds.select("query_id", "block", F.size("words").alias("n_words"), F.explode("words").alias("word")) \
+        .withColumn("part", part_of(F.col("block"), index.parts))
+    held = probes.join(index.blocks, ["word", "part", "block"])
+    both = (held.groupBy("query_id", "block", "n_words")
+            .agg(F.count("*").alias("n"), *[F.bit_and(m).alias(m) for m in LANES])
+            .filter((F.col("n") == F.col("n_words")) & not_empty()))
+    return books_of(both, "query_id")
 
-def matching_books(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
-                   max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """(query_id, book_id) of books holding ALL distinct words of the request.
 
-    Relational division on keys only (positions never move here).  With ``stats``
-    (word, n_books) the division is seeded by each request's rarest word; without it,
-    every posting of every request word is a candidate.
-    """
-    if stats is not None:
-        return _seeded_division(postings, requests, stats, max_broadcast_rows)
-    qw = broadcast_if_small(request_words(requests), max_broadcast_rows)
-    keys = postings.select("word", "book_id").join(qw, "word")
-    return (keys.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
-            .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
-
-
-def rarest_words(requests: DataFrame, stats: DataFrame, small: bool = False) -> DataFrame:
-    """(query_id, word): the request word found in the fewest books (ties: smallest
-    word).  The statistics are streamed against the request words (broadcast when
-    ``small``).  Words absent from the index are skipped here; the verification step
-    still requires every word, so such a request matches nothing."""
-    rw = request_words(requests)
-    ranked = stats.join(F.broadcast(rw) if small else rw, "word")
-    return ranked.groupBy("query_id").agg(
-        F.min_by("word", F.struct("n_books", "word")).alias("word"))
-
-
-def _seeded_division(postings, requests, stats, max_broadcast_rows):
-    """Books of the rarest word are the only possible answers; each such (query, book)
-    is then checked for every request word with a key join on (word, book_id).
-
-    Candidates shrink from the sum of all word frequencies to the smallest one.  With a
-    book-partitioned index every step stays inside its partition: the seeds come from
-    a broadcast join, the check is a join on (word, book_id) within each bucket (sort
-    merge, which spills; AQE may switch to a hash join for small partitions), and the
-    count groups by (query_id, book_id).
-    """
-    keys_of = postings.select("word", "book_id")
-    rw = request_words(requests)
-    # one rarest word per request: bounded by the request words, so one count covers both
-    small = has_at_most(rw, max_broadcast_rows)
-    rarest = rarest_words(requests, stats, small)
-    seeds = keys_of.join(F.broadcast(rarest) if small else rarest, "word") \
-        .select("query_id", "book_id")
-    wanted = seeds.join(F.broadcast(rw) if small else rw, "query_id")
-    found = keys_of.join(wanted, ["word", "book_id"])
-    return (found.groupBy("query_id", "book_id", "n_words").agg(F.count("*").alias("n"))
-            .filter(F.col("n") == F.col("n_words")).select("query_id", "book_id"))
-
-
-def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFrame,
-                     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def attach_positions(postings: DataFrame, matches: DataFrame, requests: DataFrame) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for matched (query, book)
-    pairs: positions are fetched for the survivors only, by a join on (word, book_id).
-
-    The survivors are a derived table, so no count is forced on them here: AQE measures
-    them after their shuffle and broadcasts them only when that runtime size is small.
-    """
-    rw = broadcast_if_small(request_words(requests).select("query_id", "word"),
-                            max_broadcast_rows)
-    wanted = matches.join(rw, "query_id")
+    pairs: positions are fetched for the survivors only, by a join on (word, book_id)."""
+    wanted = matches.join(request_words(requests).select("query_id", "word"), "query_id")
     hits = postings.join(wanted, ["word", "book_id"])
     return (hits.groupBy("query_id", "book_id")
             .agg(F.map_from_entries(F.array_sort(F.collect_list(
                 F.struct("word", "positions")))).alias("positions")))
 
 
-def match_all_words(postings: DataFrame, requests: DataFrame, stats: DataFrame | None = None,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def match_all_words(index: SearchIndex | DataFrame, requests: DataFrame) -> DataFrame:
     """(query_id, book_id, positions MAP<word, ARRAY<INT>>) for books holding ALL words."""
-    requests, word_list, max_broadcast_rows = _prepare(requests, max_broadcast_rows)
-    postings, stats = _narrow(postings, stats, word_list)
-    m = matching_books(postings, requests, stats, max_broadcast_rows)
-    return attach_positions(postings, m, requests, max_broadcast_rows)
+    index = _index(index)
+    return attach_positions(index.postings, matching_books(index, requests), requests)
 
 
 def _year_literal(c: Column) -> Column:
@@ -273,37 +188,27 @@ def criteria_predicate(req_prefix: str = "") -> Column:
     return ~has_any | ok
 
 
-def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFrame,
-                        max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def filter_with_catalog(matches: DataFrame, requests: DataFrame, catalog: DataFrame) -> DataFrame:
     """Keep (query_id, book_id, ...) rows whose book satisfies the request's criteria."""
     req = with_criteria_columns(requests).select(
         "query_id", *[F.col(c).alias(f"_req_{c}") for c in CRITERIA])
     cat = _with_year(catalog).select("book_id", "title", "author", "language", "year",
                                      F.lit(True).alias("_has_meta"))
-    joined = (matches.join(broadcast_if_small(req, max_broadcast_rows), "query_id")
-              .join(cat, "book_id", "left"))
+    joined = matches.join(req, "query_id").join(cat, "book_id", "left")
     return joined.filter(criteria_predicate("_req_")).select(*matches.columns)
 
 
-def search_batch(postings: DataFrame, requests: DataFrame, catalog: DataFrame | None = None,
-                 stats: DataFrame | None = None,
-                 max_broadcast_rows: int | None = DEFAULT_MAX_BROADCAST_ROWS,
-                 word_list: list[str] | None = None) -> DataFrame:
+def search_batch(index: SearchIndex | DataFrame, requests: DataFrame,
+                 catalog: DataFrame | None = None) -> DataFrame:
     """Answer a table of requests: (query_id, book_id, positions MAP<word, ARRAY<INT>>).
 
     Criteria are applied to the matched (query_id, book_id) keys before any positions
-    are fetched, so filtered-out books never move their position lists.  ``word_list``
-    (with ``max_broadcast_rows=KNOWN_SMALL``) is for requests built on the driver: their
-    words filter the scan directly and no sizing job runs.
-    """
-    requests = with_criteria_columns(requests)
-    if word_list is None:
-        requests, word_list, max_broadcast_rows = _prepare(requests, max_broadcast_rows)
-    postings, stats = _narrow(postings, stats, word_list)
-    matches = matching_books(postings, requests, stats, max_broadcast_rows)
+    are fetched, so filtered-out books never move their position lists."""
+    index, requests = _index(index), with_criteria_columns(requests)
+    matches = matching_books(index, requests)
     if catalog is not None:
-        matches = filter_with_catalog(matches, requests, catalog, max_broadcast_rows)
-    return attach_positions(postings, matches, requests, max_broadcast_rows)
+        matches = filter_with_catalog(matches, requests, catalog)
+    return attach_positions(index.postings, matches, requests)
 
 
 def make_requests(spark: SparkSession, rows: list[dict]) -> DataFrame:
@@ -313,61 +218,54 @@ def make_requests(spark: SparkSession, rows: list[dict]) -> DataFrame:
     return spark.createDataFrame(data, REQUEST_SCHEMA)
 
 
-def search(spark: SparkSession, postings: DataFrame, words: list[str], title=None,
+def search(spark: SparkSession, index: SearchIndex | DataFrame, words: list[str], title=None,
            author=None, year_from=None, year_to=None, language=None,
-           catalog: DataFrame | None = None, stats: DataFrame | None = None) -> DataFrame:
+           catalog: DataFrame | None = None) -> DataFrame:
     """One request: books containing all ``words`` and meeting every given criterion.
 
-    A non-integer year bound raises ValueError here (V3); in batch tables it matches
-    nothing.  Returns (book_id, positions) ordered by book_id.
+    Only the postings of its words are read.  Books are counted on keys first, criteria reach
+    the catalogue scan, and positions are fetched for what is left.  A non-integer year bound raises
+    ValueError here (V3); in batch tables it matches nothing.  Returns (book_id, positions) ordered by book_id.
     """
     for bound in (year_from, year_to):
         if bound is not None:
             int(bound)
-    req = make_requests(spark, [dict(query_id=0, words=words)])
     criteria = dict(title=title, author=author, year_from=year_from, year_to=year_to,
                     language=language)
-    # one literal request: its size and words are known here, so no sizing jobs run
-    postings, stats = _narrow(postings, stats, sorted(set(words)))
-    matches = matching_books(postings, req, stats, KNOWN_SMALL)
+    wanted = sorted(set(words), key=str)
+    postings = _index(index).find(wanted)
+    matches = (postings.groupBy("book_id").agg(F.count("*").alias("n"))
+               .filter(F.col("n") == len(wanted)).select("book_id"))
     if catalog is not None and any(v is not None for v in criteria.values()):
         matches = matches.join(books_meeting(catalog, **criteria), "book_id", "left_semi")
-    res = attach_positions(postings, matches, req, KNOWN_SMALL)
-    return res.select("book_id", "positions").orderBy("book_id")
+    hits = postings.join(matches, "book_id")
+    return (hits.groupBy("book_id").agg(F.map_from_entries(F.array_sort(F.collect_list(
+        F.struct("word", "positions")))).alias("positions")).orderBy("book_id"))
 
 
-def books_by_word(word_books: DataFrame, words: DataFrame) -> DataFrame:
-    """Point lookups word -> books for a table of words (J1); absent words give no rows."""
-    w = words.select("word").distinct()
-    return prune_to_words(word_books, w).join(broadcast_if_small(w), "word") \
-        .select("word", "book_id")
+def books_by_word(index: SearchIndex | DataFrame, words: DataFrame) -> DataFrame:
+    """Lookups word -> books for a table of words (J1); absent words give no rows."""
+    return books_of(blocks_of_words(_index(index), words.select("word").distinct()), "word")
 
 
-def positions_in_book(postings: DataFrame, keys: DataFrame) -> DataFrame:
-    """Point lookups (word, book_id) -> positions (J2) for a table of keys."""
-    k = keys.select("word", "book_id").distinct()
-    return prune_to_words(postings, k).join(broadcast_if_small(k), ["word", "book_id"]) \
-        .select("word", "book_id", "positions")
+def positions_in_book(index: SearchIndex | DataFrame, keys: DataFrame) -> DataFrame:
+    """Lookups (word, book_id) -> positions (J2) for a table of keys."""
+    return (keys.select("word", "book_id").distinct().join(_index(index).postings, ["word", "book_id"])
+            .select("word", "book_id", "positions"))
 
 
-def intersect_two_words(postings: DataFrame, requests: DataFrame) -> DataFrame:
+def intersect_two_words(index: SearchIndex | DataFrame, requests: DataFrame) -> DataFrame:
     """Books holding both words of two-word requests, as a set intersection of the two
     per-word book sets: (query_id, book_id).
 
-    The keys are never NULL, so the intersection is a left-semi join on
-    (query_id, book_id) plus distinct — the same set as INTERSECT, but with plain
-    equality, so over a book-bucketed index it needs no exchange (INTERSECT's null-safe
-    keys would shuffle both sides).
-    """
-    requests = localize_requests(requests)
-    other = requests.filter(F.coalesce(F.size("words"), F.lit(0)) != 2).limit(1).count()
-    if other:
-        raise ValueError("every request must have two words; matching_books takes any number")
-    two = requests.filter(F.col("query_id").isNotNull()).select(
-        "query_id", F.get("words", 0).alias("w1"), F.get("words", 1).alias("w2"))
-    wb = prune_to_request_words(postings, requests).select("word", "book_id")
-    first = wb.join(broadcast_if_small(two.select("query_id", F.col("w1").alias("word"))),
-                    "word").select("query_id", "book_id")
-    second = wb.join(broadcast_if_small(two.select("query_id", F.col("w2").alias("word"))),
-                     "word").select("query_id", "book_id")
-    return first.join(second, ["query_id", "book_id"], "left_semi").distinct()
+    The sets are bitmaps, intersected block by block; a request of another number of words raises
+    when the query runs."""
+    index = _index(index)
+    bad = F.raise_error(F.lit("every request must have two words; matching_books takes any number"))
+    two = requests.filter(F.col("query_id").isNotNull()).filter(
+        F.when(F.coalesce(F.size("words"), F.lit(0)) == 2, F.lit(True)).otherwise(bad.cast("boolean")))
+    sides = [blocks_of_words(index, two.select("query_id", F.get("words", i).alias("word"))) for i in (0, 1)]
+    right = sides[1].select("query_id", "block", *[F.col(m).alias(f"r{m}") for m in LANES])
+    both = sides[0].join(right, ["query_id", "block"]).select(
+        "query_id", "block", *[F.col(m).bitwiseAND(F.col(f"r{m}")).alias(m) for m in LANES])
+    return books_of(both.filter(not_empty()), "query_id")

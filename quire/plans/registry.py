@@ -68,8 +68,8 @@ def _session_key(spark) -> str:
 
 
 def stored_index(spark, sf):
-    """(postings, word stats) of the index of ``documents``, saved once per session as a
-    book-bucketed table in the shared work folder and opened from there."""
+    """The index of ``documents``, saved once per session in the shared work folder and
+    opened from there."""
     key = (_session_key(spark), sf)
     if key not in _STORED:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -104,8 +104,7 @@ def passages(spark, sf):
 
 
 def passage_matches(spark, sf):
-    postings, stats = stored_index(spark, sf)
-    return srch.match_all_words(postings, passages(spark, sf), stats)
+    return srch.match_all_words(stored_index(spark, sf), passages(spark, sf))
 
 
 def plain_title_requests(spark, sf):
@@ -116,8 +115,7 @@ def _criteria_search(spark, sf, **criteria):
     req = plain_title_requests(spark, sf)
     for k, v in criteria.items():
         req = req.withColumn(k, F.lit(v))
-    postings, stats = stored_index(spark, sf)
-    return srch.search_batch(postings, req, stored_catalog(spark, sf), stats) \
+    return srch.search_batch(stored_index(spark, sf), req, stored_catalog(spark, sf)) \
         .select("query_id", "book_id")
 
 
@@ -351,14 +349,14 @@ def release_year_q(spark, sf):
 @register("books_by_word")
 def books_by_word(spark, sf):
     words = passages(spark, sf).select(F.explode("words").alias("word"))
-    return srch.books_by_word(post.word_books(stored_index(spark, sf)[0]), words)
+    return srch.books_by_word(stored_index(spark, sf), words)
 
 
 @register("positions_in_book")
 def positions_in_book(spark, sf):
     keys = plain_title_requests(spark, sf).select(
         F.explode("words").alias("word"), F.col("query_id").alias("book_id"))
-    return flat_postings(srch.positions_in_book(stored_index(spark, sf)[0], keys))
+    return flat_postings(srch.positions_in_book(stored_index(spark, sf), keys))
 
 
 @register("parse_query")
@@ -372,7 +370,7 @@ def parse_query_q(spark, sf):
 
 @register("search_any_candidates")
 def search_any_candidates(spark, sf):
-    c = srch.candidates(stored_index(spark, sf)[0], passages(spark, sf))
+    c = srch.candidates(stored_index(spark, sf), passages(spark, sf))
     return c.select("query_id", "word", "book_id", join_ints("positions").alias("positions"))
 
 
@@ -393,7 +391,7 @@ def search_intersect(spark, sf):
             F.slice("words", 2, F.greatest(F.size("words") - 1, F.lit(0))))).alias("i", "pair"))
     req = p.select(F.struct("query_id", F.col("i").alias("pair")).alias("query_id"),
                    F.array(F.col("pair")["0"], F.col("pair")["1"]).alias("words"))
-    res = srch.intersect_two_words(stored_index(spark, sf)[0], req)
+    res = srch.intersect_two_words(stored_index(spark, sf), req)
     return res.select(F.col("query_id.query_id").alias("query_id"),
                       F.col("query_id.pair").alias("pair"), "book_id")
 
@@ -446,8 +444,7 @@ def search_filtered(spark, sf):
 @register("search_batch")
 def search_batch(spark, sf):
     req = fixtures.title_requests(documents(spark, sf))
-    postings, stats = stored_index(spark, sf)
-    r = srch.search_batch(postings, req, stored_catalog(spark, sf), stats)
+    r = srch.search_batch(stored_index(spark, sf), req, stored_catalog(spark, sf))
     return r.select("query_id", "book_id", positions_text("positions").alias("positions"))
 
 

@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from quire.functions.metadata import release_year
 from quire.operators.ledger import LEDGER_SCHEMA
-from quire.operators.postings import POSTINGS_SCHEMA, merge_postings, word_stats
+from quire.operators.postings import POSTINGS_SCHEMA, merge_postings
+from quire.operators.search import SearchIndex
 from quire.operators.sizing import broadcast_if_small, collect_if_small
+from quire.operators.word_blocks import BLOCKS_SCHEMA, parts_for, word_blocks, word_counts
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -98,11 +100,20 @@ def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
 # the book_id bucketing.  Bucketing happens after aggregation, where one book is at most
 # its vocabulary, so a book delivered in many copies cannot make a bucket hot.
 #
+# Beside it a version holds what finds books by word:
+#   blocks    bitmaps (quire.operators.word_blocks), bucketed by (word, part)
+#   words     (word, n_books), bucketed by word
+#   by_word   the postings again, range-partitioned and sorted by (word, book_id), so that a
+#             frequent word is cut into ranges of books, one file a range
+#   files     the directory of by_word: first and last (word, book_id) of every file
+# A lookup of literal words reads the directory and opens only the files that can hold them.
+#
 # A stored table is a folder of versions.  Each save writes a new version and then appends
-# one row (version, buckets, number) to ``versions``: that row commits the save, postings
-# and statistics together, and tells readers the bucket count.
+# one row (version, buckets, number, parts) to ``versions``: that row commits the save, all its
+# tables together, and tells readers the bucket and part counts.
 
-VERSIONS_SCHEMA = "version STRING, buckets INT, number BIGINT"
+VERSIONS_SCHEMA = "version STRING, buckets INT, number BIGINT, parts INT"
+FILES_SCHEMA = "file STRING, first STRUCT<word: STRING, book_id: BIGINT>, last STRUCT<word: STRING, book_id: BIGINT>, n BIGINT"
 
 
 def _sql_string(text: str) -> str:
@@ -120,73 +131,116 @@ def _versions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def current_version(spark: SparkSession, path: str):
-    """(version, buckets, number) of the last committed save at ``path``, or None."""
+    """(version, buckets, number, parts) of the last committed save at ``path``, or None."""
     return _versions(spark, path).orderBy(F.desc("number"), F.desc("version")).first()
 
 
-def _commit(spark: SparkSession, path: str, version: str, buckets: int) -> None:
+def _commit(spark: SparkSession, path: str, version: str, buckets: int, parts: int | None = None) -> None:
     last = current_version(spark, path)
     number = 1 if last is None else last["number"] + 1
-    (spark.createDataFrame([(version, buckets, number)], VERSIONS_SCHEMA).coalesce(1)
+    (spark.createDataFrame([(version, buckets, number, parts)], VERSIONS_SCHEMA).coalesce(1)
      .write.mode("append").parquet(f"{path}/versions"))
 
 
 def save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],
-                  name: str, bloom_col: str | None = None) -> str:
-    """Write ``df`` as a Parquet table bucketed by book_id (one file per bucket, sorted by
+                  name: str, bloom_col: str | None = None, by: tuple[str, ...] = ("book_id",)) -> str:
+    """Write ``df`` as a Parquet table bucketed by ``by`` (one file per bucket, sorted by
     ``sort_cols`` inside it) at ``path``; returns the table name.  ``bloom_col`` gets a
     Parquet bloom filter, so equality / IN filters on it skip row groups."""
-    writer = (df.repartition(buckets, "book_id").write.mode("overwrite").format("parquet")
-              .bucketBy(buckets, "book_id").sortBy(*sort_cols).option("path", path))
+    writer = (df.repartition(buckets, *by).write.mode("overwrite").format("parquet")
+              .bucketBy(buckets, *by).sortBy(*sort_cols).option("path", path))
     if bloom_col:
         writer = writer.option(f"parquet.bloom.filter.enabled#{bloom_col}", "true")
     writer.saveAsTable(name)
     return name
 
 
-def _open_bucketed(spark: SparkSession, path: str, schema: str, buckets: int | None,
-                   sort_cols: list[str], part: str, prefix: str) -> tuple[DataFrame, str]:
-    """(table, folder of its version) of the last committed save at ``path``."""
+def _last(spark: SparkSession, path: str, buckets: int | None):
+    """The last committed save at ``path``; ValueError if there is none or its buckets differ."""
     last = current_version(spark, path)
     if last is None:
         raise ValueError(f"no committed table at {path}")
     if buckets is not None and buckets != last["buckets"]:
         raise ValueError(f"{path} has {last['buckets']} buckets, not {buckets}")
-    folder = f"{path}/{last['version']}"
+    return last
+
+
+def _open_bucketed(spark: SparkSession, path: str, last, schema: str, sort_cols: list[str],
+                   part: str, prefix: str, by: tuple[str, ...] = ("book_id",)) -> DataFrame:
     name = _table_name(prefix, path, last["version"])
     if not spark.catalog.tableExists(name):
-        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (book_id) "
+        spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY ({', '.join(by)}) "
                   f"SORTED BY ({', '.join(sort_cols)}) INTO {last['buckets']} BUCKETS "
-                  f"LOCATION '{_sql_string(folder + '/' + part)}'")
-    return spark.table(name), folder
+                  f"LOCATION '{_sql_string(path + '/' + last['version'] + '/' + part)}'")
+    return spark.table(name)
 
 
 _INDEX_SORT = ["word", "book_id"]
+_BLOCKS_SORT, _BLOCKS_BY = ["word", "block"], ("word", "part")
+
+
+def _save_by_word(postings: DataFrame, folder: str, files: int) -> None:
+    """The postings in ``files`` ranges of (word, book_id), and the directory of their files."""
+    spark = postings.sparkSession
+    (postings.repartitionByRange(files, "word", "book_id").sortWithinPartitions("word", "book_id")
+     .write.parquet(f"{folder}/by_word"))
+    key = F.struct("word", "book_id")
+    (spark.read.schema(POSTINGS_SCHEMA).parquet(f"{folder}/by_word")
+     .groupBy(F.col("_metadata.file_name").alias("file"))
+     .agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("n"))
+     .coalesce(1).write.parquet(f"{folder}/files"))
+
+
+def word_files(spark: SparkSession, folder: str, words: list[str], book_id: int | None = None) -> list[str]:
+    """Files of by_word that can hold a posting of ``words`` (in one book, if given)."""
+    book = lambda end: F.col(f"{end}.book_id") if book_id is None else F.lit(book_id).cast("bigint")
+    at = lambda end: F.struct(F.col("w").alias("word"), book(end).alias("book_id"))
+    files = spark.read.schema(FILES_SCHEMA).parquet(f"{folder}/files").withColumn(
+        "w", F.explode(F.array(*[F.lit(w) for w in words]).cast("array<string>")))
+    hit = files.filter((F.col("first") <= at("first")) & (F.col("last") >= at("last")))
+    return sorted(f"{folder}/by_word/{r.file}" for r in hit.select("file").distinct().collect())
+
+
+def word_postings(spark: SparkSession, folder: str, words: list[str], book_id: int | None = None) -> DataFrame:
+    """Postings of literal words (in one book, if given), read from only those files."""
+    names = [w for w in words if w is not None]
+    files = word_files(spark, folder, names, book_id) if names else []
+    if not files:
+        return spark.createDataFrame([], POSTINGS_SCHEMA)
+    found = spark.read.schema(POSTINGS_SCHEMA).parquet(*files).filter(F.col("word").isin(names))
+    return found if book_id is None else found.filter(F.col("book_id") == book_id)
 
 
 def save_index_table(postings: DataFrame, path: str, buckets: int) -> str:
-    """Write postings as a bucketed table (one file per bucket) and the word statistics
-    as a new version of the index at ``path``; returns the table name."""
+    """Write postings as a bucketed table (one file per bucket), and the tables that find books
+    by word, as a new version of the index at ``path``; returns the table name."""
     spark = postings.sparkSession
     version = "v-" + uuid.uuid4().hex
-    name = save_bucketed(postings.select("word", "book_id", "positions"),
-                         f"{path}/{version}/postings", buckets, _INDEX_SORT,
-                         _table_name("quire_index", path, version), bloom_col="word")
-    # a word filter skips row groups of the statistics through a bloom filter on word
-    # (no global sort needed: the files keep the hash layout of the aggregation)
-    (word_stats(spark.table(name)).sortWithinPartitions("word").write
-     .option("parquet.bloom.filter.enabled#word", "true").parquet(f"{path}/{version}/stats"))
-    _commit(spark, path, version, buckets)
+    folder = f"{path}/{version}"
+    name = save_bucketed(postings.select("word", "book_id", "positions"), f"{folder}/postings", buckets,
+                         _INDEX_SORT, _table_name("quire_index", path, version), bloom_col="word")
+    stored = spark.table(name)
+    first, last = stored.agg(F.min("book_id"), F.max("book_id")).first()
+    parts = 1 if first is None else parts_for(first, last)
+    blocks = save_bucketed(word_blocks(stored, parts), f"{folder}/blocks", buckets, _BLOCKS_SORT,
+                           _table_name("quire_blocks", path, version), by=_BLOCKS_BY)
+    save_bucketed(word_counts(spark.table(blocks)), f"{folder}/words", buckets, ["word"],
+                  _table_name("quire_words", path, version), by=("word",))
+    _save_by_word(stored, folder, buckets)
+    _commit(spark, path, version, buckets, parts)
     return name
 
 
-def open_index_table(spark: SparkSession, path: str,
-                     buckets: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """(postings, word stats) of the last committed save.  The bucket count comes from the
-    table itself; a ``buckets`` that differs raises ValueError."""
-    postings, folder = _open_bucketed(spark, path, POSTINGS_SCHEMA, buckets, _INDEX_SORT,
-                                      "postings", "quire_index")
-    return postings, spark.read.schema("word STRING, n_books BIGINT").parquet(f"{folder}/stats")
+def open_index_table(spark: SparkSession, path: str, buckets: int | None = None) -> SearchIndex:
+    """The last committed save.  The bucket count comes from the table itself; a ``buckets``
+    that differs raises ValueError."""
+    last = _last(spark, path, buckets)
+    opened = lambda schema, sort, part, by: _open_bucketed(
+        spark, path, last, schema, sort, part, f"quire_{'index' if part == 'postings' else part}", by)
+    return SearchIndex(opened(POSTINGS_SCHEMA, _INDEX_SORT, "postings", ("book_id",)),
+                       opened(BLOCKS_SCHEMA, _BLOCKS_SORT, "blocks", _BLOCKS_BY),
+                       opened("word STRING, n_books BIGINT", ["word"], "words", ("word",)), last["parts"],
+                       lambda words: word_postings(spark, f"{path}/{last['version']}", words))
 
 
 CATALOG_SCHEMA = ("book_id BIGINT, title STRING, author STRING, date STRING, language STRING, "
@@ -209,5 +263,5 @@ def save_catalog_table(catalog: DataFrame, path: str, buckets: int) -> str:
 
 def open_catalog_table(spark: SparkSession, path: str, buckets: int | None = None) -> DataFrame:
     """The last committed catalogue; bucket count as in :func:`open_index_table`."""
-    return _open_bucketed(spark, path, CATALOG_SCHEMA, buckets, ["book_id"], "catalog",
-                          "quire_catalog")[0]
+    return _open_bucketed(spark, path, _last(spark, path, buckets), CATALOG_SCHEMA, ["book_id"], "catalog",
+                          "quire_catalog")

@@ -9,7 +9,6 @@ from hypothesis import strategies as st
 from quire.constants import STOPWORDS, TOKEN_BREAK_CLASS
 from quire.functions.text import tokenize
 from quire.operators import search as S
-from quire.operators.postings import word_stats
 from quire.plans.indexing import build_index
 
 JAVA_WS = re.compile(r"[ \t\n\x0b\f\r]+")
@@ -60,9 +59,9 @@ def test_batch_search_matches_brute_force(spark, books, requests):
     postings = build_index(bdf, partitions=4).cache()
     req = S.make_requests(spark, [dict(query_id=q, words=w) for q, w in enumerate(requests)])
     expected = brute_force(books, requests)
-    for stats in (None, word_stats(postings)):
+    for index in (postings, S.index_over(postings)):
         got = {(r.query_id, r.book_id, tuple(sorted((k, tuple(v)) for k, v in r.positions.items())))
-               for r in S.search_batch(postings, req, stats=stats).collect()}
+               for r in S.search_batch(index, req).collect()}
         assert got == expected
     postings.unpersist()
 

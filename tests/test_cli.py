@@ -22,9 +22,9 @@ def test_cli_index_catalog_search(spark, tmp_path):
           "--language", "english", "--out", out], spark)
     got = sorted(r["bookId"] for r in spark.read.json(out).collect())
     from quire.sinks.index_store import open_catalog_table, open_index_table
-    postings, stats = open_index_table(spark, idx)
+    index = open_index_table(spark, idx)
     catalog = open_catalog_table(spark, cat)
-    expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"],
+    expect = sorted(r.book_id for r in S.search(spark, index, ["en", "er"],
                                                 language="english", catalog=catalog).collect())
     assert got == expect and got
 
@@ -57,8 +57,8 @@ def test_cli_ingest_compact_search(spark):
     out = work_path(spark, "cli-out3")
     main(["search", "--index", table, "--words", "en+er", "--out", out], spark)
     from quire.sinks.index_store import open_index_table
-    postings, _ = open_index_table(spark, table)
-    expect = sorted(r.book_id for r in S.search(spark, postings, ["en", "er"]).collect())
+    index = open_index_table(spark, table)
+    expect = sorted(r.book_id for r in S.search(spark, index, ["en", "er"]).collect())
     assert sorted(r["bookId"] for r in spark.read.json(out).collect()) == expect
 
 

@@ -89,9 +89,10 @@ def test_compacted_index_table_equals_full_build(spark):
     index_new_books(b, idx, led)
     table = work_path(spark, "c-table")
     name = compact_index(idx, led, table, 4, spark)
-    postings, stats = open_index_table(spark, table)
+    index = open_index_table(spark, table)
+    postings = index.postings
     assert _flat(postings) == _flat(build_index(b))
-    assert stats.count() == postings.select("word").distinct().count()
+    assert index.words.count() == postings.select("word").distinct().count()
 
 
 def test_ledger_check_paths_agree(spark):

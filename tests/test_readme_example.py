@@ -18,13 +18,12 @@ def test_quick_use(spark):
     books = books_from_table(docs)
     index_dir, lines_dir = work_path(spark, "qu-index"), work_path(spark, "qu-lines")
     save_index_table(build_index(books), index_dir, buckets=8)
-    postings, stats = open_index_table(spark, index_dir)
+    index = open_index_table(spark, index_dir)
     append_catalog_lines(fixtures.catalog_lines(docs).select("line"), lines_dir)
     catalog = load_catalog(read_catalog_lines(spark, lines_dir))
-    one = S.search(spark, postings, ["en", "er"], year_from="2000", catalog=catalog,
-                   stats=stats).collect()
+    one = S.search(spark, index, ["en", "er"], year_from="2000", catalog=catalog).collect()
     assert one and all(set(r.positions) == {"en", "er"} for r in one)
     requests = S.make_requests(spark, [dict(query_id=1, words=["en", "er"], year_from="2000"),
                                        dict(query_id=2, words=["en"])])
-    batch = S.search_batch(postings, requests, catalog, stats).collect()
+    batch = S.search_batch(index, requests, catalog).collect()
     assert sorted(r.book_id for r in batch if r.query_id == 1) == [r.book_id for r in one]

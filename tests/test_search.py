@@ -117,56 +117,96 @@ def test_intersect_matches_division(spark, index):
 
 def test_point_lookups(spark, index):
     words = spark.createDataFrame([("whale",), ("nope",)], "word STRING")
-    wb = index.select("word", "book_id")
-    assert rows(S.books_by_word(wb, words)) == [("whale", 1), ("whale", 2)]
+    assert rows(S.books_by_word(index, words)) == [("whale", 1), ("whale", 2)]
     keys = spark.createDataFrame([("sea", 3), ("sea", 4)], "word STRING, book_id BIGINT")
     assert rows(S.positions_in_book(index, keys)) == [("sea", 3, [3, 5])]
 
 
-def test_seeded_division_equals_scan(spark, index):
-    from quire.operators.postings import word_stats
+def test_division(spark, index):
     req = S.make_requests(spark, [
         dict(query_id=1, words=["whale", "sea"]), dict(query_id=2, words=["sea"]),
         dict(query_id=3, words=["sea", "nothere"]), dict(query_id=4, words=[]),
-        dict(query_id=5, words=["ship", "sea", "ship"])])
-    stats = word_stats(index)
-    seeded = rows(S.matching_books(index, req, stats), "query_id", "book_id")
-    scanned = rows(S.matching_books(index, req), "query_id", "book_id")
-    assert seeded == scanned == [(1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (5, 2), (5, 3)]
+        dict(query_id=5, words=["ship", "sea", "ship"]), dict(query_id=6, words=["sea", None])])
+    assert rows(S.matching_books(index, req), "query_id", "book_id") == [
+        (1, 1), (1, 2), (2, 1), (2, 2), (2, 3), (5, 2), (5, 3)]
 
 
-def test_bucketed_index_table_roundtrip(spark, index, catalog):
+def test_two_word_requests_only(spark, index):
+    with pytest.raises(Exception, match="two words"):
+        S.intersect_two_words(index, S.make_requests(spark, [dict(query_id=1, words=["sea"])])).collect()
+
+
+def test_stored_index_roundtrip(spark, index, catalog):
     from quire.session import work_path
     from quire.sinks.index_store import open_index_table, save_index_table
     path = work_path(spark, "t-index-table")
     save_index_table(index, path, 4)
-    postings, stats = open_index_table(spark, path)   # fresh table name, same files
-    assert sorted(map(tuple, postings.collect())) == sorted(map(tuple, index.collect()))
-    got = S.search(spark, postings, ["whale", "sea"], year_to="1900", catalog=catalog,
-                   stats=stats).collect()
+    stored = open_index_table(spark, path)   # fresh table name, same files
+    assert sorted(map(tuple, stored.postings.collect())) == sorted(map(tuple, index.collect()))
+    got = S.search(spark, stored, ["whale", "sea"], year_to="1900", catalog=catalog).collect()
     assert [(r.book_id, r.positions) for r in got] == [(1, {"whale": [2, 5], "sea": [8]})]
-
-
-def test_large_batch_paths_equal_small_batch_paths(spark, index, catalog, monkeypatch):
-    """Beyond the size bounds (no local requests, no scan pruning, no broadcasts) the
-    plan takes its shuffle paths; the answer must not change."""
-    from quire.operators.postings import word_stats
     reqs = S.make_requests(spark, [
         dict(query_id=1, words=["whale", "sea"]), dict(query_id=2, words=["sea"], title="moby"),
         dict(query_id=3, words=["ship", "sea"], year_from="1800"), dict(query_id=4, words=["x"])])
-    stats = word_stats(index)
 
-    def answer(**kw):
-        res = S.search_batch(index, reqs, catalog, stats, **kw)
+    def answer(idx):
+        res = S.search_batch(idx, reqs, catalog)
         return sorted((r.query_id, r.book_id, tuple(sorted(r.positions.items()))) for r in res.collect())
 
-    small = answer()
-    monkeypatch.setattr(S, "MAX_LOCAL_REQUESTS", 0)
-    monkeypatch.setattr(S, "MAX_PUSHDOWN_WORDS", 0)
-    large = answer(max_broadcast_rows=0)
-    assert small == large
     # book 2's release date is "Unknown", so the year bound of query 3 drops it
-    assert [r[:2] for r in small] == [(1, 1), (1, 2), (2, 1), (3, 3)]
+    assert [r[:2] for r in answer(stored)] == [(1, 1), (1, 2), (2, 1), (3, 3)]
+    assert answer(stored) == answer(index)
+
+
+def test_bitmaps_hold_every_book_of_every_word(spark):
+    """Ids across blocks, lanes and parts, negative ones too; words in one book and in most."""
+    from quire.operators.word_blocks import PART_BLOCKS, books_of, parts_for, word_blocks, word_counts
+    ids = [-300, -256, -1, 0, 1, 63, 64, 255, 256, 257, 1000, 70_000, 2 ** 40, 2 ** 40 + 255]
+    pairs = [("all", i) for i in ids] + [("one", 64), ("far", 2 ** 40 + 255)] + [(f"w{i % 5}", i) for i in ids]
+    df = spark.createDataFrame(pairs + pairs[:7], "word STRING, book_id BIGINT")
+    for parts in (1, 3):
+        blocks = word_blocks(df, parts)
+        assert rows(books_of(blocks, "word")) == sorted(set(pairs), key=repr)
+        counts = {w: len({i for x, i in pairs if x == w}) for w, _ in pairs}
+        assert {r.word: r.n_books for r in word_counts(blocks).collect()} == counts
+        assert {r.part for r in blocks.collect()} <= set(range(parts))
+    assert parts_for(0, 255) == 1 and parts_for(0, 256 * PART_BLOCKS) == 2 and parts_for(-1, 0) == 1
+
+
+def test_search_over_several_parts(spark, index):
+    from dataclasses import replace
+    from quire.operators.word_blocks import word_blocks
+    far = index.unionByName(index.withColumn("book_id", F.col("book_id") + 256 * 5))
+    one = S.index_over(far)
+    many = replace(one, blocks=word_blocks(far, 3), parts=3)
+    req = S.make_requests(spark, [dict(query_id=i, words=w) for i, w in enumerate((["sea"], ["whale", "sea"], ["ship", "sea"]))])
+    assert rows(S.matching_books(many, req)) == rows(S.matching_books(one, req)) != []
+    assert rows(S.books_by_word(many, req.select(F.explode("words").alias("word")))) == \
+        rows(S.books_by_word(one, req.select(F.explode("words").alias("word"))))
+
+
+def test_word_lookup_opens_few_files_at_any_bucket_count(spark):
+    """One word in every book, many rare ones: a rare word is in at most two files, a frequent
+    one in the files that its postings fill, a posting of one book in at most two."""
+    from quire.session import work_path
+    from quire.sinks.index_store import current_version, open_index_table, save_index_table, word_files, word_postings
+    common = spark.range(4000).selectExpr("'common' AS word", "id AS book_id", "array(1, 2) AS positions")
+    rare = spark.range(8000).selectExpr("concat('w', id) AS word", "id % 4000 AS book_id", "array(3) AS positions")
+    for buckets in (4, 32):
+        path = work_path(spark, "t-words")
+        save_index_table(common.unionByName(rare), path, buckets)
+        folder = f"{path}/{current_version(spark, path)['version']}"
+        for word in ("w0", "w77", "w7999"):
+            assert 1 <= len(word_files(spark, folder, [word])) <= 2
+        assert buckets // 4 <= len(word_files(spark, folder, ["common"])) <= buckets // 2 + 2
+        assert 1 <= len(word_files(spark, folder, ["common"], 1234)) <= 2
+        assert word_files(spark, folder, ["zzz"]) == [] and word_files(spark, folder, [""]) == []
+        found = open_index_table(spark, path).find(["w77", "w4077", "absent", "w5"])
+        assert rows(found, "word", "book_id") == [("w4077", 77), ("w5", 5), ("w77", 77)]
+        assert len(found.inputFiles()) <= 6
+        assert rows(word_postings(spark, folder, ["common"], 1234)) == [("common", 1234, [1, 2])]
+        assert word_postings(spark, folder, ["common"]).count() == 4000
+    assert open_index_table(spark, path).find([]).count() == 0
 
 
 def test_keyword_in_context_edges(spark):
@@ -181,16 +221,14 @@ def test_random_requests_on_real_index_equal_intersections(spark):
     """On the sf0.001 index: a k-word request returns exactly the books in every
     one-word answer (words drawn from the real vocabulary, frequent and rare)."""
     import random
-    from quire.operators.postings import word_stats
     from quire.sources.books import books_from_table
     idx = build_index(books_from_table(
         spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))).cache()
-    stats = word_stats(idx).cache()
-    vocab = [r.word for r in stats.orderBy(F.desc("n_books"), "word").limit(300).collect()]
+    vocab = [r.word for r in S.index_over(idx).words.orderBy(F.desc("n_books"), "word").limit(300).collect()]
     rng = random.Random(7)
     reqs = [dict(query_id=i, words=rng.sample(vocab, rng.choice([2, 3]))) for i in range(40)]
     got = {}
-    for r in S.search_batch(idx, S.make_requests(spark, reqs), stats=stats).collect():
+    for r in S.search_batch(idx, S.make_requests(spark, reqs)).collect():
         got.setdefault(r.query_id, set()).add(r.book_id)
     books_of = {}
     for r in idx.filter(F.col("word").isin(vocab)).select("word", "book_id").collect():
@@ -199,4 +237,3 @@ def test_random_requests_on_real_index_equal_intersections(spark):
         expect = set.intersection(*(books_of[w] for w in q["words"]))
         assert got.get(q["query_id"], set()) == expect
     idx.unpersist()
-    stats.unpersist()

@@ -58,7 +58,7 @@ def test_bucket_count_is_stored_with_the_table(spark):
         open_index_table(spark, idx)
     save_index_table(postings, idx, 8)
     save_catalog_table(catalog, cat, 16)
-    assert open_index_table(spark, idx)[0].filter("book_id >= 0").count() == 60
+    assert open_index_table(spark, idx).postings.filter("book_id >= 0").count() == 60
     assert open_catalog_table(spark, cat).filter("year = 1999").count() == 60
     for opened, path, wrong in ((open_index_table, idx, 4), (open_catalog_table, cat, 8)):
         with pytest.raises(ValueError):
@@ -67,8 +67,8 @@ def test_bucket_count_is_stored_with_the_table(spark):
     open_index_table(spark, idx)
     assert len(spark.catalog.listTables()) == tables
     save_index_table(postings.filter("book_id < 10"), idx, 4)      # a new version, other buckets
-    again, stats = open_index_table(spark, idx)
-    assert again.count() == 10 and stats.first()["n_books"] == 10
+    again = open_index_table(spark, idx)
+    assert again.postings.count() == 10 and again.words.first()["n_books"] == 10
 
 
 def test_books_of_two_runs_are_merged_and_empty_runs_are_read(spark):
