@@ -40,6 +40,12 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _bound(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` reads it: the optimizer
+    copies a plain expression to every place that reads it, but not a lambda's argument."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 #: code points of named references, from Python's own table, and the one name it lacks
 NAMED = {**name2codepoint, "apos": 39}
 REFERENCE = r"(?s)^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
@@ -59,15 +65,15 @@ def _referred(name: Column) -> Column:
 def decode_entities(c) -> Column:
     """Named and numeric character references decoded in one pass, so ``&amp;lt;`` gives
     ``&lt;``.  Unknown names stay; numbers that are no character give U+FFFD."""
-    c = _col(c)
+    def replaced(p: Column, name: Column) -> Column:
+        char = F.when(name != "", _referred(name))
+        return F.coalesce(F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p))
 
     def part(p: Column, i: Column) -> Column:
-        name = F.regexp_extract(p, REFERENCE, 1)
-        char = F.when(name != "", _referred(name))
-        return F.when(i == 0, p).otherwise(F.coalesce(
-            F.concat(char, F.substr(p, F.length(name) + 2)), F.concat(F.lit("&"), p)))
+        return F.when(i == 0, p).otherwise(_bound(F.regexp_extract(p, REFERENCE, 1), lambda name: replaced(p, name)))
 
-    return F.when(c.contains("&"), F.array_join(F.transform(F.split(c, "&"), part), "")).otherwise(c)
+    return _bound(_col(c), lambda t: F.when(
+        t.contains("&"), F.array_join(F.transform(F.split(t, "&"), part), "")).otherwise(t))
 
 
 def html_text(fragment) -> Column:
@@ -101,8 +107,8 @@ def split_author(heading_text) -> Column:
 def release_date(html) -> Column:
     """Texts of all ``td[itemprop=datePublished]`` joined by a space; 'Unknown' if empty."""
     cells = F.transform(F.regexp_extract_all(_col(html), F.lit(DATE_CELL), 1), html_text)
-    joined = F.trim(F.array_join(cells, " "))
-    return F.when(joined == "", F.lit(UNKNOWN)).otherwise(joined)
+    return _bound(F.trim(F.array_join(cells, " ")),
+                  lambda t: F.when(t == "", F.lit(UNKNOWN)).otherwise(t))
 
 
 def language_cell(html) -> Column:
@@ -118,8 +124,7 @@ def download_link(html) -> Column:
     anchors = F.regexp_extract_all(_col(html), F.lit(ANCHOR), 0)
     plain = F.filter(anchors, lambda a: F.lower(
         html_text(F.regexp_extract(a, ANCHOR, 2))).contains(DOWNLOAD_ANCHOR_TEXT))
-    first = F.get(plain, 0)
-    return F.when(first.isNotNull(), decode_entities(F.regexp_extract(first, HREF, 1)))
+    return F.get(F.transform(F.slice(plain, 1, 1), lambda a: decode_entities(F.regexp_extract(a, HREF, 1))), 0)
 
 
 def absolute_url(href, base: str = BASE_URL) -> Column:
@@ -149,7 +154,8 @@ def body_text(html) -> Column:
     html = _col(html)
     opened = F.when(html.rlike(r"(?i)<body\b"), F.regexp_replace(html, r"(?is)\A.*?<body\b[^>]*>", "")) \
         .otherwise(F.regexp_replace(html, r"(?is)<head\b.*?</head>", ""))
-    body = F.when(opened.rlike(r"(?i)</body>"), F.regexp_extract(opened, r"(?is)\A(.*)</body>", 1)).otherwise(opened)
+    body = _bound(opened, lambda t: F.when(
+        t.rlike(r"(?i)</body>"), F.regexp_extract(t, r"(?is)\A(.*)</body>", 1)).otherwise(t))
     body = F.regexp_replace(body, HIDDEN, "")
     body = F.regexp_replace(body, r"(?i)<br\b[^>]*>", "\n")
     return decode_entities(F.regexp_replace(body, ANY_TAG + "|" + CUT_TAG, ""))

@@ -28,10 +28,11 @@ def extract_book_records(book_pages: DataFrame) -> DataFrame:
     """(href, book_id, title, author, release_date, language, download_url) per book
     page.  Pages without ``h1``, without a 'Plain Text UTF-8' link, or whose link is too
     short for an id are dropped, as the crawler skips them."""
-    rec = book_pages.select(
-        "href", heading("html").alias("heading"), release_date("html").alias("release_date"),
+    # as the output of a generator the fields are computed once: filters on them stay above it
+    rec = book_pages.select("href", F.inline(F.array(F.struct(
+        heading("html").alias("heading"), release_date("html").alias("release_date"),
         language_cell("html").alias("language"), download_link("html").alias("download"),
-        link_book_id("href").alias("book_id"))
+        link_book_id("href").alias("book_id")))))
     return (rec.filter(F.col("heading").isNotNull() & F.col("download").isNotNull()
                        & F.col("book_id").isNotNull())
             .select("href", "book_id", split_title("heading").alias("title"),

@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from quire.operators import search as S
 from quire.plans import fixtures
 from quire.plans.indexing import build_index
@@ -79,3 +81,16 @@ def test_literal_search_reads_the_files_of_its_words(spark):
     assert 1 <= len(index.find(["en"]).inputFiles()) <= 3
     plan = _plan(S.search(spark, index, ["en", "er"]))
     assert re.search(r"PushedFilters: \[[^\]]*In\(word", plan) and "Bucketed: true" not in plan
+
+
+def _regexps(df):
+    return len(re.findall(r"(?i)regexp_|rlike", df._jdf.queryExecution().optimizedPlan().toString()))
+
+
+def test_extraction_computes_each_step_once(spark):
+    from quire.functions.html import body_text
+    from quire.plans.crawling import extract_book_records
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    assert _regexps(pages.select(body_text("html").alias("t"))) <= 10
+    records = extract_book_records(pages.select(F.col("url").alias("href"), "html"))
+    assert _regexps(records) <= 60
