@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +32,33 @@ def numbered(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     return staged(df.withColumn(row, F.monotonically_increasing_id()), name), row
 
 
+def _reads_files(df: DataFrame) -> bool:
+    """Whether ``df`` is a selection of rows and columns of one file table, and nothing else."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.children().isEmpty() and "Relation" in plan.nodeName()
+
+
+def identified(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` with a column that tells its rows apart, and the name of that column.
+
+    Rows of a file table have a place that every read sees alike: (hash of the file's path, row
+    in the file), so nothing is copied.  Others are numbered by :func:`numbered`."""
+    if not _reads_files(df) or df.schema.simpleString().find("_metadata") >= 0:
+        return numbered(df, name)
+    row, taken = "row_number_", {c.lower() for c in df.columns}
+    while row in taken:
+        row += "_"
+    try:
+        place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+        return df.select("*", place.alias(row)), row
+    except AnalysisException:                     # a format without row numbers
+        return numbered(df, name)
+
+
 #: row numbers broadcast to drop rows, at most; about 16 bytes each
 MAX_BROADCAST_ROWS = 2_000_000
 

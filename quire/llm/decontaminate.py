@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import numbered, without
+from quire.llm.common import identified, without
 
 #: fixed by the contract of the operator
 WINDOW = 13
@@ -120,7 +120,7 @@ def contamination(hits: DataFrame, key: str = "doc_id") -> DataFrame:
 
 def drop_contaminated_rows(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
     """Rows that are not contaminated, all columns kept; each is judged by itself and ids are not read."""
-    rows, row = numbered(docs, "numbered-documents")
+    rows, row = identified(docs, "numbered-documents")
     bad = contamination(find_hits(rows, items, row, text, **options), row).filter("contaminated").select(row)
     return without(rows, row, bad).drop(row)
 
@@ -141,7 +141,7 @@ def remove_hit_words(docs: DataFrame, items: DataFrame, key: str = "doc_id", tex
     """(key, text): normalised words of each row without its own hit ranges, joined by spaces.
 
     Every row is judged by itself, whatever its id; one row per input row."""
-    rows, row = numbered(docs.select(key, text), "numbered-documents")
+    rows, row = identified(docs.select(key, text), "numbered-documents")
     spans = find_hits(rows, items, row, text, **options).filter("n_hit > 0").select(row, "ranges")
     w = rows.select(row, key, words(F.col(text).cast("string")).alias("w_")).join(spans, row, "left")
     kept = F.when(F.col("ranges").isNull(), F.col("w_")).otherwise(_outside(F.col("w_"), F.col("ranges")))

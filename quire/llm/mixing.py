@@ -20,7 +20,7 @@ Places are computed on a slim frame of row numbers, hashes and token counts and
 by number.  The order comes from a hash of the row's columns (maps left out) and, among rows equal in all of
 them, of their running number: rows without id or of one repeated id are spread like all others, equal
 rows have places of their own, and the order of the input does not matter.  Running numbers are counted
-inside the parts of the input and offset by prefix sums over parts, so that no group of equal rows meets in one task.
+inside the files or parts of the input and offset by prefix sums over parts, so that no group of equal rows meets in one task.
 
 Null sources are one source of their own.  Null texts have no tokens; a source without any
 tokens has weight 0 and each of its documents appears once, in block 0.  Input columns named like the added
@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quire.llm.common import numbered, staged
+from quire.llm.common import identified, staged
 
 #: documents in a bin, about
 BIN_ROWS = 4096
@@ -101,7 +101,9 @@ def source_weights(tokens: DataFrame, target_entropy: float | None = None, max_r
 
 def _numbered_twins(slim: DataFrame) -> DataFrame:
     """``slim`` (row, h1, h2, ...) with ``nth``, the running number of a row among those of equal hashes."""
-    slim = slim.withColumn("part", F.shiftrightunsigned("row", 33))       # the task that numbered the row
+    # the file of the row, or the task that numbered it
+    file = isinstance(slim.schema["row"].dataType, T.StructType)
+    slim = slim.withColumn("part", F.col("row.file") if file else F.shiftrightunsigned("row", 33))
     same, first = Window.partitionBy("h1", "h2", "part"), Window.partitionBy("h1", "h2").orderBy("part")
     starts = staged(slim.groupBy("h1", "h2", "part").agg(F.count("*").alias("n")).select(
         "h1", "h2", "part", (F.sum("n").over(first) - F.col("n")).alias("start"), F.sum("n").over(Window.partitionBy("h1", "h2")).alias("all"))
@@ -119,7 +121,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", tokens: Col
 
     ``tokens`` is a column expression over ``docs``; without it the words of ``text`` are counted."""
     names = [c for c in docs.columns if c.lower() not in ADDED]
-    rows, number = numbered(docs, "numbered-documents")
+    rows, number = identified(docs, "numbered-documents")
     hashed = [rows[f.name] for f in rows.schema if f.name in names and not isinstance(f.dataType, T.MapType)]
     hashed += [c.isNull() for c in hashed]
     # a source as a string that is never null

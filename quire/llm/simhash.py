@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from quire.llm.common import numbered, slices, staged, without
+from quire.llm.common import identified, slices, staged, without
 from quire.llm.components import components
 
 BITS = 64
@@ -180,7 +180,7 @@ def one_row_a_group(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     It is the row with the least id, nulls last; among several the one whose text has the
     least XXH64, and of equal texts the first."""
-    rows, row = numbered(docs, "numbered-documents")
+    rows, row = identified(docs, "numbered-documents")
     order = F.struct(F.col(key).isNull().alias("unnamed"), F.col(key).alias("key"),
                      F.xxhash64(F.col(text).cast("string")).alias("text"), F.col(row).alias("row"))
     prints = staged(fingerprints(rows.select(order.alias("id"), F.col(text).alias("text")), "id", "text", shingle), "fingerprints")

@@ -290,3 +290,20 @@ def test_mixing_leaves_other_columns_alone(spark):
     assert got.columns == [*df.columns, "block", "position", "epoch", "n_tokens"]
     got = got.collect()
     assert len(got) == 50 and all(r[n] == f"{n} {r.doc_id}" for r in got for n in names)
+
+
+def test_rows_of_files_are_told_apart_without_a_copy(spark, tmp_path):
+    from quire.llm.common import identified
+    df = spark.createDataFrame([(None, "same")] * 3000 + [(i, "x") for i in range(500)], "doc_id long, text string")
+    df.repartition(7).write.parquet(f"{tmp_path}/d")
+    read = spark.read.parquet(f"{tmp_path}/d").filter("text is not null").select("text", "doc_id")
+    rows, row = identified(read, "t")
+    assert rows.select(row).distinct().count() == 3500 and "file" in rows.schema[row].dataType.names
+    again = {tuple(r[0]) for r in rows.select(row).filter("text = 'x'").collect()}
+    assert again == {tuple(r[row]) for r in rows.collect() if r.text == "x"}
+    for other in (read.union(read), read.join(read.select("text").distinct(), "text"), read.selectExpr("explode(array(1, 2)) AS n"),
+                  read.filter("rand() < 0.5"), read.withColumn("_metadata", F.lit(1)), df):
+        numbers, name = identified(other, "t")
+        assert numbers.schema[name].dataType.typeName() == "long"
+    got = mixing.mix(read.withColumn("source", F.lit("s")), max_repetition=1.0, bin_rows=64).collect()
+    assert len(got) == 3500 and len({(r.block, r.position) for r in got}) == 3500
