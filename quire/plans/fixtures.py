@@ -17,8 +17,8 @@ from quire.functions.metadata import format_metadata_line
 from quire.operators.tokens import is_stopword
 from quire.functions.text import tokenize, strip_header
 
-# --- fixed values: fixture layout -------------------------------------------------------
-TITLE_CHARS = 40                # title = first 40 characters of the book text
+# --- layout of the stand-ins ------------------------------------------------------------
+FIRST_SENTENCE = r"^[^.!?\r\n]*"   # title = the book's first sentence, or its first line if that ends sooner
 LANG_NAMES = (("en", "English"), ("fr", "French"), ("de", "German"), ("es", "Spanish"))
 UNKNOWN_DATE_EVERY = 10         # every 10th id has release date "Unknown"
 NO_DOWNLOAD_EVERY = 17          # every 17th book page has no plain-text link
@@ -35,7 +35,7 @@ def _lang_name(lang: Column) -> Column:
 
 
 def _title(text: Column) -> Column:
-    return F.translate(F.substring(text, 1, TITLE_CHARS), "\r\n", "  ")
+    return F.regexp_extract(text, FIRST_SENTENCE, 0)
 
 
 def _release_date(doc_id: Column) -> Column:
@@ -121,7 +121,7 @@ def passage_requests(benchmark: DataFrame) -> DataFrame:
                             _request_words(F.col("text")).alias("words"))
 
 
-# --- fixed values: criteria profiles of the title-request workload ----------------------
+# --- criteria profiles of the title-request workload --------------------------------------
 # (title, author, year_from, year_to, language); profile = query_id mod 5.
 CRITERIA_PROFILES = (
     (None, None, None, None, None),

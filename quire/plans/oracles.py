@@ -13,7 +13,7 @@ from quire.constants import (
 )
 from quire.plans.fixtures import (
     BOOKS_PER_LISTING, CRITERIA_PROFILES, DATE_MULT, DATE_ORIGIN, DATE_SPAN, LANG_NAMES,
-    NO_DOWNLOAD_EVERY, TITLE_CHARS, UNKNOWN_DATE_EVERY,
+    NO_DOWNLOAD_EVERY, FIRST_SENTENCE, UNKNOWN_DATE_EVERY,
 )
 
 # the oracles' own HTML patterns (RE2), stated apart from the library's; they cover the pages
@@ -66,7 +66,7 @@ IDX = (f"idx AS (SELECT word, book_id, list_sort(list_distinct(list(pos))) AS p
        f"FROM tp WHERE word NOT IN {STOP} GROUP BY word, book_id)")
 BASE = f"WITH {TOK}, {TP}, {IDX}"
 
-TITLE = f"translate(substring(text, 1, {TITLE_CHARS}), chr(13) || chr(10), '  ')"
+TITLE = f"regexp_extract(text, {_q(FIRST_SENTENCE)})"
 LANG = ("CASE lang " + " ".join(f"WHEN {_q(c)} THEN {_q(n)}" for c, n in LANG_NAMES)
         + " ELSE 'Unknown' END")
 RDATE = (f"CASE WHEN doc_id % {UNKNOWN_DATE_EVERY} = 0 THEN 'Unknown' ELSE "
@@ -75,7 +75,7 @@ RDATE = (f"CASE WHEN doc_id % {UNKNOWN_DATE_EVERY} = 0 THEN 'Unknown' ELSE "
 
 
 def catalog_fields(text: str = "text", where: str = "") -> str:
-    return (f"SELECT doc_id AS book_id, translate(substring({text}, 1, {TITLE_CHARS}), chr(13) || chr(10), '  ') AS title, "
+    return (f"SELECT doc_id AS book_id, regexp_extract({text}, {_q(FIRST_SENTENCE)}) AS title, "
             f"'Author ' || source AS author, {RDATE} AS release_date, {LANG} AS language "
             f"FROM documents {where}")
 
