@@ -12,8 +12,9 @@ Queries are dealt in batches and meet the blocks pairwise; a task holds one bloc
 batch.  Best lists of blocks are merged by rank with a partial limit before the shuffle.
 
 Vectors that are null or hold null or non-finite components, and rows without id, take no part.
-Shorter vectors count as padded with zeros; empty ones score 0.  Components beyond
-2**31 - 1 after quantising are held at that.  Ties go to the smaller id, then to the earlier
+Shorter vectors count as padded with zeros; empty ones score 0.  Components are 64-bit integers
+after quantising; one that does not fit raises, and so does a best score that does not.  Where sums of a
+block and a query could leave 64 bits, they are scored in unbounded integers.  Ties go to the smaller id, then to the earlier
 row; rows that repeat an id are queries and candidates of their own.  An empty table gives no rows.
 """
 
@@ -40,6 +41,9 @@ class Block:
     def __init__(self, vectors: np.ndarray, levels: int = LEVELS):
         n, d = vectors.shape
         self.vectors, self.levels = vectors, levels
+        self.most = max(abs(int(vectors.min(initial=0))), abs(int(vectors.max(initial=0))))
+        if 4 * self.most >= 1 << 62:                                # segments need sums of components
+            return
         low = vectors.min(axis=0).astype(np.int64)
         high = vectors.max(axis=0).astype(np.int64)
         width = np.maximum(1, -(-(high - low + 1) // levels))
@@ -103,6 +107,11 @@ class Block:
 
     def best(self, query: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, own: int = -1) -> list[tuple[int, int]]:
         """(position, score) of the best k, exact."""
+        if 4 * self.most * sum(abs(x) for x in query.tolist()) >= 1 << 63:      # bounds and sums need not fit
+            found = np.array([i for i in range(len(ids)) if i != own], np.int64)
+            scores = self.vectors[found].astype(object) @ query.astype(object)
+            order = sorted(range(len(found)), key=lambda i: (-scores[i], ids[found[i]], rows[found[i]]))[:k]
+            return [(int(found[i]), scores[i]) for i in order]
         found = self.possible(query, k, own)
         scores = self.vectors[found].astype(np.int64) @ query
         order = np.lexsort((rows[found], ids[found], -scores))[:k]
@@ -110,13 +119,14 @@ class Block:
 
 
 def quantise(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component as int; null if the vector takes no part."""
+    """floor(scale * x) of each component as bigint; null if the vector takes no part."""
     numbers = vector.cast("array<double>")
     bad = F.exists(numbers, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    top = float(2 ** 31 - 1)
-    return F.when(~bad, F.transform(numbers, lambda x: F.greatest(F.lit(-top), F.least(
-        F.lit(top), F.greatest(F.lit(-top), F.least(F.lit(top), x * scale)).cast("double"))))
-        ).cast("array<double>")
+    scaled = F.transform(numbers, lambda x: x * scale)
+    small = F.forall(scaled, lambda x: F.abs(x) < float(2 ** 63))
+    whole = F.when(small, F.transform(scaled, lambda x: F.floor(x).cast("bigint"))).otherwise(
+        F.raise_error(F.lit("a component does not fit in 64 bits")).cast("array<bigint>"))
+    return F.when(~bad, whole)
 
 
 def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str = "embedding", k: int = 5,
@@ -126,17 +136,19 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
     ``is_query`` is a condition on the columns of ``vectors``."""
     base = vectors.select(
         F.monotonically_increasing_id().alias("row"), F.col(key).cast("bigint").alias("id"), is_query.alias("asks"),
-        F.transform(quantise(F.col(vector), scale), lambda x: F.floor(x).cast("int")).alias("v")
+        quantise(F.col(vector), scale).alias("v")
     ).filter("v is not null and id is not null")
     base = staged(base, "vectors")
-    n, asking, dims = base.agg(F.count("*"), F.count_if("asks"), F.max(F.size("v"))).first()
+    n, asking, dims, low, high = base.agg(
+        F.count("*"), F.count_if("asks"), F.max(F.size("v")), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    kind = np.int32 if -2 ** 31 <= (low or 0) and (high or 0) < 2 ** 31 else np.int64       # of the stored blocks
     n_blocks, n_batches = max(1, -(-n // block_rows)), max(1, -(-asking // batch_queries))
     dims = dims or 0
 
     blocks = base.select("row", "id", "v", F.pmod(F.xxhash64("row"), F.lit(n_blocks)).cast("int").alias("block"))
 
     def matrix(lists) -> np.ndarray:
-        out = np.zeros((len(lists), max(dims, 1)), np.int32)
+        out = np.zeros((len(lists), max(dims, 1)), kind)
         for i, x in enumerate(lists):
             out[i, :len(x)] = x
         return out
@@ -157,7 +169,7 @@ def top_k(vectors: DataFrame, is_query: Column, key: str = "vec_id", vector: str
             for i in range(batch.num_rows):
                 row = {c: batch.column(c)[i].as_py() for c in ("rows", "ids", "m", "queries")}
                 rows, ids = (np.frombuffer(row[c], "<i8") for c in ("rows", "ids"))
-                block = Block(np.frombuffer(row["m"], np.int32).reshape(len(rows), -1))
+                block = Block(np.frombuffer(row["m"], kind).reshape(len(rows), -1))
                 out = [[] for _ in range(5)]
                 for q in row["queries"]:
                     at = int(np.searchsorted(rows, q["row"]))

@@ -307,3 +307,15 @@ def test_rows_of_files_are_told_apart_without_a_copy(spark, tmp_path):
         assert numbers.schema[name].dataType.typeName() == "long"
     got = mixing.mix(read.withColumn("source", F.lit("s")), max_repetition=1.0, bin_rows=64).collect()
     assert len(got) == 3500 and len({(r.block, r.position) for r in got}) == 3500
+
+
+def test_topk_components_beyond_32_bits(spark):
+    rows = [(0, [1.0, 0.5])] + [(i, [i * 1e8, -1.0]) for i in (1, 2, 3)] + [(4, [-(2.0 ** 45), 1.0]), (50, [2.0 ** 30, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(256 * x // 1) for x in v] for i, v in rows}
+    score = lambda a, b: sum(x * y for x, y in zip(whole[a], whole[b]))
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, F.col("vec_id") == 0, k=5).collect()]
+    best = sorted((i for i, _ in rows if i), key=lambda i: (-score(0, i), i))
+    assert sorted(got) == [(0, n + 1, i, score(0, i)) for n, i in enumerate(best)] and [x[2] for x in sorted(got)][:4] == [50, 3, 2, 1]
+    with pytest.raises(Exception, match="64 bits"):
+        topk.top_k(spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
