@@ -16,7 +16,11 @@ is one block of a stream.
 
 Null payloads are empty.  A null id gives a record without page id; it comes last among equal
 payloads.  Repeated rows are equal payloads like others: the first is the response.  Control
-characters in URLs are percent-encoded.  Truncated files and records raise.  An empty table
+characters in URLs are percent-encoded; a header, URL included, may have 64 MB.  Columns but for the named
+ones are ignored.  Archives of other writers are read too: a record that is not HTTP (``warcinfo``, ``metadata``, ...) has its
+whole block as payload, an HTTP record what follows its HTTP header, as stored (a chunked body stays chunked).
+A missing payload digest is computed; a given one is checked where it must hold: SHA-1 of a body that was not sent chunked.
+Truncated files and records raise.  An empty table
 gives no files; a file without records gives an archive without members.
 """
 
@@ -38,6 +42,8 @@ from quire.session import work_path
 
 CHUNK = 1 << 20
 FILE_BYTES = 64 << 20
+#: longest record header that is read (a URL of many megabytes is in it)
+HEADER_BYTES = 64 << 20
 DATE = "2024-01-01T00:00:00Z"
 _LINE = 54          # two numbers of 20 digits, a type of 11, two spaces and a line feed
 _ID = re.compile(rb"<urn:page:(-?\d+)>")
@@ -75,7 +81,7 @@ class Inflated:
 
     started = False
 
-    def until(self, mark: bytes, limit: int = CHUNK) -> bytes:
+    def until(self, mark: bytes, limit: int = HEADER_BYTES) -> bytes:
         """Bytes up to and with ``mark``; b"" at the end of the file."""
         while (end := self.plain.find(mark, self.at)) < 0:
             if len(self.plain) - self.at > limit:
@@ -213,8 +219,9 @@ def normalise(files: DataFrame, plan: DataFrame | None = None, folder: str | Non
                                     whole += piece
                             http = whole.partition(b"\r\n\r\n")[0] + b"\r\n\r\n"
                             lines = [x for x in head.split(b"\r\n") if x and x.partition(b":")[0].lower() not in (b"warc-type", b"content-length")]
-                            target = b"WARC-Refers-To: <urn:page:%d>" % refers[seq] if refers[seq] is not None else b"WARC-Truncated: unspecified"
-                            head = b"\r\n".join([lines[0], b"WARC-Type: revisit", *lines[1:], target,
+                            # a response without id has no name to refer to
+                            target = [b"WARC-Refers-To: <urn:page:%d>" % refers[seq]] if refers[seq] is not None else []
+                            head = b"\r\n".join([lines[0], b"WARC-Type: revisit", *lines[1:], *target,
                                                  b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
                                                  b"Content-Length: %d" % len(http), b"", b""])
                             body, kind = [http], b"revisit"
@@ -245,7 +252,8 @@ def read_records(archives: DataFrame, records_a_task: int = 2048, with_payload:
     """Records of ``archives(archive, sidecar, n)``, found through the sidecars and read by range.
 
     (archive, seq, page_id, record_type, refers_to, payload_bytes, payload_digest[, payload]).
-    The digest of a payload that is there is computed and must equal the header's."""
+    The digest of a payload that is there is computed and must equal the header's; a revisit's size is
+    that of its HTTP header, null if that names none, and its digest the header's."""
     tasks = archives.agg(F.sum(F.ceil(F.col("n") / records_a_task))).first()[0] or 1
     ranges = (archives.filter("n > 0")
               .select("archive", "sidecar", "n", F.explode(F.expr(f"sequence(0l, n - 1, {records_a_task}l)")).alias("seq0"))
@@ -266,18 +274,21 @@ def read_records(archives: DataFrame, records_a_task: int = 2048, with_payload:
                             f.seek(int(line[:20]))
                             stream = Inflated(_upto(f, int(line[21:41])))
                             (head, fields), = [(h, d) for h, d in _one(stream)]
-                            http = headers(stream.until(b"\r\n\r\n"))
-                            kind = fields[b"warc-type"].decode()
-                            size = int(http[b"content-length"])
-                            sha1, kept = fields[b"warc-payload-digest"].partition(b":")[2].decode(), []
-                            if kind != "revisit":
-                                found = hashlib.sha1()
-                                for piece in stream.parts(size):
-                                    found.update(piece)
-                                    if with_payload:
-                                        kept.append(piece)
-                                if base64.b32encode(found.digest()).decode() != sha1:
-                                    raise ValueError(f"payload of record {seq} of {archive} is damaged")
+                            kind = fields.get(b"warc-type", b"").decode()
+                            http, body = _payload(stream, fields)
+                            size, found, kept = 0, hashlib.sha1(), []
+                            for piece in body:
+                                size += len(piece)
+                                found.update(piece)
+                                if with_payload:
+                                    kept.append(piece)
+                            method, _, given = fields.get(b"warc-payload-digest", b"").partition(b":")
+                            sha1 = base64.b32encode(found.digest()).decode()
+                            if kind == "revisit":
+                                size = http.get(b"content-length", b"")
+                                size, sha1 = int(size) if size.isdigit() else None, given.decode() or None
+                            elif method.lower() == b"sha1" and b"transfer-encoding" not in http and given.decode() != sha1:
+                                raise ValueError(f"payload of record {seq} of {archive} is damaged")
                             ids = [m and int(m[1]) for m in (_ID.fullmatch(fields.get(k, b"")) for k in (b"warc-record-id", b"warc-refers-to"))]
                             for x, v in zip(out, (seq, ids[0], kind, ids[1], size, sha1, b"".join(kept) if kind != "revisit" else None)):
                                 x.append(v)
@@ -300,6 +311,28 @@ def _one(stream: Inflated):
     yield block, headers(block)
 
 
+def _payload(stream: Inflated, fields: dict[bytes, bytes]):
+    """(HTTP header fields, pieces of the payload) of a record whose WARC header was read.
+
+    A block that should be HTTP but holds no end of a header is all payload."""
+    body = stream.parts(int(fields.get(b"content-length", b"0")))
+    if not fields.get(b"content-type", b"").lower().startswith(b"application/http"):
+        return {}, body
+    begun = b""
+    for piece in body:
+        begun += piece
+        if b"\r\n\r\n" in begun or len(begun) > HEADER_BYTES:
+            break
+    head, mark, rest = begun.partition(b"\r\n\r\n")
+    return (headers(head), _rest(rest, body)) if mark else ({}, _rest(begun, body))
+
+
+def _rest(first: bytes, pieces):
+    if first:
+        yield first
+    yield from pieces
+
+
 def _upto(f, size: int):
     left = size
 

@@ -319,3 +319,36 @@ def test_topk_components_beyond_32_bits(spark):
     assert sorted(got) == [(0, n + 1, i, score(0, i)) for n, i in enumerate(best)] and [x[2] for x in sorted(got)][:4] == [50, 3, 2, 1]
     with pytest.raises(Exception, match="64 bits"):
         topk.top_k(spark.createDataFrame([(0, [1e300]), (1, [1.0])], "vec_id long, embedding array<double>"), F.col("vec_id") == 0).collect()
+
+
+def test_archives_of_other_writers(spark, tmp_path):
+    """warcinfo, request, chunked and digest-less responses, metadata, a revisit of another crawl, a URL of 3 MB."""
+    def sha1(data):
+        return base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+    def record(kind, body, **fields):
+        lines = [f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}>", *(f"{k.replace('_', '-')}: {v}" for k, v in fields.items())]
+        return "\r\n".join(["WARC/1.0", *lines, f"Content-Length: {len(body)}", "", ""]).encode() + body + b"\r\n\r\n"
+
+    http, page = "application/http; msgtype=response", b"<p>body</p>"
+    chunked = b"b\r\n<p>body</p>\r\n0\r\n\r\n"
+    rows = [
+        ("warcinfo", b"software: x\r\n\r\nformat: y", {"Content_Type": "application/warc-fields"}, b"software: x\r\n\r\nformat: y"),
+        ("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", {"Content_Type": "application/http; msgtype=request"}, b""),
+        ("response", b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + chunked, {"Content_Type": http, "WARC_Payload_Digest": "sha1:" + sha1(page)}, chunked),
+        ("response", b"HTTP/1.1 200 OK\r\n\r\n" + page, {"Content_Type": http}, page),
+        ("response", b"no header at all", {"Content_Type": http}, b"no header at all"),
+        ("metadata", b"", {}, b""),
+        ("response", b"HTTP/1.1 200 OK\r\n\r\n" + page, {"Content_Type": http, "WARC_Target_URI": "http://" + "u" * 3_000_000}, page)]
+    revisit = ("revisit", b"HTTP/1.1 200 OK\r\n\r\n", {"Content_Type": http, "WARC_Payload_Digest": "sha1:" + sha1(page)})
+    data = b"".join(record(k, b, **f) for k, b, f, *_ in [*rows, revisit])
+    (tmp_path / "crawl.warc.gz").write_bytes(gzip.compress(data))
+    manifest = spark.createDataFrame([(f"file://{tmp_path}/crawl.warc.gz",)], "file string")
+    got = sorted(warc.read_records(warc.normalise(manifest), 3, True).collect(), key=lambda r: r.seq)
+    assert [(r.record_type, r.payload_bytes, r.payload_digest, bytes(r.payload)) for r in got[:-1]] == [
+        (k, len(p), sha1(p), p) for k, _, _, p in rows]
+    assert (got[-1].record_type, got[-1].payload_bytes, got[-1].payload_digest, got[-1].payload) == ("revisit", None, sha1(page), None)
+    (tmp_path / "bad.warc.gz").write_bytes(gzip.compress(record("response", b"HTTP/1.1 200 OK\r\n\r\nx", Content_Type=http, WARC_Payload_Digest="sha1:" + sha1(page))))
+    bad = warc.normalise(spark.createDataFrame([(f"file://{tmp_path}/bad.warc.gz",)], "file string"))
+    with pytest.raises(Exception, match="damaged"):
+        warc.read_records(bad).collect()
