@@ -9,9 +9,12 @@
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
     python -m quire compact --index PATH --ledger PATH --out PATH --buckets N
     python -m quire nbooks  --ledger PATH
-    python -m quire fragment --book ID --word-pos N
+    python -m quire forward --books PATH [--text-dir] --out PATH --buckets N
+    python -m quire fragment --book ID --word-pos N [--forward PATH [--radius R]]
 
-``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
+``catalog`` writes the parsed catalogue and the n-gram index of its texts (``OUT/texts``), which
+``search --words`` uses.  ``fragment`` prints the fixed sentence, or with a forward index the words
+around the place.  ``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
 how many books were new.  ``search --words`` splits on '+' like the reference route; a request file holds one JSON
 object per line: {"query_id": 1, "words": [...], "title": ..., "year_from": ..., ...}.
 Results are JSON lines {"query_id", "bookId", "positions": {word: [pos, ...]}} — the
@@ -65,7 +68,16 @@ def _parser() -> argparse.ArgumentParser:
     cp.add_argument("--buckets", type=int, required=True)
     n = sub.add_parser("nbooks")
     n.add_argument("--ledger", required=True)
+    w = sub.add_parser("forward")
+    w.add_argument("--books", required=True)
+    w.add_argument("--text-dir", action="store_true", help="BOOKS is a folder of <id>.txt")
+    w.add_argument("--id-col", default="doc_id")
+    w.add_argument("--text-col", default="text")
+    w.add_argument("--out", required=True)
+    w.add_argument("--buckets", type=int, required=True)
     f = sub.add_parser("fragment")
+    f.add_argument("--forward")
+    f.add_argument("--radius", type=int, default=5)
     f.add_argument("--book", type=int, required=True)
     f.add_argument("--word-pos", type=int, required=True)
     return p
@@ -73,7 +85,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> object:
     args = _parser().parse_args(argv)
-    if args.cmd == "fragment":   # the reference's text route is a fixed sentence
+    if args.cmd == "fragment" and not args.forward:   # the reference's text route is a fixed sentence
         out = FRAGMENT_STUB % (args.word_pos, args.book)
         print(out)
         return out
@@ -83,19 +95,30 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         # spark-submit sets the master; a plain `python -m quire` runs locally
         master = None if SparkConf().contains("spark.master") else "local[*]"
         spark = get_session(master)
-    if args.cmd == "index":
+    if args.cmd == "fragment":
+        from quire.sinks.forward_store import fragment_at
+        out = [r["fragment"] for r in fragment_at(spark, args.forward, args.book, args.word_pos, args.radius).collect()]
+        print("\n".join(out))
+        return out
+    if args.cmd in ("index", "forward"):
         from quire.plans.indexing import build_index
+        from quire.sinks.forward_store import save_forward_table
         from quire.sinks.index_store import save_index_table
         from quire.sources.books import books_from_files, books_from_table
         books = (books_from_files(spark, args.books) if args.text_dir else
                  books_from_table(spark.read.parquet(args.books), args.id_col, args.text_col))
+        if args.cmd == "forward":
+            return save_forward_table(books, args.out, args.buckets)
         return save_index_table(build_index(books), args.out, args.buckets)
     if args.cmd == "catalog":
         from quire.operators.catalog import load_catalog
-        from quire.sinks.index_store import save_catalog_table
+        from quire.sinks.criteria_store import save_criteria_index
+        from quire.sinks.index_store import open_catalog_table, save_catalog_table
         from quire.sources.catalog import read_catalog_lines
-        return save_catalog_table(load_catalog(read_catalog_lines(spark, args.lines)),
+        name = save_catalog_table(load_catalog(read_catalog_lines(spark, args.lines)),
                                   args.out, args.buckets)
+        save_criteria_index(open_catalog_table(spark, args.out), f"{args.out}/texts", args.buckets)
+        return name
     if args.cmd == "search":
         return _search(spark, args)
     if args.cmd == "add":
@@ -125,14 +148,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
 def _search(spark: SparkSession, args) -> str:
     from quire.functions.text import parse_query
     from quire.operators import search as S
-    from quire.sinks.index_store import open_catalog_table, open_index_table
+    from quire.sinks.criteria_store import open_criteria_index
+    from quire.sinks.index_store import current_version, open_catalog_table, open_index_table
     index = open_index_table(spark, args.index)
     catalog = open_catalog_table(spark, args.catalog) if args.catalog else None
     if args.words is not None:
-        # one literal request: only the files of its words are read, and its criteria reach the catalogue scan
+        # one literal request: only the files of its words and of its criteria's grams are read
+        texts = f"{args.catalog}/texts"
+        texts = open_criteria_index(spark, texts) if args.catalog and current_version(spark, texts) else None
         words = spark.range(1).select(parse_query(F.lit(args.words)).alias("w")).first()["w"]
         res = S.search(spark, index, words, args.title, args.author, getattr(args, "from"), args.to, args.language,
-                       catalog=catalog).withColumn("query_id", F.lit(0).cast("bigint"))
+                       catalog=catalog, texts=texts).withColumn("query_id", F.lit(0).cast("bigint"))
     else:
         requests = S.with_criteria_columns(
             spark.read.schema(S.REQUEST_SCHEMA).json(args.requests))

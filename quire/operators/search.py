@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quire.functions.metadata import release_year
+from quire.operators.criteria import TEXT_CRITERIA, CriteriaIndex, books_with_text
 from quire.operators.word_blocks import LANES, books_of, not_empty, part_of, word_blocks, word_counts
 
 CRITERIA = ("title", "author", "year_from", "year_to", "language")
@@ -220,11 +221,12 @@ def make_requests(spark: SparkSession, rows: list[dict]) -> DataFrame:
 
 def search(spark: SparkSession, index: SearchIndex | DataFrame, words: list[str], title=None,
            author=None, year_from=None, year_to=None, language=None,
-           catalog: DataFrame | None = None) -> DataFrame:
+           catalog: DataFrame | None = None, texts: CriteriaIndex | None = None) -> DataFrame:
     """One request: books containing all ``words`` and meeting every given criterion.
 
     Only the postings of its words are read.  Books are counted on keys first, criteria reach
-    the catalogue scan, and positions are fetched for what is left.  A non-integer year bound raises
+    the catalogue scan, and positions are fetched for what is left.  With ``texts`` (of the same
+    catalogue), title, author and language are looked up there instead.  A non-integer year bound raises
     ValueError here (V3); in batch tables it matches nothing.  Returns (book_id, positions) ordered by book_id.
     """
     for bound in (year_from, year_to):
@@ -236,6 +238,11 @@ def search(spark: SparkSession, index: SearchIndex | DataFrame, words: list[str]
     postings = _index(index).find(wanted)
     matches = (postings.groupBy("book_id").agg(F.count("*").alias("n"))
                .filter(F.col("n") == len(wanted)).select("book_id"))
+    if texts is not None:
+        for name in TEXT_CRITERIA:
+            value = criteria.pop(name)
+            if value is not None:
+                matches = matches.join(books_with_text(texts, name, value), "book_id", "left_semi")
     if catalog is not None and any(v is not None for v in criteria.values()):
         matches = matches.join(books_meeting(catalog, **criteria), "book_id", "left_semi")
     hits = postings.join(matches, "book_id")

@@ -19,6 +19,7 @@ from quire.functions.text import tokenize, strip_header
 
 # --- layout of the stand-ins ------------------------------------------------------------
 FIRST_SENTENCE = r"^[^.!?\r\n]*"   # title = the book's first sentence, or its first line if that ends sooner
+FIRST_TWO_WORDS = r"^[^ ]+ [^ ]+"
 LANG_NAMES = (("en", "English"), ("fr", "French"), ("de", "German"), ("es", "Spanish"))
 UNKNOWN_DATE_EVERY = 10         # every 10th id has release date "Unknown"
 NO_DOWNLOAD_EVERY = 17          # every 17th book page has no plain-text link

@@ -13,7 +13,7 @@ from quire.constants import (
 )
 from quire.plans.fixtures import (
     BOOKS_PER_LISTING, CRITERIA_PROFILES, DATE_MULT, DATE_ORIGIN, DATE_SPAN, LANG_NAMES,
-    NO_DOWNLOAD_EVERY, FIRST_SENTENCE, UNKNOWN_DATE_EVERY,
+    NO_DOWNLOAD_EVERY, FIRST_SENTENCE, FIRST_TWO_WORDS, UNKNOWN_DATE_EVERY,
 )
 
 # the oracles' own HTML patterns (RE2), stated apart from the library's; they cover the pages
@@ -360,4 +360,15 @@ ORACLES: dict[str, str] = {
     "crawl_frontier": f"WITH lp AS ({listing()}), {FRONTIER} SELECT page, claimed FROM fr",
     "pending_pages": (f"WITH lp AS ({listing()}), {FRONTIER}, done AS ({listing('WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)')}) "
                       f"SELECT page, claimed FROM fr WHERE NOT claimed AND page NOT IN (SELECT start_index FROM done)"),
+    "claimed_pages": (
+        f"WITH lp AS ({listing()}), {FRONTIER}, done AS ({listing('WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)')}), "
+        f"r AS (SELECT page, row_number() OVER (ORDER BY page) AS n, (SELECT count(*) FROM fr) // 3 AS k FROM fr) "
+        f"SELECT page, (n <= k AND page IN (SELECT start_index FROM done)) OR (n > k AND n <= 2 * k) AS claimed, "
+        f"CASE WHEN n <= k THEN 'a' WHEN n <= 2 * k THEN 'b' END AS taker FROM r"),
+    "criteria_books": (
+        f"WITH {LINES}, {PARSED}, {CATALOG}, "
+        f"q AS (SELECT 'title' AS field, regexp_extract(text, {_q(FIRST_TWO_WORDS)}) AS criterion FROM benchmark "
+        f"UNION SELECT 'author', source FROM documents) "
+        f"SELECT DISTINCT q.field, q.criterion, c.book_id FROM q JOIN cat c ON q.criterion IS NOT NULL AND "
+        f"contains(lower(CASE q.field WHEN 'title' THEN c.title ELSE c.author END), lower(q.criterion))"),
 }

@@ -20,11 +20,16 @@ from quire.functions.text import (
     book_id_from_path, doc_key_from_path, parse_query, strip_header, tokenize,
 )
 from quire.operators import catalog as cat
+from quire.operators.claims import claim_pages, claim_state, finish_pages, with_claims
+from quire.operators.criteria import books_containing
+from quire.operators.forward import fragments_of_hits
 from quire.operators import crawl, ledger, postings as post, search as srch, tokens as tok
 from quire.plans import crawling, fixtures
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
 from quire.sinks.books_store import append_catalog_lines, read_books, store_books
+from quire.sinks.criteria_store import open_criteria_index, save_criteria_index
+from quire.sinks.forward_store import open_forward_table, save_forward_table
 from quire.sinks.index_store import (
     append_ledger, new_run_id, open_catalog_table, open_index_table, read_ledger, read_postings,
     save_catalog_table, save_index_table, write_run,
@@ -91,6 +96,26 @@ def stored_catalog(spark, sf):
     return _STORED[key]
 
 
+def stored_forward(spark, sf):
+    """The forward index of ``documents``, saved once per session."""
+    key = (_session_key(spark), sf, "forward")
+    if key not in _STORED:
+        path = work_path(spark, "forward-table")
+        save_forward_table(books(spark, sf), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _STORED[key] = open_forward_table(spark, path)
+    return _STORED[key]
+
+
+def stored_criteria(spark, sf):
+    """The n-gram index of the catalogue's text fields, saved once per session."""
+    key = (_session_key(spark), sf, "criteria")
+    if key not in _STORED:
+        path = work_path(spark, "criteria-index")
+        save_criteria_index(stored_catalog(spark, sf), path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        _STORED[key] = open_criteria_index(spark, path)
+    return _STORED[key]
+
+
 def flat_postings(p: DataFrame) -> DataFrame:
     return p.select("word", "book_id", join_ints("positions").alias("positions"))
 
@@ -448,6 +473,17 @@ def search_batch(spark, sf):
     return r.select("query_id", "book_id", positions_text("positions").alias("positions"))
 
 
+@register("criteria_books")
+def criteria_books(spark, sf):
+    """Title lookups through the n-gram index: the books whose title contains, whatever the case, the
+    first two words of a ``benchmark`` passage; and every source's author."""
+    items = spark.read.parquet(table_path(sf, "benchmark"))
+    titles = items.select(F.lit("title").alias("field"),
+                          F.regexp_extract("text", fixtures.FIRST_TWO_WORDS, 0).alias("criterion"))
+    authors = documents(spark, sf).select(F.lit("author").alias("field"), F.col("source").alias("criterion"))
+    return books_containing(stored_criteria(spark, sf), titles.unionByName(authors))
+
+
 @register("search_json")
 def search_json(spark, sf):
     return passage_matches(spark, sf).select("query_id", "book_id",
@@ -466,12 +502,13 @@ def fragment_stub(spark, sf):
 
 @register("text_fragment")
 def text_fragment(spark, sf):
-    """Keyword in context: the 5 tokens before and after each hit of each word."""
-    from quire.operators.fragments import keyword_in_context
+    """Keyword in context: the 5 tokens before and after each hit of each word, from the forward index."""
     m = passage_matches(spark, sf).select(
         "query_id", "book_id", F.explode("positions").alias("word", "p"))
     hits = m.select("query_id", "book_id", "word", F.explode("p").alias("pos"))
-    return keyword_in_context(hits, books(spark, sf), radius=5)
+    staged = work_path(spark, "hits")   # read twice below: for the places, and for the rows
+    hits.write.parquet(staged)
+    return fragments_of_hits(stored_forward(spark, sf), spark.read.schema(hits.schema).parquet(staged), radius=5)
 
 
 # ---------------------------------------------------------------- extraction ------------
@@ -574,3 +611,22 @@ def pending_pages(spark, sf):
     fetched = fixtures.listing_pages(d.join(toxic, "doc_id", "left_semi")) \
         .select(F.col("start_index").alias("page"))
     return crawl.pending_pages(crawl.frontier_of(_listing(spark, sf)), fetched)
+
+
+@register("claimed_pages")
+def claimed_pages(spark, sf):
+    """The frontier after two takers: ``a`` claims a third of the pages for a minute, ``b`` the next third
+    half a minute later, and ``a`` fetches those pages that list a book labelled toxic.  Seventy seconds after the
+    start the other pages of ``a`` are free again."""
+    front = crawl.frontier_of(_listing(spark, sf))
+    d = documents(spark, sf)
+    toxic = spark.read.parquet(table_path(sf, "labels")).filter(F.col("toxic") == 1)
+    fetched = fixtures.listing_pages(d.join(toxic, "doc_id", "left_semi")) \
+        .select(F.col("start_index").alias("page"))
+    log, third = work_path(spark, "claims"), front.count() // 3
+    claim_pages(front, log, "a", third, lease=60, now=0)
+    claim_pages(front, log, "b", third, lease=60, now=30)
+    finish_pages(fetched, log, "a", now=50)
+    state = claim_state(spark, log)
+    marked = with_claims(front, state, now=70)
+    return marked.join(state.select("page", "taker"), "page", "left").select("page", "claimed", "taker")

@@ -20,6 +20,7 @@ from quire.operators.postings import POSTINGS_SCHEMA, merge_postings
 from quire.operators.search import SearchIndex
 from quire.operators.sizing import broadcast_if_small, collect_if_small
 from quire.operators.word_blocks import BLOCKS_SCHEMA, parts_for, word_blocks, word_counts
+from quire.sinks.commit_log import append_entry, read_entries
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -108,11 +109,11 @@ def append_ledger(keys: DataFrame, path: str, run: str | None = None) -> None:
 #   files     the directory of by_word: first and last (word, book_id) of every file
 # A lookup of literal words reads the directory and opens only the files that can hold them.
 #
-# A stored table is a folder of versions.  Each save writes a new version and then appends
-# one row (version, buckets, number, parts) to ``versions``: that row commits the save, all its
-# tables together, and tells readers the bucket and part counts.
+# A stored table is a folder of versions.  Each save writes a new version and then appends one
+# entry (version, buckets, parts) to the log ``commits`` (quire.sinks.commit_log): that entry commits
+# the save, all its tables together, and tells readers the bucket and part counts.  Of two saves at
+# the same time each gets an entry, and the later one is current.
 
-VERSIONS_SCHEMA = "version STRING, buckets INT, number BIGINT, parts INT"
 FILES_SCHEMA = "file STRING, first STRUCT<word: STRING, book_id: BIGINT>, last STRUCT<word: STRING, book_id: BIGINT>, n BIGINT"
 
 
@@ -126,20 +127,17 @@ def _table_name(prefix: str, path: str, version: str) -> str:
     return f"{prefix}_{hashlib.sha1(f'{path}/{version}'.encode()).hexdigest()[:16]}"
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    return read_folder(spark, f"{path}/versions", VERSIONS_SCHEMA)
-
-
-def current_version(spark: SparkSession, path: str):
-    """(version, buckets, number, parts) of the last committed save at ``path``, or None."""
-    return _versions(spark, path).orderBy(F.desc("number"), F.desc("version")).first()
+def current_version(spark: SparkSession, path: str) -> dict | None:
+    """version, buckets, number and parts of the last committed save at ``path``, or None."""
+    entries = read_entries(spark, f"{path}/commits")
+    return {"number": entries[-1][0], **entries[-1][1]} if entries else None
 
 
 def _commit(spark: SparkSession, path: str, version: str, buckets: int, parts: int | None = None) -> None:
     last = current_version(spark, path)
     number = 1 if last is None else last["number"] + 1
-    (spark.createDataFrame([(version, buckets, number, parts)], VERSIONS_SCHEMA).coalesce(1)
-     .write.mode("append").parquet(f"{path}/versions"))
+    while not append_entry(spark, f"{path}/commits", number, {"version": version, "buckets": buckets, "parts": parts}):
+        number += 1
 
 
 def save_bucketed(df: DataFrame, path: str, buckets: int, sort_cols: list[str],

@@ -44,6 +44,16 @@ def test_cli_fragment_stub():
         "Sample text containing word 3 in book 12"
 
 
+def test_cli_fragment_of_a_forward_index(spark):
+    out = work_path(spark, "cli-forward")
+    main(["forward", "--books", f"{SF}/documents.parquet", "--out", out, "--buckets", "4"], spark)
+    got = main(["fragment", "--book", "12", "--word-pos", "0", "--radius", "2", "--forward", out], spark)
+    from quire.functions.text import tokenize
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("doc_id = 12")
+    assert got == [" ".join(docs.select(tokenize(docs.text).alias("t")).first()["t"][:3])]
+    assert main(["fragment", "--book", "-5", "--word-pos", "0", "--forward", out], spark) == []
+
+
 def test_cli_ingest_compact_search(spark):
     from quire.sources.books import books_from_table
     docs = spark.read.parquet(f"{SF}/documents.parquet")

@@ -1,0 +1,96 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from quire.operators import search as S
+from quire.operators.criteria import books_containing, books_with_text, index_of_catalog
+from quire.plans.indexing import build_index
+from quire.session import work_path
+from quire.sinks.criteria_store import open_criteria_index, save_criteria_index
+
+SCHEMA = "book_id BIGINT, title STRING, author STRING, date STRING, language STRING"
+CATALOG = [
+    (1, "Moby Dick", "Herman Melville", "Oct 18, 1851", "English"),
+    (2, "MOBY's sea", "Anon", "Unknown", "English"),
+    (3, "Über Öl", "Çelik", "Jan 1, 1900", "Deutsch"),
+    (4, "", "a", "Jan 1, 1901", None),
+    (5, None, None, None, None),
+    (6, "aaaa aa", "\U0001F433 whale", "Jan 1, 1990", "English"),
+    (None, "Moby", "x", "Jan 1, 1990", "English"),
+]
+CRITERIA = ["", "m", "MO", "mob", "moby d", "s sea", "über", "Öl", "ç", "aaa", "aaaaa", "a a", "\U0001F433", "\U0001F433 wh",
+            "nothing like it", "%", "_", "english"]
+
+
+def contains(field, criterion):
+    at = {"title": 1, "author": 2, "language": 4}[field]
+    return sorted(r[0] for r in CATALOG if r[0] is not None and r[at] is not None and criterion.lower() in r[at].lower())
+
+
+@pytest.fixture(scope="module")
+def stored(spark):
+    path = work_path(spark, "t-criteria")
+    save_criteria_index(spark.createDataFrame(CATALOG, SCHEMA), path, 4)
+    return open_criteria_index(spark, path)
+
+
+def test_batch_equals_brute_force(spark, stored):
+    ask = [(f, c) for f in ("title", "author", "language") for c in CRITERIA]
+    criteria = spark.createDataFrame(ask + ask[:5] + [("title", None), ("no such field", "a")], "field STRING, criterion STRING")
+    expect = sorted((f, c, b) for f, c in ask for b in contains(f, c))
+    for index in (stored, index_of_catalog(spark.createDataFrame(CATALOG, SCHEMA))):
+        assert sorted(map(tuple, books_containing(index, criteria).collect())) == expect
+
+
+@pytest.mark.parametrize("criterion", ["", "M", "MO", "moby d", "Öl", "aaaaa", "\U0001F433 wh"])
+def test_literal_equals_brute_force(stored, criterion):
+    for f in ("title", "author"):
+        assert sorted(r.book_id for r in books_with_text(stored, f, criterion).collect()) == contains(f, criterion)
+
+
+def test_empty_catalogue(spark):
+    path = work_path(spark, "t-criteria-empty")
+    save_criteria_index(spark.createDataFrame([], SCHEMA), path, 3)
+    assert books_with_text(open_criteria_index(spark, path), "title", "a").count() == 0
+
+
+def test_search_with_index_equals_search_over_the_catalogue(spark, stored):
+    catalog = spark.createDataFrame(CATALOG, SCHEMA)
+    words = build_index(spark.createDataFrame([(i, "sea whale") for i in range(1, 8)], "book_id BIGINT, text STRING"))
+    for criteria in (dict(title="mob"), dict(author="e", language="ENG"), dict(title="a", year_from="1950"),
+                     dict(year_to="1900"), dict(), dict(title="")):
+        plain = S.search(spark, words, ["sea"], catalog=catalog, **criteria).collect()
+        assert S.search(spark, words, ["sea"], catalog=catalog, texts=stored, **criteria).collect() == plain
+
+
+def test_selective_criterion_reads_a_fraction(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9))
+    books = [(i, f"{word()} {word()}", "one author", "Jan 1, 1990", "English") for i in range(3000)]
+    path = work_path(spark, "t-criteria-large")
+    save_criteria_index(spark.createDataFrame(books, SCHEMA), path, 32)
+    index = open_criteria_index(spark, path)
+    target = books[1234]
+    found = books_with_text(index, "title", target[1][4:16].upper())
+    assert [r.book_id for r in found.collect()] == [1234]
+    scanned = index.values.filter((F.col("field") == "title"))
+    plan = found._jdf.queryExecution().executedPlan()
+    read = sum(int(n.metrics().get("numOutputRows").get().value()) for n in _scans(plan) if "value" in n.schema().fieldNames())
+    assert 0 < read <= scanned.count() // 16
+
+
+def _scans(plan):
+    found, todo = [], [plan]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        elif name.startswith("Scan parquet"):
+            found.append(node)
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return found

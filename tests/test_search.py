@@ -209,14 +209,6 @@ def test_word_lookup_opens_few_files_at_any_bucket_count(spark):
     assert open_index_table(spark, path).find([]).count() == 0
 
 
-def test_keyword_in_context_edges(spark):
-    from quire.operators.fragments import keyword_in_context
-    books = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "book_id BIGINT, text STRING")
-    hits = spark.createDataFrame([(1, 0), (1, 6), (1, 11)], "book_id BIGINT, pos INT")
-    got = sorted((r.pos, r.fragment) for r in keyword_in_context(hits, books, radius=2).collect())
-    assert got == [(0, "a b c"), (6, "e f g h i"), (11, "j k l")]
-
-
 def test_random_requests_on_real_index_equal_intersections(spark):
     """On the sf0.001 index: a k-word request returns exactly the books in every
     one-word answer (words drawn from the real vocabulary, frequent and rare)."""
