@@ -22,7 +22,9 @@ from quire.constants import STOPWORDS
 from quire.functions.text import tokenize
 from quire.operators.sizing import DEFAULT_MAX_BROADCAST_ROWS, broadcast_if_small, spread
 from quire.operators.postings import build_postings
+from quire.operators.row_marks import FILE, ROW, marked_rows, marks_of, with_places
 from quire.operators.tokens import Tokenizer, index_tokens
+from quire.operators.word_blocks import BLOCKS_SCHEMA
 from quire.session import work_path
 from quire.sinks.index_store import (
     append_ledger, new_run_id, read_ledger, read_postings, save_index_table, write_run,
@@ -62,21 +64,37 @@ def index_new_books(books: DataFrame, index_path: str, ledger_path: str,
     list yet; returns the keys that were new in this run.
 
     The new keys are written to the shared work folder once; postings and ledger are both
-    made from that table, so both see the same set of new books.  Several rows with one key (a file delivered
-    twice) need no dedup of the text: their positions collapse in the (book_id, word)
+    made from that table, so both see the same set of new books.  Books that are rows of a Parquet table are
+    picked by their place (quire.operators.row_marks): text is never an exchange input, however many are
+    new.  Other books (text files, a micro-batch) meet the keys as in :func:`with_keys`.  Several rows with
+    one key (a file delivered twice) need no dedup of the text: their positions collapse in the (book_id, word)
     set aggregation; only the ledger keys are made distinct.
     """
     spark = books.sparkSession
     valid = books.filter((F.col("doc_key") != "") & F.col("book_id").isNotNull())
-    staged = work_path(spark, "new-keys")
-    new_keys(valid, read_ledger(spark, ledger_path)).write.parquet(staged)
-    keys = spark.read.schema("doc_key STRING").parquet(staged)
-    run = new_run_id()
-    write_run(build_index(with_keys(valid, keys), tokenizer, stopwords, partitions), index_path, run)
+    staged, run = work_path(spark, "new-keys"), new_run_id()
+    placed = with_places(valid.select("doc_key", "book_id", "text"))
+    if placed is None:
+        new_keys(valid, read_ledger(spark, ledger_path)).write.parquet(staged)
+        keys = spark.read.schema("doc_key STRING").parquet(staged)
+        fresh = with_keys(valid, keys)
+    else:
+        _new_places(placed, read_ledger(spark, ledger_path)).write.parquet(staged)
+        places = spark.read.schema(f"doc_key STRING, {FILE} STRING, {ROW} BIGINT").parquet(staged)
+        keys = places.select("doc_key").distinct()
+        marks = work_path(spark, "new-rows")
+        marks_of(places).write.parquet(marks)
+        fresh = marked_rows(placed, spark.read.schema(BLOCKS_SCHEMA).parquet(marks))
+    write_run(build_index(fresh, tokenizer, stopwords, partitions), index_path, run)
     append_ledger(keys, ledger_path, run)        # the commit record, written last
     return keys
 
 
+def _new_places(placed: DataFrame, ledger: DataFrame) -> DataFrame:
+    """(doc_key, file, row) of the books that the ledger does not list; only keys are read."""
+    return placed.select("doc_key", FILE, ROW).join(ledger.select("doc_key"), "doc_key", "left_anti")
+
+
 def compact_index(index_path: str, ledger_path: str, table_path: str, buckets: int,
                   spark=None) -> str:
     """Write the committed runs of ``index_path`` (books indexed under several keys

@@ -1,0 +1,77 @@
+import re
+
+from pyspark.sql import functions as F
+
+from support import rows
+from quire.operators.row_marks import FILE, ROW, marked_rows, marks_of, slices_of, with_places
+from quire.operators.word_blocks import BLOCKS_SCHEMA
+from quire.plans.indexing import build_index, index_new_books
+from quire.session import work_path
+from quire.sinks.index_store import append_ledger, read_ledger, read_postings
+from quire.sources.books import books_from_table
+
+
+def _stored(spark, df, name, files):
+    path = work_path(spark, name)
+    df.repartition(files, "doc_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_slices_hold_every_file_once_under_the_bound():
+    files = [(f"f{i}", n) for i, n in enumerate([3, 4, 5, 20, 1, 9, 10, 2])]
+    got = slices_of(files, 10)
+    assert [f for s in got for f in s] == [f for f, _ in files]
+    sizes = dict(files)
+    assert all(sum(sizes[f] for f in s) <= 10 or len(s) == 1 for s in got)
+    assert slices_of([]) == []
+
+
+def test_marked_rows_equal_the_anti_join_at_any_bound(spark):
+    t = _stored(spark, spark.range(3000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")), "rm-a", 5)
+    books = books_from_table(t.filter("doc_id <> 17"))
+    placed = with_places(books)
+    for keep in ("book_id % 7 = 0", "book_id < 5", "true", "false"):
+        places = work_path(spark, "rm-marks")
+        marks_of(placed.filter(keep).select(FILE, ROW)).write.parquet(places)
+        marks = spark.read.schema(BLOCKS_SCHEMA).parquet(places)
+        expect = rows(books.filter(keep))
+        for bound in (10**6, 4, 1):      # one slice, some, one for each file (too large for the bound: joined)
+            assert rows(marked_rows(placed, marks, bound).select(*books.columns)) == expect
+
+
+def test_books_that_are_not_rows_of_one_file_table_have_no_places(spark, tmp_path):
+    assert with_places(spark.createDataFrame([(1,)], "book_id BIGINT")) is None
+    t = _stored(spark, spark.range(9).withColumnRenamed("id", "doc_id"), "rm-b", 2)
+    assert with_places(t.unionByName(t)) is None and with_places(t.distinct()) is None
+    assert with_places(t.filter(F.rand() < 0.5)) is None
+    (tmp_path / "1.txt").write_text("a")
+    assert with_places(spark.read.text(str(tmp_path), wholetext=True)) is None
+
+
+def test_text_is_never_exchanged(spark, monkeypatch):
+    from quire.plans import indexing
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    books, idx, led = books_from_table(d), work_path(spark, "rm-idx"), work_path(spark, "rm-led")
+    plans = []
+
+    def seen(fresh, *args):
+        plans.append(fresh._jdf.queryExecution().executedPlan().toString())
+        return build_index(fresh, *args)
+    monkeypatch.setattr(indexing, "build_index", seen)
+    append_ledger(books.filter("book_id % 2 = 0"), led)
+    keys = index_new_books(books, idx, led)
+    assert rows(keys) == rows(books.filter("book_id % 2 = 1").select("doc_key"))
+    assert len(plans) == 1 and "BroadcastHashJoin" in plans[0]
+    assert not re.search(r"Exchange (hash|range|RoundRobin)", plans[0]) and "SortMergeJoin" not in plans[0]
+    expect = build_index(books.filter("book_id % 2 = 1"))
+    assert rows(read_postings(spark, idx), "word", "book_id", "positions") == rows(expect, "word", "book_id", "positions")
+
+
+def test_repeated_keys_and_second_runs(spark):
+    d = spark.createDataFrame([(1, "blue whale"), (1, "green whale"), (2, None), (None, "nobody"), (3, "")], "doc_id BIGINT, text STRING")
+    books = books_from_table(_stored(spark, d, "rm-c", 1))
+    idx, led = work_path(spark, "rm-idx2"), work_path(spark, "rm-led2")
+    assert rows(index_new_books(books, idx, led)) == [("1",), ("2",), ("3",)]
+    assert index_new_books(books, idx, led).count() == 0
+    assert read_ledger(spark, led).count() == 3
+    assert rows(read_postings(spark, idx, led), "word", "positions") == [("blue", [0]), ("green", [0]), ("whale", [1])]
