@@ -17,8 +17,8 @@ starts in a document with a smaller id.  Steps:
 
 All documents are streamed in steps 1 and 4; only the parts that can hold a passage travel in
 between.  A phrase with more than ``hot`` occurrences is not gathered anywhere: its different runs
-and their windows are confirmed by combined aggregations and located by a join on the run.  That
-join streams and spills, but the places of one very common run meet in one task.
+and their windows are confirmed by combined aggregations and located by a join on two 64-bit hashes of the
+run.  That join streams and spills, and adaptive execution splits the places of a very common run.
 
 Words are runs of characters other than space and U+0009 to U+000D, unchanged.  Null texts have
 none.  Texts shorter than a window stay whole.  Rows that repeat an id do not remove
@@ -284,8 +284,11 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
                 .filter("first < last").select("passage", "first"))
     places = windows.select("run", "place", "passage").join(passages, "passage").groupBy("run").agg(
         F.collect_list(F.struct("place", "first")).alias("places"), F.min("first").alias("first"))
-    # one row a run; its windows stay together in an array
-    found = heavy.join(places, "run").filter("id > first").select("id", "d1", F.transform(
+    # one row a run; its windows stay together in an array.  The sides meet on digests of the run, both straight
+    # from an exchange, so that the places of a very common run are split over tasks; no run text travels
+    digest = [F.xxhash64("run").alias("r1"), F.xxhash64(F.lit(1), "run").alias("r2")]
+    found = heavy.select(*digest, "id", "d1", "start").join(
+        places.select(*digest, "places", "first"), ["r1", "r2"]).filter("id > first").select("id", "d1", F.transform(
         F.filter("places", lambda p: p["first"] < F.col("id")), lambda p: F.col("start") + p["place"]).alias("starts"),
         F.lit(window).cast("bigint").alias("size"))
     light = light.select("id", "d1", F.array("start").alias("starts"), (F.col("stop") - F.col("start")).alias("size"))
