@@ -8,13 +8,15 @@
     python -m quire add     --books DIR --index PATH --ledger PATH
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
     python -m quire compact --index PATH --ledger PATH --out PATH --buckets N
+    python -m quire merge   --index PATH --ledger PATH [--fan N] [--grace SECONDS]
     python -m quire nbooks  --ledger PATH
     python -m quire forward --books PATH [--text-dir] --out PATH --buckets N
     python -m quire fragment --book ID --word-pos N [--forward PATH [--radius R]]
 
 ``catalog`` writes the parsed catalogue and the n-gram index of its texts (``OUT/texts``), which
 ``search --words`` uses.  ``fragment`` prints the fixed sentence, or with a forward index the words
-around the place.  ``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
+around the place.  ``merge`` merges the runs of an incremental index level by level and removes folders replaced longer ago
+than the grace.  ``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
 how many books were new.  ``search --words`` splits on '+' like the reference route; a request file holds one JSON
 object per line: {"query_id": 1, "words": [...], "title": ..., "year_from": ..., ...}.
 Results are JSON lines {"query_id", "bookId", "positions": {word: [pos, ...]}} — the
@@ -66,6 +68,11 @@ def _parser() -> argparse.ArgumentParser:
     for a in ("index", "ledger", "out"):
         cp.add_argument(f"--{a}", required=True)
     cp.add_argument("--buckets", type=int, required=True)
+    m = sub.add_parser("merge")
+    for name in ("index", "ledger"):
+        m.add_argument(f"--{name}", required=True)
+    m.add_argument("--fan", type=int, default=8)
+    m.add_argument("--grace", type=float, default=7 * 24 * 3600)
     n = sub.add_parser("nbooks")
     n.add_argument("--ledger", required=True)
     w = sub.add_parser("forward")
@@ -136,6 +143,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
     if args.cmd == "compact":
         from quire.plans.indexing import compact_index
         return compact_index(args.index, args.ledger, args.out, args.buckets, spark)
+    if args.cmd == "merge":
+        from quire.sinks.index_store import read_ledger
+        from quire.sinks.run_levels import expire_runs, merge_runs
+        n = merge_runs(spark, args.index, read_ledger(spark, args.ledger), args.fan)
+        print(f"{n} merges, {expire_runs(spark, args.index, args.grace)} folders removed")
+        return n
     if args.cmd == "nbooks":
         from quire.operators.ledger import ledger_size
         from quire.sinks.index_store import read_ledger

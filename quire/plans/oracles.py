@@ -267,6 +267,7 @@ ORACLES: dict[str, str] = {
                     f"CAST(coalesce(sum(len(p)), 0) AS BIGINT) AS position_entries FROM idx"),
     "incremental_index": f"{BASE} {FLAT}",
     "side_by_side_index": f"{BASE} {FLAT}",
+    "tiered_index": f"{BASE} {FLAT}",
     "stream_index": f"{BASE} {FLAT}",
     "indexed_books": "SELECT CAST(doc_id AS VARCHAR) AS doc_key FROM documents",
     "nbooks": "SELECT count(DISTINCT doc_id) AS nbooks FROM documents",

@@ -35,6 +35,7 @@ from quire.sinks.index_store import (
     save_catalog_table, save_index_table, write_run,
 )
 from quire.sinks.results import result_json
+from quire.sinks.run_levels import expire_runs, merge_runs
 from quire.sources.books import books_from_table
 from quire.sources.catalog import read_catalog_lines
 from quire.sources.stopwords import stopwords_frame
@@ -252,6 +253,20 @@ def incremental_index(spark, sf):
     return flat_postings(read_postings(spark, idx, led))
 
 
+@register("tiered_index")
+def tiered_index(spark, sf):
+    """One incremental run for each language and one for the rest, merged two at a time into levels; the
+    folders that merges replaced are removed before the index is read."""
+    idx, led = work_path(spark, "index"), work_path(spark, "ledger")
+    d = documents(spark, sf)
+    for lang, _ in fixtures.LANG_NAMES:
+        index_new_books(books_from_table(d.filter(F.col("lang") == lang)), idx, led)
+    index_new_books(books_from_table(d), idx, led)
+    merge_runs(spark, idx, read_ledger(spark, led), fan=2)
+    expire_runs(spark, idx, grace=0)
+    return flat_postings(read_postings(spark, idx, led))
+
+
 @register("side_by_side_index")
 def side_by_side_index(spark, sf):
     """Two jobs that did not see each other index the same books; readers merge them."""

@@ -2,8 +2,8 @@
 
 Incremental runs write their postings under their own partition ``run=<id>`` and then
 append ``(doc_key, run)`` rows to the ledger.  The ledger is the commit record: readers
-take only the runs it lists (partition pruning), so postings of a run whose ledger write
-never happened (a failed or replayed batch) are invisible, and nothing is counted twice.
+open only the runs it lists, or the segments they were merged into (quire.sinks.run_levels), so postings
+of a run whose ledger write never happened (a failed or replayed batch) are invisible, and nothing is counted twice.
 """
 
 from __future__ import annotations
@@ -20,7 +20,8 @@ from quire.operators.postings import POSTINGS_SCHEMA, merge_postings
 from quire.operators.search import SearchIndex
 from quire.operators.sizing import broadcast_if_small, collect_if_small
 from quire.operators.word_blocks import BLOCKS_SCHEMA, parts_for, word_blocks, word_counts
-from quire.sinks.commit_log import append_entry, read_entries
+from quire.sinks.commit_log import append_entry, last_entry
+from quire.sinks.run_levels import folder_of, live_folders, read_folders
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -44,9 +45,8 @@ def new_run_id() -> str:
 
 def write_run(postings: DataFrame, path: str, run: str) -> None:
     """Append one run's postings under ``path/run=<run>``, sorted by (word, book_id)."""
-    (postings.select("word", "book_id", "positions", F.lit(run).alias("run"))
-     .sortWithinPartitions("word", "book_id").write.mode("append").partitionBy("run")
-     .parquet(path))
+    (postings.select("word", "book_id", "positions").sortWithinPartitions("word", "book_id")
+     .write.mode("append").parquet(folder_of(path, run)))
 
 
 def read_postings(spark: SparkSession, path: str, ledger_path: str | None = None,
@@ -57,18 +57,16 @@ def read_postings(spark: SparkSession, path: str, ledger_path: str | None = None
     once — under several keys (``007.txt`` and ``7.txt`` are both book 7) or by several
     runs (two jobs that indexed the same key side by side) — have their positions merged.
     They are found from the ledger alone, so the rest of the index is read as written.
-    Without it, ``merge=True`` set-merges every (word, book_id).
+    Without it, ``merge=True`` set-merges every (word, book_id) of all folders there are.
 
-    The committed runs become a partition filter.  A run is one directory of the index,
-    and the driver lists those directories anyway, so the list adds no new bound.
+    Only live folders are opened: the segments of the last merge and the committed runs that wait
+    for one (quire.sinks.run_levels), fewer than FAN a level where runs are merged.
     """
-    df = read_folder(spark, path, POSTINGS_SCHEMA + ", run STRING")
     if ledger_path is None:
-        df = df.select("word", "book_id", "positions")
+        df = read_folder(spark, path, POSTINGS_SCHEMA + ", run STRING").select("word", "book_id", "positions")
         return merge_postings(df) if merge else df
     ledger = read_ledger(spark, ledger_path)
-    runs = [r["run"] for r in ledger.select("run").distinct().collect()]
-    df = df.filter(F.col("run").isin(runs)).select("word", "book_id", "positions")
+    df = read_folders(spark, live_folders(spark, path, ledger))
     keys = ledger.select(F.col("doc_key").try_cast("int").cast("bigint").alias("book_id"),
                          "doc_key", "run").filter(F.col("book_id").isNotNull()).distinct()
     multi = keys.groupBy("book_id").count().filter(F.col("count") > 1).select("book_id")
@@ -129,8 +127,8 @@ def _table_name(prefix: str, path: str, version: str) -> str:
 
 def current_version(spark: SparkSession, path: str) -> dict | None:
     """version, buckets, number and parts of the last committed save at ``path``, or None."""
-    entries = read_entries(spark, f"{path}/commits")
-    return {"number": entries[-1][0], **entries[-1][1]} if entries else None
+    last = last_entry(spark, f"{path}/commits")
+    return {"number": last[0], **last[1]} if last else None
 
 
 def _commit(spark: SparkSession, path: str, version: str, buckets: int, parts: int | None = None) -> None:

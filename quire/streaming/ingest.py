@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from quire.plans.indexing import index_new_books
+from quire.sinks.index_store import read_ledger
+from quire.sinks.run_levels import FAN, merge_runs
 
 #: files of one micro-batch
 MAX_FILES_PER_TRIGGER = 1000
@@ -32,10 +34,12 @@ def book_stream(spark: SparkSession, source_dir: str,
 def start_stream_index(spark: SparkSession, source_dir: str, index_path: str,
                        ledger_path: str, checkpoint: str, available_now: bool = True,
                        max_files_per_trigger: int = MAX_FILES_PER_TRIGGER,
-                       partitions: int | None = None) -> StreamingQuery:
-    """Start the ingest query; with ``available_now`` it drains what is there and stops."""
+                       partitions: int | None = None, fan: int = FAN) -> StreamingQuery:
+    """Start the ingest query; with ``available_now`` it drains what is there and stops.
+    The runs of its micro-batches are merged level by level, ``fan`` at a time."""
     def index_batch(batch: DataFrame, batch_id: int) -> None:
         index_new_books(batch, index_path, ledger_path, partitions=partitions)
+        merge_runs(spark, index_path, read_ledger(spark, ledger_path), fan)
 
     writer = (book_stream(spark, source_dir, max_files_per_trigger).writeStream
               .foreachBatch(index_batch).option("checkpointLocation", checkpoint))

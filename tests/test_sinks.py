@@ -96,3 +96,31 @@ def test_folder_left_by_a_failed_write_reads_as_empty(spark):
     os.makedirs(path + "/_temporary/0")
     assert read_ledger(spark, path).count() == 0
     assert read_postings(spark, path, path).count() == 0
+
+
+def test_stored_texts_are_not_exchanged_and_ties_go_to_the_later_place(spark):
+    path = work_path(spark, "t-places")
+    schema = "book_id BIGINT, doc_key STRING, text STRING, arrival INT"
+    for arrival in (1, 2):
+        batch = spark.createDataFrame([(b, str(b), f"text {b} of {arrival}", arrival) for b in range(40 // arrival)] +
+                                      [(None, "x", f"nameless {arrival}", arrival)], schema)
+        store_books(batch, path)
+    stored = read_books(spark, path)
+    assert rows(stored) == sorted([(b, str(b), f"text {b} of {2 if b < 20 else 1}") for b in range(40)] +
+                                  [(None, "x", "nameless 2")], key=repr)
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange" in line and "BroadcastExchange" not in line]
+    assert not moved, moved
+    twice = work_path(spark, "t-twice")
+    spark.createDataFrame([(1, "1", "b", 1), (1, "1", "a", 1)], schema).coalesce(1).write.parquet(twice)
+    assert rows(latest_books(spark.read.schema(schema).parquet(twice)), "text") == [("a",)]
+
+
+def test_two_stores_at_once_get_batches_of_their_own(spark):
+    from quire.sinks.books_store import _claim_batch
+    path = work_path(spark, "t-claims")
+    assert [_claim_batch(spark, path) for _ in range(3)] == [1, 2, 3]
+    books = spark.createDataFrame([(1, "1", "first", 1)], "book_id BIGINT, doc_key STRING, text STRING, arrival INT")
+    store_books(books, path)
+    store_books(books.withColumn("text", F.lit("second")), path)
+    assert rows(read_books(spark, path)) == [(1, "1", "second")]
