@@ -259,7 +259,10 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
     # exact copies of a smaller document, by id (an id that repeats may have several texts)
     digests = named.select("id", "d1", F.xxhash64(F.lit(1), "text").alias("d2"))
     least = digests.groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last")
-    copies = (digests.join(least, ["d1", "d2"]).filter("first < id")
+    # the sides meet on the digests with a bit changed, so both come straight from an exchange and adaptive
+    # execution splits a large group of copies
+    meet = [F.col(d).bitwiseXOR(F.lit(1)).alias(f"{d}_") for d in ("d1", "d2")]
+    copies = (digests.select("id", "d1", *meet).join(least.select("first", *meet), ["d1_", "d2_"]).filter("first < id")
               .groupBy("id").agg(F.collect_set("d1").alias("copies")))
     # every use of the texts reads this exchange; the other sides are small and hashed, so texts are not sorted
     texts = named.repartition("id")
