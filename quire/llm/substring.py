@@ -31,10 +31,11 @@ from __future__ import annotations
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quire.llm.common import slices
+from quire.llm.common import slices, staged
 from quire.llm.wordhash import mix, phrase_hashes, window_anchors, words_of
 
 WINDOW = 13
@@ -80,11 +81,12 @@ def _anchor_rows(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def _runs(held: DataFrame, window: int, phrase: int) -> DataFrame:
-    """The run of words around each place of the phrases in ``phrases``, joined by one space."""
+    """(a, hot, id, d1, start, run): the run of words around each place of the phrases in ``light`` and
+    ``heavy`` (these are ``hot``), joined by one space."""
     def cut(batches):
         for part, texts in slices(batches, "text", most_rows=64):
-            wanted = part.column("phrases")
-            out = [[] for _ in range(5)]
+            light, heavy = part.column("light"), part.column("heavy")
+            out = [[] for _ in range(6)]
             for i, text in enumerate(texts):
                 hashed = words_of([text])
                 p, starts, at = anchors_of(hashed.hash, hashed.first, window, phrase)
@@ -92,7 +94,8 @@ def _runs(held: DataFrame, window: int, phrase: int) -> DataFrame:
                     continue
                 edge = np.flatnonzero(np.concatenate(([True], np.diff(at) != 0, [True])))
                 value = p[at[edge[:-1]]].view(np.int64)
-                here = np.flatnonzero(np.isin(value, wanted[i].values.to_numpy()))
+                hot = np.isin(value, heavy[i].values.to_numpy())
+                here = np.flatnonzero(hot | np.isin(value, light[i].values.to_numpy()))
                 if not len(here):
                     continue
                 words = text.split()
@@ -102,10 +105,12 @@ def _runs(held: DataFrame, window: int, phrase: int) -> DataFrame:
                 out[2] += [part.column("d1")[i].as_py()] * len(here)
                 out[3] += lo
                 out[4] += [b" ".join(words[s:e]) for s, e in zip(lo, hi)]
-            yield pa.RecordBatch.from_arrays([*[pa.array(x, pa.int64()) for x in out[:4]], pa.array(out[4], pa.binary())],
-                                             ["a", "id", "d1", "start", "run"])
+                out[5] += hot[here].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*[pa.array(x, pa.int64()) for x in out[:4]], pa.array(out[4], pa.binary()), pa.array(out[5], pa.bool_())],
+                ["a", "id", "d1", "start", "run", "hot"])
 
-    return held.mapInArrow(cut, "a bigint, id bigint, d1 bigint, start bigint, run binary")
+    return held.mapInArrow(cut, "a bigint, id bigint, d1 bigint, start bigint, run binary, hot boolean")
 
 
 def _windows(runs: DataFrame, window: int) -> DataFrame:
@@ -183,7 +188,10 @@ def locate(ids: np.ndarray, runs: list[bytes], window: int) -> list[tuple[int, i
 
 
 def _located(runs: DataFrame, window: int, shard_runs: int) -> DataFrame:
-    """Ranges found by the shards' automata; the rows of a phrase arrive together."""
+    """Ranges found by the shards' automata (``run`` is null); the rows of a phrase arrive together.
+    Runs of hot phrases pass through (``stop`` is null)."""
+    names = ["id", "d1", "start", "stop", "run"]
+
     def streamed(batches):
         held: list[pa.RecordBatch] = []
 
@@ -195,7 +203,7 @@ def _located(runs: DataFrame, window: int, shard_runs: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[r]), pa.array(table.column("d1").to_numpy()[r]),
                  pa.array(start[r] + np.array([f[1] for f in found], np.int64)),
-                 pa.array(start[r] + np.array([f[2] for f in found], np.int64) + 1)], ["id", "d1", "start", "stop"])
+                 pa.array(start[r] + np.array([f[2] for f in found], np.int64) + 1), pa.nulls(len(r), pa.binary())], names)
 
         def cut(last: bool):
             nonlocal held
@@ -214,13 +222,18 @@ def _located(runs: DataFrame, window: int, shard_runs: int) -> DataFrame:
             held = [] if last else table.slice(at).combine_chunks().to_batches()
 
         for batch in batches:
-            held.append(batch)
+            hot = batch.filter(batch.column("hot"))
+            if hot.num_rows:
+                yield pa.RecordBatch.from_arrays(
+                    [*[hot.column(c) for c in names[:3]], pa.nulls(hot.num_rows, pa.int64()), hot.column("run")], names)
+            if hot.num_rows < batch.num_rows:
+                held.append(batch.filter(pc.invert(batch.column("hot"))))
             if sum(b.num_rows for b in held) >= 2 * shard_runs:
                 yield from cut(False)
         if held:
             yield from cut(True)
 
-    return runs.mapInArrow(streamed, "id bigint, d1 bigint, start bigint, stop bigint")
+    return runs.mapInArrow(streamed, "id bigint, d1 bigint, start bigint, stop bigint, run binary")
 
 
 def _removed(rows: DataFrame, window: int) -> DataFrame:
@@ -253,7 +266,8 @@ def _removed(rows: DataFrame, window: int) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW,
                    phrase: int = PHRASE, hot: int = HOT, shard_runs: int = SHARD_RUNS) -> DataFrame:
-    """(key, n_words, n_removed, kept): ``kept`` holds the words that stay, joined by one space."""
+    """(key, n_words, n_removed, kept): ``kept`` holds the words that stay, joined by one space.  Steps 1 to 3
+    run when it is called; what they found is written to the shared folder."""
     base = docs.select(F.col(key).cast("bigint").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     named = base.filter("id is not null").select("id", F.xxhash64("text").alias("d1"), "text")
     # exact copies of a smaller document, by id (an id that repeats may have several texts)
@@ -276,12 +290,13 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", win
         F.collect_set(F.when(~F.col("hot"), F.col("a"))).alias("light"),
         F.collect_set(F.when(F.col("hot"), F.col("a"))).alias("heavy"))
 
-    def around(phrases: str) -> DataFrame:
-        held = fresh.join(mine.hint("shuffle_hash"), "id").withColumn("phrases", F.col(phrases)).filter("size(phrases) > 0")
-        return _runs(held.select("id", "d1", "text", "phrases"), window, phrase)
-
-    light = _located(around("light").repartition("a").sortWithinPartitions("a"), window, shard_runs)
-    heavy = around("heavy").select("run", "id", "d1", "start")
+    # the runs are cut once: those of a phrase meet at its automaton, those of hot phrases are spread by document
+    # and pass through; what comes out is written, as it is read for the ranges and, three times, for the hot runs
+    runs = _runs(fresh.join(mine.hint("shuffle_hash"), "id").select("id", "d1", "text", "light", "heavy"), window, phrase)
+    dealt = runs.repartition(F.when(F.col("hot"), F.col("id")).otherwise(F.col("a"))).sortWithinPartitions("a")
+    located = staged(_located(dealt, window, shard_runs), "located-runs")
+    light = located.filter("run is null").select("id", "d1", "start", "stop")
+    heavy = located.filter("run is not null").select("run", "id", "d1", "start")
     windows = _windows(heavy.groupBy("run").agg(F.min("id").alias("least"), F.max("id").alias("most")), window)
     passages = (windows.groupBy("passage").agg(F.min("least").alias("first"), F.max("most").alias("last"))
                 .filter("first < last").select("passage", "first"))
