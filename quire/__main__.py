@@ -6,6 +6,7 @@
                             (--words 'w1+w2' [--title T] [--author A] [--from Y] [--to Y]
                              [--language L] | --requests FILE.jsonl) --out PATH
     python -m quire add     --books DIR --index PATH --ledger PATH
+    python -m quire crawl   --pages PATH --downloads PATH --root PATH
     python -m quire ingest  --source DIR --index PATH --ledger PATH --checkpoint PATH
     python -m quire compact --index PATH --ledger PATH --out PATH --buckets N
     python -m quire merge   --index PATH --ledger PATH [--fan N] [--grace SECONDS]
@@ -15,7 +16,8 @@
 
 ``catalog`` writes the parsed catalogue and the n-gram index of its texts (``OUT/texts``), which
 ``search --words`` uses.  ``fragment`` prints the fixed sentence, or with a forward index the words
-around the place.  ``merge`` merges the runs of an incremental index level by level and removes folders replaced longer ago
+around the place.  ``crawl`` takes fetched book pages (href, html) and fetched texts (download_url, html) to
+metadata log, book store and index under ROOT.  ``merge`` merges the runs of an incremental index level by level and removes folders replaced longer ago
 than the grace.  ``add`` indexes the <id>.txt files of a folder that the ledger does not list yet, and prints
 how many books were new.  ``search --words`` splits on '+' like the reference route; a request file holds one JSON
 object per line: {"query_id": 1, "words": [...], "title": ..., "year_from": ..., ...}.
@@ -60,6 +62,9 @@ def _parser() -> argparse.ArgumentParser:
     a = sub.add_parser("add")
     for name in ("books", "index", "ledger"):
         a.add_argument(f"--{name}", required=True)
+    cr = sub.add_parser("crawl")
+    for name in ("pages", "downloads", "root"):
+        cr.add_argument(f"--{name}", required=True)
     st = sub.add_parser("ingest")
     for a in ("source", "index", "ledger", "checkpoint"):
         st.add_argument(f"--{a}", required=True)
@@ -134,6 +139,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> ob
         n = index_new_books(books_from_files(spark, args.books), args.index, args.ledger).count()
         print(n)
         return n
+    if args.cmd == "crawl":
+        from quire.plans.crawl_flow import crawl_to_index
+        n = crawl_to_index(spark.read.parquet(args.pages), spark.read.parquet(args.downloads), args.root).count()
+        print(n)
+        return n
     if args.cmd == "ingest":
         from quire.streaming.ingest import start_stream_index
         q = start_stream_index(spark, args.source, args.index, args.ledger, args.checkpoint,

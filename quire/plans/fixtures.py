@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.constants import BASE_URL
 from quire.functions.metadata import format_metadata_line
 from quire.operators.tokens import is_stopword
 from quire.functions.text import tokenize, strip_header
@@ -95,6 +96,14 @@ def book_pages(documents: DataFrame) -> DataFrame:
                     .alias("href"), html.alias("html"))
 
 
+def downloaded_texts(documents: DataFrame) -> DataFrame:
+    """(download_url, html): the text behind each book's plain-text link, as the body of a page."""
+    text = F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    return documents.select(
+        F.concat(F.lit(BASE_URL + "/ebooks/"), F.col("doc_id").cast("string"), F.lit(".txt.utf-8")).alias("download_url"),
+        F.concat(F.lit("<html><body>"), text, F.lit("</body></html>")).alias("html"))
+
+
 def listing_pages(documents: DataFrame) -> DataFrame:
     """(start_index, html): 25 books per listing page in id order, after one anchor that
     is not a book link.  A page groups at most 25 rows."""

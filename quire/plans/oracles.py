@@ -350,6 +350,11 @@ ORACLES: dict[str, str] = {
         f"lines AS (SELECT 1 AS delivery, book_id AS seq, {line_of()} AS line FROM (SELECT book_id, "
         f"{title_part('h', 1)} AS title, {title_part('h', 2)} AS author, release_date, language "
         f"FROM r WHERE h IS NOT NULL AND download IS NOT NULL)), {PARSED}, {CATALOG} SELECT * FROM cat"),
+    "crawl_to_index": (
+        f"WITH {BOOK_PAGES}, r AS (SELECT {HEADING} AS h, {DOWNLOAD} AS download, string_split(href, '/')[3] AS book_id FROM bp), "
+        f"d AS (SELECT doc_id AS book_id, {strip_header('text')} AS x FROM documents WHERE CAST(doc_id AS VARCHAR) IN "
+        f"(SELECT book_id FROM r WHERE h IS NOT NULL AND download IS NOT NULL)), "
+        f"tok AS (SELECT book_id, {tokens_of('x')} AS t FROM d), {TP}, {IDX} {FLAT}"),
     "release_date": f"WITH {BOOK_PAGES} SELECT href, {RELEASE} AS release_date FROM bp",
     "detect_language": f"WITH {BOOK_PAGES} SELECT href, {LANGUAGE} AS language FROM bp",
     "download_link": f"WITH {BOOK_PAGES} SELECT href, {DOWNLOAD} AS download FROM bp",

@@ -25,6 +25,7 @@ from quire.operators.criteria import books_containing
 from quire.operators.forward import fragments_of_hits
 from quire.operators import crawl, ledger, postings as post, search as srch, tokens as tok
 from quire.plans import crawling, fixtures
+from quire.plans.crawl_flow import INDEX, LEDGER, crawl_to_index
 from quire.plans.indexing import build_index, index_new_books
 from quire.session import table_path, work_path
 from quire.sinks.books_store import append_catalog_lines, read_books, store_books
@@ -377,6 +378,16 @@ def crawl_to_catalog(spark, sf):
     return _catalog_cols(cat.load_catalog(read_catalog_lines(spark, path)))
 
 
+@register("crawl_to_index")
+def crawl_to_index_q(spark, sf):
+    """Fetched book pages and fetched texts to metadata log, book store and index in one call, twice: the
+    second call finds every book in the ledger."""
+    root, d = work_path(spark, "crawl"), documents(spark, sf)
+    for _ in range(2):
+        crawl_to_index(_book_pages(spark, sf), fixtures.downloaded_texts(d), root)
+    return flat_postings(read_postings(spark, f"{root}/{INDEX}", f"{root}/{LEDGER}"))
+
+
 @register("release_year")
 def release_year_q(spark, sf):
     # year as text: a nullable integer column would hash differently across engines

@@ -52,6 +52,13 @@ def store_books(books: DataFrame, path: str, order_col: str = "arrival") -> None
     latest_books(books, order_col).write.parquet(f"{path}/batch={batch}")
 
 
+def append_books(books: DataFrame, path: str) -> None:
+    """Store ``books`` (book_id, doc_key, text) as they come, as one batch; no row moves.  They replace the
+    stored books of their ids when they are read, and of copies in the batch :func:`read_books` takes one."""
+    batch = _claim_batch(books.sparkSession, path)
+    books.select("book_id", "doc_key", "text").write.parquet(f"{path}/batch={batch}")
+
+
 def read_books(spark: SparkSession, path: str) -> DataFrame:
     """(book_id, doc_key, text): every stored book as its last batch left it."""
     return latest_books(read_folder(spark, path, STORE_SCHEMA), "batch")

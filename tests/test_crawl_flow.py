@@ -1,0 +1,56 @@
+"""Pages and texts to metadata log, book store and index in one call."""
+
+from support import rows
+from quire.__main__ import main
+from quire.operators.catalog import load_catalog
+from quire.plans.crawl_flow import BOOKS, CATALOG_LOG, INDEX, LEDGER, crawl_to_index
+from quire.session import work_path
+from quire.sinks.books_store import read_books
+from quire.sinks.index_store import read_ledger, read_postings
+from quire.sources.catalog import read_catalog_lines
+
+
+def _page(book, title, link=True):
+    anchor = f'<a href="/ebooks/{book}.txt.utf-8">Plain Text UTF-8</a>' if link else ""
+    return f"/ebooks/{book}", (f'<html><body><h1>{title}</h1><table><tr><td>English</td>'
+                               f'<td itemprop="datePublished">May 1, 1999</td></tr></table>{anchor}</body></html>')
+
+
+def _frames(spark, base, pages, texts):
+    return (spark.createDataFrame(pages, "href STRING, html STRING"),
+            spark.createDataFrame([(f"{base}/ebooks/{b}.txt.utf-8", t) for b, t in texts], "download_url STRING, html STRING"))
+
+
+def test_pages_and_texts_reach_log_store_and_index(spark):
+    from quire.constants import BASE_URL
+    root = work_path(spark, "t-crawl")
+    pages, texts = _frames(spark, BASE_URL, [
+        _page(7, "Whales by Ann"), _page(8, "Ships by Bob", link=False), _page(9, "Seas by Cy"),
+        ("/ebooks/x1", _page("x1", "No id by Dee")[1]), ("/ebooks/10", None), _page(11, "Empty by Eve")],
+        [(7, "<html><body>*** START *** Blue &amp; white whale</body></html>"), (8, "<body>unlinked</body>"),
+         ("x1", "<body>nameless</body>"), (11, None), (99, "<body>nobody's</body>")])
+    assert rows(crawl_to_index(pages, texts, root)) == [("7",)]
+    assert rows(read_postings(spark, f"{root}/{INDEX}", f"{root}/{LEDGER}"), "word", "book_id", "positions") == [
+        ("blue", 7, [0]), ("whale", 7, [2]), ("white", 7, [1])]
+    catalog = load_catalog(read_catalog_lines(spark, f"{root}/{CATALOG_LOG}"))
+    assert rows(catalog, "book_id", "title", "author") == [(11, "Empty", "Eve"), (7, "Whales", "Ann"), (9, "Seas", "Cy")]
+    # the text of book 9 comes later, and another text of book 7: it is stored, and not indexed again
+    pages, texts = _frames(spark, BASE_URL, [_page(9, "Seas by Cy"), _page(7, "Whales by Ann")],
+                           [(9, "<body>salt water</body>"), (7, "<body>other words</body>")])
+    assert rows(crawl_to_index(pages, texts, root)) == [("9",)]
+    assert rows(read_books(spark, f"{root}/{BOOKS}"), "book_id", "text") == [(7, "other words"), (9, "salt water")]
+    assert rows(read_ledger(spark, f"{root}/{LEDGER}"), "doc_key") == [("7",), ("9",)]
+    assert rows(read_postings(spark, f"{root}/{INDEX}", f"{root}/{LEDGER}"), "word", "book_id")[-2:] == [
+        ("whale", 7), ("white", 7)]
+
+
+def test_command_line_and_empty_tables(spark):
+    from quire.constants import BASE_URL
+    root, at = work_path(spark, "t-crawl-cli"), work_path(spark, "t-crawl-in")
+    pages, texts = _frames(spark, BASE_URL, [_page(3, "Tides by Flo")], [(3, "<body>high tide</body>")])
+    for name, df in (("pages", pages), ("texts", texts)):
+        df.write.parquet(f"{at}/{name}")
+        df.limit(0).write.parquet(f"{at}/no-{name}")
+    crawl = lambda p: main(["crawl", "--pages", f"{at}/{p}pages", "--downloads", f"{at}/{p}texts", "--root", root], spark)
+    assert [crawl("no-"), crawl(""), crawl("")] == [0, 1, 0]
+    assert rows(read_books(spark, f"{root}/{BOOKS}"), "book_id", "text") == [(3, "high tide")]
