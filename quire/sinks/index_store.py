@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quire.functions.metadata import release_year
 from quire.operators.ledger import LEDGER_SCHEMA
-from quire.operators.postings import POSTINGS_SCHEMA, merge_postings
+from quire.operators.postings import DELTA_CODED, POSTINGS_SCHEMA, merge_postings
 from quire.operators.search import SearchIndex
 from quire.operators.sizing import broadcast_if_small, collect_if_small
 from quire.operators.word_blocks import BLOCKS_SCHEMA, parts_for, word_blocks, word_counts
@@ -179,7 +179,7 @@ def _save_by_word(postings: DataFrame, folder: str, files: int) -> None:
     """The postings in ``files`` ranges of (word, book_id), and the directory of their files."""
     spark = postings.sparkSession
     (postings.repartitionByRange(files, "word", "book_id").sortWithinPartitions("word", "book_id")
-     .write.parquet(f"{folder}/by_word"))
+     .write.options(**DELTA_CODED).parquet(f"{folder}/by_word"))
     key = F.struct("word", "book_id")
     (spark.read.schema(POSTINGS_SCHEMA).parquet(f"{folder}/by_word")
      .groupBy(F.col("_metadata.file_name").alias("file"))
