@@ -32,9 +32,11 @@ class CriteriaIndex:
 
 
 def _grams(text: Column, n: int) -> Column:
-    """All ``n``-character substrings; empty for shorter texts."""
-    whole = F.sequence(F.lit(1), F.length(text) - (n - 1))
-    return F.when(F.length(text) >= n, F.transform(whole, lambda i: F.substring(text, i, F.lit(n)))) \
+    """All ``n``-character substrings; empty for shorter texts.  The text is cut into characters once (bound as
+    the variable of a lambda), as ``substring`` walks it from its start each time."""
+    whole = F.sequence(F.lit(0), F.length(text) - n)
+    grams = lambda chars: F.transform(whole, lambda i: F.concat(*[F.get(chars, i + k) for k in range(n)]))
+    return F.when(F.length(text) >= n, F.flatten(F.transform(F.array(F.split(text, "")), grams))) \
         .otherwise(F.array().cast("array<string>"))
 
 
@@ -58,10 +60,15 @@ def field_values(catalog: DataFrame, slots: int) -> DataFrame:
 
 
 def value_grams(values: DataFrame, slots: int) -> DataFrame:
-    """(field, slot, gram, key): the distinct grams of every distinct value."""
-    held = values.select("field", "key", "value").distinct()
-    grams = F.concat(F.array(F.lit("")), *[F.array_distinct(_grams(F.col("value"), n)) for n in range(1, GRAM + 1)])
-    out = held.select("field", "key", F.explode(grams).alias("gram")).distinct()
+    """(field, slot, gram, key): the distinct grams of every distinct value.
+
+    Values are few bytes next to their grams, so adaptive execution would put them into one task: they
+    are dealt by number.  A key has its values in one row, so its grams need no aggregate."""
+    tasks = int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    held = values.groupBy("field", "key").agg(F.collect_set("value").alias("held")).repartition(tasks, "key")
+    of_value = lambda v: F.concat(F.array(F.lit("")), *[_grams(v, n) for n in range(1, GRAM + 1)])
+    grams = F.array_distinct(F.flatten(F.transform("held", of_value)))
+    out = held.select("field", "key", F.explode(grams).alias("gram"))
     return out.select("field", slot_of(F.col("gram"), slots).alias("slot"), "gram", "key")
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quire.operators import search as S
-from quire.operators.criteria import books_containing, books_with_text, index_of_catalog
+from quire.operators.criteria import books_containing, books_with_text, field_values, index_of_catalog, value_grams
 from quire.plans.indexing import build_index
 from quire.session import work_path
 from quire.sinks.criteria_store import open_criteria_index, save_criteria_index
@@ -80,6 +80,22 @@ def test_selective_criterion_reads_a_fraction(spark):
     assert 0 < read <= scanned.count() // 16
 
 
+def test_grams_of_few_bytes_of_values_are_made_by_many_tasks(spark):
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    books = spark.range(2000).selectExpr("id AS book_id", "concat('title ', id) AS title", "'one' AS author", "'English' AS language")
+    grams = value_grams(field_values(books, 1), 1)
+    made = grams.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(made) > tasks // 2 and max(r["count"] for r in made) < 4 * sum(r["count"] for r in made) / tasks
+
+
+def test_values_under_one_key_share_their_grams(spark):
+    values = spark.createDataFrame([("title", 7, "abc", 1), ("title", 7, "abd", 2), ("title", 7, "abc", 3), ("author", 7, "\U0001F433b", 1)],
+                                   "field STRING, key BIGINT, value STRING, book_id BIGINT")
+    got = sorted((r.field, r.gram) for r in value_grams(values, 1).collect())
+    assert got == sorted([("title", g) for g in ("", "a", "b", "c", "d", "ab", "bc", "bd", "abc", "abd")]
+                         + [("author", g) for g in ("", "\U0001F433", "b", "\U0001F433b")])
+
+
 def _scans(plan):
     found, todo = [], [plan]
     while todo:
