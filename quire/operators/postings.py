@@ -12,6 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quire.operators.sizing import deal
+
 POSTINGS_SCHEMA = "word STRING, book_id BIGINT, positions ARRAY<INT>"
 
 #: Parquet writer options for postings sorted by (word, book_id): ids and positions as bit-packed differences
@@ -52,18 +54,22 @@ def row_postings(books: DataFrame, tokenizer: Callable[[Column], Column]) -> Dat
     return runs.select("book_id", F.explode(held).alias("p")).select("p.word", "book_id", "p.positions")
 
 
-def merge_postings(*parts: DataFrame) -> DataFrame:
+def merge_postings(*parts: DataFrame, dealt: bool = False) -> DataFrame:
     """Set union of postings per (word, book_id) (several index runs into one index).
 
-    Positions are exploded and re-collected as a set, which deduplicates map-side: a
-    (word, book) present in any number of runs stays bounded by the book's length.
+    Rows move once, as they are, dealt by book (a part has at most the book's vocabulary of it): nothing is grouped or
+    sorted before that.  A group is bounded by the book's length times the parts that hold it.  ``dealt``: all rows of
+    a book are in one partition already.
     """
     union = parts[0].select("word", "book_id", "positions")
     for p in parts[1:]:
         union = union.unionByName(p.select("word", "book_id", "positions"))
-    return (union.select("word", "book_id", F.explode("positions").alias("pos"))
-            .groupBy("word", "book_id")
-            .agg(F.array_sort(F.collect_set("pos")).alias("positions")))
+    union = union.filter(F.size("positions") > 0)
+    if not dealt:
+        union = deal(union, "book_id")
+    held = F.array_compact(F.flatten(F.collect_list("positions")))
+    return (union.groupBy("word", "book_id")
+            .agg(F.array_sort(F.array_distinct(held)).alias("positions")))
 
 
 def word_books(postings: DataFrame) -> DataFrame:

@@ -14,6 +14,11 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
 
 
+#: stored bytes of postings or texts that one task sorts after an exchange; tasks that the sizes alone may ask for
+DEAL_BYTES, DEAL_TASKS = 8 << 20, 20_000
+#: Spark's size of rows that are not in files is above this
+UNKNOWN_BYTES = 1 << 60
+
 KNOWN_SMALL = None   # pass as max_rows when the caller built the data on the driver
 
 
@@ -63,11 +68,27 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
-def _source_splits(df: DataFrame) -> int | None:
-    """Full splits in the source tables, by the sizes in the optimized plan."""
+def _source_bytes(df: DataFrame) -> int | None:
+    """Bytes of the source tables, by the sizes in the optimized plan; None if the plan knows no size."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        size = sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
-        return size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    except AttributeError:        # a session without a driver JVM: always spread
+    except AttributeError:        # a session without a driver JVM
         return None
+    # str(): Spark's BigInt comes as a Python int or as an object of the JVM
+    size = sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return size if size < UNKNOWN_BYTES else None
+
+
+def _source_splits(df: DataFrame) -> int | None:
+    """Full splits in the source tables; None if their size is not known."""
+    size = _source_bytes(df)
+    return None if size is None else size // df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+
+
+def deal(df: DataFrame, *keys: str, like: DataFrame | None = None) -> DataFrame:
+    """``df`` exchanged by ``keys`` for tasks that sort their rows: over the shuffle partitions, or over more if the
+    source tables of ``like`` (``df`` itself) have more than ``DEAL_BYTES`` for each, so that a task's rows stay in
+    its memory.  Tables dealt alike are joined without another exchange.  The number is given, as adaptive execution
+    would unite tasks by their compressed bytes, a small part of what they sort.  No job runs."""
+    tasks = min((_source_bytes(df if like is None else like) or 0) // DEAL_BYTES, DEAL_TASKS)
+    return df.repartition(max(tasks, _partitions(df, None)), *keys)
