@@ -1,0 +1,41 @@
+"""Runs of an index are written without a spill of their sort, and books of several runs move once to be merged."""
+
+import re
+
+from quire import session
+from quire.operators.postings import POSTINGS_SCHEMA
+from quire.plans.indexing import build_index
+from quire.session import work_path
+from quire.sinks.index_store import append_ledger, read_ledger, read_postings, write_run
+from support import rows
+
+
+def test_runs_are_sorted_split_by_split(spark, monkeypatch):
+    """A task of write_run sorts what it makes of a bounded part of the source."""
+    path, idx = work_path(spark, "mm-src"), work_path(spark, "mm-runs")
+    spark.createDataFrame([(f"w{i}", i, [i]) for i in range(4000)], POSTINGS_SCHEMA).repartition(8).write.parquet(path)
+    write_run(spark.read.parquet(path).coalesce(100), idx, "whole")
+    monkeypatch.setattr(session, "SORTED_SPLIT", 100)
+    write_run(spark.read.parquet(path).coalesce(100), idx, "parts")
+    whole, parts = [spark.read.parquet(f"{idx}/run={run}") for run in ("whole", "parts")]
+    assert len(parts.inputFiles()) >= 8 and rows(parts) == rows(whole)
+    assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() == 128 << 20
+
+
+def test_books_of_several_runs_too_many_to_broadcast(spark):
+    idx, led = work_path(spark, "mm-index"), work_path(spark, "mm-ledger")
+    books = spark.createDataFrame([(i, f"whale sea{i} whale") for i in range(40)], "book_id BIGINT, text STRING")
+    longer = spark.createDataFrame([(i, f"whale sea{i} ship whale") for i in range(20, 30)], "book_id BIGINT, text STRING")
+    for run, part in (("r-1", books), ("r-2", longer)):
+        write_run(build_index(part), idx, run)
+        append_ledger(part.selectExpr("string(book_id) AS doc_key"), led, run)
+    assert read_ledger(spark, led).count() == 50
+    few, many = read_postings(spark, idx, led), read_postings(spark, idx, led, max_broadcast_rows=3)
+    assert rows(many) == rows(few)
+    assert ("whale", 25, [0, 2, 3]) in rows(many) and ("whale", 5, [0, 2]) in rows(many)
+    many.collect()
+    plan = many._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    # one exchange of the postings, used again for the books to merge; the other one has the book ids
+    assert "BroadcastExchange" not in plan and "ReusedExchange" in plan
+    moved = [e for e in re.findall(r"(?<!Reused)Exchange hashpartitioning\(book_id.*\n.*\n.*", plan)]
+    assert len([e for e in moved if "word" in e]) == 1, plan
